@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import exact_dedup, sharding
+from rinkline.llm import exact_dedup, sharding, substring_dedup
 from rinkline.llm._shared import table
 
 
@@ -17,7 +17,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding)}
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), width=13, with_text=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
@@ -31,4 +35,18 @@ ORACLE = {
                doc_id = first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS kept,
                sha256(norm) AS text_sha256
         FROM n""",
+    "op5_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        win AS (
+            SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+        firsts AS (SELECT g, min(doc_id) AS m FROM win GROUP BY g),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN firsts USING (g) WHERE doc_id > m),
+        words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM w),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+            FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
 }
