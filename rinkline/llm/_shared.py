@@ -56,15 +56,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def merge_scans(spark: SparkSession):
+    """Inside, Spark relies on the order of stored buckets of one file each, so joins of them are merges without sorts."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before or "false")
+
+
 def stored_buckets(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
-    """As stored(), in buckets by keys that are sorted by them: later joins and groupings by the keys need no exchange."""
+    """As stored(), in sorted buckets by keys.
+
+    df must come from a grouping or join by keys over `buckets` partitions: then each bucket is one file, and
+    later joins by the keys need no exchange.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
     table = f"rinkline_{name}_{uuid.uuid4().hex}"
     with shuffle_cleanup(spark):
         (
-            df.repartition(buckets, *keys)
-            .write.bucketBy(buckets, *keys)
+            df.write.bucketBy(buckets, *keys)
             .sortBy(*keys)
             .option("path", path)
             .saveAsTable(table)
