@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import exact_dedup, sharding, substring_dedup, suffix_dedup
+from rinkline.llm import exact_dedup, packing, sharding, substring_dedup, suffix_dedup
 from rinkline.llm._shared import table
 
 
@@ -21,11 +21,17 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), width=13, with_text=False)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=50, with_bytes=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op7_packing, op10_suffix_dedup)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
