@@ -11,6 +11,7 @@ key has several contexts are windows compared one by one.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from rinkline.llm._bytes import covered, mix, span_hash
 from rinkline.llm._shared import discard, stored
 
 _PLACE_BITS = 26
+#: Contexts of one key up to which a task compares their windows; beyond, windows are rows that Spark groups.
+HOT_CONTEXTS = 512
 
 
 def pick_anchors(lo: np.ndarray, hi: np.ndarray, rank: np.ndarray, windows: np.ndarray, width: int, units: int) -> np.ndarray:
@@ -110,7 +113,8 @@ def group_rows(batches: Iterator[pa.RecordBatch], slices_of, rule: Rule, width:
 
 
 def window_rows(batches: Iterator[pa.RecordBatch], slices_of, rule: Rule, width: int, keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """(id, text, starts) batches to one row for each window of the named groups: keys, window, doc, start."""
+    """(id, text, named groups) batches to a row for each named group: keys, hot, doc, start, hashes of its windows."""
+    span = np.int64(1) << np.int64(40)
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         named = batch.column(2)
@@ -118,22 +122,72 @@ def window_rows(batches: Iterator[pa.RecordBatch], slices_of, rule: Rule, width:
             row, start, count, key, _, prefix, bounds = groups_of(data, offsets, rule, width)
             part = named.slice(first, end - first)
             size = np.asarray(part.value_lengths().fill_null(0), dtype=np.int64)
-            wanted_row, wanted = np.repeat(np.arange(end - first), size), part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            span = np.int64(1) << np.int64(40)
-            here = np.isin(row.astype(np.int64) * span + start, wanted_row * span + wanted)
-            row, start, count = row[here], start[here], count[here]
-            total = int(count.sum())
-            if not total:
+            flat = part.flatten()
+            if not len(flat):
                 continue
-            each = np.repeat(np.arange(len(row)), count)
-            at = start[each] + np.arange(total) - np.repeat(np.cumsum(count) - count, count)
-            begin = at + bounds[row[each]]
+            wanted = np.repeat(np.arange(end - first), size) * span + flat.field("start").to_numpy(zero_copy_only=False)
+            order = np.argsort(wanted, kind="stable")
+            wanted, hot = wanted[order], np.asarray(flat.field("hot"))[order]
+            mine = row.astype(np.int64) * span + start
+            at = np.minimum(np.searchsorted(wanted, mine), len(wanted) - 1)
+            here = np.flatnonzero(wanted[at] == mine)
+            row, start, count, hot = row[here], start[here], count[here], hot[at[here]]
+            total = int(count.sum())
+            ends = np.cumsum(count)
+            begin = np.repeat(start + bounds[row] - (ends - count), count) + np.arange(total)
+            hashes = span_hash(prefix, begin, begin + width)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), _as_long(hashes))
             yield pa.RecordBatch.from_arrays(
-                [*(_as_long(k[here][each]) for k in key), _as_long(span_hash(prefix, begin, begin + width)), pa.array(ids[first:end][row[each]].astype(np.int64)), pa.array(at.astype(np.int32))],
-                [*keys, "window", "doc", "start"],
+                [*(_as_long(k[here]) for k in key), pa.array(hot), pa.array(ids[first:end][row].astype(np.int64)), pa.array(start.astype(np.int32)), lists],
+                [*keys, "hot", "doc", "start", "hashes"],
             )
 
 
+def late_windows(batches: Iterator[pa.RecordBatch], keys: list[str], width: int) -> Iterator[pa.RecordBatch]:
+    """Rows of window_rows, sorted by keys, to (doc, a, b): runs of windows that occur in a smaller document under the same key."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        columns = [table[k].to_numpy() for k in keys]
+        same = np.logical_and.reduce([c == c[-1] for c in columns])
+        done = len(table) - int(np.argmin(same[::-1])) if not same.all() else 0
+        if done:
+            yield from _late(table.slice(0, done), keys, width)
+        rest = table.slice(done)
+    if rest is not None and len(rest):
+        yield from _late(rest, keys, width)
+
+
+def _late(table: pa.Table, keys: list[str], width: int) -> Iterator[pa.RecordBatch]:
+    lists = table["hashes"].combine_chunks()
+    size = np.asarray(lists.value_lengths(), dtype=np.int64)
+    own = np.zeros(len(table), dtype=np.uint64)
+    for k in keys:
+        own = mix(own ^ table[k].to_numpy().view(np.uint64))
+    row = np.repeat(np.arange(len(table)), size)
+    window = mix(lists.flatten().to_numpy().view(np.uint64) ^ own[row])
+    doc = table["doc"].to_numpy()
+    each = doc[row]
+    order = np.lexsort((each, window))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = window[order][1:] != window[order][:-1]
+    owner = np.empty(len(order), dtype=np.int64)
+    owner[order] = each[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    late = np.flatnonzero(each > owner)
+    if not len(late):
+        return
+    begins = np.ones(len(late), dtype=bool)
+    begins[1:] = (late[1:] != late[:-1] + 1) | (row[late[1:]] != row[late[:-1]])
+    first = late[begins]
+    last = late[np.append(np.flatnonzero(begins)[1:] - 1, len(late) - 1)]
+    place = table["start"].to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(doc[row[first]]), pa.array(place[first].astype(np.int32)), pa.array((place[last] + width).astype(np.int32))], ["doc", "a", "b"]
+    )
+
+
 def shared_groups(groups: DataFrame, keys: list[str]) -> DataFrame:
     """The groups whose key occurs in more than one document, by one aggregation and one join that Spark can split where a key is frequent."""
     seen = groups.groupBy(*keys).agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select(*keys)
@@ -147,20 +201,25 @@ def repeated_ranges(docs: DataFrame, shared: DataFrame, keys: list[str], width:
     """
     contexts = shared.groupBy(*keys, "context").agg(F.min("doc").alias("owner"))
     contexts = stored(contexts, "contexts")
-    many = contexts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
-    open_ = contexts.join(many, keys, "left_semi").select(*keys, "context", F.lit(True).alias("open"))
-    contexts2 = stored(contexts.join(open_, [*keys, "context"], "left"), "owners")
-    judged = shared.join(contexts2, [*keys, "context"]).where((F.col("doc") > F.col("owner")) | F.col("open"))
-    judged = stored(judged.select("doc", "start", "count", (F.col("doc") > F.col("owner")).alias("settled")), "judged")
-    discard(contexts, contexts2)
-    names = judged.where("not settled").groupBy("doc").agg(F.collect_list("start").alias("starts"))
+    many = contexts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    hot = many.select(*keys, (F.col("n") > HOT_CONTEXTS).alias("hot"))
+    owners = stored(contexts.join(hot, keys, "left").select(*keys, "context", "owner", "hot"), "owners")
+    judged = shared.join(owners, [*keys, "context"]).where((F.col("doc") > F.col("owner")) | F.col("hot").isNotNull())
+    judged = judged.select("doc", "start", "count", (F.col("doc") > F.col("owner")).alias("settled"), "hot")
+    judged = stored(judged, "judged")
+    discard(contexts, owners)
+    names = judged.where("not settled").groupBy("doc").agg(F.collect_list(F.struct("start", "hot")).alias("named"))
     kinds = ", ".join(f"{k} long" for k in keys)
-    rows = docs.join(names, "doc").select("doc", "text", "starts").mapInArrow(windows, f"{kinds}, window long, doc long, start int")
+    rows = docs.join(names, "doc").select("doc", "text", "named").mapInArrow(windows, f"{kinds}, hot boolean, doc long, start int, hashes array<long>")
     rows = stored(rows, "windows")
-    least = rows.groupBy(*keys, "window").agg(F.min("doc").alias("owner"))
-    late = rows.join(least, [*keys, "window"]).where("doc > owner")
-    spans = judged.where("settled").select("doc", F.struct(F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + width).alias("b")).alias("r"))
-    spans = spans.unionByName(late.select("doc", F.struct(F.col("start").alias("a"), (F.col("start") + width).alias("b")).alias("r")))
+    together = rows.where("not hot").drop("hot").repartition(*keys).sortWithinPartitions(*keys)
+    spans = together.mapInArrow(partial(late_windows, keys=keys, width=width), "doc long, a int, b int")
+    each = rows.where("hot").select(*keys, "doc", "start", F.posexplode("hashes").alias("at", "window"))
+    least = each.groupBy(*keys, "window").agg(F.min("doc").alias("owner"))
+    late = each.join(least, [*keys, "window"]).where("doc > owner")
+    spans = spans.unionByName(late.select("doc", (F.col("start") + F.col("at")).alias("a"), (F.col("start") + F.col("at") + width).alias("b")))
+    spans = spans.unionByName(judged.where("settled").select("doc", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + width).alias("b")))
+    spans = spans.select("doc", F.struct("a", "b").alias("r"))
     return spans.groupBy("doc").agg(F.collect_list("r").alias("ranges"))
 
 

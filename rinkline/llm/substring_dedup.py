@@ -65,7 +65,8 @@ def _rule(data: np.ndarray, offsets: np.ndarray):
     prefix = prefix_hash(words)
     start, end, lo, hi, name = recompress(words, bounds, prefix)
     long_first = (np.uint64(15) - np.minimum(end - start, 15).astype(np.uint64)) << np.uint64(60)
-    return bounds, prefix, lo, hi, long_first | (mix(name) >> np.uint64(4)), start, [name]
+    whole = span_hash(prefix, np.clip(lo, 0, len(words)), np.clip(hi, 0, len(words)))  # all that makes it what it is
+    return bounds, prefix, lo, hi, long_first | (mix(name) >> np.uint64(4)), start, [whole]
 
 
 def _groups(batches, width: int):
