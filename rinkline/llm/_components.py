@@ -21,9 +21,9 @@ def components(edges: DataFrame) -> DataFrame:
     moves: list[DataFrame] = []
     while not current.isEmpty():
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        draw = lambda c: F.struct(F.xxhash64(c, F.lit(len(moves))), F.col(c))
+        draw = lambda c: F.struct(F.xxhash64(c, F.lit(len(moves))).alias("draw"), F.col(c).alias("id"))
         nearest = both.groupBy("a").agg(F.min(draw("b")).alias("best"))
-        to = stored(nearest.select("a", F.least("best", draw("a")).getField("b").alias("to")), "moves")
+        to = stored(nearest.select("a", F.least("best", draw("a")).getField("id").alias("to")), "moves")
         left = current.join(to, "a").select("b", F.col("to").alias("x"))
         right = left.join(to.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
         after = stored(right.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")

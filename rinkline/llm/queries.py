@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import exact_dedup, packing, sharding, substring_dedup, suffix_dedup
+from rinkline.llm import exact_dedup, ngram_join, packing, sharding, substring_dedup, suffix_dedup
 from rinkline.llm._shared import table
 
 
@@ -27,11 +27,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=50, with_bytes=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op7_packing, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op7_packing, op8_ngram_join, op10_suffix_dedup)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
@@ -59,4 +63,24 @@ ORACLE = {
             FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id)""",
+    "op8_ngram_join": r"""
+        WITH RECURSIVE
+        w AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS x, b.doc_id AS y
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+            JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+            HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+        reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+        least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(least.y, w.doc_id)) AS component_id
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.x = w.doc_id""",
 }
