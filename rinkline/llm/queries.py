@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import exact_dedup, ngram_join, packing, sharding, substring_dedup, suffix_dedup
+from rinkline.llm import exact_dedup, ngram_join, packing, sharding, substring_dedup, suffix_dedup, warc
 from rinkline.llm._shared import table
 
 
@@ -21,6 +21,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), width=13, with_text=False)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), revisit_from=0)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,7 +39,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=50, with_bytes=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op7_packing, op8_ngram_join, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op10_suffix_dedup)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
