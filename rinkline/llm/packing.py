@@ -243,9 +243,13 @@ def pack(
     pieces = stored(pieces, "pieces")
     buckets = max(1, -(-pieces.count() // bucket_pieces))
     bucket = F.pmod(F.xxhash64("doc", "start", "ids_crc32"), F.lit(buckets))
+
+    def filled(table):
+        return _pack(table, width, buckets)
+
     packed = (
         pieces.withColumn("bucket", bucket)
         .groupBy("bucket")
-        .applyInArrow(partial(_pack, width=width, buckets=buckets), schema + ", sequence_id long, offset long")
+        .applyInArrow(filled, schema + ", sequence_id long, offset long")
     )
     return packed.withColumnRenamed("doc", id_col)

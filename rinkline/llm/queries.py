@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import exact_dedup, ngram_join, packing, sharding, substring_dedup, suffix_dedup, warc
+from rinkline.llm import decontaminate, exact_dedup, ngram_join, packing, sharding, substring_dedup, suffix_dedup, warc
 from rinkline.llm._shared import table
 
 
@@ -35,11 +35,15 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=50, with_bytes=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op9_decontaminate, op10_suffix_dedup)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
