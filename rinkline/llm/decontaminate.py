@@ -23,14 +23,16 @@ from rinkline.llm._bytes import IS_BLANK, slices
 from rinkline.llm._shared import stored, without
 
 #: Allowed edits as a share of an item's length; length of the q-grams of the first filter.
-EDITS, GRAM = 0.08, 8
-#: Embeddings, hash keys for each, and sampled places of a key. A window with 5 % differing places shares a key with probability 1 - (1 - 0.95**12)**24, above 0.999.
-WALKS, TABLES, PLACES = 4, 6, 12
+EDITS, GRAM = 0.05, 12
+#: Embeddings, hash keys for each, and sampled places of a key. A window that differs in 40 % of the places shares a key with probability 1 - (1 - 0.6**5)**48 = 0.98.
+WALKS, TABLES, PLACES = 6, 8, 5
 #: Items that are broadcast at once; with more, the documents are scanned once for each block.
 BLOCK_ITEMS = 5000
 #: Items are compared from this many characters on; shorter ones must occur as they are.
 SHORT = 40
 _BITS = 22
+#: Stretches of this many bytes are looked at first, TILE_STEP apart.
+TILE, TILE_STEP = 92, 32
 MATCH = "doc long, item_id long, edits int, start long, length int"
 
 
@@ -52,7 +54,9 @@ def gram_places(data: np.ndarray) -> np.ndarray:
     """For each q-gram of the bytes its place in the bitmap."""
     if len(data) < GRAM:
         return np.zeros(0, dtype=np.int64)
-    grams = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, GRAM)).view(np.uint64).reshape(-1)
+    eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view(np.uint64).reshape(-1)
+    grams = eight[: len(data) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
+    grams ^= eight[GRAM - 8 :] * np.uint64(0xC2B2AE3D27D4EB4F)
     return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
@@ -66,12 +70,12 @@ class Items:
             norm = plain(raw, np.array([0, len(raw)]))[0].tobytes().strip()
             if norm:
                 self.rows.append((item, norm))
-        self.bitmap = np.zeros(1 << _BITS, dtype=bool)
-        for _, text in self.rows:
-            self.bitmap[gram_places(np.frombuffer(text, dtype=np.uint8))] = True
+        self.bitmap = np.zeros(1 << _BITS, dtype=np.uint64)  # a bit for each class of lengths
         longest = max((len(t) for _, t in self.rows), default=1)
         rng = np.random.default_rng(seed)
         self.steps = [rng.integers(0, 2, (3 * longest, 256), dtype=np.int8) for _ in range(WALKS)]
+        for step in self.steps:
+            step[:, 0] = 0
         self.draws = rng.random((WALKS, TABLES, PLACES))
         self.keys: dict[int, list[int]] = defaultdict(list)
         self.classes: list[tuple[int, int, int]] = []  # shortest, longest, q-grams that any match holds
@@ -84,10 +88,20 @@ class Items:
             long = long[len(here) :]
             most = len(self.rows[here[-1]][1])
             self.classes.append((least, most, max(1, min(self.least_grams(len(self.rows[i][1])) for i in here))))
-            for i in here:
-                text = np.frombuffer(self.rows[i][1], dtype=np.uint8)
-                for key in self.embed(text, np.zeros(1, dtype=np.int64), least).reshape(-1).tolist():
+            texts = [np.frombuffer(self.rows[i][1], dtype=np.uint8) for i in here]
+            for text in texts:
+                self.bitmap[gram_places(text)] |= np.uint64(1 << (len(self.classes) - 1) % 64)
+            heads = np.concatenate([text[:least] for text in texts])
+            for i, line in zip(here, self.embed(heads, np.arange(len(here)) * least, least).tolist()):
+                for key in line:
                     self.keys[key].append(i)
+        self.known = np.sort(np.array(list(self.keys), dtype=np.uint64))
+        # a stretch as long as a match of a class consists of so many tiles; the fullest holds at least this
+        self.tile_grams = min((-(-g // -(-self.span(most) // TILE)) for _, most, g in self.classes), default=1)
+
+    @staticmethod
+    def span(longest: int) -> int:
+        return int(longest * (1 + EDITS)) + 1
 
     @staticmethod
     def least_grams(length: int) -> int:
@@ -96,18 +110,22 @@ class Items:
     def embed(self, data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
         """The hash keys of the windows of `size` bytes at starts: one row each."""
         out = []
-        padded = np.concatenate([data, np.zeros(1, dtype=np.uint8)])
+        # a walk that has left its window stays on the zero behind it
+        padded = np.concatenate([data, np.zeros(size + 1, dtype=np.uint8)])
+        windows = padded[starts[:, None] + np.arange(size + 1)]
+        windows[:, size] = 0
+        windows = windows.reshape(-1)
         for walk in range(WALKS):
             places = [np.sort((self.draws[walk, t] * 2 * size).astype(int)) for t in range(TABLES)]  # the walk leaves the window after about two sizes
             wanted = {p for row in places for p in row}
             seen: dict[int, np.ndarray] = {}
-            at, stop = starts.copy(), np.minimum(starts + size, len(data))
+            at = np.arange(len(starts), dtype=np.int32) * np.int32(size + 1)
             step = self.steps[walk]
             for j in range(max(wanted) + 1):
-                here = np.where(at < stop, padded[np.minimum(at, len(data))], 0)
+                here = windows.take(at)
                 if j in wanted:
                     seen[j] = here
-                at = at + step[j, here]
+                at += step[j].take(here)
             for t, row in enumerate(places):
                 key = np.full(len(starts), walk * TABLES + t + 1 + 1000 * size, dtype=np.uint64)
                 for p in row:
@@ -141,6 +159,30 @@ def best_match(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None
     return best
 
 
+def _dense_rows(block: Items, data: np.ndarray, offsets: np.ndarray):
+    """The rows of a slice that hold q-grams of items densely enough anywhere (all rows if some items are short), their bytes and offsets, and the class bits of every byte's q-gram."""
+    flags = np.zeros(len(data), dtype=np.uint64)
+    places = gram_places(data)
+    flags[: len(places)] = block.bitmap[places]
+    every = np.arange(len(offsets) - 1)
+    if block.short:
+        return every, data, offsets, flags
+    hits = np.concatenate([[0], np.cumsum(flags != 0)])
+    tiles = np.arange(0, len(data), TILE_STEP)
+    full = tiles[hits[np.minimum(tiles + TILE + TILE_STEP, len(data))] - hits[tiles] >= block.tile_grams]
+    # a tile may reach into the rows behind the one it begins in
+    low = np.searchsorted(offsets, full, side="right") - 1
+    high = np.searchsorted(offsets, np.minimum(full + TILE + TILE_STEP, len(data)) - 1, side="right") - 1
+    depth = np.zeros(len(every) + 1, dtype=np.int64)
+    np.add.at(depth, low, 1)
+    np.add.at(depth, high + 1, -1)
+    touched = np.cumsum(depth)[:-1] > 0
+    rows = every[touched]
+    sizes = np.diff(offsets)[rows]
+    at = np.repeat(offsets[:-1][rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    return rows, data[at], np.concatenate([[0], np.cumsum(sizes)]), flags[at]
+
+
 def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]:
     """(id, text) batches to rows of MATCH: for each document and item the best occurrence."""
     block: Items = items.value
@@ -149,10 +191,7 @@ def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatc
         out = []
         for first, end, raw, raw_offsets in slices(batch.column(1)):
             data, offsets, _ = plain(raw, raw_offsets)
-            hits = np.zeros(len(data) + 1, dtype=np.int32)
-            places = gram_places(data)
-            hits[1 : len(places) + 1] = block.bitmap[places]
-            hits = np.cumsum(hits, dtype=np.int32)
+            rows, data, offsets, flags = _dense_rows(block, data, offsets)
             word = np.zeros(len(data), dtype=bool)
             if len(data):
                 word[1:] = (data[:-1] == 32) & (data[1:] != 32)
@@ -160,18 +199,19 @@ def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatc
             starts = np.flatnonzero(word)
             row = np.searchsorted(offsets, starts, side="right") - 1
             found: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for least, most, grams in block.classes:
-                span = int(most * (1 + EDITS)) + 1
-                stop = np.minimum(starts + span, offsets[row + 1])
+            for c, (least, most, grams) in enumerate(block.classes):
+                hits = np.concatenate([[0], np.cumsum((flags >> np.uint64(c % 64)) & np.uint64(1))]).astype(np.int64)
+                stop = np.minimum(starts + block.span(most), offsets[row + 1])
                 dense = np.flatnonzero(hits[stop] - hits[starts] >= grams)
                 for part in np.array_split(dense, -(-len(dense) // 4096)) if len(dense) else []:
                     keys = block.embed(data, starts[part], least)
-                    for k, line in enumerate(keys.tolist()):
-                        for i in {i for key in line if key in block.keys for i in block.keys[key]}:
+                    for k in np.flatnonzero(np.isin(keys, block.known).any(axis=1)).tolist():
+                        for i in {i for key in keys[k].tolist() if key in block.keys for i in block.keys[key]}:
                             at, doc = int(starts[part[k]]), int(row[part[k]])
                             text = block.rows[i][1]
                             edits = int(EDITS * len(text))
-                            if (known := found.get((doc, i))) and known[0] == 0:
+                            known = found.get((doc, i))
+                            if known and (known[0] == 0 or abs(at - int(offsets[doc]) - known[1]) <= edits):
                                 continue
                             low = max(int(offsets[doc]), at - edits - GRAM)
                             high = min(int(offsets[doc + 1]), at + len(text) + 2 * edits + GRAM)
@@ -179,13 +219,13 @@ def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatc
                             if got and (not known or got[0] < known[0]):
                                 found[doc, i] = (got[0], max(0, low + got[1] - len(text) - int(offsets[doc])), len(text))
             if block.short:
-                for doc in range(end - first):
+                for doc in range(len(rows)):
                     text = b" " + data[offsets[doc] : offsets[doc + 1]].tobytes() + b" "
                     for i in block.short:
                         at = text.find(b" " + block.rows[i][1] + b" ")
                         if at >= 0:
                             found[doc, i] = (0, at, len(block.rows[i][1]))
-            out += [(ids[first + doc], block.rows[i][0], *what) for (doc, i), what in found.items()]
+            out += [(ids[first + int(rows[doc])], block.rows[i][0], *what) for (doc, i), what in found.items()]
         if out:
             doc, item, edits, start, length = zip(*out)
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(item, pa.int64()), pa.array(edits, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32())], ["doc", "item_id", "edits", "start", "length"])
