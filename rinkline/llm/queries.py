@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import decontaminate, exact_dedup, ngram_join, packing, sharding, substring_dedup, suffix_dedup, warc
+from rinkline.llm import decontaminate, exact_dedup, language_id, ngram_join, packing, sharding, substring_dedup, suffix_dedup, toxicity, warc
 from rinkline.llm._shared import table
 
 
@@ -17,6 +17,23 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.identify(docs, language_id.fit_documents(docs))
+    return out.select("doc_id", language_id.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    apart = language_id.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(
+        docs.where(~apart).select(F.col("doc_id").alias("id"), "text"),
+        labels.where(~apart).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")),
+    )
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), width=13, with_text=False)
 
@@ -43,7 +60,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=50, with_bytes=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op9_decontaminate, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_language_id, op4_toxicity, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op9_decontaminate, op10_suffix_dedup)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
