@@ -23,8 +23,8 @@ from rinkline.llm._bytes import mix, prefix_hash, slices, span_hash, word_bounds
 from rinkline.llm._components import components
 from rinkline.llm._shared import discard, stored
 
-#: Buckets of the histogram that goes with a set.
-SKETCH = 64
+#: Least number of buckets of the histogram that goes with a set, and n-grams for each bucket of a larger one.
+SKETCH, BUCKET_GRAMS = 64, 20
 #: An n-gram is frequent if this share of the documents of a batch holds it; so at most n-grams per document / share are.
 FREQUENT_SHARE = 0.002
 #: Sets that share an n-gram up to which their histograms are compared; beyond, they form a cluster at once.
@@ -59,6 +59,30 @@ def needed(size: int | np.ndarray, percent: int):
     return -(-size * percent // 100)
 
 
+def histogram(spread: np.ndarray) -> bytes:
+    """How many hashes fall into each of a power of two of buckets, 255 at most. Two neighbouring buckets are one of a histogram of half the size."""
+    bits = max(SKETCH.bit_length() - 1, min(16, int(len(spread) // BUCKET_GRAMS).bit_length()))
+    return np.minimum(np.bincount((spread >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def differences(sketches: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each pair of rows the sum of the differences of their histograms: the sets differ in no fewer places."""
+    size = np.array([len(x) for x in sketches])
+    out = np.zeros(len(left), dtype=np.int64)
+    for a in np.unique(size[left]):
+        for b in np.unique(size[right]):
+            here = np.flatnonzero((size[left] == a) & (size[right] == b))
+            step = max(1, (1 << 22) // max(a, b))
+            for s in range(0, len(here), step):
+                part, less = here[s : s + step], min(a, b)
+                x, y = (
+                    np.frombuffer(b"".join(sketches[i] for i in rows), dtype=np.uint8).reshape(len(part), less, -1).sum(axis=2, dtype=np.int32)
+                    for rows in (left[part].tolist(), right[part].tolist())
+                )
+                out[part] = np.abs(x - y).sum(axis=1)
+    return out
+
+
 def _profiles(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """(id, text) batches to one row for each document (doc, n, two fingerprints of the set, histogram), and for each frequent n-gram of a batch (gram, count)."""
     for batch in batches:
@@ -68,7 +92,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
             spread = mix(grams)
             a.append(int(np.bitwise_xor.reduce(spread)) if len(grams) else 0)
             b.append(int(np.add.reduce(mix(spread ^ np.uint64(0x5851F42D4C957F2D)))) if len(grams) else 0)
-            sketch.append(np.minimum(np.bincount((spread >> np.uint64(58)).astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes())
+            sketch.append(histogram(spread))
             sets.append(grams)
         k = len(size)
         none = pa.nulls(k, pa.int64())
@@ -113,7 +137,7 @@ def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 
     def edges(t: pa.Table):
         gram, owner, size = t["gram"].to_numpy(), t["class"].to_numpy(), t["n"].to_numpy()
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int16)
+        sketch = t["sketch"].to_pylist()
         shift = 1
         while shift < len(gram):
             left = np.flatnonzero(gram[shift:] == gram[:-shift])
@@ -123,7 +147,8 @@ def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
                 right = part + shift
                 total = size[part] + size[right]
                 most = total - 2 * -(-percent * total // (100 + percent))  # sets this similar differ in no more places
-                near = np.abs(sketch[part] - sketch[right]).sum(axis=1) <= most
+                near = np.abs(size[part] - size[right]) <= most
+                near[near] = differences(sketch, part[near], right[near]) <= most[near]
                 if near.any():
                     yield pa.RecordBatch.from_arrays([pa.array(owner[part[near]]), pa.array(owner[right[near]])], ["a", "b"])
             shift += 1
@@ -191,19 +216,27 @@ class TrieJoin:
 
     def _visit(self, node: _Node, shared: int, depth: int, own: set, size: int, me: int, stack: list) -> None:
         p = self.percent
-        depth += len(node.grams)
-        shared += len(own.intersection(node.grams.tolist()))
+        # no similar set below misses more of its n-grams than this
+        largest = min(node.most, 100 * size // p)
+        misses = largest - -(-p * (size + largest) // (100 + p))
+        for s in range(0, len(node.grams), 256):
+            part = node.grams[s : s + 256].tolist()
+            depth += len(part)
+            shared += len(own.intersection(part))
+            if depth - shared > misses:
+                return
         for size_of, other in node.docs:
             if 100 * shared >= p * (size + size_of - shared) and self.find(other) != self.find(me):
                 self.links.append((other, me))
                 self.parent[self.find(other)] = self.find(me)
         # below, at most the remaining n-grams of either set can still be shared
-        largest = min(node.most, 100 * size // p)
         room = min(largest - depth, size - shared)
         lowest = max(node.least, int(needed(size, p)))
         if room > 0 and lowest <= largest and (100 + p) * (shared + room) >= p * (size + lowest):
-            likely = [c for k, c in node.children.items() if k in own] if len(node.children) < 64 else []
-            stack.append((node, iter([*likely, *node.children.values()] if likely else node.children.values()), shared, depth))
+            children = node.children
+            if len(children) < 64:
+                children = {k: children[k] for k in sorted(children, key=lambda k: k not in own)}  # the likely ones first
+            stack.append((node, iter(children.values()), shared, depth))
 
     def _insert(self, grams: np.ndarray, size: int, me: int) -> None:
         node, at = self.root, 0
