@@ -58,7 +58,7 @@ def exact_dedup(
     full = F.sha2(F.col("norm").cast("binary"), 256)
     if survivors.count() <= BROADCAST_ROWS:
         marked = keyed.join(F.broadcast(survivors.withColumn("hit", F.lit(True))), ["len", "head"], "left")
-        hash_it = full if digest_all else F.when("hit", full)
+        hash_it = full if digest_all else F.when(F.col("hit"), full)
         hashed = marked.select("id", "points", "len", "head", F.coalesce("hit", F.lit(False)).alias("hit"), hash_it.alias("sha"))
     else:
         narrow = keyed.select("id", "points", "len", "head", full.alias("sha"))
