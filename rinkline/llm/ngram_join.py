@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 
 from rinkline.llm._bytes import mix, prefix_hash, slices, span_hash, word_bounds, word_hashes
 from rinkline.llm._components import components
-from rinkline.llm._shared import discard, stored
+from rinkline.llm._shared import discard, if_small, stored
 
 #: Least number of buckets of the histogram that goes with a set, and n-grams for each bucket of a larger one.
 SKETCH, BUCKET_GRAMS = 64, 20
 #: An n-gram is frequent if this share of the documents of a batch holds it; so at most n-grams per document / share are.
 FREQUENT_SHARE = 0.002
 #: Sets that share an n-gram up to which their histograms are compared; beyond, they form a cluster at once.
-CLOSE_GROUP = 256
+CLOSE_GROUP = 2048
 #: N-grams of a block of a cluster; a task joins two blocks.
 BLOCK_GRAMS = 2_000_000
 
@@ -314,8 +314,8 @@ def _join_blocks(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Ite
 
 
 def _linked(texts: DataFrame, jobs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links found in jobs (class, job, side); texts has class and text."""
-    rows = texts.join(jobs, "class").select("job", "side", "class", "text").repartition("job").sortWithinPartitions("job")
+    """Links found in jobs (class, job, side); texts has class and text. Repeated texts link with themselves, which says nothing."""
+    rows = texts.join(if_small(stored(jobs, "jobs")), "class").select("job", "side", "class", "text").repartition("job").sortWithinPartitions("job")
     return stored(rows.mapInArrow(partial(_join_blocks, n=n, percent=percent), "a long, b long"), "links")
 
 
@@ -373,7 +373,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "cluster", "block",
     )
     first = first.select("class", F.xxhash64("cluster", F.lit(0), "with").alias("job"), F.col("block").alias("side"))
-    heads_text = texts.join(spread.select(F.col("class").alias("doc")), "doc").select(F.col("doc").alias("class"), "text").dropDuplicates(["class"])
+    heads_text = texts.select(F.col("doc").alias("class"), "text")
     links = _linked(heads_text, first, n, percent)
     large = spread.where("blocks > 1")
     if not large.isEmpty():
@@ -386,7 +386,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "class", F.col("block").alias("side"),
             F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("job"),
         )
-        links = links.unionByName(_linked(heads_text, stored(again, "jobs"), n, percent))
+        links = links.unionByName(_linked(heads_text, again, n, percent))
     roots = components(links).select(F.col("id").alias("class"), "root")
     found = member.join(roots, "class", "left").select("doc", F.coalesce("root", "class").alias("component"))
     found = stored(found.distinct(), "components")
