@@ -50,7 +50,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     with shuffle_cleanup(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.path = path
     return out
@@ -79,7 +79,8 @@ def stored_buckets(df: DataFrame, name: str, keys: list[str], buckets: int) -> D
     table = f"rinkline_{name}_{uuid.uuid4().hex}"
     with shuffle_cleanup(spark):
         (
-            df.write.bucketBy(buckets, *keys)
+            df.write.option("compression", "zstd")
+            .bucketBy(buckets, *keys)
             .sortBy(*keys)
             .option("path", path)
             .saveAsTable(table)

@@ -141,7 +141,7 @@ def shared_suffixes(groups: DataFrame, batches: int) -> DataFrame:
 
 
 def suffix_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, batches: int = 4, with_bytes: bool = True
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, batches: int = 3, with_bytes: bool = True
 ) -> DataFrame:
     """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, and with_bytes the kept bytes as `kept`.
 
