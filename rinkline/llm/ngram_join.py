@@ -232,7 +232,7 @@ class TrieJoin:
         # below, at most the remaining n-grams of either set can still be shared
         room = min(largest - depth, size - shared)
         lowest = max(node.least, int(needed(size, p)))
-        if room > 0 and lowest <= largest and (100 + p) * (shared + room) >= p * (size + lowest):
+        if largest > depth and lowest <= largest and (100 + p) * (shared + room) >= p * (size + lowest):
             children = node.children
             if len(children) < 64:
                 children = {k: children[k] for k in sorted(children, key=lambda k: k not in own)}  # the likely ones first
