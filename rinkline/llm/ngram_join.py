@@ -131,6 +131,23 @@ def _prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, frequent)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(whose))], ["gram", "class"])
 
 
+def spanning(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each vertex to the first of its component: as few as the vertices, however many pairs there are."""
+    ids, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    a, b, label = at[: len(left)], at[len(left) :], np.arange(len(ids))
+    while True:
+        least = np.minimum(label[a], label[b])
+        after = label.copy()
+        np.minimum.at(after, a, least)
+        np.minimum.at(after, b, least)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    moved = label != np.arange(len(ids))
+    return ids[moved], ids[label[moved]]
+
+
 def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (gram, class, n, sketch) sorted by gram to edges that keep every pair of classes connected which may be similar."""
     rest: pa.Table | None = None
@@ -138,7 +155,7 @@ def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
     def edges(t: pa.Table):
         gram, owner, size = t["gram"].to_numpy(), t["class"].to_numpy(), t["n"].to_numpy()
         sketch = t["sketch"].to_pylist()
-        shift = 1
+        shift, found = 1, [(owner[:0], owner[:0])]
         while shift < len(gram):
             left = np.flatnonzero(gram[shift:] == gram[:-shift])
             if not len(left):
@@ -149,9 +166,13 @@ def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
                 most = total - 2 * -(-percent * total // (100 + percent))  # sets this similar differ in no more places
                 near = np.abs(size[part] - size[right]) <= most
                 near[near] = differences(sketch, part[near], right[near]) <= most[near]
-                if near.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(owner[part[near]]), pa.array(owner[right[near]])], ["a", "b"])
+                found.append((owner[part[near]], owner[right[near]]))
             shift += 1
+            if shift % 64 == 0:
+                found = [spanning(*map(np.concatenate, zip(*found)))]
+        a, b = spanning(*map(np.concatenate, zip(*found)))
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     for batch in batches:
         table = pa.Table.from_batches([batch])
