@@ -81,7 +81,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 1.0, batch: int = 64, seed: int = 3) -> LanguageModel:
+def train(texts: list[str], labels: list[str], epochs: int = 4, least_steps: int = 400, rate: float = 1.0, batch: int = 64, seed: int = 3) -> LanguageModel:
     """A model from labelled texts; pieces of 80 to 800 bytes are drawn from all over each text."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
@@ -105,6 +105,7 @@ def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 1.
     table = rng.normal(0, 0.3, (BUCKETS, WIDTH)).astype(np.float32)
     linear, bias = np.zeros((WIDTH, k), dtype=np.float32), np.zeros(k, dtype=np.float32)
     learn = [i for i, e in enumerate(examples) if not e[2]]
+    epochs = max(epochs, -(-least_steps * batch // max(1, len(learn))))
     steps, done = max(1, epochs * len(learn)), 0
     for _ in range(epochs):
         rng.shuffle(learn)

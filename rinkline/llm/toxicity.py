@@ -183,7 +183,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 5, rate: float = 0.
     often = seen >= LEAST_DOCUMENTS
     known = every[often]
     base = float(y.mean()) if len(y) else 0.5
-    odds = np.log((bad + 2 * base) / (seen - bad + 2 * (1 - base)) * (1 - base + 1e-6) / (base + 1e-6))[often]
+    odds = np.log((bad + 2 * base + 1e-6) / (seen - bad + 2 * (1 - base)) * (1 - base + 1e-6) / (base + 1e-6))[often]
     normal = lambda *shape, s=0.3: rng.normal(0, s, shape).astype(np.float32)
     word = normal(len(known) + 1, WORD, s=0.05)
     word[1:, 0] += odds / 2  # a word begins with what its documents say of it
