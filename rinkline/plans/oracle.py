@@ -121,6 +121,14 @@ def build() -> dict[str, str]:
         by = ", ".join([*(f"{DERIVED.get(k, k)} DESC NULLS LAST" for k in order.split()), "player_id"])
         out[n] = f"""{BASE}{STATS}{_sums('full_name, player_id', position)}
 SELECT full_name, position, games_played, player_id, {_cols(columns, DERIVED)}, row_number() OVER (ORDER BY {by}) AS rank FROM sums WHERE {cut} QUALIFY rank <= 25"""
+    n, players, columns = specs.HEAD_TO_HEAD
+    out[n] = f"{BASE}{STATS}{_sums('full_name, player_id')} SELECT full_name, position, games_played, player_id, {_cols(columns, DERIVED)} FROM sums WHERE full_name IN {players}"
+    for n, (columns, order, least) in specs.ALL_TIME.items():
+        cut = " AND ".join(["true", *(f"{DERIVED.get(k, k)} >= {v}" for k, v in least.items())])
+        by = ", ".join([*(f"{DERIVED.get(k, k)} DESC NULLS LAST" for k in order.split()), "player_id"])
+        out[n] = f"""{BASE}{STATS}, sums AS (SELECT player_id, {', '.join(f'cast(sum({m}) AS bigint) AS {m}' for m in [*ROLE_MEASURES, 'pim'])} FROM stats GROUP BY player_id)
+SELECT player_id, {_cols(columns, DERIVED)}, row_number() OVER (ORDER BY {by}) AS rank FROM sums WHERE {cut} QUALIFY rank <= 25"""
+    out["n13_goals_by_period_and_type"] = f"{BASE} SELECT period_number, period_type, count(*) AS goals FROM plays WHERE type_desc_key = 'goal' GROUP BY ALL"
     for n, (keys, columns) in specs.SPLITS.items():
         keys = ", ".join(["full_name", "player_id", *keys.split()])
         out[n] = f"{BASE}{STATS}{_sums(keys)} SELECT {keys}, games_played, {_cols(columns, DERIVED)} FROM sums"

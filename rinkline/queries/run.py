@@ -61,6 +61,25 @@ def player_split(t: League, keys: str, columns: str, **filters) -> DataFrame:
     return sums.select("full_name", "player_id", *keys.split(), "games_played", *_cols(columns, DERIVED))
 
 
+def head_to_head(t: League, players: tuple[str, str], columns: str, **filters) -> DataFrame:
+    rows = skaters(t, **filters).where(F.lower("full_name").isin(*(p.lower() for p in players)))
+    return _summed(rows, ["full_name", "player_id"]).select("full_name", "position", "games_played", "player_id", *_cols(columns, DERIVED))
+
+
+def all_time(t: League, columns: str, order: str, least: dict[str, int], top_n: int = TOP_N) -> DataFrame:
+    """A leaderboard over all plays but the shootout's, without rosters."""
+    sums = blocks.player_stats(t).groupBy("player_id").agg(*(F.sum(n).alias(n) for n in STATS))
+    for name, value in least.items():
+        sums = sums.where(F.expr(DERIVED.get(name, name)) >= value)
+    by = {f"by_{n}": F.expr(DERIVED.get(n, n)) for n in order.split()}
+    rows = sums.select("player_id", *_cols(columns, DERIVED), *(c.alias(n) for n, c in by.items()))
+    return leaderboard(rows, [*(F.col(n).desc_nulls_last() for n in by), F.col("player_id")], top_n).drop(*by)
+
+
+def goals_by_period_and_type(t: League) -> DataFrame:
+    return t.plays.where("type_desc_key = 'goal'").groupBy("period_number", "period_type").agg(F.count(F.lit(1)).alias("goals"))
+
+
 def position_groups(t: League, keys: str, columns: str, team: str = "T05", **filters) -> DataFrame:
     rows = skaters(t, **filters).withColumn("scope", F.when(F.col("team") == team, "Team").otherwise("Rest of league"))
     return _summed(rows, keys.split()).select(*keys.split(), "players", "games_played", *_cols(columns, DERIVED))
@@ -109,6 +128,11 @@ def by_name() -> dict:
     out = {}
     for n, (columns, order, least, position) in specs.LEADERBOARDS.items():
         out[n] = lambda t, c=columns, o=order, l=least, p=position, **f: player_leaderboard(t, c, o, l, **({"position": p} | f))
+    name, players, columns = specs.HEAD_TO_HEAD
+    out[name] = lambda t, p=players, c=columns, **f: head_to_head(t, p, c, **f)
+    for n, (columns, order, least) in specs.ALL_TIME.items():
+        out[n] = lambda t, c=columns, o=order, l=least: all_time(t, c, o, l)
+    out["n13_goals_by_period_and_type"] = goals_by_period_and_type
     for n, (keys, columns) in specs.SPLITS.items():
         out[n] = lambda t, k=keys, c=columns, **f: player_split(t, k, c, **f)
     for n, (keys, columns) in specs.GROUPS.items():

@@ -55,6 +55,18 @@ LEADERBOARDS: dict[str, tuple[str, str, dict[str, int], str | None]] = {
     "q113_position_wingers_comparison": (_BASE, "points", {}, "W"),
 }
 
+#: All-time lists over every game type: columns, order, least values.
+ALL_TIME: dict[str, tuple[str, str, dict[str, int]]] = {
+    "n03_best_shooting_percentage": ("goals shots shooting_pct", "shooting_pct goals", {"shots": 4}),
+    "n05_hits_thrown_and_taken": ("hits hits_taken hit_diff", "hits", {}),
+    "n06_faceoff_win_percentage": ("faceoffs faceoff_wins faceoff_pct", "faceoff_pct", {"faceoffs": 4}),
+    "n07_penalty_minutes_vs_drawn": ("pim penalties_taken penalties_drawn", "pim", {}),
+    "n08_shot_blockers": ("blocked_shots", "blocked_shots", {}),
+}
+
+#: Two players side by side.
+HEAD_TO_HEAD = ("q052_player_head_to_head_comparison", ("P8470001 L58", "P8470038 L95"), _LINE.replace("points_per_game", "points_per_game pp_points"))
+
 #: Splits of every skater by a key: keys as (name, column of player_games).
 SPLITS: dict[str, tuple[str, str]] = {
     "q038_player_day_of_week_splits": ("day_num day_name", _BASE),
