@@ -12,7 +12,7 @@ and these are verified on the bytes themselves (rinkline.llm._repeats).
 from __future__ import annotations
 
 import hashlib
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -104,22 +104,26 @@ def _drop_kept(batches):
         yield batch.select(["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def shared_suffixes(groups: DataFrame, batches: int) -> DataFrame:
-    """The suffixes in groups (stored) that occur in more than one document, found batch by batch."""
-    spark = groups.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def batches_of(groups: DataFrame, batches: int) -> list[DataFrame]:
+    """groups (stored) cut into batches of rising ids of about equal size."""
     cuts = groups.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.02) if batches > 1 else []
-    cuts = [None, *sorted(set(cuts)), None]
+    edges = [None, *sorted(set(cuts)), None]
+    out = []
+    for low, high in zip(edges[:-1], edges[1:]):
+        part = groups if low is None else groups.where(F.col("doc") > low)
+        out.append(part if high is None else part.where(F.col("doc") <= high))
+    return out
+
+
+def shared_suffixes(parts_of_groups: list[DataFrame]) -> DataFrame:
+    """The suffixes that occur in more than one document of the batches, found batch by batch."""
+    spark = parts_of_groups[0].sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     levels: list[tuple[int, DataFrame]] = []  # (batches inside, suffix array)
     found: DataFrame | None = None
     parts = []
     with merge_scans(spark):
-        for low, high in zip(cuts[:-1], cuts[1:]):
-            batch = groups
-            if low is not None:
-                batch = batch.where(F.col("doc") > low)
-            if high is not None:
-                batch = batch.where(F.col("doc") <= high)
+        for number, batch in enumerate(parts_of_groups, 1):
             suffixes = batch.groupBy(*KEYS).agg((F.min("doc") < F.max("doc")).alias("twice"))
             array = stored_buckets(suffixes, "level", KEYS, buckets)
             hits = array.where("twice").select(*KEYS)
@@ -127,7 +131,7 @@ def shared_suffixes(groups: DataFrame, batches: int) -> DataFrame:
                 hits = hits.unionByName(array.select(*KEYS).join(level.select(*KEYS), KEYS, "left_semi"))
             parts.append(stored(hits, "hits"))
             levels.append((1, array))
-            while len(levels) > 1 and levels[-1][0] == levels[-2][0] and high is not None:
+            while len(levels) > 1 and levels[-1][0] == levels[-2][0] and number < len(parts_of_groups):
                 (n, right), (_, left) = levels.pop(), levels.pop()
                 both = left.select(*KEYS).join(right.select(*KEYS), KEYS, "full").select(*KEYS, F.lit(False).alias("twice"))
                 levels.append((2 * n, stored_buckets(both, "level", KEYS, buckets)))
@@ -162,12 +166,14 @@ def suffix_dedup(
     known = texts.where("doc is not null")
     kinds = "suffix_a long, suffix_b long, context long, doc long, start int, count int"
     groups = stored(known.mapInArrow(partial(_groups, width=width), kinds), "groups")
-    suffixes = shared_suffixes(groups, batches)
-    shared = stored(groups.join(suffixes, KEYS, "left_semi"), "shared")
+    batched = batches_of(groups, batches)
+    suffixes = shared_suffixes(batched)
+    parts = [stored(batch.join(suffixes, KEYS, "left_semi"), "shared") for batch in batched]  # one batch is shuffled at a time
     discard(groups, suffixes)
+    shared = reduce(DataFrame.unionByName, parts)
     ranges = _repeats.repeated_ranges(known, shared, KEYS, width, partial(_windows, width=width))
     ranges = stored(ranges, "ranges")
-    discard(shared)
+    discard(*parts)
     judged = texts.join(ranges, "doc", "left").select("doc", "text", "ranges")
     if with_bytes:
         out = judged.mapInArrow(_texts, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
