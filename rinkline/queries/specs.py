@@ -65,7 +65,7 @@ ALL_TIME: dict[str, tuple[str, str, dict[str, int]]] = {
 }
 
 #: Two players side by side.
-HEAD_TO_HEAD = ("q052_player_head_to_head_comparison", ("P8470001 L58", "P8470038 L95"), _LINE.replace("points_per_game", "points_per_game pp_points"))
+HEAD_TO_HEAD = ("q052_player_head_to_head_comparison", ("P8470041 L1", "P8470043 L3"), _LINE.replace("points_per_game", "points_per_game pp_points"))
 
 #: Splits of every skater by a key: keys as (name, column of player_games).
 SPLITS: dict[str, tuple[str, str]] = {
