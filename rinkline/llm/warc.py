@@ -156,10 +156,11 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, payloads: bool) -> Ite
 
 
 def train_dictionary(pages: DataFrame, sample: int = SAMPLE_PAGES, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from the records of at most `sample` pages, chosen by a hash of the id; no bytes if they are too few."""
+    """A dictionary from the records of about `sample` pages, chosen by a hash of the id; no bytes if they are too few."""
     import zstandard
 
-    chosen = pages.orderBy(F.xxhash64("page_id")).limit(sample).collect()
+    draw = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = sorted(pages.where(draw < min(1.0, sample / max(1, pages.count()))).collect(), key=repr)
     samples = [record(r.page_id, r.url, (r.html or "").encode("utf-8"), None, False) for r in chosen]
     if len(samples) < 8:
         return b""
