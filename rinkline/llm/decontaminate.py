@@ -1,11 +1,13 @@
 """Benchmark decontamination with CGK embeddings and bit-sampling LSH.
 
 The CGK random walk turns a text into a longer one such that texts within few
-edits get few differing places.  Windows of the size of the benchmark items are
-embedded at every word start, places of the embeddings are sampled as hash
-keys, repeatedly, and windows that share a key with an item are verified by
-their exact edit distance.  Windows that hold too few q-grams of any item to
-lie within the allowed edits are left out before, which loses nothing.
+edits get few differing places.  Segments of the benchmark items, of one short
+size, are embedded, and so is the window at every byte of a document where an
+item can lie; places of the embeddings are sampled as hash keys, repeatedly, and
+where a window shares a key with a segment the item is verified by its exact
+edit distance.  Walks are added until a target recall is reached.  Stretches
+that hold too few q-grams of any item to lie within the allowed edits are left
+out before, which loses nothing.
 """
 
 from __future__ import annotations
@@ -24,8 +26,12 @@ from rinkline.llm._shared import stored, without
 
 #: Allowed edits as a share of an item's length; length of the q-grams of the first filter.
 EDITS, GRAM = 0.05, 12
-#: Embeddings, hash keys for each, and sampled places of a key. A window that differs in 40 % of the places shares a key with probability 1 - (1 - 0.6**5)**48 = 0.98.
-WALKS, TABLES, PLACES = 6, 8, 5
+#: Bytes of a segment, most segments of a short item, hash keys of a walk, and sampled places of a key.
+SEGMENT, SEGMENTS, TABLES, PLACES = 24, 8, 8, 12
+#: Walks are added until this share of items with all allowed edits is found, in TRIALS copies for each doubling of the length, or to the most.
+RECALL, TRIALS, MOST_WALKS = 0.99, 200, 16
+#: A verification takes so many bytes more at both sides, so that neighbouring windows need none of their own.
+MARGIN = 64
 #: Items that are broadcast at once; with more, the documents are scanned once for each block.
 BLOCK_ITEMS = 5000
 #: Items are compared from this many characters on; shorter ones must occur as they are.
@@ -71,34 +77,67 @@ class Items:
             if norm:
                 self.rows.append((item, norm))
         self.bitmap = np.zeros(1 << _BITS, dtype=np.uint64)  # a bit for each class of lengths
-        longest = max((len(t) for _, t in self.rows), default=1)
         rng = np.random.default_rng(seed)
-        self.steps = [rng.integers(0, 2, (3 * longest, 256), dtype=np.int8) for _ in range(WALKS)]
+        self.steps = [rng.integers(0, 2, (2 * SEGMENT, 256), dtype=np.int8) for _ in range(MOST_WALKS)]
         for step in self.steps:
             step[:, 0] = 0
-        self.draws = rng.random((WALKS, TABLES, PLACES))
-        self.keys: dict[int, list[int]] = defaultdict(list)
+        # most walks leave the window after about two sizes; later places would tell nothing
+        self.places = np.sort((rng.random((MOST_WALKS, TABLES, PLACES)) * 1.7 * SEGMENT).astype(int))
         self.classes: list[tuple[int, int, int]] = []  # shortest, longest, q-grams that any match holds
         order = sorted(range(len(self.rows)), key=lambda i: len(self.rows[i][1]))
         long = [i for i in order if len(self.rows[i][1]) >= SHORT]
         self.short = [i for i in order if len(self.rows[i][1]) < SHORT]
+        self.grams = {i: np.unique(gram_places(np.frombuffer(self.rows[i][1], dtype=np.uint8))) for i in long}
+        self.walks = self.walks_for(long, rng)
+        keys, owners, offsets = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for i in long:
+            data = np.frombuffer(self.rows[i][1], dtype=np.uint8)
+            at = self.segments(len(data))
+            got = self.embed(data, at, self.walks)
+            keys.append(got.reshape(-1))
+            owners.append(np.full(got.size, i))
+            offsets.append(np.repeat(at, got.shape[1]))
+        known = np.concatenate(keys)
+        by = np.argsort(known, kind="stable")
+        self.known, self.owners, self.offsets = known[by], np.concatenate(owners)[by].astype(np.int32), np.concatenate(offsets)[by].astype(np.int32)
+        self.shift = np.uint64(64 - min(26, max(10, (8 * len(known)).bit_length())))
+        self.maybe = np.zeros(1 << (64 - int(self.shift)), dtype=bool)
+        self.maybe[(self.known >> self.shift).astype(np.int64)] = True
         while long:
             least = len(self.rows[long[0]][1])
             here = [i for i in long if len(self.rows[i][1]) <= least * 1.06]
             long = long[len(here) :]
             most = len(self.rows[here[-1]][1])
             self.classes.append((least, most, max(1, min(self.least_grams(len(self.rows[i][1])) for i in here))))
-            texts = [np.frombuffer(self.rows[i][1], dtype=np.uint8) for i in here]
-            for text in texts:
-                self.bitmap[gram_places(text)] |= np.uint64(1 << (len(self.classes) - 1) % 64)
-            heads = np.concatenate([text[:least] for text in texts])
-            for i, line in zip(here, self.embed(heads, np.arange(len(here)) * least, least).tolist()):
-                for key in line:
-                    self.keys[key].append(i)
-        self.known = np.sort(np.array(list(self.keys), dtype=np.uint64))
+            for i in here:
+                self.bitmap[self.grams[i]] |= np.uint64(1 << (len(self.classes) - 1) % 64)
         # a stretch as long as a match of a class consists of so many tiles; the fullest holds at least this
         self.tile_grams = min((-(-g // -(-self.span(most) // TILE)) for _, most, g in self.classes), default=1)
 
+    @staticmethod
+    def segments(length: int) -> np.ndarray:
+        """Where the segments of an item of this length begin: they cover it, those of short items more than once."""
+        n = max(-(-length // SEGMENT), min(SEGMENTS, 1 + (length - SEGMENT) // 4))
+        return np.unique(np.linspace(0, length - SEGMENT, n).astype(np.int64))
+
+    def walks_for(self, long: list[int], rng: np.random.Generator) -> int:
+        """The fewest walks by which RECALL of copies with all allowed edits, inserts, deletes and substitutions alike, share a key with their item."""
+        need, groups = 1, defaultdict(list)
+        for i in long:
+            groups[min(4, (len(self.rows[i][1]) // SHORT).bit_length())].append(i)
+        for group in groups.values():
+            first = np.full(TRIALS, MOST_WALKS)
+            for t in range(TRIALS):
+                text = np.frombuffer(self.rows[group[t % len(group)]][1], dtype=np.uint8)[: 16 * SHORT]
+                copy = edited(text, int(EDITS * len(text)), rng)
+                at, own = self.segments(len(text)), np.arange(max(1, len(copy) - SEGMENT + 1))
+                for walk in range(MOST_WALKS):
+                    if np.isin(self.embed(copy, own, walk + 1, walk), self.embed(text, at, walk + 1, walk)).any():
+                        first[t] = walk + 1
+                        break
+            need = max(need, int(np.sort(first)[int(np.ceil(RECALL * TRIALS)) - 1]))
+        return need
+
     @staticmethod
     def span(longest: int) -> int:
         return int(longest * (1 + EDITS)) + 1
@@ -107,33 +146,49 @@ class Items:
     def least_grams(length: int) -> int:
         return length - GRAM + 1 - int(EDITS * length) * GRAM
 
-    def embed(self, data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-        """The hash keys of the windows of `size` bytes at starts: one row each."""
+    def embed(self, data: np.ndarray, starts: np.ndarray, walks: int, first: int = 0) -> np.ndarray:
+        """The hash keys of the windows of SEGMENT bytes at starts, by the walks from the first on: one row each."""
         out = []
         # a walk that has left its window stays on the zero behind it
-        padded = np.concatenate([data, np.zeros(size + 1, dtype=np.uint8)])
-        windows = padded[starts[:, None] + np.arange(size + 1)]
-        windows[:, size] = 0
+        padded = np.concatenate([data, np.zeros(SEGMENT + 1, dtype=np.uint8)])
+        windows = padded[starts[:, None] + np.arange(SEGMENT + 1)]
+        windows[:, SEGMENT] = 0
         windows = windows.reshape(-1)
-        for walk in range(WALKS):
-            places = [np.sort((self.draws[walk, t] * 2 * size).astype(int)) for t in range(TABLES)]  # the walk leaves the window after about two sizes
-            wanted = {p for row in places for p in row}
-            seen: dict[int, np.ndarray] = {}
-            at = np.arange(len(starts), dtype=np.int32) * np.int32(size + 1)
+        for walk in range(first, walks):
+            places = self.places[walk]
+            seen = np.empty((int(places.max()) + 1, len(starts)), dtype=np.uint8)
+            at = np.arange(len(starts), dtype=np.int32) * np.int32(SEGMENT + 1)
             step = self.steps[walk]
-            for j in range(max(wanted) + 1):
-                here = windows.take(at)
-                if j in wanted:
-                    seen[j] = here
-                at += step[j].take(here)
+            for j in range(len(seen)):
+                windows.take(at, out=seen[j])
+                at += step[j].take(seen[j])
             for t, row in enumerate(places):
-                key = np.full(len(starts), walk * TABLES + t + 1 + 1000 * size, dtype=np.uint64)
+                key = np.full(len(starts), walk * TABLES + t + 1, dtype=np.uint64)
                 for p in row:
                     key = (key ^ seen[p]) * np.uint64(0x100000001B3)
                     key ^= key >> np.uint64(29)
-                out.append(key)
+                out.append(key * np.uint64(0x9E3779B97F4A7C15))
         return np.stack(out, axis=1)
 
+    def candidates(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Rows (start, item, offset of the segment in the item), each once, for windows that share a key with a segment."""
+        keys = self.embed(data, starts, self.walks)
+        window, table = np.nonzero(self.maybe[(keys >> self.shift).astype(np.int64)])
+        keys = keys[window, table]
+        low, high = np.searchsorted(self.known, keys), np.searchsorted(self.known, keys, side="right")
+        sizes = high - low
+        at = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        return np.unique(np.stack([np.repeat(starts[window], sizes), self.owners[at], self.offsets[at]], axis=1), axis=0)
+
+
+def edited(text: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
+    """A copy with so many inserts, deletes and substitutions, by bytes of the text itself, spread evenly, which is hardest to find."""
+    out, phase = text.tolist(), rng.random()
+    for k in reversed(range(edits)):
+        at, kind, byte = int((k + phase) * len(text) / edits), int(rng.integers(3)), int(text[rng.integers(len(text))])
+        out[at : at + (kind != 0)] = [byte] if kind < 2 else []
+    return np.array(out, dtype=np.uint8)
+
 
 def best_match(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
     """(edits, end) of the best occurrence of pattern in text with at most `most` edits, the first of equals (bit-parallel dynamic programming)."""
@@ -192,32 +247,40 @@ def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatc
         for first, end, raw, raw_offsets in slices(batch.column(1)):
             data, offsets, _ = plain(raw, raw_offsets)
             rows, data, offsets, flags = _dense_rows(block, data, offsets)
-            word = np.zeros(len(data), dtype=bool)
-            if len(data):
-                word[1:] = (data[:-1] == 32) & (data[1:] != 32)
-                word[offsets[:-1][offsets[:-1] < len(data)]] = True
-            starts = np.flatnonzero(word)
-            row = np.searchsorted(offsets, starts, side="right") - 1
             found: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for c, (least, most, grams) in enumerate(block.classes):
-                hits = np.concatenate([[0], np.cumsum((flags >> np.uint64(c % 64)) & np.uint64(1))]).astype(np.int64)
-                stop = np.minimum(starts + block.span(most), offsets[row + 1])
-                dense = np.flatnonzero(hits[stop] - hits[starts] >= grams)
-                for part in np.array_split(dense, -(-len(dense) // 4096)) if len(dense) else []:
-                    keys = block.embed(data, starts[part], least)
-                    for k in np.flatnonzero(np.isin(keys, block.known).any(axis=1)).tolist():
-                        for i in {i for key in keys[k].tolist() if key in block.keys for i in block.keys[key]}:
-                            at, doc = int(starts[part[k]]), int(row[part[k]])
-                            text = block.rows[i][1]
-                            edits = int(EDITS * len(text))
-                            known = found.get((doc, i))
-                            if known and (known[0] == 0 or abs(at - int(offsets[doc]) - known[1]) <= edits):
-                                continue
-                            low = max(int(offsets[doc]), at - edits - GRAM)
-                            high = min(int(offsets[doc + 1]), at + len(text) + 2 * edits + GRAM)
-                            got = best_match(text, data[low:high].tobytes(), edits)
-                            if got and (not known or got[0] < known[0]):
-                                found[doc, i] = (got[0], max(0, low + got[1] - len(text) - int(offsets[doc])), len(text))
+            tried: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+            places = gram_places(data)
+            near = np.zeros(len(data) + 1, dtype=np.int64)  # where dense stretches begin and end
+            for c, (_, most, grams) in enumerate(block.classes if len(data) else []):
+                hits = np.concatenate([[0], np.cumsum((flags >> np.uint64(c % 64)) & np.uint64(1))]).astype(np.int32)
+                span = min(block.span(most), len(data))
+                # stretches that reach into the next row hold at least the q-grams of their own row
+                dense = np.flatnonzero(np.concatenate([hits[span:], np.full(span - 1, hits[-1], dtype=np.int32)])[: len(data)] - hits[:-1] >= grams)
+                if len(dense):
+                    ends = np.minimum(dense + span, offsets[np.searchsorted(offsets, dense, side="right")])
+                    dense, ends = dense[hits[ends] - hits[dense] >= grams], ends[hits[ends] - hits[dense] >= grams]
+                    np.add.at(near, dense, 1)
+                    np.add.at(near, ends, -1)
+            starts = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+            for part in np.array_split(starts, -(-len(starts) // 4096)) if len(starts) else []:
+                for at, i, offset in block.candidates(data, part).tolist():
+                    doc = int(np.searchsorted(offsets, at, side="right")) - 1
+                    text = block.rows[i][1]
+                    edits = int(EDITS * len(text))
+                    begin, stop = int(offsets[doc]), int(offsets[doc + 1])
+                    low = max(begin, at - offset - edits - GRAM)
+                    high = min(stop, at - offset + len(text) + 2 * edits + GRAM)
+                    known = found.get((doc, i))
+                    if known and known[0] == 0 or any(a <= low and high <= b for a, b in tried[doc, i]):
+                        continue
+                    low, high = max(begin, low - MARGIN), min(stop, high + MARGIN)
+                    tried[doc, i].append((low, high))
+                    # each edit spoils at most GRAM q-grams of the item
+                    if np.isin(block.grams[i], places[low : max(low, high - GRAM + 1)]).sum() < len(block.grams[i]) - edits * GRAM:
+                        continue
+                    got = best_match(text, data[low:high].tobytes(), edits)
+                    if got and (not known or got[0] < known[0]):
+                        found[doc, i] = (got[0], max(0, low + got[1] - len(text) - begin), len(text))
             if block.short:
                 for doc in range(len(rows)):
                     text = b" " + data[offsets[doc] : offsets[doc + 1]].tobytes() + b" "
@@ -236,7 +299,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     An item (item_id, text) occurs if some stretch of the document is within
     EDITS of the item's length from it in edit distance over UTF-8 bytes, A-Z
-    taken as a-z and runs of blanks as one space; items shorter than SHORT
+    taken as a-z and runs of blanks as one space, at RECALL (all of them where a
+    segment is without edits); items shorter than SHORT
     bytes must occur between blanks as they are.  edits, start and length
     (after that normalisation) tell of the best occurrence.
 

@@ -160,6 +160,16 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(_docs(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_decontamination_without_blanks(spark):
+    rnd = random.Random(12)
+    han = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x5E00)) for _ in range(n))
+    code = lambda n: "".join(rnd.choice("abcdefghijklmnop+/=123456") for _ in range(n))
+    items = [(i, (han(66) if i % 2 else code(200))) for i in range(20)]
+    docs = [(i, f(300) + t + f(40)) for i, t in items for f in [han if i % 2 else code]] + [(50, han(400)), (51, code(900))]
+    got = decontaminate.contaminated(_docs(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.edits) for r in got} == {(i, i, 0) for i, _ in items}
+
+
 def test_best_match_is_the_edit_distance():
     rnd = random.Random(6)
     for _ in range(200):
