@@ -170,6 +170,27 @@ def test_decontamination_without_blanks(spark):
     assert {(r.doc_id, r.item_id, r.edits) for r in got} == {(i, i, 0) for i, _ in items}
 
 
+@pytest.mark.parametrize("size", [45, 60, 100, 400, 1600, 3200])
+def test_decontamination_reaches_its_recall(spark, size):
+    """All allowed edits, mixed, at random places and evenly spread, held against brute force; no short item."""
+    rnd = random.Random(size)
+    word = lambda: "".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))[:n].rstrip() + "x"
+    items, docs = [(i, text(size)) for i in range(40 if size < 1000 else 20)], []
+    for i, t in items:
+        out, n = list(t), int(decontaminate.EDITS * len(t))
+        for k in reversed(range(n)):
+            at, kind = (int((k + 0.5) * len(t) / n) if i % 2 else rnd.randrange(len(out))), rnd.randrange(3)
+            out[at : at + (kind != 0)] = rnd.choice("etaoin") if kind < 2 else ""
+        docs.append((i, text(100) + " " + "".join(out) + " " + text(100)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.contaminated(_docs(spark, docs), bench).collect()}
+    plain = lambda t: " ".join(t.split()).encode()
+    want = {(i, k): best[0] for i, d in docs for k, t in items if (i == k or size < 1000) and (best := decontaminate.best_match(plain(t), plain(d), int(decontaminate.EDITS * len(plain(t)))))}
+    assert set(got) <= set(want) and len(got) >= 0.97 * len(want) and len(want) >= 0.9 * len(items)
+    assert sum(got[x] != want[x] for x in got) == 0
+
+
 def test_best_match_is_the_edit_distance():
     rnd = random.Random(6)
     for _ in range(200):
