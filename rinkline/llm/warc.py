@@ -179,6 +179,7 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive
     task leaves files behind that no row names.
 
     * Null html is an empty payload; empty payloads are equal.
+    * A page_id may repeat with other payloads; each row is told by page_id and payload.
     * Rows that repeat the largest page_id of a payload are all responses;
       null ids never become the response of others that have one.
     * Control characters and white space in URLs are percent-encoded; null URLs are empty.
@@ -190,12 +191,13 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive
     """
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    rows = stored(pages.select("page_id", F.octet_length(payload).alias("size"), F.sha1(payload).alias("sha1"), F.xxhash64(payload).alias("extra")), "payloads")
+    hashed = pages.withColumns({"size": F.octet_length(payload), "sha1": F.sha1(payload), "extra": F.xxhash64(payload)})
+    rows = stored(hashed.select("page_id", "size", "sha1", "extra"), "payloads")
     rows = rows.where(F.col("size") >= revisit_from)
     key = ["size", "sha1", "extra"]
     twice = rows.groupBy(*key).agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    revisits = stored(rows.join(twice, key).where("page_id <> refers_to").select("page_id", "refers_to").distinct(), "revisits")
-    marked = pages.join(if_small(revisits), "page_id", "left").select("page_id", "url", "html", "refers_to")
+    revisits = stored(rows.join(twice, key).where("page_id <> refers_to").select("page_id", *key, "refers_to").distinct(), "revisits")
+    marked = hashed.join(if_small(revisits), ["page_id", *key], "left").select("page_id", "url", "html", "refers_to")
     write = partial(_write, folder=folder, dictionary=train_dictionary(pages), archive_bytes=archive_bytes)
     return stored(marked.mapInArrow(write, INDEX), "index")
 

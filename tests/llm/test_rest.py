@@ -56,6 +56,14 @@ def test_archives(spark):
         warc.parse(warc.record(1, "u", b"body", None, False).replace(b"body", b"bodx"))
 
 
+def test_archives_of_pages_that_repeat_with_other_payloads(spark):
+    rows = [(1, "A"), (2, "A"), (1, "B"), (1, "C"), (3, "C"), (2, "D"), (1, "A")]
+    pages = spark.createDataFrame([(i, "u", t) for i, t in rows], "page_id long, url string, html string")
+    name = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    got = sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(pages).collect())
+    assert got == sorted((i, name(t), *(("revisit", {"A": 2, "C": 3}[t]) if i == 1 and t in "AC" else ("response", None))) for i, t in rows)
+
+
 def test_archive_stands_alone(spark, tmp_path):
     import pyarrow.fs
 
