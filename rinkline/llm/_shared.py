@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Rows of a narrow table (two longs a row, about 20 MB) up to which it is broadcast.
 BROADCAST_ROWS = 200_000
 
+#: The column of numbered().
+ROW = "rinkline_row"
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -111,5 +114,10 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> Data
     return docs.join(if_small(gone), id_col, "left_anti").select(*docs.columns)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs stored with a number for each row in ROW, by which rows without an id and repeated rows are told apart."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkline.llm._bytes import IS_BLANK, slices
-from rinkline.llm._shared import stored, without
+from rinkline.llm._shared import ROW, numbered, stored, without
 
 #: Allowed edits as a share of an item's length; length of the q-grams of the first filter.
 EDITS, GRAM = 0.05, 12
@@ -331,6 +331,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.distinct().withColumnRenamed("doc", id_col)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs in which no benchmark item occurs; null ids stay."""
-    return without(docs, stored(contaminated(docs, benchmark, id_col, text_col), "matches"), id_col)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of docs in which no benchmark item occurs, whatever their ids."""
+    rows = numbered(docs)
+    return without(rows, stored(contaminated(rows, benchmark, ROW, text_col), "matches"), ROW).select(*docs.columns)

@@ -274,3 +274,33 @@ def test_pipeline(spark):
     assert pipeline.pack(spark, docs, SF).select("doc_id").distinct().count() == seen[4]
     empty = pipeline.STAGES[2][1](spark, docs.limit(0), SF)
     assert empty.count() == 0
+
+
+def test_pipeline_decides_by_row(spark):
+    """Null ids, repeated rows and shared ids, each stage against brute force."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("text is not null and doc_id is not null")
+    rnd = random.Random(2)
+    text = lambda n: " ".join("".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 8))) for _ in range(n))
+    make = lambda rows: spark.createDataFrame([(i, t, "x", "y", len(t)) for i, t in rows], docs.schema)
+    rows = lambda df: sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in df.collect()))
+    key = lambda found: sorted((i is None, i or 0, t) for i, t in found)
+
+    good = docs.first()
+    odd = make([(None, "12 34 --"), (None, "12 34 --"), (None, good.text), (good.doc_id, "56 78"), (good.doc_id, "56 78")])
+    mixed = docs.unionByName(odd)
+    model = language_id.fit_documents(mixed)
+    refused = {r.text for r in language_id.identify(mixed.select(F.col("text").alias("doc_id"), "text"), model).withColumnRenamed("doc_id", "text").where("rejected").collect()}
+    assert {"12 34 --", "56 78"} <= refused and good.text not in refused
+    assert rows(pipeline.identify_languages(spark, mixed, SF)) == [x for x in rows(mixed) if x[2] not in refused]
+
+    a, b, c, d = (text(30) for _ in range(4))
+    given = [(7, a), (7, a), (None, a), (None, b), (None, b), (3, c + " "), (3, c), (5, c), (3, d)]
+    assert rows(pipeline.drop_exact_copies(spark, make(given), SF)) == key([(7, a), (None, b), (3, c + " "), (3, d)])
+    near = [(9, a + " one"), (4, a + " two"), (None, a), (None, b), (None, b), (None, b + " end"), (4, c), (4, c), (8, d)]
+    left = rows(pipeline.drop_near_copies(spark, make(near), SF))
+    assert [x for x in left if x[2][:200] != b[:200] and not x[2].startswith(b)] == key([(4, a + " two"), (4, c), (8, d)]) and sum(x[2].startswith(b) for x in left) == 1
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
+    leaks = [(None, a + " " + item), (None, a), (6, item), (6, b), (6, b)]
+    assert rows(pipeline.decontaminate(spark, make(leaks), SF)) == key([(None, a), (6, b), (6, b)])
