@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rinkline.llm import decontaminate, exact_dedup, language_id, ngram_join, packing, sharding, substring_dedup, suffix_dedup, toxicity, warc
-from rinkline.llm._shared import table
+from rinkline.llm._shared import new_path, table
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +14,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(table(spark, sf_dir, "documents"))
+    return sharding.write_shards(table(spark, sf_dir, "documents"), new_path(spark, "shards"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rinkline.llm._shared import if_small, shuffle_cleanup, stored
+
 BUCKET_BYTES = 8 << 20
 
 
@@ -74,15 +76,58 @@ def assign_shards(
     )
 
 
-def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", **options) -> None:
-    """Writes the records as Parquet, one folder per shard, each sorted by slot.
+def write_shards(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shards: int = 24,
+    seed: int = 20240229,
+    bucket_bytes: int = BUCKET_BYTES,
+) -> DataFrame:
+    """Writes the records as Parquet, one folder per shard, each file sorted by slot; returns the rows of assign_shards, read from what was written.
+
+    Every row is written once: rows without an id and rows that repeat one go
+    to their shard like the others and have slots of their own.  Columns named
+    shard and slot are replaced.  Slots are those of the files.
 
-    Ids must be unique and not null here: records are brought to their slots by id.
+    Spark: whole records are scattered into the buckets in one exchange, and
+    each bucket is shuffled in memory; where a bucket's slots begin follows
+    from the counts of the buckets before, a table of one row per bucket.
     """
-    places = assign_shards(docs, id_col, text_col, **options).select(id_col, "shard", "slot")
-    (
-        docs.drop("shard", "slot").join(places, id_col)
-        .repartitionByRange("shard", "slot")
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard").parquet(path)
+    spark = docs.sparkSession
+    docs = docs.drop("shard", "slot")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"))
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, math.ceil(total / (bucket_bytes * shards)))
+    scattered = rows.select(
+        "doc", "id", "size", "crc", shard_of(F.col("id"), shards, seed).cast("int").alias("shard"),
+        F.pmod(F.xxhash64(F.lit(seed + 1), "id", "size", "crc"), F.lit(buckets)).cast("int").alias("bucket"),
     )
+    counts = scattered.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored(counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    filled = (
+        scattered.repartitionByRange("shard", "bucket")
+        .sortWithinPartitions("shard", "bucket", "id", "size", "crc")
+        .groupBy("shard", "bucket")
+        .agg(F.collect_list("doc").alias("docs"))
+        .join(if_small(bases), ["shard", "bucket"])
+        .sortWithinPartitions("shard", "bucket")
+    )
+    shuffled = filled.select("shard", "base", F.posexplode(F.shuffle("docs", F.lit(seed))).alias("at", "doc"))
+    out = shuffled.select("doc.*", (F.col("base") + F.col("at")).cast("long").alias("slot"), "shard").sortWithinPartitions("shard", "slot")
+    with shuffle_cleanup(spark):
+        out.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+    written = spark.read.schema(out.schema).parquet(path)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return written.select(
+        id_col,
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        "shard",
+        "slot",
+        shard_of(F.col(id_col), shards + 1, seed).cast("int").alias("grown_shard"),
+    )

@@ -44,6 +44,23 @@ def test_write_shards(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == 200
 
 
+def test_write_shards_keeps_every_row(spark, tmp_path):
+    """Null ids, repeated ids and repeated rows: each row once, slots without gaps, the returned rows those of the files."""
+    rows = ROWS + [(None, "x"), (None, None), (None, "y"), (6, "other"), (6, "other"), (6, "other")] + [(i % 40, f"t{i % 60}") for i in range(400)]
+    for name, size in (("a", 64), ("b", 8 << 20)):
+        path = str(tmp_path / name)
+        got = sharding.write_shards(_docs(spark, rows), path, shards=5, bucket_bytes=size).collect()
+        files = spark.read.parquet(path).collect()
+        order = lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")
+        assert sorted(((r.doc_id, r.text) for r in files), key=order) == sorted(rows, key=order) and {r.id for r in files} == {"c"}
+        assert sorted((r.shard, r.slot, r.doc_id or 0) for r in got) == sorted((r.shard, r.slot, r.doc_id or 0) for r in files)
+        for s in range(5):
+            assert sorted(r.slot for r in files if r.shard == s) == list(range(sum(r.shard == s for r in files)))
+        law = {(r.doc_id, r.size, r.text_crc32, r.law, r.shard, r.grown_shard) for r in sharding.assign_shards(_docs(spark, rows), shards=5).collect()}
+        assert {(r.doc_id, r.size, r.text_crc32, r.law, r.shard, r.grown_shard) for r in got} == law
+    assert sharding.write_shards(_docs(spark, []), str(tmp_path / "none")).count() == 0
+
+
 def test_archives(spark):
     pages = spark.createDataFrame([(1, "u", "a"), (2, "v w\n", "a"), (3, None, None), (4, "", ""), (7, "k", "a"), (7, "k", "a"), (9, "o", "é" * 9999), (None, "n", "q")], "page_id long, url string, html string")
     got = {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(pages).collect()}
