@@ -52,8 +52,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokenised and packed into sequences of 2048."""
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    """Tokenised and packed into sequences of 2048, with their token ids."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

@@ -293,6 +293,13 @@ def test_pipeline(spark):
     assert empty.count() == 0
 
 
+def test_pipeline_writes_token_ids(spark):
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(5)
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in pipeline.pack(spark, docs, SF).collect())
+
+
 def test_pipeline_decides_by_row(spark):
     """Null ids, repeated rows and shared ids, each stage against brute force."""
     import corpus_pipeline as pipeline
