@@ -123,7 +123,5 @@ def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> byte
 
 def covered(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
     """Which of size places lie in some [start, end)."""
-    depth = np.zeros(size + 1, dtype=np.int64)
-    np.add.at(depth, starts, 1)
-    np.add.at(depth, ends, -1)
+    depth = np.bincount(starts, minlength=size + 1) - np.bincount(ends, minlength=size + 1)
     return np.cumsum(depth[:-1]) > 0

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from rinkline.llm._bytes import covered, mix, span_hash
 from rinkline.llm._shared import discard, stored
 
-_PLACE_BITS = 26
+#: Bits for the place among the anchors of a slice; more than any text of an Arrow string has bytes.
+_PLACE_BITS = 32
 #: Contexts of one key up to which a task compares their windows; beyond, windows are rows that Spark groups.
 HOT_CONTEXTS = 512
 
@@ -29,7 +30,7 @@ HOT_CONTEXTS = 512
 def pick_anchors(lo: np.ndarray, hi: np.ndarray, rank: np.ndarray, windows: np.ndarray, width: int, units: int) -> np.ndarray:
     """For each window start the anchor of lowest rank with lo >= start and hi <= start + width, the leftmost of equals; -1 if there is none.
 
-    lo and hi must not fall; rank is a 64-bit word of which the last 26 bits are ignored.
+    lo and hi must not fall; rank is a 64-bit word of which the last 32 bits are ignored.
     """
     if not len(lo):
         return np.full(len(windows), -1, dtype=np.int64)

@@ -59,48 +59,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-@contextmanager
-def merge_scans(spark: SparkSession):
-    """Inside, Spark relies on the order of stored buckets of one file each, so joins of them are merges without sorts."""
-    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before or "false")
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system and path of a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def stored_buckets(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
-    """As stored(), in sorted buckets by keys.
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _folder(spark, path)
+    fs.delete(at, True)
 
-    df must come from a grouping or join by keys over `buckets` partitions: then each bucket is one file, and
-    later joins by the keys need no exchange.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    table = f"rinkline_{name}_{uuid.uuid4().hex}"
-    with shuffle_cleanup(spark):
-        (
-            df.write.option("compression", "zstd")
-            .bucketBy(buckets, *keys)
-            .sortBy(*keys)
-            .option("path", path)
-            .saveAsTable(table)
-        )
-    out = spark.table(table)
-    out.path, out.table = path, table
-    return out
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _folder(spark, path)
+    return fs.exists(at)
+
+
+def finished(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the folders in path that begin with prefix and were written to their end."""
+    fs, at = _folder(spark, path)
+    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
+    return [x for x in names if x.startswith(prefix) and exists(spark, f"{path}/{x}/_SUCCESS")]
 
 
 def discard(*frames: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more."""
     for df in frames:
-        spark = df.sparkSession
-        if getattr(df, "table", None):
-            spark.sql(f"DROP TABLE IF EXISTS {df.table}")
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, df.path)
 
 
 def if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

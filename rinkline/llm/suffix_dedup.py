@@ -1,36 +1,110 @@
 """Substring deduplication over bytes with a logarithmic family of suffix arrays.
 
-Documents come in batches by rising id.  A batch gets a suffix array: its
-sampled suffixes, sorted by their first sixteen bytes.  The array is
-merge-scanned against the arrays of the levels that exist, which hold the
-suffixes of all smaller ids, and then becomes a level; two levels of equal size
-merge into one of twice the size, so there are never more than about log2 of
-the number of batches.  Suffixes that match reveal where long matches may lie,
-and these are verified on the bytes themselves (rinkline.llm._repeats).
+Documents come in batches of rising ids.  A batch gets a suffix array: its
+sampled suffixes in the order of their first bytes, each with the document and
+the place it lies at and a hash of all windows around it (its context).  The
+array is merged with those of the levels that exist, which hold the suffixes of
+smaller ids: a suffix that meets an equal context there lies in a long match,
+and its windows are repeated; where only the first bytes match, the windows are
+compared one by one.  The new array then becomes a level, and levels of equal
+size merge, so after n batches there are about log2(n) of them.
+
+Arrays are cut into buckets by the suffixes' first bytes, and a row of a level
+is one bucket: Spark moves whole sorted arrays, and numpy merges them in tasks.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import partial, reduce
+from collections.abc import Iterator
+from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rinkline.llm import _repeats
-from rinkline.llm._bytes import IS_BLANK, byte_symbols, covered, mix, prefix_hash, slices
-from rinkline.llm._shared import discard, merge_scans, stored, stored_buckets
+from rinkline.llm._bytes import IS_BLANK, byte_symbols, covered, mix, prefix_hash, slices, span_hash
+from rinkline.llm._shared import delete, discard, exists, finished, if_small, new_path, shuffle_cleanup, stored
 
 #: Bytes of a suffix that the arrays are sorted by.
 SUFFIX_BYTES = 16
-KEYS = ["suffix_a", "suffix_b"]
+#: Text whose suffixes a task sorts at once; text for each bucket of the arrays.  Clusters with more memory a task may raise both.
+CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+#: The number of batches is the logarithm of the text in units of this size, where no size of a batch is given.
+UNIT_BYTES = 32 << 20
+#: A prefix that occurs in this share of the documents of the sample, and in LEAST of them, enters the arrays window by window.
+HOT_SHARE, LEAST, SAMPLE_ONE_IN = 1 / 500, 40, 64
+#: Contexts of one prefix up to which a task compares their windows; beyond, windows are rows that Spark groups.
+MANY_CONTEXTS = 512
+
 _TOP = np.uint64(1 << 63)
 #: Where there are no blanks, suffixes start behind one of eight byte pairs.
 _PAIRS = np.random.default_rng(11).random(65536) < 1 / 8
+_NEW, _LATE, _OPEN = -1, -2, -3  # kinds of rows that are no level: a batch's array, repeated groups, groups to be compared
+_GROUP = "prefix long, doc long, start int, count int"
+_ROWS = "kind int, bucket int, n int, prefix binary, context binary, sides binary, doc binary, start binary, count binary"
+
+_slices = partial(slices, limit=1 << 19)
+
+
+class Suffixes(NamedTuple):
+    """Sampled suffixes: the first sixteen bytes as two numbers that sort like them, the hash of the windows around,
+    hashes of the bytes before and behind, and which windows these are: document, first start, number."""
+
+    a: np.ndarray
+    b: np.ndarray
+    context: np.ndarray
+    sides: np.ndarray
+    doc: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+
+    def take(self, at: np.ndarray) -> Suffixes:
+        return Suffixes(*(x[at] for x in self))
+
+
+_TYPES = [np.uint64, np.uint64, np.uint64, np.uint32, np.int64, np.uint32, np.uint16]
+
+
+def _joined(parts: list[Suffixes]) -> Suffixes:
+    return Suffixes(*(np.concatenate(x) for x in zip(*parts))) if parts else Suffixes(*(np.zeros(0, t) for t in _TYPES))
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Compressed, equal bytes of the numbers side by side."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T), codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(blob, n * size, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, n).T).view(kind).reshape(n)
+
+
+def _row(kind: int, bucket: int, found: Suffixes) -> tuple:
+    if kind == _LATE:  # only the places are needed
+        none = np.zeros_like(found.a)
+        found = found._replace(a=none, b=none, context=none, sides=none.astype(np.uint32))
+    ab = np.stack([found.a.byteswap(), found.b.byteswap()], axis=1) if len(found.a) else np.zeros((0, 2), np.uint64)
+    prefix = pa.compress(np.ascontiguousarray(ab), codec="zstd", asbytes=True)
+    return kind, bucket, len(found.a), prefix, *(_pack(x) for x in found[2:])
+
 
-_slices = partial(slices, limit=1 << 20)
+def _suffixes(batch: pa.RecordBatch, row: int) -> Suffixes:
+    n = batch.column(2)[row].as_py()
+    ab = np.frombuffer(pa.decompress(batch.column(3)[row].as_py(), n * 16, codec="zstd"), dtype=">u8").astype(np.uint64).reshape(n, 2)
+    rest = (_unpack(batch.column(4 + i)[row].as_py(), n, kind) for i, kind in enumerate(_TYPES[2:]))
+    return Suffixes(ab[:, 0], ab[:, 1], *rest)
+
+
+_SCHEMA = pa.schema([(x.split()[0], pa.int32() if x.endswith(" int") else pa.binary()) for x in _ROWS.split(", ")])
+
+
+def _record(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
 
 def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,7 +126,7 @@ def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple
     if len(wide):
         gap = covered(edges[wide], edges[wide + 1], len(data))
         pair = np.zeros(len(data), dtype=bool)
-        pair[1:] = _PAIRS[data[:-1].astype(np.int64) << 8 | data[1:]]
+        pair[1:] = _PAIRS[data[:-1].astype(np.int32) << 8 | data[1:]]
         pair[offsets[:-1][offsets[:-1] < len(data)]] = False
         at = np.flatnonzero(word | (pair & gap))
     doc_end = offsets[np.searchsorted(offsets, at, side="right")]
@@ -62,19 +136,292 @@ def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple
 
 def _rule(data: np.ndarray, offsets: np.ndarray, width: int):
     at, word = sampled_suffixes(data, offsets, width)
-    first = np.ascontiguousarray(data[at[:, None] + np.arange(SUFFIX_BYTES)]).view(">u8").astype(np.uint64).reshape(-1, 2)
-    a, b = first[:, 0], first[:, 1]
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8) if len(data) >= 8 else np.zeros((0, 8), np.uint8)
+    a, b = (np.ascontiguousarray(eight[at + k]).view(">u8").astype(np.uint64).reshape(-1) for k in (0, 8))
     rank = mix(a ^ mix(b)) >> np.uint64(1) | np.where(word, np.uint64(0), _TOP)
-    keys = [a ^ _TOP, b ^ _TOP]  # as signed numbers they sort like the bytes
-    return offsets, prefix_hash(byte_symbols(data)), at - 1, at + SUFFIX_BYTES, rank, at, keys
+    return offsets, prefix_hash(byte_symbols(data)), at - 1, at + SUFFIX_BYTES, rank, at, [a, b, at.astype(np.uint64)]
+
+
+def suffixes_of(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, width: int) -> tuple[Suffixes, np.ndarray, np.ndarray, np.ndarray]:
+    """The sampled suffixes of a slice whose rows have these ids, one for each group of windows.
+
+    Any repeated window reaches `half` bytes before its suffix or behind the
+    suffix's prefix: `sides` are hashes of these, so that matches of the prefix
+    alone are told apart.  Further: the prefix hashes and bounds of the slice, and the row of each suffix.
+    """
+    row, start, count, (a, b, at), context, prefix, bounds = _repeats.groups_of(data, offsets, partial(_rule, width=width), width)
+    half = (width - SUFFIX_BYTES) // 2
+    at = at.astype(np.int64)
+    none = (a == b) & (a == at.astype(np.uint64))  # no suffix in the window, which then stands for itself
+    left, right = np.maximum(bounds[row], at - half), np.minimum(bounds[row + 1], at + SUFFIX_BYTES + half)
+    left, right = np.where(none, bounds[row], left), np.where(none, bounds[row], right)
+    middle = np.where(none, bounds[row], at)
+    behind = np.where(none, bounds[row], at + SUFFIX_BYTES)
+    before = span_hash(prefix, left, middle) >> np.uint64(48)
+    after = span_hash(prefix, behind, np.maximum(behind, right)) >> np.uint64(48)
+    sides = (before << np.uint64(16) | after).astype(np.uint32)
+    return Suffixes(a, b, context, sides, ids[row].astype(np.int64), start.astype(np.uint32), count.astype(np.uint16)), prefix, bounds, row
+
+
+def _single_windows(found: Suffixes, hot: np.ndarray, prefix: np.ndarray, bounds: np.ndarray, row: np.ndarray, width: int) -> Suffixes:
+    """The suffixes with those of hot prefixes replaced by an entry for each of their windows, told apart by its hash."""
+    is_hot = np.isin(found.a ^ mix(found.b), hot)
+    if not is_hot.any():
+        return found
+    cold, at = found.take(np.flatnonzero(~is_hot)), np.flatnonzero(is_hot)
+    size = found.count[at].astype(np.int64)
+    each = np.repeat(at, size)
+    start = found.start[each].astype(np.int64) + np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size)
+    begin = start + bounds[row[each]]
+    own = span_hash(prefix, begin, begin + width)
+    single = Suffixes(found.a[each], own, mix(own ^ found.b[each]), np.zeros(len(each), np.uint32), found.doc[each], start.astype(np.uint32), np.ones(len(each), np.uint16))
+    return _joined([cold, single])
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _spread(first: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.repeat(values, np.diff(np.append(first, n)))
+
+
+def _arrays(batches: Iterator[pa.RecordBatch], width: int, buckets: int, hot) -> Iterator[pa.RecordBatch]:
+    """(id, text) to rows: the chunk's array in buckets, and the groups that a smaller document of the chunk holds too."""
+
+    def cut(parts: list[Suffixes]) -> Iterator[pa.RecordBatch]:
+        found = _joined(parts)
+        if not len(found.a):
+            return
+        bucket = mix(found.a ^ mix(found.b))
+        key = bucket & ~np.uint64(0xFFFFFFFF) | mix(found.context) >> np.uint64(32)
+        found = found.take(np.argsort(key, kind="stable"))
+        first = _runs(found.a, found.b, found.context)
+        late = found.doc > _spread(first, np.minimum.reduceat(found.doc, first), len(found.doc))
+        rows = [_row(_LATE, int(found.start[0]) % buckets, found.take(np.flatnonzero(late)))] if late.any() else []
+        found = found.take(np.flatnonzero(~late))
+        # the highest bits of the hash give the bucket
+        bucket = ((mix(found.a ^ mix(found.b)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        first = _runs(bucket)
+        for low, high in zip(first, np.append(first[1:], len(bucket))):
+            part = found.take(np.arange(low, high))
+            rows.append(_row(_NEW, int(bucket[low]), part.take(np.argsort(part.a, kind="stable"))))
+        yield _record(rows)
+
+    parts, size = [], 0
+    known = hot.value if hot is not None else np.zeros(0, np.uint64)
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, end, data, offsets in _slices(batch.column(1)):
+            found, prefix, bounds, row = suffixes_of(data, offsets, ids[first:end], width)
+            parts.append(_single_windows(found, known, prefix, bounds, row, width) if len(known) else found)
+            size += len(data)
+            if size >= CHUNK_BYTES:
+                yield from cut(parts)
+                parts, size = [], 0
+    yield from cut(parts)
+
+
+def _in_order(found: Suffixes) -> np.ndarray:
+    """The order by prefix, then context.  Sorted parts are merged by their first eight bytes; ties are sorted."""
+    order = np.argsort(found.a, kind="stable")
+    a = found.a[order]
+    tied = np.zeros(len(a), dtype=bool)
+    tied[1:] = a[1:] == a[:-1]
+    tied[:-1] |= tied[1:]
+    at = np.flatnonzero(tied)
+    mine = order[at]
+    order[at] = mine[np.lexsort((found.context[mine], found.b[mine], a[at]))]
+    return order
+
+
+def _merge(rows: pa.Table, merged: frozenset[int], level: int, piece: int = 1 << 21) -> pa.Table:
+    """The arrays of one bucket, of a batch and of all levels, to: the new level, repeated groups, and groups to be compared."""
+    bucket = rows.column(1)[0].as_py()
+    out, parts, of = [], [], []
+    for batch in rows.to_batches():
+        for i in range(len(batch)):
+            kind = batch.column(0)[i].as_py()
+            if kind == _LATE:
+                out.append(tuple(c[i].as_py() for c in batch.columns))
+                continue
+            parts.append(_suffixes(batch, i))
+            of.append(np.full(len(parts[-1].a), kind, dtype=np.int32))
+    found, of = _joined(parts), np.concatenate(of) if of else np.zeros(0, np.int32)
+    if not len(of):
+        return pa.Table.from_batches([_record(out)] if out else [], _SCHEMA)
+    order = _in_order(found)
+    found, of = found.take(order), of[order]
+    n = len(of)
+    first = _runs(found.a, found.b, found.context)
+    owner = np.minimum.reduceat(found.doc, first)
+    late = (of == _NEW) & (found.doc > _spread(first, owner, n))
+    # a prefix with several contexts, of which some are new: those go on that share the bytes before or behind with another document
+    key = _runs(found.a, found.b)
+    of_key = np.searchsorted(key, np.arange(n), side="right") - 1
+    fresh = np.zeros(len(key), dtype=bool)
+    fresh[of_key[(of == _NEW) & ~late]] = True
+    contexts = np.bincount(of_key[first], minlength=len(key))
+    at = np.flatnonzero((fresh & (contexts > 1))[of_key] & ~late)
+    compare = np.zeros(n, dtype=bool)
+    for side in (found.sides >> np.uint32(16), found.sides & np.uint32(0xFFFF)):
+        by = at[np.lexsort((side[at], of_key[at]))]
+        if len(by):
+            run = _runs(of_key[by], side[by])
+            doc = found.doc[by]
+            several = np.minimum.reduceat(doc, run) < np.maximum.reduceat(doc, run)
+            compare[by[_spread(run, several, len(by))]] = True
+    if late.any():
+        out.append(_row(_LATE, bucket, found.take(np.flatnonzero(late))))
+    if compare.any():
+        out.append(_row(_OPEN, bucket, found.take(np.flatnonzero(compare))))
+    # of equal contexts the one of the smallest document stays
+    stays = np.flatnonzero(found.doc == _spread(first, owner, n))
+    stays = stays[_runs(np.searchsorted(first, stays, side="right"))]
+    stays = stays[(of[stays] == _NEW) | np.isin(of[stays], list(merged))]
+    out += [_row(level, bucket, found.take(stays[i : i + piece])) for i in range(0, len(stays), piece)]
+    return pa.Table.from_batches([_record(out)] if out else [], _SCHEMA)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of arrays to rows of their groups: prefix (hashed), doc, start, count."""
+    for batch in batches:
+        for i in range(len(batch)):
+            found = _suffixes(batch, i)
+            key = mix(found.a ^ mix(found.b)).view(np.int64)
+            for at in range(0, len(key), 65536):
+                part = slice(at, at + 65536)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[part]), pa.array(found.doc[part]), pa.array(found.start[part].astype(np.int32)), pa.array(found.count[part].astype(np.int32))],
+                    ["prefix", "doc", "start", "count"],
+                )
+
+
+def _windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(id, text, groups) to a row for each group: prefix, many, doc, start, hashes of its windows."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, end, data, offsets in _slices(batch.column(1)):
+            part = batch.column(2).slice(first, end - first)
+            size = np.asarray(part.value_lengths().fill_null(0), dtype=np.int64)
+            flat = part.flatten()
+            if not len(flat):
+                continue
+            row = np.repeat(np.arange(end - first), size)
+            start, count = (flat.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("start", "count"))
+            prefix = prefix_hash(byte_symbols(data))
+            for low in range(0, len(row), 16384):  # groups at once
+                s, c, r = start[low : low + 16384], count[low : low + 16384], row[low : low + 16384]
+                ends = np.cumsum(c)
+                begin = np.repeat(s + offsets[r] - (ends - c), c) + np.arange(int(ends[-1]))
+                hashes = span_hash(prefix, begin, begin + width).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(hashes))
+                yield pa.RecordBatch.from_arrays(
+                    [flat.field("prefix").slice(low, len(s)), flat.field("many").slice(low, len(s)), pa.array(ids[first:end][r].astype(np.int64)), pa.array(s.astype(np.int32)), lists],
+                    ["prefix", "many", "doc", "start", "hashes"],
+                )
+
+
+def _hot_prefixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(id, text) to the hashed prefix of each group, for the count of the sample."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for first, end, data, offsets in _slices(batch.column(1)):
+            found, *_ = suffixes_of(data, offsets, ids[first:end], width)
+            key = found.a ^ mix(found.b)
+            pairs = np.unique(np.stack([key.view(np.int64), found.doc], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(np.ones(len(pairs), dtype=np.int64))], ["prefix", "n"])
+
 
+class SuffixIndex:
+    """The levels of a logarithmic family in a folder; batches of rising ids may be added at any time.
 
-def _groups(batches, width: int):
-    return _repeats.group_rows(batches, _slices, partial(_rule, width=width), width, KEYS)
+    Each batch writes a folder batch-<number>-<batches in its level>-<highest
+    id>, in which kind=<number> is the level and the other kinds are what the
+    batch's documents repeat.  A folder stands for the batches up to its own
+    number that its level took in; what older folders hold of these is void.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, width: int, buckets: int, hot: tuple[int, ...] = ()) -> None:
+        self.spark, self.path, self.width, self.buckets = spark, path, width, buckets
+        self.hot = spark.sparkContext.broadcast(np.array(sorted(hot), dtype=np.int64).view(np.uint64)) if len(hot) else None
+
+    def _batches(self) -> list[tuple[int, int, int, str]]:
+        """(number, batches in the level, highest id, path) of all batches, newest first."""
+        names = sorted(finished(self.spark, self.path, "batch-"), key=lambda x: -int(x.split("-")[1]))
+        return [(*(int(x) for x in name.split("-", 3)[1:]), f"{self.path}/{name}") for name in names]
+
+    def levels(self) -> list[tuple[int, int, int, str]]:
+        """As _batches, those whose levels count."""
+        out, oldest = [], None
+        for number, size, highest, path in self._batches():
+            if oldest is None or number < oldest:
+                out.append((number, size, highest, path))
+                oldest = number - size + 1
+        return out
+
+    def add(self, docs: DataFrame) -> None:
+        """Adds docs (doc long, text string), whose ids must lie above those of all batches before."""
+        low, high = docs.agg(F.min("doc"), F.max("doc")).first()
+        if high is None:
+            return
+        known = self.levels()
+        if known and low <= known[0][2]:
+            raise ValueError(f"ids must rise from batch to batch: {low} comes after {known[0][2]}")
+        size, merged = 1, []
+        for level in known:
+            if level[1] == size:
+                merged.append(level)
+                size *= 2
+        number = known[0][0] + 1 if known else 1
+        arrays = docs.mapInArrow(partial(_arrays, width=self.width, buckets=self.buckets, hot=self.hot), _ROWS)
+        columns = arrays.columns
+        for old, _, _, path in known:
+            level = self.spark.read.schema(_ROWS).parquet(f"{path}/kind={old}").withColumn("kind", F.lit(old))
+            arrays = arrays.unionByName(level.select(*columns))
+        taken = frozenset(m[0] for m in merged)
 
+        def merge(rows: pa.Table) -> pa.Table:
+            return _merge(rows, taken, number)
 
-def _windows(batches, width: int):
-    return _repeats.window_rows(batches, _slices, partial(_rule, width=width), width, KEYS)
+        found = arrays.groupBy("bucket").applyInArrow(merge, _ROWS)
+        with shuffle_cleanup(self.spark):
+            found.write.option("compression", "none").partitionBy("kind").parquet(f"{self.path}/batch-{number}-{size}-{high}")
+        for old, _, _, path in merged:
+            delete(self.spark, f"{path}/kind={old}")
+
+    def groups(self, kind: int) -> DataFrame:
+        """(prefix, doc, start, count) of the groups of this kind in all batches."""
+        paths = [f"{path}/kind={kind}" for *_, path in self._batches() if exists(self.spark, f"{path}/kind={kind}")]
+        if not paths:
+            return self.spark.createDataFrame([], _GROUP)
+        rows = self.spark.read.schema(_ROWS).parquet(*paths).withColumn("kind", F.lit(kind))
+        return rows.select(*(x.split()[0] for x in _ROWS.split(", "))).mapInArrow(_groups, _GROUP)
+
+
+def repeated_ranges(docs: DataFrame, index: SuffixIndex, width: int) -> DataFrame:
+    """(doc, ranges): the [from, to) bytes of docs (doc, text) that windows of smaller documents cover, by the index of all of them."""
+    open_groups = stored(index.groups(_OPEN), "open")
+    many = open_groups.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY_CONTEXTS)
+    many = stored(many.select("prefix", F.lit(True).alias("many")), "many")
+    told = open_groups.join(if_small(many), "prefix", "left").select("doc", F.struct("start", "count", "prefix", F.coalesce("many", F.lit(False)).alias("many")).alias("group"))
+    named = told.groupBy("doc").agg(F.collect_set("group").alias("groups"))
+    rows = docs.join(named, "doc").select("doc", "text", "groups")
+    rows = stored(rows.mapInArrow(partial(_windows, width=width), "prefix long, many boolean, doc long, start int, hashes array<long>"), "windows")
+    together = rows.where("not many").drop("many").repartition("prefix").sortWithinPartitions("prefix")
+    spans = together.mapInArrow(partial(_repeats.late_windows, keys=["prefix"], width=width), "doc long, a int, b int")
+    each = rows.where("many").select("prefix", "doc", "start", F.posexplode("hashes").alias("at", "window"))
+    least = each.groupBy("prefix", "window").agg(F.min("doc").alias("owner"))
+    late = each.join(least, ["prefix", "window"]).where("doc > owner").withColumn("a", F.col("start") + F.col("at"))
+    spans = spans.unionByName(late.select("doc", "a", (F.col("a") + width).alias("b")))
+    settled = index.groups(_LATE).select("doc", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + width).alias("b"))
+    ranges = spans.unionByName(settled).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    ranges = stored(ranges, "ranges")
+    discard(open_groups, many, rows)
+    return ranges
 
 
 def _texts(batches):
@@ -104,76 +451,64 @@ def _drop_kept(batches):
         yield batch.select(["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def batches_of(groups: DataFrame, batches: int) -> list[DataFrame]:
-    """groups (stored) cut into batches of rising ids of about equal size."""
-    cuts = groups.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.02) if batches > 1 else []
+def hot_prefixes(docs: DataFrame, width: int) -> list[int]:
+    """Prefixes (hashed) that a sample of one document in SAMPLE_ONE_IN shows to be frequent; how they are treated changes no result.
+
+    At most 1 / HOT_SHARE times the suffixes of an average document come back.
+    """
+    sample = docs.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE_ONE_IN)) == 0)
+    seen = sample.mapInArrow(partial(_hot_prefixes, width=width), "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
+    least = max(LEAST, int(sample.count() * HOT_SHARE))
+    return [r.prefix for r in seen.where(F.col("n") >= least).select("prefix").collect()]
+
+
+def batches_of(docs: DataFrame, batches: int) -> list[DataFrame]:
+    """docs cut into batches of rising ids of about equal size."""
+    cuts = docs.approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     edges = [None, *sorted(set(cuts)), None]
     out = []
     for low, high in zip(edges[:-1], edges[1:]):
-        part = groups if low is None else groups.where(F.col("doc") > low)
-        out.append(part if high is None else part.where(F.col("doc") <= high))
-    return out
-
-
-def shared_suffixes(parts_of_groups: list[DataFrame]) -> DataFrame:
-    """The suffixes that occur in more than one document of the batches, found batch by batch."""
-    spark = parts_of_groups[0].sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    levels: list[tuple[int, DataFrame]] = []  # (batches inside, suffix array)
-    found: DataFrame | None = None
-    parts = []
-    with merge_scans(spark):
-        for number, batch in enumerate(parts_of_groups, 1):
-            suffixes = batch.groupBy(*KEYS).agg((F.min("doc") < F.max("doc")).alias("twice"))
-            array = stored_buckets(suffixes, "level", KEYS, buckets)
-            hits = array.where("twice").select(*KEYS)
-            for _, level in levels:
-                hits = hits.unionByName(array.select(*KEYS).join(level.select(*KEYS), KEYS, "left_semi"))
-            parts.append(stored(hits, "hits"))
-            levels.append((1, array))
-            while len(levels) > 1 and levels[-1][0] == levels[-2][0] and number < len(parts_of_groups):
-                (n, right), (_, left) = levels.pop(), levels.pop()
-                both = left.select(*KEYS).join(right.select(*KEYS), KEYS, "full").select(*KEYS, F.lit(False).alias("twice"))
-                levels.append((2 * n, stored_buckets(both, "level", KEYS, buckets)))
-                discard(left, right)
-    discard(*(level for _, level in levels))
-    for part in parts:
-        found = part if found is None else found.unionByName(part)
-    out = stored(found.distinct(), "suffixes")
-    discard(*parts)
+        part = docs if low is None else docs.where(F.col("doc") > int(low))
+        out.append(part if high is None else part.where(F.col("doc") <= int(high)))
     return out
 
 
 def suffix_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, batches: int = 3, with_bytes: bool = True
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, batch_bytes: int | None = None, with_bytes: bool = True
 ) -> DataFrame:
     """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, and with_bytes the kept bytes as `kept`.
 
     Every byte of the UTF-8 text is removed that is covered by `width` bytes
     which also start in a document with a smaller id, judged on the input.
-    n_spans counts the maximal removed runs.
+    n_spans counts the maximal removed runs.  width is 20 to 1,000.
+
+    Batches take batch_bytes of text each.  Without it their number is one more
+    than the logarithm (base two) of the text in units of UNIT_BYTES, since a
+    batch is merged with all levels.
 
     * Null texts have no bytes; null ids are kept whole and remove nothing.
     * Ids are integers.  Repeated rows give a row each and remove nothing from
       one another; rows that share an id must share their text.
     * An empty table gives an empty result; further columns are ignored.
+    * Windows and contexts are told apart by 64-bit hashes beside the suffix.
 
-    Spark: levels are tables in buckets by suffix, sorted, so a merge scan
-    reads both sides once and shuffles nothing.  Only sampled suffixes are
-    kept (about one for 25 bytes), and only groups whose suffix is shared go on.
+    Spark: a chunk of text becomes a sorted array, cut into buckets; equal
+    contexts of a chunk are one entry, so a passage that a third of all
+    documents hold meets in no task more often than there are chunks in a
+    batch.  Prefixes that go on in many ways enter window by window, which
+    spreads them over the buckets.  A text is read once for its suffixes, once
+    where windows must be compared, and once for the result.
     """
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     known = texts.where("doc is not null")
-    kinds = "suffix_a long, suffix_b long, context long, doc long, start int, count int"
-    groups = stored(known.mapInArrow(partial(_groups, width=width), kinds), "groups")
-    batched = batches_of(groups, batches)
-    suffixes = shared_suffixes(batched)
-    parts = [stored(batch.join(suffixes, KEYS, "left_semi"), "shared") for batch in batched]  # one batch is shuffled at a time
-    discard(groups, suffixes)
-    shared = reduce(DataFrame.unionByName, parts)
-    ranges = _repeats.repeated_ranges(known, shared, KEYS, width, partial(_windows, width=width))
-    ranges = stored(ranges, "ranges")
-    discard(*parts)
+    size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    batches = -(-size // batch_bytes) if batch_bytes else 1 + max(0, int(np.ceil(np.log2(max(1, size) / UNIT_BYTES))))
+    index = SuffixIndex(spark, new_path(spark, "index"), width, max(1, -(-size // BUCKET_BYTES)), tuple(hot_prefixes(known, width)))
+    for batch in batches_of(known, max(1, batches)):
+        index.add(batch)
+    ranges = repeated_ranges(known, index, width)
+    delete(spark, index.path)
     judged = texts.join(ranges, "doc", "left").select("doc", "text", "ranges")
     if with_bytes:
         out = judged.mapInArrow(_texts, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
