@@ -34,9 +34,11 @@ RECALL, TRIALS, MOST_WALKS = 0.99, 200, 16
 MARGIN = 64
 #: Items that are broadcast at once; with more, the documents are scanned once for each block.
 BLOCK_ITEMS = 5000
-#: Items are compared from this many characters on; shorter ones must occur as they are.
+#: Items are found by segments from this many bytes on, shorter ones by their parts.
 SHORT = 40
 _BITS = 22
+#: Bytes of text that are worked on at once.
+_slices = partial(slices, limit=1 << 18)
 #: Stretches of this many bytes are looked at first, TILE_STEP apart.
 TILE, TILE_STEP = 92, 32
 MATCH = "doc long, item_id long, edits int, start long, length int"
@@ -56,14 +58,16 @@ def plain(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, np.searchsorted(at, offsets), at
 
 
-def gram_places(data: np.ndarray) -> np.ndarray:
+def gram_places(data: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
     """For each q-gram of the bytes its place in the bitmap."""
-    if len(data) < GRAM:
-        return np.zeros(0, dtype=np.int64)
-    eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view(np.uint64).reshape(-1)
-    grams = eight[: len(data) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
-    grams ^= eight[GRAM - 8 :] * np.uint64(0xC2B2AE3D27D4EB4F)
-    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
+    out = np.empty(max(0, len(data) - GRAM + 1), dtype=np.int32)
+    for low in range(0, len(out), piece):
+        part = data[low : low + piece + GRAM - 1]
+        eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(part, 8)).view(np.uint64).reshape(-1)
+        grams = eight[: len(part) - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
+        grams ^= eight[GRAM - 8 :] * np.uint64(0xC2B2AE3D27D4EB4F)
+        out[low : low + piece] = (grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)
+    return out
 
 
 class Items:
@@ -76,7 +80,7 @@ class Items:
             norm = plain(raw, np.array([0, len(raw)]))[0].tobytes().strip()
             if norm:
                 self.rows.append((item, norm))
-        self.bitmap = np.zeros(1 << _BITS, dtype=np.uint64)  # a bit for each class of lengths
+        self.bitmap = np.zeros(1 << _BITS, dtype=bool)
         rng = np.random.default_rng(seed)
         self.steps = [rng.integers(0, 2, (2 * SEGMENT, 256), dtype=np.int8) for _ in range(MOST_WALKS)]
         for step in self.steps:
@@ -103,6 +107,7 @@ class Items:
         self.shift = np.uint64(64 - min(26, max(10, (8 * len(known)).bit_length())))
         self.maybe = np.zeros(1 << (64 - int(self.shift)), dtype=bool)
         self.maybe[(self.known >> self.shift).astype(np.int64)] = True
+        marks = [(np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.uint64))]
         while long:
             least = len(self.rows[long[0]][1])
             here = [i for i in long if len(self.rows[i][1]) <= least * 1.06]
@@ -110,7 +115,13 @@ class Items:
             most = len(self.rows[here[-1]][1])
             self.classes.append((least, most, max(1, min(self.least_grams(len(self.rows[i][1])) for i in here))))
             for i in here:
-                self.bitmap[self.grams[i]] |= np.uint64(1 << (len(self.classes) - 1) % 64)
+                marks.append((self.grams[i], np.full(len(self.grams[i]), 1 << (len(self.classes) - 1) % 64, dtype=np.uint64)))
+        # places of the q-grams, and a bit for each class of lengths
+        places, bits = (np.concatenate(x) for x in zip(*marks))
+        self.gram_at, which = np.unique(places, return_inverse=True)
+        self.gram_bits = np.zeros(len(self.gram_at), dtype=np.uint64)
+        np.bitwise_or.at(self.gram_bits, which, bits)
+        self.bitmap[self.gram_at] = True
         # a stretch as long as a match of a class consists of so many tiles; the fullest holds at least this
         self.tile_grams = min((-(-g // -(-self.span(most) // TILE)) for _, most, g in self.classes), default=1)
 
@@ -214,23 +225,37 @@ def best_match(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None
     return best
 
 
+def short_match(item: bytes, edits: int, text: bytes) -> tuple[int, int] | None:
+    """(edits, end) of the best occurrence of a short item in text, both with blanks around them, with at most so many edits.
+
+    Of edits + 1 parts of the item one occurs unchanged, so matches lie around the occurrences of the parts.
+    """
+    best, size = None, -(-len(item) // (edits + 1))
+    for low in range(0, len(item), size):
+        part, at = item[low : low + size], -1
+        while (at := text.find(part, at + 1)) >= 0:
+            begin = max(0, at - low - edits)
+            got = best_match(item, text[begin : at - low + len(item) + edits], edits)
+            if got and (best is None or (got[0], begin + got[1]) < best):
+                best = (got[0], begin + got[1])
+    return best
+
+
 def _dense_rows(block: Items, data: np.ndarray, offsets: np.ndarray):
-    """The rows of a slice that hold q-grams of items densely enough anywhere (all rows if some items are short), their bytes and offsets, and the class bits of every byte's q-gram."""
-    flags = np.zeros(len(data), dtype=np.uint64)
+    """The rows of a slice that hold q-grams of items densely enough anywhere (all rows if some items are short), their bytes and offsets, and which q-grams are an item's."""
+    flags = np.zeros(len(data), dtype=bool)
     places = gram_places(data)
     flags[: len(places)] = block.bitmap[places]
     every = np.arange(len(offsets) - 1)
     if block.short:
         return every, data, offsets, flags
-    hits = np.concatenate([[0], np.cumsum(flags != 0)])
+    hits = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
     tiles = np.arange(0, len(data), TILE_STEP)
     full = tiles[hits[np.minimum(tiles + TILE + TILE_STEP, len(data))] - hits[tiles] >= block.tile_grams]
     # a tile may reach into the rows behind the one it begins in
     low = np.searchsorted(offsets, full, side="right") - 1
     high = np.searchsorted(offsets, np.minimum(full + TILE + TILE_STEP, len(data)) - 1, side="right") - 1
-    depth = np.zeros(len(every) + 1, dtype=np.int64)
-    np.add.at(depth, low, 1)
-    np.add.at(depth, high + 1, -1)
+    depth = np.bincount(low, minlength=len(every) + 1) - np.bincount(high + 1, minlength=len(every) + 1)
     touched = np.cumsum(depth)[:-1] > 0
     rows = every[touched]
     sizes = np.diff(offsets)[rows]
@@ -244,23 +269,26 @@ def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatc
     for batch in batches:
         ids = batch.column(0).to_pylist()
         out = []
-        for first, end, raw, raw_offsets in slices(batch.column(1)):
+        for first, end, raw, raw_offsets in _slices(batch.column(1)):
             data, offsets, _ = plain(raw, raw_offsets)
             rows, data, offsets, flags = _dense_rows(block, data, offsets)
             found: dict[tuple[int, int], tuple[int, int, int]] = {}
             tried: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
             places = gram_places(data)
-            near = np.zeros(len(data) + 1, dtype=np.int64)  # where dense stretches begin and end
+            near = np.zeros(len(data) + 1, dtype=np.int32)  # where dense stretches begin and end
+            marked = np.flatnonzero(flags)
+            bits = block.gram_bits[np.searchsorted(block.gram_at, places[marked])] if len(marked) else np.zeros(0, np.uint64)
             for c, (_, most, grams) in enumerate(block.classes if len(data) else []):
-                hits = np.concatenate([[0], np.cumsum((flags >> np.uint64(c % 64)) & np.uint64(1))]).astype(np.int32)
+                hits = np.zeros(len(data) + 1, dtype=np.int32)
+                hits[marked[(bits >> np.uint64(c % 64) & np.uint64(1)) > 0] + 1] = 1
+                hits = np.cumsum(hits, dtype=np.int32)
                 span = min(block.span(most), len(data))
                 # stretches that reach into the next row hold at least the q-grams of their own row
                 dense = np.flatnonzero(np.concatenate([hits[span:], np.full(span - 1, hits[-1], dtype=np.int32)])[: len(data)] - hits[:-1] >= grams)
                 if len(dense):
                     ends = np.minimum(dense + span, offsets[np.searchsorted(offsets, dense, side="right")])
                     dense, ends = dense[hits[ends] - hits[dense] >= grams], ends[hits[ends] - hits[dense] >= grams]
-                    np.add.at(near, dense, 1)
-                    np.add.at(near, ends, -1)
+                    near += (np.bincount(dense, minlength=len(near)) - np.bincount(ends, minlength=len(near))).astype(np.int32)
             starts = np.flatnonzero(np.cumsum(near[:-1]) > 0)
             for part in np.array_split(starts, -(-len(starts) // 4096)) if len(starts) else []:
                 for at, i, offset in block.candidates(data, part).tolist():
@@ -285,9 +313,10 @@ def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatc
                 for doc in range(len(rows)):
                     text = b" " + data[offsets[doc] : offsets[doc + 1]].tobytes() + b" "
                     for i in block.short:
-                        at = text.find(b" " + block.rows[i][1] + b" ")
-                        if at >= 0:
-                            found[doc, i] = (0, at, len(block.rows[i][1]))
+                        size = len(block.rows[i][1])
+                        got = short_match(b" " + block.rows[i][1] + b" ", int(EDITS * size), text)
+                        if got:
+                            found[doc, i] = (got[0], max(0, got[1] - size - 2), size)
             out += [(ids[first + int(rows[doc])], block.rows[i][0], *what) for (doc, i), what in found.items()]
         if out:
             doc, item, edits, start, length = zip(*out)
@@ -301,7 +330,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     EDITS of the item's length from it in edit distance over UTF-8 bytes, A-Z
     taken as a-z and runs of blanks as one space, at RECALL (all of them where a
     segment is without edits); items shorter than SHORT
-    bytes must occur between blanks as they are.  edits, start and length
+    bytes are compared with a blank at both ends, and all occurrences are
+    found.  edits, start and length
     (after that normalisation) tell of the best occurrence.
 
     * Null and blank texts and items match nothing; null ids are reported.
