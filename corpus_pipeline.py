@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rinkline.llm import decontaminate as decontamination
 from rinkline.llm import exact_dedup as exact
 from rinkline.llm import language_id, ngram_join, packing
-from rinkline.llm._shared import ROW, numbered, stored, table, without
+from rinkline.llm._shared import ROW, discard, numbered, stored, table, without
 
 
 def _ranked() -> Column:
@@ -43,7 +43,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     linked = stored(ngram_join.ngram_join(rows, ROW, n=5, percent=80).where(F.col(ROW) != F.col("component_id")).select(ROW, "component_id"), "linked")
     members = linked.unionByName(linked.select(F.col("component_id").alias(ROW), "component_id").distinct())
     first = rows.select(ROW, "doc_id").join(members, ROW).groupBy("component_id").agg(F.min(_ranked()).alias("ranked"))
-    return without(rows, members.join(first.select(f"ranked.{ROW}"), ROW, "left_anti"), ROW).select(*docs.columns)
+    kept = without(rows, members.join(first.select(f"ranked.{ROW}"), ROW, "left_anti"), ROW).select(*docs.columns)
+    discard(linked)
+    return kept
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

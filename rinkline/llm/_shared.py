@@ -6,11 +6,14 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a narrow table (two longs a row, about 20 MB) up to which it is broadcast.
 BROADCAST_ROWS = 200_000
+#: Rows of a group that a task may be given at once.
+LARGE_GROUP = 100_000
 
 #: The column of numbered().
 ROW = "rinkline_row"
@@ -19,10 +22,12 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where none is set."""
+    """The folder that all executors share; one of our own only where none is set and all run on this machine."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = getattr(sc, "_rinkline_dir", None)
         if not found:
             found = "file://" + tempfile.mkdtemp(prefix="rinkline-")
@@ -93,6 +98,21 @@ def if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """rows joined (inner) with one stored row per group by keys; `size` of groups is its number of rows.
+
+    No group of more than LARGE_GROUP rows meets in a task: these are few,
+    at most the rows by LARGE_GROUP, and are broadcast; with few groups all are.
+    """
+    if groups.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups), keys)
+    large = groups.where(F.col(size) > LARGE_GROUP)
+    if large.isEmpty():
+        return rows.join(groups, keys)
+    rest = rows.join(if_small(large.select(*keys)), keys, "left_anti")
+    return rows.join(if_small(large), keys).unionByName(rest.join(groups.where(F.col(size) <= LARGE_GROUP), keys))
+
+
 def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of docs whose id is not in dropped; null ids stay."""
     gone = stored(dropped.select(F.col(id_col)).distinct(), "dropped")
@@ -100,8 +120,23 @@ def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> Data
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """docs stored with a number for each row in ROW, by which rows without an id and repeated rows are told apart."""
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    """docs with a number for each row in ROW, by which rows without an id and repeated rows are told apart.
+
+    The rows of whole Parquet files get the number of their file and their
+    place in it, which stay the same whenever they are read; other rows, such
+    as those of a join, are stored once.
+    """
+    file, at = f"{ROW}_file", f"{ROW}_at"
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    except AnalysisException:  # no files behind these rows
+        return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    files = placed.groupBy(file).agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("most"), F.sum(at).alias("sum")).orderBy(file).collect()
+    if any(f.n != f.most + 1 or f.sum != f.n * (f.n - 1) // 2 for f in files):
+        return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    names = docs.sparkSession.createDataFrame([(i, f[file]) for i, f in enumerate(files)], f"{ROW}_number long, {file} string")
+    number = F.shiftleft(f"{ROW}_number", 36) + F.col(at)
+    return placed.join(F.broadcast(names), file).select(*docs.columns, number.alias(ROW))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rinkline.llm._shared import BROADCAST_ROWS, stored
+from rinkline.llm._shared import discard, if_small, stored, with_groups
 
 #: The characters that do not count: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -40,10 +40,11 @@ def exact_dedup(
       columns are ignored.
 
     Spark: the profile (lengths and prefix hashes) is written once; groups are
-    counted with map-side aggregation, so a third of all rows in one group
-    meets in no task.  Surviving (length, prefix hash) keys are broadcast up to
-    BROADCAST_ROWS of them; beyond, the full hash is taken in the scan, which
-    moves less than a shuffle of the texts.
+    counted with map-side aggregation, and the few large ones are brought back
+    to their rows by a broadcast, so a third of all rows in one group meets in
+    no task.  Surviving (length, prefix hash) keys are broadcast up to
+    BROADCAST_ROWS of them.  Beyond, the rows are shuffled to them: narrow rows
+    if all are to be hashed anyway, else the texts, of which only survivors are hashed.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select(
         "id", F.length(F.coalesce("text", F.lit(""))).alias("points"), normalised(F.col("text")).alias("norm")
@@ -51,28 +52,27 @@ def exact_dedup(
     keyed = rows.select(
         "id", "points", "norm", F.length("norm").alias("len"), F.xxhash64(F.substring("norm", 1, prefix)).alias("head")
     )
-    profile = stored(keyed.select("len", "head"), "profile")
-    lengths = profile.groupBy("len").count().where("count > 1").select("len")
-    twice = profile.join(lengths, "len", "left_semi").groupBy("len", "head").count().where("count > 1")
-    survivors = stored(twice.select("len", "head"), "survivors")
+    profile = stored(keyed.groupBy("len", "head").agg(F.count(F.lit(1)).alias("n")), "profile")
+    lengths = stored(profile.groupBy("len").agg(F.sum("n").alias("n")).where("n > 1").select("len"), "lengths")
+    survivors = stored(profile.join(if_small(lengths), "len", "left_semi").where("n > 1").select("len", "head"), "survivors")
+    discard(profile, lengths)
+    marks = if_small(survivors.withColumn("hit", F.lit(True)))
     full = F.sha2(F.col("norm").cast("binary"), 256)
-    if survivors.count() <= BROADCAST_ROWS:
-        marked = keyed.join(F.broadcast(survivors.withColumn("hit", F.lit(True))), ["len", "head"], "left")
-        hash_it = full if digest_all else F.when(F.col("hit"), full)
-        hashed = marked.select("id", "points", "len", "head", F.coalesce("hit", F.lit(False)).alias("hit"), hash_it.alias("sha"))
+    if digest_all:
+        marked = keyed.select("id", "points", "len", "head", full.alias("sha")).join(marks, ["len", "head"], "left")
     else:
-        narrow = keyed.select("id", "points", "len", "head", full.alias("sha"))
-        hashed = narrow.join(survivors.withColumn("hit", F.lit(True)), ["len", "head"], "left").select(
-            "id", "points", "len", "head", F.coalesce("hit", F.lit(False)).alias("hit"), "sha"
-        )
+        marked = keyed.join(marks, ["len", "head"], "left").withColumn("sha", F.when(F.col("hit"), full))
+    hashed = marked.select("id", "points", "len", "head", F.coalesce("hit", F.lit(False)).alias("hit"), "sha")
     hashed = stored(hashed, "hashed")
+    discard(survivors)
     key = ["len", "head", "sha"]
     members = hashed.where("hit")
     groups = members.groupBy(*key).agg(
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct(-F.col("points"), F.col("id").isNull(), F.col("id"))).getField("id").alias("keep_id"),
     )
-    grouped = members.join(groups, key).select("id", "keep_id", "group_size", "sha")
+    groups = stored(groups, "groups")
+    grouped = with_groups(members, groups, key, "group_size").select("id", "keep_id", "group_size", "sha")
     single = hashed.where("not hit").select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
     return grouped.unionByName(single).select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from rinkline.llm._bytes import mix, prefix_hash, slices, span_hash, word_bounds, word_hashes
 from rinkline.llm._components import components
-from rinkline.llm._shared import discard, if_small, stored
+from rinkline.llm._shared import discard, if_small, stored, with_groups
 
 #: Least number of buckets of the histogram that goes with a set, and n-grams for each bucket of a larger one.
 SKETCH, BUCKET_GRAMS = 64, 20
@@ -369,16 +369,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = np.sort(np.array([r.gram for r in counts.select("gram").toLocalIterator()], dtype=np.int64).view(np.uint64))
     frequent = spark.sparkContext.broadcast(hot)
     filled = profiles.where("n > 0 and doc is not null")
-    classes = filled.groupBy("n", "a", "b").agg(F.min("doc").alias("class"))
-    member = stored(filled.join(classes, ["n", "a", "b"]).select("doc", "class", "n", "sketch"), "members")
+    classes = stored(filled.groupBy("n", "a", "b").agg(F.min("doc").alias("class"), F.count(F.lit(1)).alias("copies")), "classes")
+    member = stored(with_groups(filled, classes, ["n", "a", "b"], "copies").select("doc", "class", "n", "sketch"), "members")
     heads = member.where("doc = class").select("class", "n", "sketch").distinct()
 
     own = texts.where("doc is not null").select("doc", "text", F.col("doc").alias("class"))
     grams = stored(own.mapInArrow(partial(_prefixes, n=n, percent=percent, frequent=frequent), "gram long, class long"), "prefixes")
-    seen = grams.groupBy("gram").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("gram")
-    wanted = grams.join(stored(seen, "grams"), "gram", "left_semi").join(heads.select("class"), "class").select("gram", "class").distinct()
+    seen = stored(grams.groupBy("gram").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("gram"), "grams")
+    wanted = grams.join(seen, "gram", "left_semi").join(heads.select("class"), "class").select("gram", "class").distinct()
     wanted = stored(wanted, "shared")
-    discard(grams)
+    discard(grams, seen)
     size = wanted.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min("class").alias("center")).where("k > 1")
     sized = stored(wanted.join(size, "gram"), "sized")
     far = sized.where(F.col("k") > CLOSE_GROUP).select(F.col("class").alias("a"), F.col("center").alias("b")).distinct()
@@ -408,9 +408,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("job"),
         )
         links = links.unionByName(_linked(heads_text, again, n, percent))
-    roots = components(links).select(F.col("id").alias("class"), "root")
-    found = member.join(roots, "class", "left").select("doc", F.coalesce("root", "class").alias("component"))
+    roots = stored(components(links).select(F.col("id").alias("class"), "root"), "roots")
+    found = member.join(if_small(roots), "class", "left").select("doc", F.coalesce("root", "class").alias("component"))
     found = stored(found.distinct(), "components")
+    discard(classes, member, wanted, sized, clusters, spread, roots)
     rows = profiles.where("n is not null").select("doc", "n")
     out = rows.join(found, "doc", "left")
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))

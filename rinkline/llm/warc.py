@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rinkline.llm._shared import if_small, new_path, stored
+from rinkline.llm._shared import discard, if_small, new_path, stored, with_groups
 
 #: Magic number of the skippable frame that holds the dictionary, as the WARC-Zstandard format gives it (fixed value).
 DICTIONARY_FRAME = 0x184D2A5D
-#: Pages that the dictionary is trained on, its size, and the bytes at which a new archive begins.
-SAMPLE_PAGES, DICTIONARY_BYTES, ARCHIVE_BYTES = 400, 64 << 10, 256 << 20
+#: Pages that the dictionary is trained on, characters of each, its size, and the bytes at which a new archive begins.
+SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES, ARCHIVE_BYTES = 400, 32_768, 64 << 10, 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, archive string, position long, length long"
@@ -156,11 +156,15 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, payloads: bool) -> Ite
 
 
 def train_dictionary(pages: DataFrame, sample: int = SAMPLE_PAGES, size: int = DICTIONARY_BYTES) -> bytes:
-    """A dictionary from the records of about `sample` pages, chosen by a hash of the id; no bytes if they are too few."""
+    """A dictionary from the records of about `sample` pages, chosen by a hash of the row; no bytes if they are too few.
+
+    At most twice as many rows, and of each at most SAMPLE_CHARS characters, go to the driver.
+    """
     import zstandard
 
-    draw = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = sorted(pages.where(draw < min(1.0, sample / max(1, pages.count()))).collect(), key=repr)
+    draw = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = pages.where(draw < min(1.0, sample / max(1, pages.count()))).withColumn("html", F.substring("html", 1, SAMPLE_CHARS))
+    chosen = sorted(drawn.limit(2 * sample).collect(), key=repr)
     samples = [record(r.page_id, r.url, (r.html or "").encode("utf-8"), None, False) for r in chosen]
     if len(samples) < 8:
         return b""
@@ -186,20 +190,24 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive
     * An empty table writes nothing; further columns are ignored.
 
     Spark: payloads are hashed in the scan and grouped by hash with map-side
-    aggregation; the revisits, narrow rows, are broadcast only below a row
-    count.  Pages are written where they are read.
+    aggregation; groups come back to their rows without gathering a large one
+    in a task.  Up to BROADCAST_ROWS revisits, narrow rows, are broadcast and
+    pages are written where they are read; beyond, pages are shuffled once.
     """
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     payload = F.coalesce("html", F.lit("")).cast("binary")
     hashed = pages.withColumns({"size": F.octet_length(payload), "sha1": F.sha1(payload), "extra": F.xxhash64(payload)})
-    rows = stored(hashed.select("page_id", "size", "sha1", "extra"), "payloads")
-    rows = rows.where(F.col("size") >= revisit_from)
+    payloads = stored(hashed.select("page_id", "size", "sha1", "extra"), "payloads")
+    rows = payloads.where(F.col("size") >= revisit_from)
     key = ["size", "sha1", "extra"]
-    twice = rows.groupBy(*key).agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    revisits = stored(rows.join(twice, key).where("page_id <> refers_to").select("page_id", *key, "refers_to").distinct(), "revisits")
+    twice = rows.groupBy(*key).agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = stored(twice, "payload_groups")
+    revisits = stored(with_groups(rows, twice, key, "n").where("page_id <> refers_to").select("page_id", *key, "refers_to").distinct(), "revisits")
     marked = hashed.join(if_small(revisits), ["page_id", *key], "left").select("page_id", "url", "html", "refers_to")
     write = partial(_write, folder=folder, dictionary=train_dictionary(pages), archive_bytes=archive_bytes)
-    return stored(marked.mapInArrow(write, INDEX), "index")
+    index = stored(marked.mapInArrow(write, INDEX), "index")
+    discard(payloads, twice, revisits)
+    return index
 
 
 def read_archives(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
