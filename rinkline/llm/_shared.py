@@ -80,13 +80,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
-def finished(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """Names of the folders in path that begin with prefix and were written to their end."""
-    fs, at = _folder(spark, path)
-    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
-    return [x for x in names if x.startswith(prefix) and exists(spark, f"{path}/{x}/_SUCCESS")]
-
-
 def discard(*frames: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more."""
     for df in frames:

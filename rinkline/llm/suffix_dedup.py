@@ -16,6 +16,7 @@ is one bucket: Spark moves whole sorted arrays, and numpy merges them in tasks.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from rinkline.llm import _repeats
 from rinkline.llm._bytes import IS_BLANK, byte_symbols, covered, mix, prefix_hash, slices, span_hash
-from rinkline.llm._shared import delete, discard, exists, finished, if_small, new_path, shuffle_cleanup, stored
+from rinkline.llm._shared import delete, discard, exists, if_small, new_path, shuffle_cleanup, stored
 
 #: Bytes of a suffix that the arrays are sorted by.
 SUFFIX_BYTES = 16
@@ -43,9 +44,11 @@ MANY_CONTEXTS = 512
 _TOP = np.uint64(1 << 63)
 #: Where there are no blanks, suffixes start behind one of eight byte pairs.
 _PAIRS = np.random.default_rng(11).random(65536) < 1 / 8
-_NEW, _LATE, _OPEN = -1, -2, -3  # kinds of rows that are no level: a batch's array, repeated groups, groups to be compared
-_GROUP = "prefix long, doc long, start int, count int"
-_ROWS = "kind int, bucket int, n int, prefix binary, context binary, sides binary, doc binary, start binary, count binary"
+#: Kinds of rows: a batch's array, repeated groups, groups to be compared, and levels as level-<number>-<batches in it>-<highest id>.
+_NEW, _LATE, _OPEN, _LEVEL = "new", "late", "open", "level-"
+#: Buckets of the table at most; beyond, a bucket of the table holds several.
+TABLE_BUCKETS = 10_000
+_ROWS = "bucket int, n int, prefix binary, context binary, sides binary, doc binary, start binary, count binary, kind string"
 
 _slices = partial(slices, limit=1 << 19)
 
@@ -84,23 +87,23 @@ def _unpack(blob: bytes, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, n).T).view(kind).reshape(n)
 
 
-def _row(kind: int, bucket: int, found: Suffixes) -> tuple:
+def _row(kind: str, bucket: int, found: Suffixes) -> tuple:
     if kind == _LATE:  # only the places are needed
         none = np.zeros_like(found.a)
         found = found._replace(a=none, b=none, context=none, sides=none.astype(np.uint32))
     ab = np.stack([found.a.byteswap(), found.b.byteswap()], axis=1) if len(found.a) else np.zeros((0, 2), np.uint64)
     prefix = pa.compress(np.ascontiguousarray(ab), codec="zstd", asbytes=True)
-    return kind, bucket, len(found.a), prefix, *(_pack(x) for x in found[2:])
+    return bucket, len(found.a), prefix, *(_pack(x) for x in found[2:]), kind
 
 
 def _suffixes(batch: pa.RecordBatch, row: int) -> Suffixes:
-    n = batch.column(2)[row].as_py()
-    ab = np.frombuffer(pa.decompress(batch.column(3)[row].as_py(), n * 16, codec="zstd"), dtype=">u8").astype(np.uint64).reshape(n, 2)
-    rest = (_unpack(batch.column(4 + i)[row].as_py(), n, kind) for i, kind in enumerate(_TYPES[2:]))
+    n = batch.column(1)[row].as_py()
+    ab = np.frombuffer(pa.decompress(batch.column(2)[row].as_py(), n * 16, codec="zstd"), dtype=">u8").astype(np.uint64).reshape(n, 2)
+    rest = (_unpack(batch.column(3 + i)[row].as_py(), n, kind) for i, kind in enumerate(_TYPES[2:]))
     return Suffixes(ab[:, 0], ab[:, 1], *rest)
 
 
-_SCHEMA = pa.schema([(x.split()[0], pa.int32() if x.endswith(" int") else pa.binary()) for x in _ROWS.split(", ")])
+_SCHEMA = pa.schema([(name, {"int": pa.int32(), "binary": pa.binary(), "string": pa.string()}[kind]) for name, kind in map(str.split, _ROWS.split(", "))])
 
 
 def _record(rows: list[tuple]) -> pa.RecordBatch:
@@ -238,19 +241,22 @@ def _in_order(found: Suffixes) -> np.ndarray:
     return order
 
 
-def _merge(rows: pa.Table, merged: frozenset[int], level: int, piece: int = 1 << 21) -> pa.Table:
-    """The arrays of one bucket, of a batch and of all levels, to: the new level, repeated groups, and groups to be compared."""
-    bucket = rows.column(1)[0].as_py()
-    out, parts, of = [], [], []
-    for batch in rows.to_batches():
+def _merge(new: pa.Table, old: pa.Table, merged: frozenset[str], level: str, piece: int = 1 << 21) -> pa.Table:
+    """The arrays of one bucket, of a batch and of all levels, to: the new level, repeated groups, and groups to be compared.
+
+    level: the name of the new level, which takes in those of merged.
+    """
+    out, parts, of, bucket = [], [], [], 0
+    for batch in [*new.to_batches(), *old.to_batches()]:
         for i in range(len(batch)):
-            kind = batch.column(0)[i].as_py()
+            row = tuple(c[i].as_py() for c in batch.columns)
+            bucket, kind = row[0], row[-1]
             if kind == _LATE:
-                out.append(tuple(c[i].as_py() for c in batch.columns))
+                out.append(row)
                 continue
             parts.append(_suffixes(batch, i))
-            of.append(np.full(len(parts[-1].a), kind, dtype=np.int32))
-    found, of = _joined(parts), np.concatenate(of) if of else np.zeros(0, np.int32)
+            of.append(np.full(len(parts[-1].a), 0 if kind == _NEW else 1 if kind in merged else 2, dtype=np.int8))
+    found, of = _joined(parts), np.concatenate(of) if of else np.zeros(0, np.int8)  # of: 0 for the batch, 1 for levels that merge, 2 for others
     if not len(of):
         return pa.Table.from_batches([_record(out)] if out else [], _SCHEMA)
     order = _in_order(found)
@@ -258,12 +264,12 @@ def _merge(rows: pa.Table, merged: frozenset[int], level: int, piece: int = 1 <<
     n = len(of)
     first = _runs(found.a, found.b, found.context)
     owner = np.minimum.reduceat(found.doc, first)
-    late = (of == _NEW) & (found.doc > _spread(first, owner, n))
+    late = (of == 0) & (found.doc > _spread(first, owner, n))
     # a prefix with several contexts, of which some are new: those go on that share the bytes before or behind with another document
     key = _runs(found.a, found.b)
     of_key = np.searchsorted(key, np.arange(n), side="right") - 1
     fresh = np.zeros(len(key), dtype=bool)
-    fresh[of_key[(of == _NEW) & ~late]] = True
+    fresh[of_key[(of == 0) & ~late]] = True
     contexts = np.bincount(of_key[first], minlength=len(key))
     at = np.flatnonzero((fresh & (contexts > 1))[of_key] & ~late)
     compare = np.zeros(n, dtype=bool)
@@ -281,12 +287,12 @@ def _merge(rows: pa.Table, merged: frozenset[int], level: int, piece: int = 1 <<
     # of equal contexts the one of the smallest document stays
     stays = np.flatnonzero(found.doc == _spread(first, owner, n))
     stays = stays[_runs(np.searchsorted(first, stays, side="right"))]
-    stays = stays[(of[stays] == _NEW) | np.isin(of[stays], list(merged))]
+    stays = stays[of[stays] < 2]
     out += [_row(level, bucket, found.take(stays[i : i + piece])) for i in range(0, len(stays), piece)]
     return pa.Table.from_batches([_record(out)] if out else [], _SCHEMA)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of arrays to rows of their groups: prefix (hashed), doc, start, count."""
     for batch in batches:
         for i in range(len(batch)):
@@ -300,6 +306,31 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def _by_document(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows of arrays to rows of the same kind, whose buckets are by document."""
+    for batch in batches:
+        for i in range(len(batch)):
+            found = _suffixes(batch, i)
+            part = (mix(found.doc.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            first = _runs(part[order])
+            if len(order):
+                yield _record([_row(_LATE, int(part[order[a]]), found.take(order[a:b])) for a, b in zip(first, np.append(first[1:], len(order)))])
+
+
+def _late_ranges(rows: pa.Table, width: int) -> pa.Table:
+    """Repeated groups of some documents to (doc, a, b), neighbouring ones as one range."""
+    found = _joined([_suffixes(batch, i) for batch in rows.to_batches() for i in range(len(batch))])
+    found = found.take(np.lexsort((found.start, found.doc)))
+    start = found.start.astype(np.int64)
+    end = start + found.count
+    new = np.ones(len(start), dtype=bool)
+    new[1:] = (found.doc[1:] != found.doc[:-1]) | (start[1:] > end[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start)) - 1
+    return pa.table({"doc": found.doc[first], "a": start[first].astype(np.int32), "b": (end[last] - 1 + width).astype(np.int32)})
+
+
 def _windows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """(id, text, groups) to a row for each group: prefix, many, doc, start, hashes of its windows."""
     for batch in batches:
@@ -337,31 +368,31 @@ def _hot_prefixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
 
 
 class SuffixIndex:
-    """The levels of a logarithmic family in a folder; batches of rising ids may be added at any time.
+    """The levels of a logarithmic family, kept as a table in a folder; batches of rising ids may be added at any time.
 
-    Each batch writes a folder batch-<number>-<batches in its level>-<highest
-    id>, in which kind=<number> is the level and the other kinds are what the
-    batch's documents repeat.  A folder stands for the batches up to its own
-    number that its level took in; what older folders hold of these is void.
+    The table is partitioned by the kind of rows and bucketed by the buckets
+    of the arrays, so that a batch is merged with the levels where these lie
+    and only the batch is shuffled.  An index that was made before is opened
+    by its folder and the numbers it was made with.
     """
 
     def __init__(self, spark: SparkSession, path: str, width: int, buckets: int, hot: tuple[int, ...] = ()) -> None:
         self.spark, self.path, self.width, self.buckets = spark, path, width, buckets
         self.hot = spark.sparkContext.broadcast(np.array(sorted(hot), dtype=np.int64).view(np.uint64)) if len(hot) else None
-
-    def _batches(self) -> list[tuple[int, int, int, str]]:
-        """(number, batches in the level, highest id, path) of all batches, newest first."""
-        names = sorted(finished(self.spark, self.path, "batch-"), key=lambda x: -int(x.split("-")[1]))
-        return [(*(int(x) for x in name.split("-", 3)[1:]), f"{self.path}/{name}") for name in names]
-
-    def levels(self) -> list[tuple[int, int, int, str]]:
-        """As _batches, those whose levels count."""
-        out, oldest = [], None
-        for number, size, highest, path in self._batches():
-            if oldest is None or number < oldest:
-                out.append((number, size, highest, path))
-                oldest = number - size + 1
-        return out
+        self.table = f"rinkline_index_{uuid.uuid4().hex}"
+        known = exists(spark, path)
+        spark.sql(
+            f"CREATE TABLE {self.table} ({_ROWS}) USING parquet OPTIONS (compression 'uncompressed') PARTITIONED BY (kind) "
+            f"CLUSTERED BY (bucket) INTO {min(buckets, TABLE_BUCKETS)} BUCKETS LOCATION '{path}'"
+        )
+        if known:
+            spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
+
+    def levels(self) -> list[tuple[str, int, int, int]]:
+        """(name, number, batches in it, highest id), newest first."""
+        names = [r[0].removeprefix("kind=") for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()]
+        found = [(x, *(int(k) for k in x.removeprefix(_LEVEL).split("-", 2))) for x in names if x.startswith(_LEVEL)]
+        return sorted(found, key=lambda x: -x[1])
 
     def add(self, docs: DataFrame) -> None:
         """Adds docs (doc long, text string), whose ids must lie above those of all batches before."""
@@ -369,42 +400,39 @@ class SuffixIndex:
         if high is None:
             return
         known = self.levels()
-        if known and low <= known[0][2]:
-            raise ValueError(f"ids must rise from batch to batch: {low} comes after {known[0][2]}")
+        if known and low <= known[0][3]:
+            raise ValueError(f"ids must rise from batch to batch: {low} comes after {known[0][3]}")
         size, merged = 1, []
-        for level in known:
-            if level[1] == size:
-                merged.append(level)
+        for name, _, batches, _ in known:
+            if batches == size:
+                merged.append(name)
                 size *= 2
-        number = known[0][0] + 1 if known else 1
-        arrays = docs.mapInArrow(partial(_arrays, width=self.width, buckets=self.buckets, hot=self.hot), _ROWS)
-        columns = arrays.columns
-        for old, _, _, path in known:
-            level = self.spark.read.schema(_ROWS).parquet(f"{path}/kind={old}").withColumn("kind", F.lit(old))
-            arrays = arrays.unionByName(level.select(*columns))
-        taken = frozenset(m[0] for m in merged)
+        level, taken = f"{_LEVEL}{known[0][1] + 1 if known else 1}-{size}-{high}", frozenset(merged)
 
-        def merge(rows: pa.Table) -> pa.Table:
-            return _merge(rows, taken, number)
+        def merge(new: pa.Table, old: pa.Table) -> pa.Table:
+            return _merge(new, old, taken, level)
 
-        found = arrays.groupBy("bucket").applyInArrow(merge, _ROWS)
+        arrays = docs.mapInArrow(partial(_arrays, width=self.width, buckets=self.buckets, hot=self.hot), _ROWS)
+        old = self.spark.table(self.table).where(F.col("kind").isin([name for name, *_ in known]))
+        found = arrays.groupBy("bucket").cogroup(old.groupBy("bucket")).applyInArrow(merge, _ROWS)
         with shuffle_cleanup(self.spark):
-            found.write.option("compression", "none").partitionBy("kind").parquet(f"{self.path}/batch-{number}-{size}-{high}")
-        for old, _, _, path in merged:
-            delete(self.spark, f"{path}/kind={old}")
+            found.write.insertInto(self.table)
+        for name in merged:
+            self.spark.sql(f"ALTER TABLE {self.table} DROP PARTITION (kind='{name}')")
+            delete(self.spark, f"{self.path}/kind={name}")
 
-    def groups(self, kind: int) -> DataFrame:
-        """(prefix, doc, start, count) of the groups of this kind in all batches."""
-        paths = [f"{path}/kind={kind}" for *_, path in self._batches() if exists(self.spark, f"{path}/kind={kind}")]
-        if not paths:
-            return self.spark.createDataFrame([], _GROUP)
-        rows = self.spark.read.schema(_ROWS).parquet(*paths).withColumn("kind", F.lit(kind))
-        return rows.select(*(x.split()[0] for x in _ROWS.split(", "))).mapInArrow(_groups, _GROUP)
+    def rows(self, kind: str) -> DataFrame:
+        """The rows of this kind of all batches."""
+        return self.spark.table(self.table).where(F.col("kind") == kind)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.table}")
+        delete(self.spark, self.path)
 
 
 def repeated_ranges(docs: DataFrame, index: SuffixIndex, width: int) -> DataFrame:
     """(doc, ranges): the [from, to) bytes of docs (doc, text) that windows of smaller documents cover, by the index of all of them."""
-    open_groups = stored(index.groups(_OPEN), "open")
+    open_groups = stored(index.rows(_OPEN).mapInArrow(_open_groups, "prefix long, doc long, start int, count int"), "open")
     many = open_groups.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MANY_CONTEXTS)
     many = stored(many.select("prefix", F.lit(True).alias("many")), "many")
     told = open_groups.join(if_small(many), "prefix", "left").select("doc", F.struct("start", "count", "prefix", F.coalesce("many", F.lit(False)).alias("many")).alias("group"))
@@ -417,7 +445,11 @@ def repeated_ranges(docs: DataFrame, index: SuffixIndex, width: int) -> DataFram
     least = each.groupBy("prefix", "window").agg(F.min("doc").alias("owner"))
     late = each.join(least, ["prefix", "window"]).where("doc > owner").withColumn("a", F.col("start") + F.col("at"))
     spans = spans.unionByName(late.select("doc", "a", (F.col("a") + width).alias("b")))
-    settled = index.groups(_LATE).select("doc", F.col("start").alias("a"), (F.col("start") + F.col("count") - 1 + width).alias("b"))
+
+    def late_ranges(rows: pa.Table) -> pa.Table:
+        return _late_ranges(rows, width)
+
+    settled = index.rows(_LATE).mapInArrow(partial(_by_document, parts=index.buckets), _ROWS).groupBy("bucket").applyInArrow(late_ranges, "doc long, a int, b int")
     ranges = spans.unionByName(settled).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     ranges = stored(ranges, "ranges")
     discard(open_groups, many, rows)
@@ -508,7 +540,7 @@ def suffix_dedup(
     for batch in batches_of(known, max(1, batches)):
         index.add(batch)
     ranges = repeated_ranges(known, index, width)
-    delete(spark, index.path)
+    index.drop()
     judged = texts.join(ranges, "doc", "left").select("doc", "text", "ranges")
     if with_bytes:
         out = judged.mapInArrow(_texts, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
