@@ -192,7 +192,7 @@ def _spread(first: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.repeat(values, np.diff(np.append(first, n)))
 
 
-def _arrays(batches: Iterator[pa.RecordBatch], width: int, buckets: int, hot) -> Iterator[pa.RecordBatch]:
+def _arrays(batches: Iterator[pa.RecordBatch], width: int, buckets: int, hot, chunk: int) -> Iterator[pa.RecordBatch]:
     """(id, text) to rows: the chunk's array in buckets, and the groups that a smaller document of the chunk holds too."""
 
     def cut(parts: list[Suffixes]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +222,7 @@ def _arrays(batches: Iterator[pa.RecordBatch], width: int, buckets: int, hot) ->
             found, prefix, bounds, row = suffixes_of(data, offsets, ids[first:end], width)
             parts.append(_single_windows(found, known, prefix, bounds, row, width) if len(known) else found)
             size += len(data)
-            if size >= CHUNK_BYTES:
+            if size >= chunk:
                 yield from cut(parts)
                 parts, size = [], 0
     yield from cut(parts)
@@ -412,12 +412,16 @@ class SuffixIndex:
         def merge(new: pa.Table, old: pa.Table) -> pa.Table:
             return _merge(new, old, taken, level)
 
-        arrays = docs.mapInArrow(partial(_arrays, width=self.width, buckets=self.buckets, hot=self.hot), _ROWS)
+        arrays = docs.mapInArrow(partial(_arrays, width=self.width, buckets=self.buckets, hot=self.hot, chunk=CHUNK_BYTES), _ROWS)
         old = self.spark.table(self.table).where(F.col("kind").isin([name for name, *_ in known]))
         found = arrays.groupBy("bucket").cogroup(old.groupBy("bucket")).applyInArrow(merge, _ROWS)
         with shuffle_cleanup(self.spark):
             found.write.insertInto(self.table)
-        for name in merged:
+        self.forget(merged)
+
+    def forget(self, names: list[str]) -> None:
+        """Deletes levels: those that were merged, or all if no batch will follow."""
+        for name in names:
             self.spark.sql(f"ALTER TABLE {self.table} DROP PARTITION (kind='{name}')")
             delete(self.spark, f"{self.path}/kind={name}")
 
@@ -539,6 +543,7 @@ def suffix_dedup(
     index = SuffixIndex(spark, new_path(spark, "index"), width, max(1, -(-size // BUCKET_BYTES)), tuple(hot_prefixes(known, width)))
     for batch in batches_of(known, max(1, batches)):
         index.add(batch)
+    index.forget([name for name, *_ in index.levels()])
     ranges = repeated_ranges(known, index, width)
     index.drop()
     judged = texts.join(ranges, "doc", "left").select("doc", "text", "ranges")

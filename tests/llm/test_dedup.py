@@ -9,6 +9,7 @@ import pytest
 from rinkline.llm.exact_dedup import exact_dedup
 from rinkline.llm.ngram_join import TrieJoin, ngram_join
 from rinkline.llm.substring_dedup import substring_dedup
+from rinkline.llm import suffix_dedup as suffix_module
 from rinkline.llm.suffix_dedup import suffix_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,6 +101,42 @@ def test_suffixes(spark, corpus):
     assert suffix_dedup(_frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("batches", [1, 2, 5, 9])
+def test_suffixes_in_batches(spark, corpus, batches, monkeypatch):
+    """Levels merge as batches come; frequent prefixes enter window by window; small chunks and buckets; against brute force."""
+    monkeypatch.setattr(suffix_module, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(suffix_module, "BUCKET_BYTES", 3000)
+    monkeypatch.setattr(suffix_module, "MANY_CONTEXTS", 2)
+    if batches > 1:
+        monkeypatch.setattr(suffix_module, "SAMPLE_ONE_IN", 1)
+        monkeypatch.setattr(suffix_module, "LEAST", 5)
+    size = sum(len((t or "").encode()) for _, t in corpus)
+    want = [(i, sum(g)) for i, _, g in _removed([(i, (t or "").encode()) for i, t in corpus], 50)]
+    got = suffix_dedup(_frame(spark, corpus), with_bytes=False, batch_bytes=-(-size // batches))
+    assert sorted((r.doc_id, r.n_removed) for r in got.collect()) == sorted(want)
+
+
+def test_suffix_index_grows(spark, corpus, tmp_path):
+    """An index is a binary counter of batches, can be opened again, and takes only rising ids."""
+    path = f"file://{tmp_path}/index"
+    index = suffix_module.SuffixIndex(spark, path, 50, 3)
+    corpus = [x for x in corpus if x[0] < 90]
+    docs = _frame(spark, corpus).selectExpr("doc_id AS doc", "text")
+    sizes = []
+    for low in range(0, 90, 15):
+        index.add(docs.where(f"doc >= {low} AND doc < {low + 15}"))
+        sizes.append([n for _, _, n, _ in index.levels()])
+        if low == 30:
+            index = suffix_module.SuffixIndex(spark, path, 50, 3)
+    assert sizes == [[1], [2], [1, 2], [4], [1, 4], [2, 4]]
+    with pytest.raises(ValueError):
+        index.add(docs.where("doc < 5"))
+    ranges = suffix_module.repeated_ranges(docs, index, 50)
+    want = {i for i, _, g in _removed([(i, (t or "").encode()) for i, t in corpus], 50) if any(g)}
+    assert {r.doc for r in ranges.collect()} == want
+    index.drop()
+
+
 def _sets(corpus, n):
     out = {}
     for i, t in corpus:
