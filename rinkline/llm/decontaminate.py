@@ -242,13 +242,13 @@ def short_match(item: bytes, edits: int, text: bytes) -> tuple[int, int] | None:
 
 
 def _dense_rows(block: Items, data: np.ndarray, offsets: np.ndarray):
-    """The rows of a slice that hold q-grams of items densely enough anywhere (all rows if some items are short), their bytes and offsets, and which q-grams are an item's."""
+    """The rows of a slice that hold q-grams of items densely enough anywhere (all rows if some items are short), and their bytes and offsets."""
     flags = np.zeros(len(data), dtype=bool)
     places = gram_places(data)
     flags[: len(places)] = block.bitmap[places]
     every = np.arange(len(offsets) - 1)
     if block.short:
-        return every, data, offsets, flags
+        return every, data, offsets
     hits = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
     tiles = np.arange(0, len(data), TILE_STEP)
     full = tiles[hits[np.minimum(tiles + TILE + TILE_STEP, len(data))] - hits[tiles] >= block.tile_grams]
@@ -260,7 +260,7 @@ def _dense_rows(block: Items, data: np.ndarray, offsets: np.ndarray):
     rows = every[touched]
     sizes = np.diff(offsets)[rows]
     at = np.repeat(offsets[:-1][rows] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-    return rows, data[at], np.concatenate([[0], np.cumsum(sizes)]), flags[at]
+    return rows, data[at], np.concatenate([[0], np.cumsum(sizes)])
 
 
 def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatch]:
@@ -271,12 +271,12 @@ def _matches(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.RecordBatc
         out = []
         for first, end, raw, raw_offsets in _slices(batch.column(1)):
             data, offsets, _ = plain(raw, raw_offsets)
-            rows, data, offsets, flags = _dense_rows(block, data, offsets)
+            rows, data, offsets = _dense_rows(block, data, offsets)
             found: dict[tuple[int, int], tuple[int, int, int]] = {}
             tried: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
             places = gram_places(data)
             near = np.zeros(len(data) + 1, dtype=np.int32)  # where dense stretches begin and end
-            marked = np.flatnonzero(flags)
+            marked = np.flatnonzero(block.bitmap[places])
             bits = block.gram_bits[np.searchsorted(block.gram_at, places[marked])] if len(marked) else np.zeros(0, np.uint64)
             for c, (_, most, grams) in enumerate(block.classes if len(data) else []):
                 hits = np.zeros(len(data) + 1, dtype=np.int32)

@@ -46,8 +46,8 @@ _TOP = np.uint64(1 << 63)
 _PAIRS = np.random.default_rng(11).random(65536) < 1 / 8
 #: Kinds of rows: a batch's array, repeated groups, groups to be compared, and levels as level-<number>-<batches in it>-<highest id>.
 _NEW, _LATE, _OPEN, _LEVEL = "new", "late", "open", "level-"
-#: Buckets of the table at most; beyond, a bucket of the table holds several.
-TABLE_BUCKETS = 10_000
+#: Buckets that share a file of a level, and files of a level at most.
+FILE_BUCKETS, MOST_FILES = 4, 10_000
 _ROWS = "bucket int, n int, prefix binary, context binary, sides binary, doc binary, start binary, count binary, kind string"
 
 _slices = partial(slices, limit=1 << 19)
@@ -383,7 +383,7 @@ class SuffixIndex:
         known = exists(spark, path)
         spark.sql(
             f"CREATE TABLE {self.table} ({_ROWS}) USING parquet OPTIONS (compression 'uncompressed') PARTITIONED BY (kind) "
-            f"CLUSTERED BY (bucket) INTO {min(buckets, TABLE_BUCKETS)} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY (bucket) INTO {min(-(-buckets // FILE_BUCKETS), MOST_FILES)} BUCKETS LOCATION '{path}'"
         )
         if known:
             spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
