@@ -37,7 +37,8 @@ def distance_bucket(feet: Column) -> Column:
 
 
 def period_label(number: Column, kind: Column) -> Column:
-    return F.when(kind == "OT", "OT").otherwise(number.cast("string"))
+    """OT and SO by name, others by number."""
+    return F.when(kind.isin("OT", "SO"), kind).otherwise(number.cast("string"))
 
 
 def position_group(code: Column, coarse: bool = False) -> Column:

@@ -34,6 +34,19 @@ def plays_with_strength(t: League, shootout: bool = False) -> DataFrame:
     return plays.join(sides, "game_id").withColumns({"owner_is_home": at_home, "strength": strength(F.col("situation_code"), at_home), "distance_ft": distance(F.col("x_coord"), F.col("y_coord"))})
 
 
+def narrowed(t: League, team: str | None = None, season: int | None = None, game_type: int | None = None, opponent: str | None = None, final_only: bool = False, game_id: int | None = None, **_) -> League:
+    """The league with only the games that the filters leave; the plays of others go where blocks join plays with games, before they are exploded."""
+    games = t.games.where("is_final") if final_only else t.games
+    for name, value in (("season", season), ("game_type", game_type), ("game_id", game_id)):
+        if value is not None:
+            games = games.where(F.col(name) == value)
+    for abbrev in (team, opponent):
+        if abbrev is not None:
+            chosen = F.broadcast(t.teams.where(F.col("abbrev") == abbrev).select("team_id"))
+            games = games.join(chosen, F.col("team_id").isin(F.col("home_team_id"), F.col("away_team_id")), "left_semi")
+    return League(games, t.rosters, t.plays, t.teams)
+
+
 def player_games(
     t: League, team: str | None = None, season: int | None = None, game_type: int | None = 2, player: str | None = None, position: str | None = None, goalies: bool | None = False
 ) -> DataFrame:
@@ -63,13 +76,13 @@ def player_games(
     return rows
 
 
-def player_stats(t: League) -> DataFrame:
+def player_stats(t: League, shootout: bool = False) -> DataFrame:
     """One row per game and player with an event: every measure of the catalogue.
 
     Every play is exploded once into its (player, role) pairs, without nulls;
     one aggregation by (game, player) takes all measures.
     """
-    plays = plays_with_strength(t)
+    plays = plays_with_strength(t, shootout)
     pairs = F.array(*(F.struct(F.col(c).alias("pid"), F.lit(r).alias("role")) for c, r in ROLES.items()))
     kept = ["game_id", "type_desc_key", "period_number", "period_type", "time_in_period", "strength", "penalty_desc_key", "penalty_duration"]
     rows = plays.select(*kept, F.explode(F.filter(pairs, lambda x: x.pid.isNotNull())).alias("r")).select(*kept, F.col("r.pid").alias("player_id"), F.col("r.role").alias("role"))
@@ -89,14 +102,14 @@ def with_stats(people: DataFrame, stats: DataFrame) -> DataFrame:
 
 def goalie_shots(t: League, **filters) -> DataFrame:
     """Every goal and shot on goal that a dressed goalie faced."""
-    shots = plays_with_strength(t).where(F.col("type_desc_key").isin("goal", "shot-on-goal"))
+    shots = plays_with_strength(narrowed(t, **({"game_type": 2} | filters))).where(F.col("type_desc_key").isin("goal", "shot-on-goal"))
     keep = ["game_id", F.col("goalie_in_net_id").alias("player_id"), (F.col("type_desc_key") == "goal").alias("is_goal"), "distance_ft", "strength", "zone_code", "shot_type", "period_number", "period_type"]
     return shots.where("goalie_in_net_id is not null").select(*keep).join(player_games(t, goalies=True, **filters), ["game_id", "player_id"])
 
 
 def player_shots(t: League, **filters) -> DataFrame:
     """Every shot attempt of a dressed skater."""
-    shots = plays_with_strength(t).where(F.col("type_desc_key").isin("goal", "shot-on-goal", "missed-shot", "blocked-shot"))
+    shots = plays_with_strength(narrowed(t, **({"game_type": 2} | filters))).where(F.col("type_desc_key").isin("goal", "shot-on-goal", "missed-shot", "blocked-shot"))
     kind = F.col("type_desc_key")
     keep = ["game_id", F.coalesce("scoring_player_id", "shooting_player_id").alias("player_id"), (kind == "goal").alias("is_goal"), kind.isin("goal", "shot-on-goal").alias("on_net"), (kind == "blocked-shot").alias("blocked"), "distance_ft", "strength", "zone_code", "shot_type", "period_number", "period_type", "goalie_in_net_id"]
     return shots.select(*keep).where("player_id is not null").join(player_games(t, **filters), ["game_id", "player_id"])
@@ -144,4 +157,4 @@ def team_stats(t: League) -> DataFrame:
 
 def team_game_stats(t: League, **filters) -> DataFrame:
     names = [*TEAM_MEASURES, "pim", "opp_pim"]
-    return team_games(t, **filters).join(team_stats(t), ["game_id", "team_id"], "left").fillna(0, names)
+    return team_games(t, **filters).join(team_stats(narrowed(t, **({"game_type": 2, "final_only": True} | filters))), ["game_id", "team_id"], "left").fillna(0, names)

@@ -1,9 +1,12 @@
-"""DuckDB SQL for the registered queries, written from the definitions and not from the DataFrame plans."""
+"""DuckDB SQL for the registered queries.
+
+Measures, ratios, lists and minimums come from rinkline.plans.definitions; of
+the library only the rules are used by which plays are made from the tables.
+"""
 
 from __future__ import annotations
 
-from rinkline.operators.measures import DERIVED, ROLE_MEASURES, TEAM_DERIVED, TEAM_MEASURES, ratio, share
-from rinkline.queries import specs
+from rinkline.plans import definitions as d
 from rinkline.sources.derived import RULES
 
 _PLAYER = "cast(8470000 + (case when {s} = 0 then ({team} - 1 + (g // 25) % 2) % 25 else {team} - 1 end) * 20 + {s} as bigint)"
@@ -47,8 +50,15 @@ plays AS (
         CASE WHEN type_desc_key IN ('takeaway', 'giveaway') THEN {_who('own', 'a')} END AS player,
         CASE WHEN type_desc_key = 'penalty' THEN penalty_type_code END AS penalty_type_code,
         CASE WHEN type_desc_key = 'penalty' THEN penalty_desc_key END AS penalty_desc_key,
-        CASE WHEN type_desc_key = 'penalty' THEN penalty_duration END AS penalty_duration
-    FROM sided),
+        CASE WHEN type_desc_key = 'penalty' THEN penalty_duration END AS penalty_duration, cast(type_code AS integer) AS type_code, stoppage_reason,
+        CASE WHEN g % 7 = 0 THEN NULL WHEN (period_number + g) % 2 = 0 THEN 'left' ELSE 'right' END AS home_side,
+        CASE WHEN type_desc_key = 'goal' AND period_type <> 'SO' THEN cast(sum(CASE WHEN type_desc_key = 'goal' AND period_type <> 'SO' AND NOT at_home THEN 1 ELSE 0 END) OVER game AS integer) END AS away_score,
+        CASE WHEN type_desc_key = 'goal' AND period_type <> 'SO' THEN cast(sum(CASE WHEN type_desc_key = 'goal' AND period_type <> 'SO' AND at_home THEN 1 ELSE 0 END) OVER game AS integer) END AS home_score,
+        CASE WHEN type_desc_key = 'shot-on-goal' AND period_type <> 'SO' THEN cast(sum(CASE WHEN type_desc_key IN ('goal', 'shot-on-goal') AND period_type <> 'SO' AND NOT at_home THEN 1 ELSE 0 END) OVER game AS integer) END AS away_sog,
+        CASE WHEN type_desc_key = 'shot-on-goal' AND period_type <> 'SO' THEN cast(sum(CASE WHEN type_desc_key IN ('goal', 'shot-on-goal') AND period_type <> 'SO' AND at_home THEN 1 ELSE 0 END) OVER game AS integer) END AS home_sog,
+        CASE WHEN type_desc_key = 'goal' AND period_type <> 'SO' THEN cast(sum(CASE WHEN type_desc_key = 'goal' AND period_type <> 'SO' THEN 1 ELSE 0 END)
+            OVER (PARTITION BY season, {_who('own', 'a')} ORDER BY g, i) AS integer) END AS scorer_total
+    FROM sided WINDOW game AS (PARTITION BY g ORDER BY i)),
 strong AS (SELECT *, {_STRENGTH} AS strength FROM plays WHERE period_type <> 'SO'),
 scores AS (SELECT g, count(*) FILTER (WHERE type_desc_key = 'goal' AND period_type <> 'SO' AND at_home) AS h,
         count(*) FILTER (WHERE type_desc_key = 'goal' AND period_type <> 'SO' AND NOT at_home) AS a FROM sided GROUP BY g),
@@ -56,7 +66,7 @@ games AS (SELECT 2024020000 + g AS game_id, g, {RULES['season']} AS season, {RUL
         {RULES['home_team_id']} AS home_team_id, {RULES['away_team_id']} AS away_team_id,
         cast(make_date(2021 + g // 200, 10, 1) + cast(g % 200 AS integer) AS date) AS game_date,
         h + CASE WHEN h = a AND g % 2 = 0 THEN 1 ELSE 0 END AS hs, a + CASE WHEN h = a AND g % 2 = 1 THEN 1 ELSE 0 END AS as_,
-        CASE WHEN h = a THEN 'SO' WHEN g % 4 = 0 THEN 'OT' ELSE 'REG' END AS decided_in FROM scores),
+        CASE WHEN h = a THEN 'SO' WHEN g % 4 = 0 THEN 'OT' ELSE 'REG' END AS decided_in, 'Arena ' || {RULES['home_team_id']} AS venue_name FROM scores),
 sides AS (SELECT *, home_team_id AS team_id, away_team_id AS opponent_id, true AS is_home, hs AS score_for, as_ AS score_against FROM games
     UNION ALL SELECT *, away_team_id, home_team_id, false, as_, hs FROM games),
 played AS (SELECT s.*, t.abbrev AS team, o.abbrev AS opponent, CASE WHEN is_home THEN 'Home' ELSE 'Away' END AS venue,
@@ -74,22 +84,17 @@ people AS (SELECT *, 'P' || player_id || ' L' || player_id % 97 AS full_name,
 _ROLES = ("scorer", "assist1", "assist2", "shooter", "blocker", "hitter", "hittee", "winner", "loser", "committed", "drawn", "player")
 
 
-def _measure(kind: str, role: str, more: str) -> str:
-    roles = "('assist1', 'assist2')" if role == "assist" else f"('{role}')"
-    return f"count(*) FILTER (WHERE type_desc_key = '{kind}' AND role IN {roles}{' AND ' + more if more else ''})"
-
-
 _KEPT = "game_id, type_desc_key, period_number, period_type, time_in_period, strength, penalty_desc_key, penalty_duration"
 STATS = f""",
 acts AS ({' UNION ALL '.join(f"SELECT {_KEPT}, {r} AS player_id, '{r}' AS role FROM strong WHERE {r} IS NOT NULL" for r in _ROLES)}),
-stats AS (SELECT game_id, player_id, {', '.join(f'{_measure(*m)} AS {n}' for n, m in ROLE_MEASURES.items())},
+stats AS (SELECT game_id, player_id, {', '.join(f'count(*) FILTER (WHERE {c}) AS {n}' for n, c in d.PARTS.items())},
         coalesce(sum(penalty_duration) FILTER (WHERE type_desc_key = 'penalty' AND role = 'committed'), 0) AS pim FROM acts GROUP BY ALL),
-skaters AS (SELECT p.*, {', '.join(f'coalesce({n}, 0) AS {n}' for n in [*ROLE_MEASURES, 'pim'])} FROM people p LEFT JOIN stats USING (game_id, player_id) WHERE position_code <> 'G')"""
+skaters AS (SELECT p.*, {', '.join(f'coalesce({n}, 0) AS {n}' for n in [*d.PARTS, 'pim'])} FROM people p LEFT JOIN stats USING (game_id, player_id) WHERE position_code <> 'G')"""
 
 TEAM = f""",
 seen AS (SELECT s.*, unnest([home_team_id, away_team_id]) AS team_id FROM strong s),
 faced AS (SELECT *, CASE WHEN owner = team_id THEN 'for' ELSE 'against' END AS side FROM seen),
-team_stats AS (SELECT game_id, team_id, {', '.join(f'count(*) FILTER (WHERE {c}) AS {n}' for n, c in TEAM_MEASURES.items())},
+team_stats AS (SELECT game_id, team_id, {', '.join(f'count(*) FILTER (WHERE {c}) AS {n}' for n, c in d.SEEN.items())},
         coalesce(sum(penalty_duration) FILTER (WHERE side = 'for'), 0) AS pim, coalesce(sum(penalty_duration) FILTER (WHERE side = 'against'), 0) AS opp_pim
     FROM faced GROUP BY ALL),
 team_rows AS (SELECT p.*, t.* EXCLUDE (game_id, team_id), CASE WHEN team = 'T05' THEN 'Team' ELSE 'Rest of league' END AS scope,
@@ -100,48 +105,85 @@ team_rows AS (SELECT p.*, t.* EXCLUDE (game_id, team_id), CASE WHEN team = 'T05'
     FROM played p JOIN team_stats t USING (game_id, team_id) WHERE game_state = 'OFF')"""
 
 _BUCKET = "CASE WHEN feet < 15 THEN '1) 0-15 ft' WHEN feet < 30 THEN '2) 15-30 ft' WHEN feet < 45 THEN '3) 30-45 ft' ELSE '4) 45+ ft' END"
-_PERIOD = "CASE WHEN period_type = 'OT' THEN 'OT' ELSE cast(period_number AS varchar) END"
+_PERIOD = "CASE WHEN period_type IN ('OT', 'SO') THEN period_type ELSE cast(period_number AS varchar) END"
 
 
 def _cols(names: str, derived: dict[str, str]) -> str:
     return ", ".join(f"{derived.get(n, n)} AS {n}" for n in names.split())
 
 
-def _sums(keys: str, position: str | None = None, least: str = "") -> str:
-    where = {"F": "WHERE position_code IN ('C', 'L', 'R')", "W": "WHERE position_code IN ('L', 'R')", None: ""}.get(position, f"WHERE position_code = '{position}'")
+#: BASE with the games of all types and with the shootout's plays.
+EVERY = BASE.replace("WHERE game_type = 2)", ")").replace("FROM plays WHERE period_type <> 'SO')", "FROM plays)")
+NAME = "'P' || player_id || ' L' || player_id % 97 AS full_name"
+
+
+def _sums(keys: str, positions: str = "") -> str:
+    where = f"WHERE position_code IN ({positions})" if positions else ""
     return f""",
 sums AS (SELECT {keys}, count(*) AS games_played, count(DISTINCT player_id) AS players, arg_max(position_code, (game_date, game_id)) AS position,
-        {', '.join(f'cast(sum({n}) AS bigint) AS {n}' for n in [*ROLE_MEASURES, 'pim'])} FROM skaters {where} GROUP BY {keys})"""
+        {', '.join(f'cast(sum({n}) AS bigint) AS {n}' for n in [*d.PARTS, 'pim'])} FROM skaters {where} GROUP BY {keys})"""
+
+
+def _cut(least: list[str]) -> str:
+    """Conditions from names and values in turn."""
+    return " AND ".join(["true", *(f"{d.PLAYER.get(n, n)} >= {v}" for n, v in zip(least[::2], least[1::2]))])
+
+
+def _falling(order: str) -> str:
+    return ", ".join([*(f"{d.PLAYER.get(n, n)} DESC NULLS LAST" for n in order.split()), "player_id"])
+
+
+def _board(columns: str, order: str, cut: str, positions: str) -> str:
+    return f"""{BASE}{STATS}{_sums('full_name, player_id', positions)}
+SELECT full_name, position, games_played, player_id, {_cols(columns, d.PLAYER)}, row_number() OVER (ORDER BY {_falling(order)}) AS rank FROM sums WHERE {cut} QUALIFY rank <= 25"""
+
+
+def _all_time(columns: str, order: str, cut: str) -> str:
+    return f"""{EVERY}{STATS}, sums AS (SELECT player_id, {', '.join(f'cast(sum({m}) AS bigint) AS {m}' for m in [*d.PARTS, 'pim'])} FROM stats GROUP BY player_id),
+newest AS (SELECT player_id, full_name, arg_max(position_code, (game_date, game_id)) AS position FROM people GROUP BY ALL),
+ranked AS (SELECT player_id, {_cols(columns, d.PLAYER)}, row_number() OVER (ORDER BY {_falling(order)}) AS rank FROM sums WHERE {cut} QUALIFY rank <= 25)
+SELECT ranked.*, full_name, position FROM ranked LEFT JOIN newest USING (player_id)"""
+
+
+def _parts(line: str) -> list[str]:
+    return [x.strip() for x in line.split("/")]
 
 
 def build() -> dict[str, str]:
     out = {}
-    for n, (columns, order, least, position) in specs.LEADERBOARDS.items():
-        cut = " AND ".join(["games_played >= 1", *(f"{DERIVED.get(k, k)} >= {v}" for k, v in least.items())])
-        by = ", ".join([*(f"{DERIVED.get(k, k)} DESC NULLS LAST" for k in order.split()), "player_id"])
-        out[n] = f"""{BASE}{STATS}{_sums('full_name, player_id', position)}
-SELECT full_name, position, games_played, player_id, {_cols(columns, DERIVED)}, row_number() OVER (ORDER BY {by}) AS rank FROM sums WHERE {cut} QUALIFY rank <= 25"""
-    n, players, columns = specs.HEAD_TO_HEAD
-    out[n] = f"{BASE}{STATS}{_sums('full_name, player_id')} SELECT full_name, position, games_played, player_id, {_cols(columns, DERIVED)} FROM sums WHERE full_name IN {players}"
-    for n, (columns, order, least) in specs.ALL_TIME.items():
-        cut = " AND ".join(["true", *(f"{DERIVED.get(k, k)} >= {v}" for k, v in least.items())])
-        by = ", ".join([*(f"{DERIVED.get(k, k)} DESC NULLS LAST" for k in order.split()), "player_id"])
-        out[n] = f"""{BASE}{STATS}, sums AS (SELECT player_id, {', '.join(f'cast(sum({m}) AS bigint) AS {m}' for m in [*ROLE_MEASURES, 'pim'])} FROM stats GROUP BY player_id)
-SELECT player_id, {_cols(columns, DERIVED)}, row_number() OVER (ORDER BY {by}) AS rank FROM sums WHERE {cut} QUALIFY rank <= 25"""
+    for n, line in d.BOARDS.items():
+        columns, order, least, positions = _parts(line)
+        out[n] = _board(columns, order, _cut(["games_played", "1", *least.split()]), positions)
+        if n in d.USUAL:
+            games, *usual = d.USUAL[n].split()
+            out[f"{n}_usual"] = _board(columns, order, _cut(["games_played", games, *usual]), positions)
+    each = d.BOARDS["q044_player_full_stat_line"].split("/")[0].replace("points_per_game", "points_per_game pp_points")
+    out["q052_player_head_to_head_comparison"] = (
+        f"{BASE}{STATS}{_sums('full_name, player_id')} SELECT full_name, position, games_played, player_id, {_cols(each, d.PLAYER)} FROM sums WHERE full_name IN ('P8470041 L1', 'P8470043 L3')"
+    )
+    for n, line in d.ALL_TIME.items():
+        columns, order, least = _parts(line)
+        name, *values = least.split() or [""]
+        for value, end in zip(values or [""], ("", "_usual")):
+            out[n + end] = _all_time(columns, order, _cut([name, value] if name else []))
     out["n13_goals_by_period_and_type"] = f"{BASE} SELECT period_number, period_type, count(*) AS goals FROM plays WHERE type_desc_key = 'goal' GROUP BY ALL"
-    for n, (keys, columns) in specs.SPLITS.items():
+    for n, line in d.SPLITS.items():
+        keys, columns = _parts(line)
         keys = ", ".join(["full_name", "player_id", *keys.split()])
-        out[n] = f"{BASE}{STATS}{_sums(keys)} SELECT {keys}, games_played, {_cols(columns, DERIVED)} FROM sums"
-    for n, (keys, columns) in specs.GROUPS.items():
+        out[n] = f"{BASE}{STATS}{_sums(keys)} SELECT {keys}, games_played, {_cols(columns, d.PLAYER)} FROM sums"
+    for n, line in d.GROUPS.items():
+        keys, columns = _parts(line)
         keys = ", ".join(keys.split())
-        out[n] = f"{BASE}{STATS}{_sums(keys)} SELECT {keys}, players, games_played, {_cols(columns, DERIVED)} FROM sums"
-    for n, (keys, columns) in specs.TEAMS.items():
+        out[n] = f"{BASE}{STATS}{_sums(keys)} SELECT {keys}, players, games_played, {_cols(columns, d.PLAYER)} FROM sums"
+    for n, line in d.TEAMS.items():
+        keys, columns = _parts(line)
         keys = ", ".join(keys.split())
         out[n] = f"""{BASE}{TEAM},
 sums AS (SELECT {keys}, count(*) AS games, count(*) FILTER (WHERE result = 'W') AS wins, count(*) FILTER (WHERE result = 'L') AS losses, count(*) FILTER (WHERE result = 'OTL') AS ot_losses,
-        {', '.join(f'cast(sum({m}) AS bigint) AS {m}' for m in [*TEAM_MEASURES, 'pim', 'opp_pim'])} FROM team_rows GROUP BY {keys})
-SELECT {keys}, {_cols(columns, TEAM_DERIVED)} FROM sums"""
-    for n, (what, keys, condition) in specs.SHOTS.items():
+        {', '.join(f'cast(sum({m}) AS bigint) AS {m}' for m in [*d.SEEN, 'pim', 'opp_pim'])} FROM team_rows GROUP BY {keys})
+SELECT {keys}, {_cols(columns, d.TEAM)} FROM sums"""
+    for n, line in d.SHOTS.items():
+        what, keys, condition = _parts(line)
         keys = ", ".join(keys.split())
         shots = f"""{BASE},
 shots AS (SELECT game_id, type_desc_key = 'goal' AS is_goal, type_desc_key IN ('goal', 'shot-on-goal') AS on_net, type_desc_key = 'blocked-shot' AS blocked, {_BUCKET} AS distance, {_PERIOD} AS period,
@@ -149,15 +191,18 @@ shots AS (SELECT game_id, type_desc_key = 'goal' AS is_goal, type_desc_key IN ('
         {'goalie' if what == 'goalie' else 'coalesce(scorer, shooter)'} AS player_id FROM strong WHERE type_desc_key IN ('goal', 'shot-on-goal', 'missed-shot', 'blocked-shot')),
 rows AS (SELECT s.*, full_name, game_date, opponent, result FROM shots s JOIN people USING (game_id, player_id)
     WHERE position_code {'=' if what == 'goalie' else '<>'} 'G' AND {'on_net' if what == 'goalie' else 'true'} AND {condition}),"""
+        counts = f"SELECT {keys}, count(*) AS shot_attempts, count(*) FILTER (WHERE on_net) AS shots, count(*) FILTER (WHERE is_goal) AS goals FROM rows GROUP BY {keys}"
         if what == "goalie":
             out[n] = f"""{shots}
 sums AS (SELECT {keys}, count(DISTINCT game_id) AS games, count(*) AS shots_faced, count(*) FILTER (WHERE is_goal) AS goals_against FROM rows GROUP BY {keys})
-SELECT *, shots_faced - goals_against AS saves, {ratio('shots_faced - goals_against', 'shots_faced', 1, 3)} AS save_pct FROM sums"""
+SELECT *, shots_faced - goals_against AS saves, {d.per('shots_faced - goals_against', 'shots_faced', 3)} AS save_pct FROM sums"""
+        elif what == "accuracy":
+            out[n] = f"{shots} sums AS ({counts}) SELECT {keys}, shot_attempts AS unblocked_attempts, shots AS shots_on_net, {d.pct('shots', 'shot_attempts')} AS on_net_pct, goals FROM sums"
         else:
             part = "PARTITION BY player_id" if "player_id" in keys else ""
             out[n] = f"""{shots}
-sums AS (SELECT {keys}, count(*) AS shot_attempts, count(*) FILTER (WHERE on_net) AS shots, count(*) FILTER (WHERE is_goal) AS goals FROM rows GROUP BY {keys}),
+sums AS ({counts}),
 wide AS (SELECT *, cast(sum(goals) OVER ({part}) AS bigint) AS all_goals, cast(sum(shots) OVER ({part}) AS bigint) AS all_shots FROM sums)
-SELECT {keys}, shot_attempts, shots, goals, {share('goals', 'shots')} AS shooting_pct, {share('shots', 'shot_attempts')} AS shots_on_net_pct,
-    {share('goals', 'all_goals')} AS share_of_goals_pct, {share('shots', 'all_shots')} AS share_of_shots_pct FROM wide"""
+SELECT {keys}, shot_attempts, shots, goals, {d.pct('goals', 'shots')} AS shooting_pct, {d.pct('shots', 'shot_attempts')} AS shots_on_net_pct,
+    {d.pct('goals', 'all_goals')} AS share_of_goals_pct, {d.pct('shots', 'all_shots')} AS share_of_shots_pct FROM wide"""
     return out

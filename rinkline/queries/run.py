@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rinkline.functions.columns import distance_bucket, period_label, position_group
-from rinkline.operators import blocks
+from rinkline.operators import blocks, gold
 from rinkline.operators.measures import DERIVED, ROLE_MEASURES, TEAM_DERIVED, TEAM_MEASURES, ratio, share
 from rinkline.queries import specs
 from rinkline.sources.derived import League
@@ -31,23 +31,33 @@ def _cols(names: str, derived: dict[str, str]) -> list[Column]:
 
 
 def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of rows, of which there is one per player and game; the number of players only where it is no key."""
+    players = [] if "player_id" in keys else [F.countDistinct("player_id").alias("players")]
     return rows.groupBy(*keys).agg(
-        F.countDistinct("game_id", "player_id").alias("games_played"),
-        F.countDistinct("player_id").alias("players"),
+        F.count(F.lit(1)).alias("games_played"),
+        *players,
         F.max_by("position_code", F.struct("game_date", "game_id")).alias("position"),
         *(F.sum(n).alias(n) for n in STATS),
     )
 
 
 def skaters(t: League, **filters) -> DataFrame:
-    rows = blocks.with_stats(blocks.player_games(t, **filters), blocks.player_stats(t))
+    rows = blocks.with_stats(blocks.player_games(t, **filters), blocks.player_stats(blocks.narrowed(t, **({"game_type": 2} | filters))))
     return rows.withColumns({
         "day_num": F.dayofweek("game_date"), "day_name": F.date_format("game_date", "EEEE"), "month": F.date_format("game_date", "yyyy-MM"),
         "position_group": position_group(F.col("position_code")), "forward_or_defense": position_group(F.col("position_code"), coarse=True),
     })
 
 
-def player_leaderboard(t: League, columns: str, order: str, least: dict[str, int], position: str | None = None, min_games: int = 1, top_n: int = TOP_N, **filters) -> DataFrame:
+def minimums(filters: dict, least: dict[str, int]) -> tuple[dict[str, int], dict]:
+    """The least values, with those of filters named min_<measure> in their stead, and the other filters."""
+    given = {k.removeprefix("min_"): v for k, v in filters.items() if k.startswith("min_")}
+    return least | given, {k: v for k, v in filters.items() if not k.startswith("min_")}
+
+
+def player_leaderboard(t: League, columns: str, order: str, least: dict[str, int], position: str | None = None, min_games: int = 10, top_n: int = TOP_N, **filters) -> DataFrame:
+    """The first top_n players by order. min_<measure> sets a least value."""
+    least, filters = minimums(filters, least)
     sums = _summed(skaters(t, position=position, **filters), ["full_name", "player_id"]).where(F.col("games_played") >= min_games)
     for name, value in least.items():
         sums = sums.where(F.expr(DERIVED.get(name, name)) >= value)
@@ -66,18 +76,21 @@ def head_to_head(t: League, players: tuple[str, str], columns: str, **filters) -
     return _summed(rows, ["full_name", "player_id"]).select("full_name", "position", "games_played", "player_id", *_cols(columns, DERIVED))
 
 
-def all_time(t: League, columns: str, order: str, least: dict[str, int], top_n: int = TOP_N) -> DataFrame:
-    """A leaderboard over all plays but the shootout's, without rosters."""
-    sums = blocks.player_stats(t).groupBy("player_id").agg(*(F.sum(n).alias(n) for n in STATS))
+def all_time(t: League, columns: str, order: str, least: dict[str, int], top_n: int = TOP_N, **filters) -> DataFrame:
+    """A leaderboard over all plays, the shootout's too, without rosters; names and positions are the players' newest."""
+    least, filters = minimums(filters, least)
+    sums = blocks.player_stats(blocks.narrowed(t, **filters), shootout=True).groupBy("player_id").agg(*(F.sum(n).alias(n) for n in STATS))
     for name, value in least.items():
         sums = sums.where(F.expr(DERIVED.get(name, name)) >= value)
     by = {f"by_{n}": F.expr(DERIVED.get(n, n)) for n in order.split()}
     rows = sums.select("player_id", *_cols(columns, DERIVED), *(c.alias(n) for n, c in by.items()))
-    return leaderboard(rows, [*(F.col(n).desc_nulls_last() for n in by), F.col("player_id")], top_n).drop(*by)
+    first = leaderboard(rows, [*(F.col(n).desc_nulls_last() for n in by), F.col("player_id")], top_n).drop(*by)
+    return first.join(gold.dim_player(gold.roster_spots(t)).select("player_id", "full_name", F.col("position_code").alias("position")), "player_id", "left")
 
 
-def goals_by_period_and_type(t: League) -> DataFrame:
-    return t.plays.where("type_desc_key = 'goal'").groupBy("period_number", "period_type").agg(F.count(F.lit(1)).alias("goals"))
+def goals_by_period_and_type(t: League, **filters) -> DataFrame:
+    plays = t.plays.join(blocks.narrowed(t, **filters).games.select("game_id"), "game_id", "left_semi") if filters else t.plays
+    return plays.where("type_desc_key = 'goal'").groupBy("period_number", "period_type").agg(F.count(F.lit(1)).alias("goals"))
 
 
 def position_groups(t: League, keys: str, columns: str, team: str = "T05", **filters) -> DataFrame:
@@ -107,7 +120,7 @@ def team_table(t: League, keys: str, columns: str, **filters) -> DataFrame:
 
 
 def shot_table(t: League, what: str, keys: str, condition: str, **filters) -> DataFrame:
-    """Shots by keys. For goalies: shots faced, goals, saves, save percentage; for players: attempts, shots on net, goals, percentages, share of goals."""
+    """Shots by keys (what: goalie, player, or accuracy for shares on net only). For goalies: shots faced, goals, saves, save percentage; for players: attempts, shots on net, goals, percentages, share of goals."""
     rows = blocks.goalie_shots(t, **filters) if what == "goalie" else blocks.player_shots(t, **filters)
     rows = rows.where(condition).withColumns({
         "distance": distance_bucket(F.col("distance_ft")), "period": period_label(F.col("period_number"), F.col("period_type")),
@@ -120,6 +133,8 @@ def shot_table(t: League, what: str, keys: str, condition: str, **filters) -> Da
     sums = by.agg(F.count(F.lit(1)).alias("shot_attempts"), F.count_if("on_net").alias("shots"), F.count_if("is_goal").alias("goals"))
     whole = Window.partitionBy("player_id") if "player_id" in keys.split() else Window.partitionBy()
     sums = sums.withColumns({"all_goals": F.sum("goals").over(whole), "all_shots": F.sum("shots").over(whole)})
+    if what == "accuracy":
+        return sums.select(*keys.split(), F.col("shot_attempts").alias("unblocked_attempts"), F.col("shots").alias("shots_on_net"), F.expr(share("shots", "shot_attempts")).alias("on_net_pct"), "goals")
     return sums.select(*keys.split(), "shot_attempts", "shots", "goals", F.expr(share("goals", "shots")).alias("shooting_pct"), F.expr(share("shots", "shot_attempts")).alias("shots_on_net_pct"), F.expr(share("goals", "all_goals")).alias("share_of_goals_pct"), F.expr(share("shots", "all_shots")).alias("share_of_shots_pct"))
 
 
@@ -127,11 +142,12 @@ def by_name() -> dict:
     """Every specified query: name to a function of a League and filters."""
     out = {}
     for n, (columns, order, least, position) in specs.LEADERBOARDS.items():
-        out[n] = lambda t, c=columns, o=order, l=least, p=position, **f: player_leaderboard(t, c, o, l, **({"position": p} | f))
+        games = 1 if "_league_" in n else 10
+        out[n] = lambda t, c=columns, o=order, l=least, p=position, g=games, **f: player_leaderboard(t, c, o, l, **({"position": p, "min_games": g} | f))
     name, players, columns = specs.HEAD_TO_HEAD
     out[name] = lambda t, p=players, c=columns, **f: head_to_head(t, p, c, **f)
     for n, (columns, order, least) in specs.ALL_TIME.items():
-        out[n] = lambda t, c=columns, o=order, l=least: all_time(t, c, o, l)
+        out[n] = lambda t, c=columns, o=order, l=least, **f: all_time(t, c, o, l, **f)
     out["n13_goals_by_period_and_type"] = goals_by_period_and_type
     for n, (keys, columns) in specs.SPLITS.items():
         out[n] = lambda t, k=keys, c=columns, **f: player_split(t, k, c, **f)
@@ -142,3 +158,14 @@ def by_name() -> dict:
     for n, (what, keys, condition) in specs.SHOTS.items():
         out[n] = lambda t, w=what, k=keys, c=condition, **f: shot_table(t, w, k, c, **f)
     return out
+
+
+def registered() -> dict:
+    """by_name() as it is registered: with minimums that the small tables reach, and again with the usual ones where they differ."""
+    out = {}
+    for name, query in by_name().items():
+        small = ({"min_games": 1} if name in specs.LEADERBOARDS else {}) | specs.SMALL.get(name, {})
+        out[name] = (lambda t, q=query, s=small, **f: q(t, **(s | f))) if small else query
+        if name in specs.SMALL:
+            out[f"{name}_usual"] = query
+    return out

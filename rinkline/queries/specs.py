@@ -9,18 +9,18 @@ _DEFENSE = "blocked_shots blocks_per_game hits hits_per_game hits_taken takeaway
 #: Leaderboards over skaters: columns, order (all descending unless marked), least values, position.
 LEADERBOARDS: dict[str, tuple[str, str, dict[str, int], str | None]] = {
     "q020_league_assist_leaders": ("assists primary_assists secondary_assists points", "assists", {}, None),
-    "q021_league_faceoff_leaders": ("faceoffs faceoff_wins faceoff_pct", "faceoff_pct", {"faceoffs": 5}, None),
+    "q021_league_faceoff_leaders": ("faceoffs faceoff_wins faceoff_pct", "faceoff_pct", {"faceoffs": 300}, None),
     "q022_league_goal_leaders": ("goals goals_per_game shots shooting_pct", "goals", {}, None),
     "q026_league_hits_thrown_and_taken": ("hits hits_taken hit_diff", "hits", {}, None),
     "q029_league_penalty_minutes_vs_drawn": ("pim penalties_taken penalties_drawn penalty_diff", "pim", {}, None),
-    "q030_league_shooting_percentage_leaders": ("goals shots shooting_pct", "shooting_pct goals", {"shots": 3}, None),
+    "q030_league_shooting_percentage_leaders": ("goals shots shooting_pct", "shooting_pct goals", {"shots": 100}, None),
     "q031_league_shot_blocking_leaders": ("blocked_shots blocks_per_game", "blocked_shots", {}, None),
     "q034_player_assist_leaders": ("assists primary_assists secondary_assists assists_per_game", "assists primary_assists", {}, None),
     "q036_player_blocked_shots": ("blocked_shots blocks_per_game", "blocked_shots", {}, None),
     "q039_player_defensive_stats": (_DEFENSE, "blocked_shots", {}, None),
     "q040_player_empty_net_goals": ("en_goals goals", "en_goals", {}, None),
     "q041_player_even_strength_scoring": ("ev_goals ev_assists ev_points points", "ev_points", {}, None),
-    "q042_player_faceoff_win_percentage": ("faceoff_wins faceoff_losses faceoffs faceoff_pct", "faceoff_pct", {"faceoffs": 3}, None),
+    "q042_player_faceoff_win_percentage": ("faceoff_wins faceoff_losses faceoffs faceoff_pct", "faceoff_pct", {"faceoffs": 100}, None),
     "q044_player_full_stat_line": (_LINE, "points goals", {}, None),
     "q047_player_goal_leaders": ("goals goals_per_game shots shooting_pct ev_goals pp_goals sh_goals", "goals shooting_pct", {}, None),
     "q049_player_goals_by_period": ("p1_goals p2_goals p3_goals ot_goals goals", "goals", {}, None),
@@ -28,7 +28,7 @@ LEADERBOARDS: dict[str, tuple[str, str, dict[str, int], str | None]] = {
     "q054_player_hits_taken": ("hits_taken hits_taken_per_game", "hits_taken", {}, None),
     "q055_player_hits": ("hits hits_per_game", "hits", {}, None),
     "q057_player_late_game_scoring": ("late_goals late_assists late_points", "late_points late_goals", {}, None),
-    "q060_player_missed_shots": ("missed_shots missed_shots_per_game shot_attempts missed_pct", "missed_pct", {"shot_attempts": 3}, None),
+    "q060_player_missed_shots": ("missed_shots missed_shots_per_game shot_attempts missed_pct", "missed_pct", {"shot_attempts": 75}, None),
     "q062_player_overtime_goals": ("ot_goals goals", "ot_goals goals", {}, None),
     "q063_player_penalties_drawn_vs_taken": ("penalties_drawn penalties_taken net_penalties", "net_penalties", {}, None),
     "q065_player_penalty_minutes": ("pim pim_per_game penalties_taken fights", "pim", {}, None),
@@ -37,13 +37,13 @@ LEADERBOARDS: dict[str, tuple[str, str, dict[str, int], str | None]] = {
     "q068_player_power_play_scoring": ("pp_goals pp_assists pp_points points pp_share_of_points_pct", "pp_points", {}, None),
     "q069_player_primary_points": ("goals primary_assists primary_points points", "primary_points goals", {}, None),
     "q072_player_scoring_leaders": ("goals assists points points_per_game primary_points pp_points", "points goals", {}, None),
-    "q075_player_shooting_efficiency": ("goals shots shot_attempts shooting_pct shots_on_net_pct goals_per_attempt_pct", "goals_per_attempt_pct goals", {"shot_attempts": 3}, None),
-    "q077_player_shooting_percentage": ("goals shots shooting_pct shots_per_game", "shooting_pct goals", {"shots": 2}, None),
+    "q075_player_shooting_efficiency": ("goals shots shot_attempts shooting_pct shots_on_net_pct goals_per_attempt_pct", "goals_per_attempt_pct goals", {"shot_attempts": 75}, None),
+    "q077_player_shooting_percentage": ("goals shots shooting_pct shots_per_game", "shooting_pct goals", {"shots": 50}, None),
     "q080_player_shorthanded_scoring": ("sh_goals sh_assists sh_points", "sh_points sh_goals", {}, None),
     "q082_player_shot_attempts": ("shot_attempts shot_attempts_per_game shots missed_shots own_shots_blocked shots_on_net_pct", "shot_attempts", {}, None),
-    "q084_player_shots_blocked_by_opponents": ("own_shots_blocked shot_attempts blocked_by_opp_pct", "blocked_by_opp_pct", {"shot_attempts": 3}, None),
+    "q084_player_shots_blocked_by_opponents": ("own_shots_blocked shot_attempts blocked_by_opp_pct", "blocked_by_opp_pct", {"shot_attempts": 75}, None),
     "q085_player_shots_per_game": ("shots shots_per_game shot_attempts_per_game goals", "shots_per_game", {}, None),
-    "q086_player_shots_on_net_percentage": ("shots missed_shots own_shots_blocked shot_attempts shots_on_net_pct", "shots_on_net_pct shots", {"shot_attempts": 3}, None),
+    "q086_player_shots_on_net_percentage": ("shots missed_shots own_shots_blocked shot_attempts shots_on_net_pct", "shots_on_net_pct shots", {"shot_attempts": 75}, None),
     "q090_player_takeaway_to_giveaway_ratio": ("takeaways giveaways takeaway_giveaway_ratio", "takeaway_giveaway_ratio", {}, None),
     "q091_player_takeaways_and_giveaways": ("takeaways giveaways takeaway_giveaway_diff takeaways_per_game giveaways_per_game", "takeaway_giveaway_diff", {}, None),
     "q094_position_centers_comparison": ("goals assists points points_per_game faceoffs faceoff_pct shots shooting_pct takeaways giveaways", "points", {}, "C"),
@@ -57,20 +57,28 @@ LEADERBOARDS: dict[str, tuple[str, str, dict[str, int], str | None]] = {
 
 #: All-time lists over every game type: columns, order, least values.
 ALL_TIME: dict[str, tuple[str, str, dict[str, int]]] = {
-    "n03_best_shooting_percentage": ("goals shots shooting_pct", "shooting_pct goals", {"shots": 4}),
+    "n03_best_shooting_percentage": ("goals shots shooting_pct", "shooting_pct goals", {"shots": 200}),
     "n05_hits_thrown_and_taken": ("hits hits_taken hit_diff", "hits", {}),
-    "n06_faceoff_win_percentage": ("faceoffs faceoff_wins faceoff_pct", "faceoff_pct", {"faceoffs": 4}),
+    "n06_faceoff_win_percentage": ("faceoffs faceoff_wins faceoff_pct", "faceoff_pct", {"faceoffs": 500}),
     "n07_penalty_minutes_vs_drawn": ("pim penalties_taken penalties_drawn", "pim", {}),
     "n08_shot_blockers": ("blocked_shots", "blocked_shots", {}),
 }
 
+#: Minimums at which the registered queries run besides the usual ones, since the small tables hold few games a player.
+SMALL: dict[str, dict[str, int]] = {
+    "q021_league_faceoff_leaders": {"min_faceoffs": 5}, "q030_league_shooting_percentage_leaders": {"min_shots": 3}, "q042_player_faceoff_win_percentage": {"min_faceoffs": 3},
+    "q060_player_missed_shots": {"min_shot_attempts": 3}, "q075_player_shooting_efficiency": {"min_shot_attempts": 3}, "q077_player_shooting_percentage": {"min_shots": 2},
+    "q084_player_shots_blocked_by_opponents": {"min_shot_attempts": 3}, "q086_player_shots_on_net_percentage": {"min_shot_attempts": 3},
+    "n03_best_shooting_percentage": {"min_shots": 4}, "n06_faceoff_win_percentage": {"min_faceoffs": 4},
+}
+
 #: Two players side by side.
 HEAD_TO_HEAD = ("q052_player_head_to_head_comparison", ("P8470041 L1", "P8470043 L3"), _LINE.replace("points_per_game", "points_per_game pp_points"))
 
 #: Splits of every skater by a key: keys as (name, column of player_games).
 SPLITS: dict[str, tuple[str, str]] = {
     "q038_player_day_of_week_splits": ("day_num day_name", _BASE),
-    "q045_player_game_log": ("game_date opponent venue result", "goals assists points shots shot_attempts hits blocked_shots takeaways giveaways pim faceoff_wins faceoff_losses"),
+    "q045_player_game_log": ("game_id game_date opponent venue result", "goals assists points shots shot_attempts hits blocked_shots takeaways giveaways pim faceoff_wins faceoff_losses"),
     "q056_player_home_and_away_splits": ("venue", _BASE),
     "q073_player_season_by_season": ("season", _BASE),
     "q087_player_stats_by_month": ("month", _BASE),
@@ -101,7 +109,7 @@ _GOALS = " goals_for goals_against goal_diff"
 TEAMS: dict[str, tuple[str, str]] = {
     "q115_team_compared_to_rest": ("scope", "team_games goals_for_per_game goals_against_per_game shots_for_per_game shots_against_per_game shooting_pct save_pct attempt_share_pct faceoff_pct hits_per_game blocks_per_game pim_per_game"),
     "q116_team_faceoffs": ("team season", "faceoff_wins faceoff_losses faceoff_pct"),
-    "q117_team_game_results": ("team game_date opponent venue score_for score_against result decided_in", "shots_for shots_against attempts_for attempts_against attempt_share_pct hits blocks"),
+    "q117_team_game_results": ("team game_id game_date opponent venue score_for score_against result decided_in", "shots_for shots_against attempts_for attempts_against attempt_share_pct hits blocks"),
     "q121_team_goals_by_strength": ("team season", "ev_for ev_against pp_for pp_against sh_for sh_against en_for en_against"),
     "q122_team_head_to_head": ("team season opponent", _RECORD + _GOALS + " shots_for shots_against"),
     "q123_team_home_vs_away": ("team venue", _RECORD + _GOALS + " goals_for_per_game goals_against_per_game shots_for_per_game shots_against_per_game"),
@@ -125,7 +133,7 @@ TEAMS: dict[str, tuple[str, str]] = {
 
 #: Shots by a key. what: player shots or goalie shots; keys; condition on the shot.
 SHOTS: dict[str, tuple[str, str, str]] = {
-    "q012_goalie_game_log": ("goalie", "player_id full_name game_date opponent result", "true"),
+    "q012_goalie_game_log": ("goalie", "player_id full_name game_id game_date opponent result", "true"),
     "q013_goalie_save_pct_by_distance": ("goalie", "player_id full_name distance", "zone_code = 'O'"),
     "q014_goalie_save_pct_by_period": ("goalie", "player_id full_name period", "true"),
     "q015_goalie_save_pct_by_shot_type": ("goalie", "player_id full_name shot_type", "shot_type is not null"),
@@ -135,6 +143,6 @@ SHOTS: dict[str, tuple[str, str, str]] = {
     "q076_player_shooting_pct_by_distance": ("player", "distance", "on_net and zone_code = 'O'"),
     "q078_player_shooting_by_period": ("player", "period", "true"),
     "q079_player_shooting_by_strength": ("player", "strength", "true"),
-    "q081_player_shot_accuracy_by_shot_type": ("player", "shot_type", "not blocked and shot_type is not null"),
+    "q081_player_shot_accuracy_by_shot_type": ("accuracy", "shot_type", "not blocked and shot_type is not null"),
     "q083_player_shot_type_mix": ("player", "player_id full_name shot_type", "on_net and shot_type is not null"),
 }

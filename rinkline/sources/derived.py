@@ -7,9 +7,11 @@ stands for integer division.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rinkline.sources.storage import exists, new_path
+
 #: What each rule says (g: game number, i: play number, u: user, k: props.k, v: value in hundredths).
 RULES = {
     "home_team_id": "cast(1 + g % 25 as int)",
@@ -19,6 +21,9 @@ RULES = {
     "game_state": "case when g % 33 = 32 then 'LIVE' else 'OFF' end",
     "type_desc_key": "case when k < 8 then 'goal' when k < 28 then 'shot-on-goal' when k < 40 then 'missed-shot' when k < 52 then 'blocked-shot' "
     "when k < 66 then 'hit' when k < 80 then 'faceoff' when k < 86 then 'penalty' when k < 92 then 'takeaway' when k < 98 then 'giveaway' else 'stoppage' end",
+    "type_code": "case when k < 8 then 505 when k < 28 then 506 when k < 40 then 507 when k < 52 then 508 when k < 66 then 503 when k < 80 then 502 when k < 86 then 509 "
+    "when k < 92 then 525 when k < 98 then 504 else 516 end",
+    "stoppage_reason": "case when k >= 98 then case v % 3 when 0 then 'icing' when 1 then 'offside' else 'puck-frozen' end end",
     "period_number": "cast(case when i < 96 then 1 + i // 32 when g % 4 = 0 then 4 when g % 4 = 1 then 5 else 3 end as int)",
     "period_type": "case when i < 96 then 'REG' when g % 4 = 0 then 'OT' when g % 4 = 1 then 'SO' else 'REG' end",
     "seconds": "(i % 32) * 37",
@@ -74,10 +79,16 @@ def plays(events: DataFrame) -> DataFrame:
     shot = kind.isin("shot-on-goal", "missed-shot", "blocked-shot")
     penalty = kind == "penalty"
     seconds = F.col("seconds")
+    clock = lambda c: F.concat(F.lpad((c / 60).cast("int").cast("string"), 2, "0"), F.lit(":"), F.lpad((c % 60).cast("string"), 2, "0"))
+    so_far = Window.partitionBy("g").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    counts = F.col("period_type") != "SO"
+    number = lambda which, when: F.when(when, F.count_if(which).over(so_far)).cast("int")
+    goal, saved = (kind == "goal") & counts, (kind == "shot-on-goal") & counts
+    scored = Window.partitionBy(rule("season"), who("own", "a")).orderBy("g", "i").rowsBetween(Window.unboundedPreceding, 0)
     return base.select(
         (2024020000 + g).alias("game_id"), F.col("i").cast("int").alias("event_id"), F.col("i").cast("int").alias("sort_order"),
         "type_desc_key", "event_owner_team_id", "period_number", "period_type",
-        F.concat(F.lpad(F.expr("seconds div 60").cast("string"), 2, "0"), F.lit(":"), F.lpad((seconds % 60).cast("string"), 2, "0")).alias("time_in_period"),
+        clock(seconds).alias("time_in_period"), clock(1200 - seconds).alias("time_remaining"), F.col("type_code").cast("int").alias("type_code"), "stoppage_reason",
         "situation_code", "x_coord", "y_coord", "zone_code",
         F.when(g % 7 == 0, None).when((F.col("period_number") + g) % 2 == 0, "left").otherwise("right").alias("home_team_defending_side"),
         F.when(shot | (kind == "goal"), F.col("shot_type")).alias("shot_type"),
@@ -99,14 +110,17 @@ def plays(events: DataFrame) -> DataFrame:
         F.when(penalty, F.col("penalty_type_code")).alias("penalty_type_code"),
         F.when(penalty, F.col("penalty_desc_key")).alias("penalty_desc_key"),
         F.when(penalty, F.col("penalty_duration")).alias("penalty_duration"),
+        number(goal & ~at_home, goal).alias("away_score"), number(goal & at_home, goal).alias("home_score"),
+        number((goal | saved) & ~at_home, saved).alias("away_sog"), number((goal | saved) & at_home, saved).alias("home_sog"),
+        F.when(goal, F.count_if(goal).over(scored)).cast("int").alias("scoring_player_total"),
     )
 
 
-def games(events: DataFrame) -> DataFrame:
-    """One row per game, with the final score."""
+def games(plays: DataFrame) -> DataFrame:
+    """One row per game, with the final score, from its plays."""
     counted = (F.col("type_desc_key") == "goal") & (F.col("period_type") != "SO")
     by_home = F.col("event_owner_team_id") == 1 + (F.col("game_id") - 2024020000) % 25
-    numbers = plays(events).groupBy("game_id").agg(F.count_if(counted & by_home).alias("h"), F.count_if(counted & ~by_home).alias("a"))
+    numbers = plays.groupBy("game_id").agg(F.count_if(counted & by_home).alias("h"), F.count_if(counted & ~by_home).alias("a"))
     numbers = numbers.withColumn("g", F.col("game_id") - 2024020000)
     tied, even = F.col("h") == F.col("a"), F.col("g") % 2 == 0
     return numbers.withColumns({n: rule(n) for n in ("home_team_id", "away_team_id", "season", "game_type", "game_state")}).select(
@@ -115,7 +129,7 @@ def games(events: DataFrame) -> DataFrame:
         "home_team_id", "away_team_id", "game_state", (F.col("game_state") == "OFF").alias("is_final"),
         (F.col("h") + F.when(tied & even, 1).otherwise(0)).cast("int").alias("home_final_score"),
         (F.col("a") + F.when(tied & ~even, 1).otherwise(0)).cast("int").alias("away_final_score"),
-        F.when(tied, "SO").when(F.col("g") % 4 == 0, "OT").otherwise("REG").alias("last_period_type"),
+        F.when(tied, "SO").when(F.col("g") % 4 == 0, "OT").otherwise("REG").alias("last_period_type"), F.concat(F.lit("Arena "), F.col("home_team_id").cast("string")).alias("venue"),
     )
 
 
@@ -141,6 +155,16 @@ class League:
 
 
 def league(spark: SparkSession, sf_dir: str) -> League:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    g = games(events)
-    return League(g, rosters(g), plays(events), teams(spark.read.parquet(f"{sf_dir}/nation.parquet")))
+    """The typed tables of a folder, written once for each session and read by all queries after."""
+    known = getattr(spark.sparkContext, "_rinkline_leagues", None)
+    if known is None:
+        known = spark.sparkContext._rinkline_leagues = {}
+    root = known.get(sf_dir)
+    if root is None or not exists(spark, f"{root}/plays/_SUCCESS"):
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        root = known[sf_dir] = new_path(spark, "league")
+        plays(events).write.parquet(f"{root}/plays")
+        games(spark.read.parquet(f"{root}/plays")).write.parquet(f"{root}/games")
+        rosters(spark.read.parquet(f"{root}/games")).write.parquet(f"{root}/rosters")
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    return League(read("games"), read("rosters"), read("plays"), teams(spark.read.parquet(f"{sf_dir}/nation.parquet")))
