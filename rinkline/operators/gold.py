@@ -21,25 +21,30 @@ def dim_player(spots: DataFrame) -> DataFrame:
 
 
 def dim_player_team(spots: DataFrame) -> DataFrame:
-    """Stints: runs of a player's games for one team. A return to a former team is a stint of its own.
+    """Stints: runs of a player's game days for one team. A return to a former team is a stint of its own.
 
-    The window is per player, whose games are few; the last stint of a player is current and has no end.
+    Spots without a team or date are left out; of several teams on one day the
+    smallest counts.  The window is per player, whose days are few; valid_to is
+    the last day of each stint, the last stint is current.
     """
-    order = Window.partitionBy("player_id").orderBy("game_date", "game_id")
-    spots = spots.dropDuplicates(["player_id", "game_id"])
-    marked = spots.withColumn("new", (~F.col("team_id").eqNullSafe(F.lag("team_id").over(order))).cast("int"))
+    days = spots.where("team_id is not null and game_date is not null").groupBy("player_id", "game_date").agg(F.min("team_id").alias("team_id"))
+    order = Window.partitionBy("player_id").orderBy("game_date")
+    marked = days.withColumn("new", (~F.col("team_id").eqNullSafe(F.lag("team_id").over(order))).cast("int"))
     numbered = marked.withColumn("stint", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     stints = numbered.groupBy("player_id", "stint").agg(
-        F.first("team_id").alias("team_id"), F.min("game_date").alias("valid_from"), F.max("game_date").alias("last_game"), F.count(F.lit(1)).alias("games_in_stint")
+        F.first("team_id").alias("team_id"), F.min("game_date").alias("valid_from"), F.max("game_date").alias("valid_to"), F.count(F.lit(1)).alias("games_in_stint")
     )
     last = F.col("stint") == F.max("stint").over(Window.partitionBy("player_id"))
-    return stints.select("player_id", "team_id", "valid_from", F.when(~last, F.col("last_game")).alias("valid_to"), "games_in_stint", last.alias("is_current"))
+    return stints.select("player_id", "team_id", "valid_from", "valid_to", "games_in_stint", last.alias("is_current"))
 
 
-def dim_team(t: League) -> DataFrame:
-    """One row per team that has played."""
-    seen = t.games.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).distinct()
-    return t.teams.join(seen, "team_id", "left_semi")
+def dim_team(games: DataFrame) -> DataFrame:
+    """One row per team of the parsed games: its newest attributes, home or away."""
+    names = {"abbrev": "abbrev", "team_name": "name", "place_name": "place_name", "logo_url": "logo", "dark_logo_url": "dark_logo"}
+    side = lambda s: F.struct(F.col(f"{s}_team_id").alias("team_id"), F.struct(*(F.col(f"{s}_team_{c}").alias(n) for n, c in names.items())).alias("at"))
+    seen = games.select("game_date", "game_id", F.inline(F.array(side("home"), side("away")))).where("team_id is not null")
+    newest = F.max_by("at", F.struct(F.col("game_date").isNotNull(), "game_date", "game_id"))
+    return seen.groupBy("team_id").agg(newest.alias("n")).select("team_id", "n.*")
 
 
 def dim_game(t: League) -> DataFrame:
@@ -59,11 +64,25 @@ def dim_date(spark: SparkSession, first: str = "1917-01-01", last: str | None =
 
 
 def dim_event_type(plays: DataFrame) -> DataFrame:
-    """One description per type. Types without a code are told by their key."""
-    return plays.groupBy("type_desc_key").agg(F.count(F.lit(1)).alias("plays"))
+    """One description per type code: the first in order."""
+    return plays.where("type_code is not null").groupBy("type_code").agg(F.min("type_desc_key").alias("type_desc_key"))
 
 
-def fact_event(t: League) -> DataFrame:
-    """Plays with their game's keys; plays without an event id are left out."""
-    games = dim_game(t).select("game_id", "season", "game_type", "date_key", "home_team_id", "away_team_id")
-    return t.plays.where("event_id is not null").join(games, "game_id")
+#: The columns of the fact view but for its date, source and times.
+FACT = (
+    "type_code event_owner_team_id scoring_player_id assist1_player_id assist2_player_id assist3_player_id shooting_player_id goalie_in_net_id hitting_player_id hittee_player_id "
+    "blocking_player_id winning_player_id losing_player_id committed_by_player_id drawn_by_player_id served_by_player_id player_id event_id sort_order type_desc_key period_number period_type "
+    "time_in_period time_remaining situation_code home_team_defending_side x_coord y_coord zone_code shot_type scoring_player_total assist1_player_total assist2_player_total assist3_player_total "
+    "away_score home_score away_sog home_sog penalty_type_code penalty_desc_key penalty_duration stoppage_reason secondary_stoppage_reason"
+)
+
+
+def fact_event(games: DataFrame, plays: DataFrame) -> DataFrame:
+    """Plays (parsed) with their game's keys and lineage; plays without an event id or a game are left out."""
+    keys = games.select("game_id", F.date_format("game_date", "yyyyMMdd").cast("int").alias("date_key"), "is_final", "fetched_at")
+    return plays.where("event_id is not null").join(keys, "game_id").select("game_id", "date_key", *FACT.split(), "source", "is_final", "fetched_at", "ingestion_timestamp")
+
+
+def register_views(games: DataFrame, plays: DataFrame, name: str = "fact_event") -> None:
+    """The fact table as a view of the session, in place of any of that name."""
+    fact_event(games, plays).createOrReplaceTempView(name)

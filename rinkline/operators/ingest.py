@@ -20,17 +20,34 @@ OPTIONAL = {
     "play": "periodDescriptor timeInPeriod timeRemaining details situationCode homeTeamDefendingSide pptReplayUrl",
     "details": "xCoord yCoord zoneCode eventOwnerTeamId shotType shootingPlayerId goalieInNetId scoringPlayerId scoringPlayerTotal assist1PlayerId assist1PlayerTotal assist2PlayerId assist2PlayerTotal assist3PlayerId assist3PlayerTotal awayScore homeScore awaySOG homeSOG hittingPlayerId hitteePlayerId blockingPlayerId winningPlayerId losingPlayerId playerId typeCode descKey duration committedByPlayerId drawnByPlayerId servedByPlayerId reason secondaryReason highlightClip highlightClipFr highlightClipSharingUrl highlightClipSharingUrlFr discreteClip discreteClipFr",
 }
+#: Names of the game types.
+TYPE_NAMES = {
+    1: "Preseason", 2: "Regular season", 3: "Playoffs", 4: "All-Star", 6: "World Cup group stage", 7: "World Cup knockout stage", 8: "World Cup pre-tournament", 9: "Olympics",
+    10: "Young Stars", 12: "All-Stars exhibition", 13: "2004 labor dispute lost games", 14: "Canada Cup", 18: "Overseas exhibition", 19: "Four Nations Face-Off",
+}
+#: Fields of a play's details, by the columns that hold them, and the columns' types.
+DETAILS = {
+    "int": "x_coord:xCoord y_coord:yCoord event_owner_team_id:eventOwnerTeamId scoring_player_total:scoringPlayerTotal assist1_player_total:assist1PlayerTotal assist2_player_total:assist2PlayerTotal "
+    "assist3_player_total:assist3PlayerTotal away_score:awayScore home_score:homeScore away_sog:awaySOG home_sog:homeSOG penalty_duration:duration",
+    "string": "zone_code:zoneCode shot_type:shotType penalty_type_code:typeCode penalty_desc_key:descKey stoppage_reason:reason secondary_stoppage_reason:secondaryReason "
+    "highlight_clip_sharing_url:highlightClipSharingUrl highlight_clip_sharing_url_fr:highlightClipSharingUrlFr",
+    "bigint": "shooting_player_id:shootingPlayerId goalie_in_net_id:goalieInNetId scoring_player_id:scoringPlayerId assist1_player_id:assist1PlayerId assist2_player_id:assist2PlayerId "
+    "assist3_player_id:assist3PlayerId hitting_player_id:hittingPlayerId hittee_player_id:hitteePlayerId blocking_player_id:blockingPlayerId winning_player_id:winningPlayerId "
+    "losing_player_id:losingPlayerId committed_by_player_id:committedByPlayerId drawn_by_player_id:drawnByPlayerId served_by_player_id:servedByPlayerId player_id:playerId "
+    "highlight_clip:highlightClip highlight_clip_fr:highlightClipFr discrete_clip:discreteClip discrete_clip_fr:discreteClipFr",
+}
+_DETAIL_OF = {pair.split(":")[0]: pair.split(":")[1] for text in DETAILS.values() for pair in text.split()}
 _PLAY = (
     "eventId: int, sortOrder: int, typeCode: int, typeDescKey: string, periodDescriptor: struct<number: int, periodType: string>, timeInPeriod: string, timeRemaining: string, situationCode: string, "
-    "homeTeamDefendingSide: string, details: struct<xCoord: int, yCoord: int, zoneCode: string, eventOwnerTeamId: int, shotType: string, shootingPlayerId: bigint, goalieInNetId: bigint, "
-    "scoringPlayerId: bigint, assist1PlayerId: bigint, assist2PlayerId: bigint, assist3PlayerId: bigint, hittingPlayerId: bigint, hitteePlayerId: bigint, blockingPlayerId: bigint, "
-    "winningPlayerId: bigint, losingPlayerId: bigint, playerId: bigint, typeCode: string, descKey: string, duration: int, committedByPlayerId: bigint, drawnByPlayerId: bigint, "
-    "servedByPlayerId: bigint, awayScore: int, homeScore: int, awaySOG: int, homeSOG: int, reason: string>"
+    "homeTeamDefendingSide: string, pptReplayUrl: string, details: struct<"
+    + ", ".join(f"{pair.split(':')[1]}: {kind}" for kind, text in DETAILS.items() for pair in text.split())
+    + ">"
 )
-_TEAM = "struct<id: int, abbrev: string, score: int, sog: int, commonName: string, placeName: string>"
+_TEAM = "struct<id: int, abbrev: string, score: int, sog: int, commonName: string, placeName: string, logo: string, darkLogo: string>"
 SCHEMA = (
-    f"id bigint, season int, gameType int, gameDate string, gameState string, startTimeUTC string, venue string, awayTeam {_TEAM}, homeTeam {_TEAM}, gameOutcome struct<lastPeriodType: string>, "
-    f"rosterSpots array<struct<playerId: bigint, teamId: int, firstName: string, lastName: string, positionCode: string, sweaterNumber: int>>, plays array<struct<{_PLAY}>>"
+    "id bigint, season int, gameType int, limitedScoring boolean, gameDate string, gameState string, gameScheduleState string, startTimeUTC string, easternUTCOffset string, venueUTCOffset string, "
+    f"venue string, venueLocation string, regPeriods int, specialEvent string, awayTeam {_TEAM}, homeTeam {_TEAM}, gameOutcome struct<lastPeriodType: string>, "
+    f"rosterSpots array<struct<playerId: bigint, teamId: int, firstName: string, lastName: string, positionCode: string, sweaterNumber: int, headshot: string>>, plays array<struct<{_PLAY}>>"
 )
 
 
@@ -100,33 +117,42 @@ def parsed(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_games(rows: DataFrame) -> DataFrame:
+    """One row per document, of 35 columns. Rows: source, ingestion_timestamp (when the document was fetched) and d."""
     d = lambda c: F.col(f"d.{c}")
+    side = lambda name: [
+        d(f"{name}Team.id").alias(f"{name}_team_id"), d(f"{name}Team.abbrev").alias(f"{name}_team_abbrev"), localised(d(f"{name}Team.commonName")).alias(f"{name}_team_name"),
+        localised(d(f"{name}Team.placeName")).alias(f"{name}_team_place_name"), d(f"{name}Team.logo").alias(f"{name}_team_logo"), d(f"{name}Team.darkLogo").alias(f"{name}_team_dark_logo"),
+        d(f"{name}Team.score").alias(f"{name}_final_score"), d(f"{name}Team.sog").alias(f"{name}_final_sog"),
+    ]
     return rows.select(
-        d("id").alias("game_id"), d("season").alias("season"), d("gameType").alias("game_type"), F.to_date(F.substring(d("gameDate"), 1, 10)).alias("game_date"), localised(d("venue")).alias("venue"),
-        d("homeTeam.id").alias("home_team_id"), d("awayTeam.id").alias("away_team_id"), d("gameState").alias("game_state"), d("gameState").isin(*FINAL_STATES).alias("is_final"),
-        d("homeTeam.score").alias("home_final_score"), d("awayTeam.score").alias("away_final_score"), d("gameOutcome.lastPeriodType").alias("last_period_type"),
-        F.col("source"), F.col("ingestion_timestamp").alias("fetched_at"),
+        d("id").alias("game_id"), d("season").alias("season"), d("gameType").alias("game_type"), d("limitedScoring").alias("limited_scoring"),
+        F.substring(d("gameDate"), 1, 10).try_cast("date").alias("game_date"), localised(d("venue")).alias("venue"), localised(d("venueLocation")).alias("venue_location"),
+        F.try_to_timestamp(d("startTimeUTC")).alias("start_time_utc"), d("easternUTCOffset").alias("eastern_utc_offset"), d("venueUTCOffset").alias("venue_utc_offset"),
+        d("gameState").alias("game_state"), d("gameScheduleState").alias("game_schedule_state"), *side("away"), *side("home"), d("gameOutcome.lastPeriodType").alias("last_period_type"),
+        d("regPeriods").alias("reg_periods"), localised(d("specialEvent")).alias("special_event"), F.col("source"), d("gameState").isin(*FINAL_STATES).alias("is_final"),
+        F.col("ingestion_timestamp").alias("fetched_at"), F.current_timestamp().alias("ingestion_timestamp"),
     )
 
 
 def parse_rosters(rows: DataFrame) -> DataFrame:
-    """One row per game and player; spots without a player go, of repeated ones the last stays."""
-    spots = rows.select(F.col("d.id").alias("game_id"), F.posexplode("d.rosterSpots").alias("pos", "s")).where("s.playerId is not null and s.playerId <> 0")
-    last = spots.groupBy("game_id", F.col("s.playerId").alias("player_id")).agg(F.max_by("s", "pos").alias("s"))
-    return last.select("game_id", "player_id", F.col("s.teamId").alias("team_id"), F.col("s.positionCode").alias("position_code"), F.col("s.sweaterNumber").alias("sweater_number"), localised(F.col("s.firstName")).alias("first_name"), localised(F.col("s.lastName")).alias("last_name"))
+    """One row per game and player, of 10 columns; spots without a player go, of repeated ones the last stays."""
+    spots = rows.select(F.col("d.id").alias("game_id"), "source", F.posexplode("d.rosterSpots").alias("pos", "s")).where("s.playerId is not null and s.playerId <> 0")
+    last = spots.groupBy("game_id", F.col("s.playerId").alias("player_id")).agg(F.max_by(F.struct("s", "source"), "pos").alias("x"))
+    return last.select(
+        "game_id", "player_id", F.col("x.s.teamId").alias("team_id"), localised(F.col("x.s.firstName")).alias("first_name"), localised(F.col("x.s.lastName")).alias("last_name"),
+        F.col("x.s.positionCode").alias("position_code"), F.col("x.s.sweaterNumber").alias("sweater_number"), F.col("x.s.headshot").alias("headshot_url"), "x.source",
+        F.current_timestamp().alias("ingestion_timestamp"),
+    )
 
 
 def parse_plays(rows: DataFrame) -> DataFrame:
-    p, d = lambda c: F.col(f"p.{c}"), lambda c: F.col(f"p.details.{c}")
-    return rows.select(F.col("d.id").alias("game_id"), F.explode("d.plays").alias("p")).select(
-        "game_id", p("eventId").alias("event_id"), p("sortOrder").alias("sort_order"), p("typeDescKey").alias("type_desc_key"), d("eventOwnerTeamId").alias("event_owner_team_id"),
-        p("periodDescriptor.number").alias("period_number"), p("periodDescriptor.periodType").alias("period_type"), p("timeInPeriod").alias("time_in_period"), p("situationCode").alias("situation_code"),
-        d("xCoord").alias("x_coord"), d("yCoord").alias("y_coord"), d("zoneCode").alias("zone_code"), p("homeTeamDefendingSide").alias("home_team_defending_side"), d("shotType").alias("shot_type"),
-        d("scoringPlayerId").alias("scoring_player_id"), d("assist1PlayerId").alias("assist1_player_id"), d("assist2PlayerId").alias("assist2_player_id"), d("assist3PlayerId").alias("assist3_player_id"),
-        d("shootingPlayerId").alias("shooting_player_id"), d("goalieInNetId").alias("goalie_in_net_id"), d("blockingPlayerId").alias("blocking_player_id"), d("hittingPlayerId").alias("hitting_player_id"),
-        d("hitteePlayerId").alias("hittee_player_id"), d("winningPlayerId").alias("winning_player_id"), d("losingPlayerId").alias("losing_player_id"), d("committedByPlayerId").alias("committed_by_player_id"),
-        d("drawnByPlayerId").alias("drawn_by_player_id"), d("servedByPlayerId").alias("served_by_player_id"), d("playerId").alias("player_id"), d("typeCode").alias("penalty_type_code"),
-        d("descKey").alias("penalty_desc_key"), d("duration").alias("penalty_duration"), d("reason").alias("stoppage_reason"),
+    """One row per play, of 53 columns."""
+    p = lambda c: F.col(f"p.{c}")
+    return rows.select(F.col("d.id").alias("game_id"), "source", F.explode("d.plays").alias("p")).select(
+        "game_id", p("eventId").alias("event_id"), p("periodDescriptor.number").alias("period_number"), p("periodDescriptor.periodType").alias("period_type"),
+        p("timeInPeriod").alias("time_in_period"), p("timeRemaining").alias("time_remaining"), p("typeCode").alias("type_code"), p("typeDescKey").alias("type_desc_key"),
+        p("sortOrder").alias("sort_order"), p("homeTeamDefendingSide").alias("home_team_defending_side"), p("situationCode").alias("situation_code"),
+        *(F.col(f"p.details.{field}").alias(name) for name, field in _DETAIL_OF.items()), p("pptReplayUrl").alias("ppt_replay_url"), "source", F.current_timestamp().alias("ingestion_timestamp"),
     )
 
 
@@ -135,13 +161,6 @@ def replaced(old: DataFrame, new: DataFrame, key: str = "game_id") -> DataFrame:
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
 
 
-def write_version(df: DataFrame, root: str, name: str, version: int) -> str:
-    """A table version as a folder of its own; readers take the largest version, so a failed write is never read."""
-    path = f"{root}/{name}/v={version:010d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def check_layout(df: DataFrame, columns: list[str]) -> DataFrame:
     """df, if it has all columns; else an error that names those that lack."""
     if lacking := [c for c in columns if c not in df.columns]:
@@ -150,22 +169,28 @@ def check_layout(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def schedule_games(schedules: DataFrame) -> DataFrame:
-    """Ids of finished games in weekly schedule documents (raw_json), each once."""
+    """Finished games in weekly schedule documents (seq, raw_json): game_id and the smallest seq it is seen in, each game once."""
     week = F.from_json("raw_json", "gameWeek array<struct<games: array<struct<id: bigint, gameState: string>>>>")
-    games = schedules.select(F.explode(week["gameWeek"]).alias("w")).select(F.inline("w.games"))
-    return games.where(F.col("gameState").isin(*FINAL_STATES)).select(F.col("id").alias("game_id")).distinct()
+    games = schedules.select("seq", F.explode(week["gameWeek"]).alias("w")).select("seq", F.inline("w.games"))
+    return games.where(F.col("gameState").isin(*FINAL_STATES)).groupBy(F.col("id").alias("game_id")).agg(F.min("seq").alias("first_seen"))
 
 
-def open_games(schedule: DataFrame, now: Column) -> DataFrame:
-    """Schedule rows (game_state, schedule_state, start_ts) that are live or begin between 30 minutes ago and in 35 minutes."""
+def open_games(schedule: DataFrame, now: Column, teams: list[str] | None = None) -> DataFrame:
+    """Schedule rows (game_state, schedule_state, start_ts, home, away) that are live or begin between 30 minutes ago and in 35 minutes, of the teams only if given."""
     wait = F.col("start_ts").cast("long") - now.cast("long")
-    return schedule.where(F.col("game_state").isin("PRE", "LIVE", "CRIT") | ((F.col("game_state") == "FUT") & (F.col("schedule_state") == "OK") & wait.between(-1800, 2100)))
+    rows = schedule.where(F.col("game_state").isin("PRE", "LIVE", "CRIT") | ((F.col("game_state") == "FUT") & (F.col("schedule_state") == "OK") & wait.between(-1800, 2100)))
+    return rows if teams is None else rows.where(F.col("home").isin(*teams) | F.col("away").isin(*teams))
 
 
 def census(documents: DataFrame) -> DataFrame:
-    """Count, first and last date of each game type."""
-    kind, date = F.get_json_object("raw_json", "$.gameType").try_cast("int"), F.get_json_object("raw_json", "$.gameDate")
-    return documents.groupBy(kind.alias("game_type")).agg(F.count(F.lit(1)).alias("games"), F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+    """Count, first and last date, and a matchup (the first in order) of each game type, with its name."""
+    of = lambda p: F.get_json_object("raw_json", p)
+    kind, date = of("$.gameType").try_cast("int"), of("$.gameDate")
+    rows = documents.groupBy(kind.alias("game_type")).agg(
+        F.count(F.lit(1)).alias("games"), F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.min(F.concat_ws(" @ ", of("$.awayTeam.abbrev"), of("$.homeTeam.abbrev"))).alias("sample_matchup")
+    )
+    names = F.create_map(*(F.lit(x) for pair in TYPE_NAMES.items() for x in pair))
+    return rows.withColumn("type_name", F.coalesce(F.try_element_at(names, F.col("game_type")), F.lit("Unknown")))
 
 
 def missing_years(spark: SparkSession, documents: DataFrame, first: int, last: int, gaps: tuple[int, ...] = ()) -> DataFrame:

@@ -37,22 +37,51 @@ def game_documents(t: League) -> DataFrame:
         "goalieInNetId": "goalie_in_net_id", "scoringPlayerId": "scoring_player_id", "assist1PlayerId": "assist1_player_id", "assist2PlayerId": "assist2_player_id",
         "hittingPlayerId": "hitting_player_id", "hitteePlayerId": "hittee_player_id", "blockingPlayerId": "blocking_player_id", "winningPlayerId": "winning_player_id",
         "losingPlayerId": "losing_player_id", "playerId": "player_id", "typeCode": "penalty_type_code", "descKey": "penalty_desc_key", "duration": "penalty_duration",
-        "committedByPlayerId": "committed_by_player_id", "drawnByPlayerId": "drawn_by_player_id",
+        "committedByPlayerId": "committed_by_player_id", "drawnByPlayerId": "drawn_by_player_id", "reason": "stoppage_reason", "scoringPlayerTotal": "scoring_player_total",
+        "awayScore": "away_score", "homeScore": "home_score", "awaySOG": "away_sog", "homeSOG": "home_sog",
     }
     play = F.struct(
-        F.col("sort_order").alias("sortOrder"), F.col("event_id").alias("eventId"), F.lit(0).alias("typeCode"), F.col("type_desc_key").alias("typeDescKey"),
+        F.col("sort_order").alias("sortOrder"), F.col("event_id").alias("eventId"), F.col("type_code").alias("typeCode"), F.col("type_desc_key").alias("typeDescKey"),
         F.struct(F.col("period_number").alias("number"), F.col("period_type").alias("periodType")).alias("periodDescriptor"),
-        F.col("time_in_period").alias("timeInPeriod"), F.col("situation_code").alias("situationCode"), F.col("home_team_defending_side").alias("homeTeamDefendingSide"),
+        F.col("time_in_period").alias("timeInPeriod"), F.col("time_remaining").alias("timeRemaining"), F.col("situation_code").alias("situationCode"), F.col("home_team_defending_side").alias("homeTeamDefendingSide"),
         F.struct(*(F.col(c).alias(n) for n, c in details.items())).alias("details"),
     )
     plays = t.plays.groupBy("game_id").agg(F.array_sort(F.collect_list(play)).alias("plays"))
     spot = F.struct(F.col("player_id").alias("playerId"), F.col("team_id").alias("teamId"), default("first_name").alias("firstName"), default("last_name").alias("lastName"), F.col("position_code").alias("positionCode"), F.col("sweater_number").alias("sweaterNumber"))
     spots = t.rosters.groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("player_id", "team_id", spot.alias("s")))).alias("spots"))
-    side = lambda s: F.struct(F.col(f"{s}_team_id").alias("id"), F.concat(F.lit("T"), F.lpad((F.col(f"{s}_team_id") - 1).cast("string"), 2, "0")).alias("abbrev"), F.col(f"{s}_final_score").alias("score"), F.struct(F.lit("Team").alias("default")).alias("commonName")).alias(f"{s}Team")
+    side = lambda s: F.struct(F.col(f"{s}_team_id").alias("id"), F.concat(F.lit("T"), F.lpad((F.col(f"{s}_team_id") - 1).cast("string"), 2, "0")).alias("abbrev"), F.col(f"{s}_final_score").alias("score"), F.struct(F.lit("Team").alias("default")).alias("commonName"),
+        F.struct(F.concat(F.lit("Place "), F.col(f"{s}_team_id").cast("string")).alias("default")).alias("placeName"), F.concat(F.lit("logo/"), F.year("game_date").cast("string")).alias("logo")).alias(f"{s}Team")
     document = F.to_json(F.struct(
         F.col("game_id").alias("id"), "season", F.col("game_type").alias("gameType"), F.col("game_date").cast("string").alias("gameDate"), F.col("game_state").alias("gameState"),
-        side("away"), side("home"), F.struct(F.col("last_period_type").alias("lastPeriodType")).alias("gameOutcome"), F.transform("spots", lambda x: x.s).alias("rosterSpots"), "plays",
+        F.struct(F.col("venue").alias("default")).alias("venue"), F.lit(3).alias("regPeriods"), side("away"), side("home"), F.struct(F.col("last_period_type").alias("lastPeriodType")).alias("gameOutcome"), F.transform("spots", lambda x: x.s).alias("rosterSpots"), "plays",
     ))
     rows = t.games.join(plays, "game_id", "left").join(spots, "game_id", "left")
     source = F.concat(F.lit("game/"), F.col("game_id").cast("string"))
     return rows.select(F.col("game_id").alias("event_id"), F.to_timestamp(F.col("game_date")).alias("ingestion_timestamp"), source.alias("source"), document.alias("raw_json"))
+
+
+def schedule_documents(t: League) -> DataFrame:
+    """A schedule document per week: seq (the week's number) and raw_json, whose days hold the week's games and the next day's, so that some are seen twice."""
+    day = F.datediff("game_date", F.lit("2021-01-01").cast("date"))
+    seen = t.games.select("game_id", "game_state", day.alias("day")).withColumn("seq", F.explode(F.array_distinct(F.array(F.floor(F.col("day") / 7), F.floor((F.col("day") - 1) / 7)))))
+    days = seen.groupBy("seq", "day").agg(F.array_sort(F.collect_list(F.struct(F.col("game_id").alias("id"), F.col("game_state").alias("gameState")))).alias("games"))
+    weeks = days.groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("day", "games"))).alias("gameWeek"))
+    return weeks.select("seq", F.to_json(F.struct("gameWeek")).alias("raw_json"))
+
+
+def schedule_rows(t: League) -> DataFrame:
+    """Schedule rows: game_id, game_state (games that are not over are yet to come), schedule_state, start_ts, home, away."""
+    abbrev = lambda c: F.concat(F.lit("T"), F.lpad((F.col(c) - 1).cast("string"), 2, "0"))
+    start = F.col("game_date").cast("timestamp") + F.make_dt_interval(F.lit(0), (F.col("game_id") % 24).cast("int"), (F.col("game_id") % 60).cast("int"))
+    return t.games.select(
+        "game_id", F.when(F.col("game_id") % 3 == 0, "FUT").otherwise(F.col("game_state")).alias("game_state"), F.when(F.col("game_id") % 5 == 0, "PPD").otherwise("OK").alias("schedule_state"),
+        start.alias("start_ts"), abbrev("home_team_id").alias("home"), abbrev("away_team_id").alias("away"),
+    )
+
+
+def game_snapshots(t: League) -> DataFrame:
+    """Four snapshots of each document, at minutes 0 to 3: the first without a state, the second and third alike, the fourth whole."""
+    docs = game_documents(t)
+    times = docs.select("event_id", "raw_json", F.explode(F.array(*(F.lit(k) for k in range(4)))).alias("minute"))
+    text = F.when(F.col("minute") == 0, F.regexp_replace("raw_json", '"gameState":"[A-Z]*"', '"gameState":"PRE"')).when(F.col("minute") < 3, F.regexp_replace("raw_json", '"gameState":"[A-Z]*"', '"gameState":"CRIT"')).otherwise(F.col("raw_json"))
+    return times.select(F.col("event_id").alias("game_id"), F.timestamp_seconds(F.col("minute") * 60).alias("fetched_at"), text.alias("raw_json"))

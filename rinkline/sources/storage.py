@@ -29,6 +29,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _folder(spark, path)
+    fs.delete(at, True)
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, none if it is not there."""
     fs, at = _folder(spark, path)

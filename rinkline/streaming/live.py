@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rinkline.operators import ingest
+from rinkline.sources.silver import Silver
 
 
 def play_versions(snapshots: DataFrame) -> DataFrame:
@@ -33,14 +34,43 @@ def allowed_snapshots(snapshots: DataFrame, games: DataFrame) -> DataFrame:
     return rows.drop("owner", "stored_at")
 
 
-def apply_snapshots(batch: DataFrame, games: DataFrame, rosters: DataFrame, plays: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three tables after a micro-batch: every accepted game is swapped whole, which adds, corrects and deletes plays."""
+def parsed_snapshots(batch: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Games, rosters and plays of the snapshots of a micro-batch that are accepted, given the stored games."""
     accepted = allowed_snapshots(newest_snapshots(batch), games)
     rows = accepted.select(F.lit("live").alias("source"), F.col("fetched_at").alias("ingestion_timestamp"), "raw_json")
     good, _ = ingest.parsed(rows)
-    new = ingest.parse_games(good)
-    emptied = lambda old, fresh: old.join(new.select("game_id"), "game_id", "left_anti").unionByName(fresh)  # noqa: E731  also games that have no plays any more
-    return emptied(games, new), emptied(rosters, ingest.parse_rosters(good)), emptied(plays, ingest.parse_plays(good))
+    return ingest.parse_games(good), ingest.parse_rosters(good), ingest.parse_plays(good)
+
+
+def apply_snapshots(batch: DataFrame, games: DataFrame, rosters: DataFrame, plays: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables after a micro-batch: every accepted game is swapped whole, which adds, corrects and deletes plays."""
+    new = parsed_snapshots(batch, games)
+    emptied = lambda old, fresh: old.join(new[0].select("game_id"), "game_id", "left_anti").unionByName(fresh)  # noqa: E731  also games that have no plays any more
+    return tuple(emptied(old, fresh) for old, fresh in zip((games, rosters, plays), new))
+
+
+def start_into(snapshots: DataFrame, store: Silver, checkpoint: str, **trigger) -> StreamingQuery:
+    """Runs the stream into stored tables: a micro-batch reads and rewrites only the partitions of its games."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        df = df.persist()
+        try:
+            new = parsed_snapshots(df, store.read("games"))
+            store.replace(new[0], *new)
+        finally:
+            df.unpersist()
+
+    return snapshots.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def append_versions(snapshots: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Appends every play of every snapshot to a table of Parquet files."""
+    return play_versions(snapshots).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(path)
+
+
+def stream_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table that a stream appends to, read as a stream: streams are chained through it."""
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
 def start(snapshots: DataFrame, read: Callable[[], tuple[DataFrame, DataFrame, DataFrame]], write: Callable[[int, tuple[DataFrame, DataFrame, DataFrame]], None], checkpoint: str, **trigger) -> StreamingQuery:
