@@ -4,7 +4,8 @@ import json
 
 import pytest
 
-from rinkline.operators import ingest
+from rinkline.operators import gold, ingest
+from rinkline.sources import silver
 from rinkline.sources.documents import stream_files, whole_files
 from rinkline.streaming import live
 
@@ -93,3 +94,60 @@ def test_live_scenario(spark, tmp_path):
     files = whole_files(spark, str(root))
     assert live.play_versions(files).count() == 10 + 19 + 2 + 3 + 30
     assert ingest.changed_snapshots(files).count() == 5
+
+
+def test_stored_tables(spark, tmp_path):
+    """Batch runs with a ledger: newest document of a game, kinds that are not kept, a second run that changes nothing, the guard."""
+    store = silver.Silver(spark, f"file://{tmp_path}/silver", parts=4)
+    docs = _docs(spark, _game([_play(1)]), _game([_play(1), _play(2)]), _game([], game_id=7, gameType=4), _game([_play(3)], game_id=8), "{not json")
+    store.load(docs.where("event_id <> 3"))
+    assert {r.game_id: r.n for r in store.read("plays").groupBy("game_id").count().withColumnRenamed("count", "n").collect()} == {2024020500: 2}
+    assert sorted(((r.bronze_event_id, r.play_count) for r in store.ledger().collect()), key=repr) == [(0, None), (1, 2), (2, None), (4, None)]
+    store.load(docs)
+    assert sorted(r.game_id for r in store.read("games").collect()) == [8, 2024020500]
+    assert store.ledger().count() == 5 and ingest.unprocessed(docs, store.ledger()).isEmpty()
+    games = store.read("games")
+    store.replace(games.select("game_id"), games.limit(0), store.read("rosters").limit(0), store.read("plays").limit(0))
+    assert store.read("games").isEmpty() and store.read("plays").isEmpty()
+    store.guard()
+    assert store.ledger().isEmpty()
+    assert len(store.read("games").columns) == 35 and len(store.read("rosters").columns) == 10 and len(store.read("plays").columns) == 53
+
+
+def test_live_into_stored_tables(spark, tmp_path):
+    """The stream writes by the library's own writer; plays of all snapshots are chained through a table."""
+    root, store = tmp_path / "landing", silver.Silver(spark, f"file://{tmp_path}/silver", parts=4)
+
+    def land(time, game):
+        folder = root / str(game["id"])
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{time}.json").write_text(json.dumps(game))
+
+    run = lambda: live.start_into(stream_files(spark, str(root)), store, str(tmp_path / "c1")).awaitTermination()
+    store.load(_docs(spark, _game([_play(1)], game_id=1)))
+    plays = [_play(i) for i in range(1, 31)]
+    land("20241210T000000Z", _game(plays[:10]))
+    land("20241210T000000Z", _game(plays[:9], game_id=1))  # owned by the batch path
+    run()
+    assert store.read("plays").where("game_id = 2024020500").count() == 10 and store.read("plays").where("game_id = 1").count() == 1
+    land("20241210T000100Z", _game([p for p in plays[:20] if p["eventId"] != 3]))
+    land("20241209T000000Z", _game(plays[:2]))  # older than what is stored
+    run()
+    assert store.read("plays").where("game_id = 2024020500").count() == 19
+    assert {r.source for r in store.read("plays").where("game_id = 2024020500").collect()} == {"live"}
+    path = f"file://{tmp_path}/versions"
+    live.append_versions(stream_files(spark, str(root)), path, str(tmp_path / "c2")).awaitTermination()
+    counted = live.stream_table(spark, path).groupBy("game_id").count().writeStream.format("memory").queryName("versions").outputMode("complete").trigger(availableNow=True)
+    counted.option("checkpointLocation", str(tmp_path / "c3")).start().awaitTermination()
+    assert {(r.game_id, r["count"]) for r in spark.table("versions").collect()} == {(1, 9), (2024020500, 10 + 19 + 2)}
+
+
+def test_versions_and_stints(spark, tmp_path):
+    root = f"file://{tmp_path}/gold"
+    one, two = spark.range(3), spark.range(5)
+    silver.write_version(one, root, "t")
+    assert silver.write_version(two, root, "t").count() == 5 and silver.read_version(spark, root, "t").count() == 5
+    rows = [(1, 5, "2024-01-01"), (1, 4, "2024-01-01"), (1, None, "2024-01-02"), (1, 4, "2024-01-03"), (1, 6, "2024-01-04"), (1, 4, "2024-01-05"), (1, 4, None)]
+    spots = spark.createDataFrame(rows, "player_id long, team_id int, d string").selectExpr("player_id", "team_id", "cast(d AS date) AS game_date")
+    got = sorted((str(r.valid_from), str(r.valid_to), r.team_id, r.games_in_stint, r.is_current) for r in gold.dim_player_team(spots).collect())
+    assert got == [("2024-01-01", "2024-01-03", 4, 2, False), ("2024-01-04", "2024-01-04", 6, 1, False), ("2024-01-05", "2024-01-05", 4, 1, True)]

@@ -47,3 +47,21 @@ def test_block_invariants(spark):
     stats = blocks.team_stats(t)
     goals = blocks.plays_with_strength(t).where("type_desc_key = 'goal'").groupBy("game_id").agg(F.count(F.lit(1)).alias("n"))
     assert stats.groupBy("game_id").agg(F.sum("gf").alias("gf")).join(goals, "game_id").where("gf <> n").isEmpty()
+
+
+def test_filters_reach_the_plays(spark):
+    """Season, type and team narrow the games before plays are exploded, in the plan as in the result."""
+    from rinkline.queries.run import by_name
+
+    t = league(spark, SF)
+    query = by_name()["q044_player_full_stat_line"]
+    df = query(t, season=20212022, team="T05", min_games=1)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate explode") :]
+    assert "season" in below and "T05" in below
+    games = blocks.narrowed(t, season=20212022, team="T05").games
+    assert games.where("season <> 20212022 or (home_team_id <> 6 and away_team_id <> 6)").isEmpty() and not games.isEmpty()
+
+
+def test_every_hockey_query_has_sql():
+    assert [n for n in entry.queries() if not n.startswith("op") and n != "pipeline" and n not in entry.oracle_sql()] == []
