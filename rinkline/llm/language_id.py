@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rinkline.llm._bytes import slices
+from rinkline.llm._shared import discard, if_small, stored
 
-#: Labelled rows that are learned from at most for each language, the longest of them in bytes, and languages at most.
-ROWS_PER_LANGUAGE, LONGEST_ROW, MOST_LANGUAGES = 800, 40_000, 200
+#: Labelled rows that are learned from at most for each language and for all, and the pieces of a longer text that are learned from, with their characters.
+ROWS_PER_LANGUAGE, ROWS, PIECES, PIECE = 800, 40_000, 4, 1_000
 BUCKETS, WIDTH, ORDERS = 1 << 15, 16, (2, 3, 4)
 #: Share of rightly labelled texts that calibrated rejection may lose.
 LOST_SHARE = 0.0005
@@ -147,18 +148,23 @@ def held_out(record_id: Column, parts: int, part: int) -> Column:
 
 
 def fit(rows: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel:
-    """A model from rows (id, text, lang): at most about rows_per_language rows for each language, chosen by a hash of the id.
+    """A model from rows (id, text, lang) of every language: about rows_per_language rows of each, fewer where that makes more than ROWS in all.
 
-    Rows without text or language are left out; so are texts of more than LONGEST_ROW bytes,
-    and all but the MOST_LANGUAGES most frequent languages.
+    Rows are chosen by a hash of id and text.  Those without text or language
+    are left out.  Of a text longer than PIECES times PIECE characters so many
+    pieces, at places that the hash draws, stand for it, so at most 1.5 times
+    ROWS such texts go to the driver, and all languages are learned.
     """
-    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= LONGEST_ROW))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    draw = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (draw < min(1.0, rows_per_language / r["count"])))
-    sample = rows.where(chosen).select("text", "lang").collect()
+    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    counts = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    each = max(1.0, min(rows_per_language, ROWS / max(1, counts.count())))
+    draw = F.pmod(F.xxhash64("id", "text", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.join(if_small(counts), "lang").where(draw < F.lit(each) / F.col("n"))
+    place = lambda k: 1 + F.pmod(F.xxhash64("text", F.lit(k)), F.length("text") - PIECE + 1)
+    pieces = F.concat_ws(" ", *(F.substring("text", place(k), F.lit(PIECE)) for k in range(PIECES)))
+    learned = F.when(F.length("text") <= PIECES * PIECE, F.col("text")).otherwise(pieces)
+    sample = chosen.select(learned.alias("text"), "lang").limit(int(1.5 * ROWS)).collect()
+    discard(counts)
     sample.sort()
     return train([r.text for r in sample], [r.lang for r in sample])
 
@@ -167,7 +173,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
     m: LanguageModel = model.value
     names = np.array(m.languages, dtype=object)
     for batch in batches:
-        for first, end, data, offsets in slices(batch.column(1), 1 << 20):
+        for first, end, data, offsets in slices(batch.column(1)):
             p = m.probabilities(data, offsets)
             best, score = names[p.argmax(axis=1)], p.max(axis=1)
             letters = np.concatenate([[0], np.cumsum((_SEEN[data] != 32) & (data < 128))])
