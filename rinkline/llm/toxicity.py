@@ -28,6 +28,8 @@ WINDOW, STRIDE = 24, 12
 ROWS_PER_LABEL, LONGEST_ROW = 1500, 12_000
 #: Documents of the sample that a word must occur in to have an embedding of its own.
 LEAST_DOCUMENTS = 3
+#: Share of the sample that is held back from training for the calibration.
+HELD = 0.1
 CHARS, WORD, CHAR, HIDDEN = 1 << 12, 8, 4, 8
 
 
@@ -176,13 +178,17 @@ def train(texts: list[str], labels: list[int], epochs: int = 5, rate: float = 0.
     low, starts, ends, bounds = letter_words(raw, offsets)
     hashes = span_hash(prefix_hash(byte_symbols(low)), starts, ends)
     every, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+    held = rng.random(len(texts)) < HELD  # for the calibration
+    if len(texts) and (y[~held].min(initial=1) == y[~held].max(initial=0) or y[held].min(initial=1) == y[held].max(initial=0)):
+        held[:] = False
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    pair = np.unique(of * np.int64(len(texts) + 1) + doc)
+    learned = ~held[doc]
+    pair = np.unique(of[learned] * np.int64(len(texts) + 1) + doc[learned])
     bad = np.bincount(pair // (len(texts) + 1), weights=y[pair % (len(texts) + 1)], minlength=len(every))
     seen = np.bincount(pair // (len(texts) + 1), minlength=len(every))
     often = seen >= LEAST_DOCUMENTS
     known = every[often]
-    base = float(y.mean()) if len(y) else 0.5
+    base = float(y[~held].mean()) if len(y) else 0.5
     odds = np.log((bad + 2 * base + 1e-6) / (seen - bad + 2 * (1 - base)) * (1 - base + 1e-6) / (base + 1e-6))[often]
     normal = lambda *shape, s=0.3: rng.normal(0, s, shape).astype(np.float32)
     word = normal(len(known) + 1, WORD, s=0.05)
@@ -217,7 +223,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 5, rate: float = 0.
         return words, rows, x, np.minimum(back.reshape(-1, WINDOW), len(x) - 1), real[at], np.cumsum(count[docs]) - count[docs]
 
     for _ in range(epochs):
-        order = rng.permutation(len(texts))
+        order = rng.permutation(np.flatnonzero(~held))
         for s in range(0, len(order), batch):
             docs = order[s : s + batch]
             words, rows, x, here, live, at = local(docs)
@@ -235,7 +241,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 5, rate: float = 0.
             adam("word", dword)
             p["word"][0] = 0
     final = np.concatenate([np.maximum.reduceat(model.run(x, here, live), at) for _, _, x, here, live, at in (local(np.arange(s, min(s + 256, len(texts)))) for s in range(0, len(texts), 256))])
-    # calibration: a logistic fit of the labels on the worst scores
+    # calibration: a logistic fit of the labels on the worst scores of the rows held back, or of all where these show one label only
+    if held.any():
+        final, y = final[held], y[held]
     a, b = 1.0, 0.0
     for _ in range(400):
         d = _sigmoid(a * final + b) - y
