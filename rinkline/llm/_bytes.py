@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer single text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 #: U+0009 to U+000D and space part words.
 IS_BLANK = np.zeros(256, dtype=bool)

@@ -18,7 +18,8 @@ LARGE_GROUP = 100_000
 #: The column of numbered().
 ROW = "rinkline_row"
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while tables are written: shuffle files go with each write, and Arrow batches of texts stay small.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,16 +42,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def shuffle_cleanup(spark: SparkSession):
-    """Shuffle files of the writes inside go as soon as each write has ended."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    """Shuffle files of the writes inside go as soon as each write has ended; Arrow batches are small."""
+    before = {name: spark.conf.get(name, None) for name in _WRITING}
+    for name, value in _WRITING.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
