@@ -241,10 +241,10 @@ def _in_order(found: Suffixes) -> np.ndarray:
     return order
 
 
-def _merge(new: pa.Table, old: pa.Table, merged: frozenset[str], level: str, piece: int = 1 << 21) -> pa.Table:
+def _merge(new: pa.Table, old: pa.Table, merged: frozenset[str], level: str, piece: int = 1 << 14) -> pa.Table:
     """The arrays of one bucket, of a batch and of all levels, to: the new level, repeated groups, and groups to be compared.
 
-    level: the name of the new level, which takes in those of merged.
+    level: the name of the new level, which takes in those of merged.  Rows have at most `piece` suffixes, in order.
     """
     out, parts, of, bucket = [], [], [], 0
     for batch in [*new.to_batches(), *old.to_batches()]:
@@ -280,15 +280,13 @@ def _merge(new: pa.Table, old: pa.Table, merged: frozenset[str], level: str, pie
             doc = found.doc[by]
             several = np.minimum.reduceat(doc, run) < np.maximum.reduceat(doc, run)
             compare[by[_spread(run, several, len(by))]] = True
-    if late.any():
-        out.append(_row(_LATE, bucket, found.take(np.flatnonzero(late))))
-    if compare.any():
-        out.append(_row(_OPEN, bucket, found.take(np.flatnonzero(compare))))
+    parts = [(_LATE, np.flatnonzero(late)), (_OPEN, np.flatnonzero(compare))]
     # of equal contexts the one of the smallest document stays
     stays = np.flatnonzero(found.doc == _spread(first, owner, n))
     stays = stays[_runs(np.searchsorted(first, stays, side="right"))]
     stays = stays[of[stays] < 2]
-    out += [_row(level, bucket, found.take(stays[i : i + piece])) for i in range(0, len(stays), piece)]
+    parts.append((level, stays))
+    out += [_row(kind, bucket, found.take(at[i : i + piece])) for kind, at in parts for i in range(0, len(at), piece)]
     return pa.Table.from_batches([_record(out)] if out else [], _SCHEMA)
 
 
