@@ -108,4 +108,27 @@ ORACLE = {
         least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
         SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(least.y, w.doc_id)) AS component_id
         FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.x = w.doc_id""",
+    "op6_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        n AS (SELECT page_id, h, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+        SELECT page_id, strlen(h) AS payload_bytes,
+               array_to_string(list_transform(range(8), lambda k: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(((cast('0x' || substr(hex, cast(5 * k + 1 AS integer), 5) AS integer) >> s) & 31) + 1 AS integer), 1)), '')), '') AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM n""",
+    "op10_suffix_dedup": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+        f AS (SELECT g, min(doc_id) AS m FROM w GROUP BY g),
+        late AS (SELECT doc_id, i FROM w JOIN f USING (g) WHERE doc_id > m),
+        gaps AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM late),
+        runs AS (SELECT doc_id, i, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM gaps),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, r),
+        cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM spans),
+        kept AS (
+            SELECT doc_id, string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) AS head, max(b) AS last, sum(b - a) AS removed, count(*) AS n
+            FROM cut JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, len(h) // 2 AS n_bytes, cast(coalesce(removed, 0) AS bigint) AS n_removed, coalesce(n, 0) AS n_spans,
+               sha256(unhex(CASE WHEN n IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
 }
