@@ -89,9 +89,9 @@ def discard(*frames: DataFrame) -> None:
         delete(df.sparkSession, df.path)
 
 
-def if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored narrow table with a broadcast hint if it has at most limit rows, else as it is."""
-    return F.broadcast(df) if df.count() <= limit else df
+def if_small(df: DataFrame) -> DataFrame:
+    """A stored narrow table with a broadcast hint if it has at most BROADCAST_ROWS rows, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:

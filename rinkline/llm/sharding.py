@@ -23,6 +23,13 @@ def shard_of(record_id: Column, shards: int, seed: int) -> Column:
     return F.greatest(*draws).getField("shard") if shards > 1 else F.lit(0)
 
 
+def _bases(scattered: DataFrame) -> DataFrame:
+    """Where the slots of each bucket of a shard begin: one row per bucket, counted before the shuffle."""
+    counts = scattered.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return stored(counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+
+
 def assign_shards(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -45,8 +52,9 @@ def assign_shards(
     Spark: only (id, size, crc) rows are scattered, never texts; a shard has
     as many buckets as its share of bucket_bytes asks for, and a record's
     bucket depends on id, size and CRC, so repeated ids spread where they
-    differ.  Buckets are put into order before they are shuffled, so a
-    recomputed task gives the same slots.
+    differ, and rows that repeat all three share a bucket.  Buckets are put
+    into order before they are shuffled, so a recomputed task gives the same
+    slots; where a bucket's slots begin follows from the counts of buckets.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"))
@@ -59,12 +67,9 @@ def assign_shards(
     filled = (
         scattered.groupBy("shard", "bucket")
         .agg(F.array_sort(F.collect_list(F.struct("id", "size", "crc"))).alias("records"))
-        .sortWithinPartitions("shard", "bucket")
     )
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shuffled = filled.select("shard", "bucket", F.shuffle("records", F.lit(seed)).alias("records"))
-    placed = shuffled.withColumn("base", F.coalesce(F.sum(F.size("records")).over(before), F.lit(0)))
-    out = placed.select("shard", "base", F.posexplode("records").alias("at", "r"))
+    placed = filled.join(if_small(_bases(scattered)), ["shard", "bucket"]).sortWithinPartitions("shard", "bucket")
+    out = placed.select("shard", "base", F.posexplode(F.shuffle("records", F.lit(seed))).alias("at", "r"))
     return out.select(
         F.col("r.id").alias(id_col),
         F.col("r.size").alias("size"),
@@ -105,9 +110,7 @@ def write_shards(
         "doc", "id", "size", "crc", shard_of(F.col("id"), shards, seed).cast("int").alias("shard"),
         F.pmod(F.xxhash64(F.lit(seed + 1), "id", "size", "crc"), F.lit(buckets)).cast("int").alias("bucket"),
     )
-    counts = scattered.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = stored(counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    bases = _bases(scattered)
     filled = (
         scattered.repartitionByRange("shard", "bucket")
         .sortWithinPartitions("shard", "bucket", "id", "size", "crc")

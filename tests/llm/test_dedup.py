@@ -9,6 +9,7 @@ import pytest
 from rinkline.llm.exact_dedup import exact_dedup
 from rinkline.llm.ngram_join import TrieJoin, ngram_join
 from rinkline.llm.substring_dedup import substring_dedup
+from rinkline.llm import _shared
 from rinkline.llm import suffix_dedup as suffix_module
 from rinkline.llm.suffix_dedup import suffix_dedup
 
@@ -101,6 +102,29 @@ def test_suffixes(spark, corpus):
     assert suffix_dedup(_frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("digest_all", [True, False])
+def test_exact_without_broadcasts(spark, corpus, digest_all, monkeypatch):
+    """Beyond BROADCAST_ROWS and LARGE_GROUP the result is the same."""
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    want = sorted(map(tuple, exact_dedup(_frame(spark, corpus), digest_all=digest_all).select(*columns).collect()), key=repr)
+    monkeypatch.setattr(_shared, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(_shared, "LARGE_GROUP", 3)
+    got = exact_dedup(_frame(spark, corpus), digest_all=digest_all).select(*columns).collect()
+    assert sorted(map(tuple, got), key=repr) == want
+
+
+def test_numbered_rows(spark, tmp_path):
+    """Rows of files keep their numbers; rows of a join, which repeat and lack rows of their files, get others; all are unique."""
+    spark.range(50).selectExpr("id AS doc_id", "cast(id % 3 AS string) AS text").repartition(3).write.parquet(f"{tmp_path}/t")
+    docs = spark.read.parquet(f"{tmp_path}/t")
+    once, again = ({r.doc_id: r[_shared.ROW] for r in _shared.numbered(docs).collect()} for _ in range(2))
+    assert once == again and len(set(once.values())) == 50
+    joined = docs.join(spark.range(2).selectExpr("id AS k"), docs.doc_id % 2 == 0).drop("k")
+    rows = _shared.numbered(joined)
+    assert rows.count() == 50 == rows.select(_shared.ROW).distinct().count()
+    assert _shared.numbered(docs.where("doc_id > 10")).select(_shared.ROW).distinct().count() == 39
+
+
 @pytest.mark.parametrize("batches", [1, 2, 5, 9])
 def test_suffixes_in_batches(spark, corpus, batches, monkeypatch):
     """Levels merge as batches come; frequent prefixes enter window by window; small chunks and buckets; against brute force."""

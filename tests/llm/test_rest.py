@@ -216,6 +216,25 @@ def test_decontamination_reaches_its_recall(spark, size):
     assert sum(got[x] != want[x] for x in got) == 0
 
 
+def test_decontamination_of_short_items(spark, monkeypatch):
+    """Items of 20 to 39 bytes with one edit anywhere, in more blocks than one, against the edit distance of every stretch between blanks."""
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 7)))
+    items = [(i, " ".join(word() for _ in range(10))[: 20 + 4 * i].strip()) for i in range(5)] + [(9, "a tiny one")]
+    rows, want = [], set()
+    for i, item in items:
+        for kind in range(3 if len(item) >= 20 else 1):
+            at = rnd.randrange(2, len(item) - 2)
+            changed = [item, item[:at] + "z" + item[at + 1 :], item[:at] + item[at + 1 :]][kind]
+            rows.append((10 * i + kind, f"{word()} {changed} {word()}"))
+            want.add((10 * i + kind, i))
+        rows.append((10 * i + 5, f"{word()} {item[:-3]}zzz {word()}"))
+    rows.append((99, "not a tiny ones"))
+    got = decontaminate.contaminated(_docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+
+
 def test_best_match_is_the_edit_distance():
     rnd = random.Random(6)
     for _ in range(200):
@@ -256,6 +275,27 @@ def test_toxicity(spark):
     assert toxicity.train([], []).text_scores(np.zeros(0, dtype=np.uint8), np.array([0, 0])).shape == (1,)
 
 
+def test_every_language_is_learned(spark):
+    rows = [(100 * k + i, " ".join([chr(0x4E00 + 7 * k + j) for j in range(7)] * 5), f"l{k:03d}") for k in range(205) for i in range(3)]
+    model = language_id.fit(spark.createDataFrame(rows, "id long, text string, lang string"))
+    assert len(model.languages) == 205
+    long = [(i, "the quick brown fox " * 2000, "en") for i in range(10)] + [(i + 10, "der schnelle braune fuchs " * 2000, "de") for i in range(10)]
+    model = language_id.fit(spark.createDataFrame(long, "id long, text string, lang string"))
+    got = language_id.identify(spark.createDataFrame([(1, "the brown fox"), (2, "der braune fuchs")], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "en", 2: "de"}
+
+
+def test_toxicity_on_labels(spark):
+    """Held-out rows of labels: most toxic rows score above most others."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    apart = language_id.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs.where(~apart).select(F.col("doc_id").alias("id"), "text"), labels.where(~apart).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")))
+    rows = toxicity.score(docs.where(apart).join(labels.select("doc_id"), "doc_id", "left_semi"), model).join(labels.select("doc_id", "toxic"), "doc_id").select("toxic", "score").collect()
+    bad, good = (np.array([r.score for r in rows if r.toxic == k]) for k in (1, 0))
+    assert (bad[:, None] > good[None]).mean() > 0.9 and (good >= 0.5).mean() < 0.05
+
+
 def test_gradients():
     model = toxicity.train(["a b", "c d"], [0, 0])
     rng = np.random.default_rng(0)
