@@ -3,11 +3,20 @@
 Two rounds of recompression turn the words of every document into symbols: a
 round joins runs of one symbol, and pairs of a "left" and a "right" symbol,
 where a coin that all tasks toss alike decides the side of a symbol.  A new
-symbol is named by a hash of the words it spans, so names agree everywhere
-without a dictionary.  Whether two symbols join depends on these two only, so
-equal substrings get equal symbols inside, except near their ends.  The symbols
-that occur in several documents reveal the repeats, which are then verified on
-the words themselves (rinkline.llm._repeats).
+symbol is named by a hash of the words it spans.  Whether two symbols join
+depends on these two only, so equal substrings get equal symbols inside, except
+near their ends.  The symbols that occur in several documents reveal the
+repeats; these are then compared window by window, by 64-bit hashes
+(rinkline.llm._repeats).
+
+Why no exchange names the symbols: a dictionary that numbers all pairs of a
+round would serve to tell pairs apart and to toss their coins.  The hash of the
+words spanned does both and is global: equal runs of words have equal names in
+every task, unequal ones differ but for collisions of 64 bits, which the
+comparison of windows removes.  Why two rounds: a symbol stands for a window
+only if all words that fix it lie inside, and after two rounds these are some
+three to five words beside as many at each end; a third round would leave many
+windows of thirteen words without any symbol.
 """
 
 from __future__ import annotations
