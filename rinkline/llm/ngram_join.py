@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rinkline.llm._bytes import mix, prefix_hash, slices, span_hash, word_bounds, word_hashes
-from rinkline.llm._components import components
+from rinkline.llm._components import components, spanning
 from rinkline.llm._shared import discard, if_small, stored, with_groups
 
 #: Least number of buckets of the histogram that goes with a set, and n-grams for each bucket of a larger one.
@@ -131,23 +131,6 @@ def _prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, frequent)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(whose))], ["gram", "class"])
 
 
-def spanning(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from each vertex to the first of its component: as few as the vertices, however many pairs there are."""
-    ids, at = np.unique(np.concatenate([left, right]), return_inverse=True)
-    a, b, label = at[: len(left)], at[len(left) :], np.arange(len(ids))
-    while True:
-        least = np.minimum(label[a], label[b])
-        after = label.copy()
-        np.minimum.at(after, a, least)
-        np.minimum.at(after, b, least)
-        after = after[after]
-        if (after == label).all():
-            break
-        label = after
-    moved = label != np.arange(len(ids))
-    return ids[moved], ids[label[moved]]
-
-
 def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (gram, class, n, sketch) sorted by gram to edges that keep every pair of classes connected which may be similar."""
     rest: pa.Table | None = None

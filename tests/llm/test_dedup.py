@@ -10,6 +10,7 @@ from rinkline.llm.exact_dedup import exact_dedup
 from rinkline.llm.ngram_join import TrieJoin, ngram_join
 from rinkline.llm.substring_dedup import substring_dedup
 from rinkline.llm import _shared
+from rinkline.llm._components import components
 from rinkline.llm import suffix_dedup as suffix_module
 from rinkline.llm.suffix_dedup import suffix_dedup
 
@@ -226,3 +227,24 @@ def test_trie_finds_every_component():
                 parent[find(a)] = find(b)
     assert len({frozenset(i for i in range(len(sets)) if find(i) == r) for r in map(find, range(len(sets)))}) == len({join.find(i) for i in range(len(sets))})
     assert all((join.find(a) == join.find(b)) == (find(a) == find(b)) for a in range(len(sets)) for b in range(a))
+
+
+@pytest.mark.parametrize("least", [5, 200_000])
+def test_components(spark, monkeypatch, least):
+    """By rounds of contraction and by one task for the rest, against union-find; a star, a path and random edges."""
+    monkeypatch.setattr(_shared, "BROADCAST_ROWS", least)
+    rnd = random.Random(4)
+    edges = [(0, i) for i in range(1, 30)] + [(100 + i, 101 + i) for i in range(40)] + [(rnd.randrange(200, 400), rnd.randrange(200, 400)) for _ in range(90)] + [(7, 7)]
+    root = {v: v for e in edges for v in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {v: find(v) for e in edges for v in e if e[0] != e[1]}
+    assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
