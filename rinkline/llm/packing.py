@@ -30,8 +30,8 @@ BUCKET_PIECES = 20_000
 
 
 #: First bytes of the white space outside ASCII.
-_MAYBE_SPACE = np.zeros(256, dtype=bool)
-_MAYBE_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+MAYBE_SPACE = np.zeros(256, dtype=bool)
+MAYBE_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 #: How the byte-level BPE splits a text before it merges (a fixed value).
@@ -48,18 +48,20 @@ class Encoder:
     A byte-level BPE treats a text piece by piece, and a blank that ends a run
     of white space always begins a piece.  So texts are cut at such blanks,
     every distinct piece is encoded once, and its ids are copied to where it
-    occurs.
+    occurs.  plain: the strings of special tokens count as any other text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.quick = self._ranked()
+        self.tokenizer.encode_special_tokens = plain
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [] if plain else added
+        self.quick = self._ranked(added)
         self.known: dict[bytes, bytes] = {}
 
-    def _ranked(self):
+    def _ranked(self, added: list[bytes]):
         """The same vocabulary in a quicker library, if its ids are the ranks of its merges; else None.
 
         All merges are compared with the ids: the later of two merges must give the greater id, and every token of
@@ -72,7 +74,7 @@ class Encoder:
         signs = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level BPE writes these as they are
         others = [b for b in range(256) if b not in signs]
         byte_of = {chr(b): b for b in signs} | {chr(256 + i): b for i, b in enumerate(others)}
-        vocabulary = {t: i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.encode() not in self.special}
+        vocabulary = {t: i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.encode() not in added}
         if not all(c in byte_of for t in vocabulary for c in t):
             return None
         made = [vocabulary.get("".join(pair), -1) for pair in merges]
@@ -102,7 +104,7 @@ class Encoder:
         solid = data > 32
         cut = np.zeros(len(data), dtype=bool)
         if len(data) > 2:
-            cut[1:-1] = ((data[1:-1] == 32) | (data[1:-1] == 10)) & solid[:-2] & solid[2:] & ~_MAYBE_SPACE[data[2:]]
+            cut[1:-1] = ((data[1:-1] == 32) | (data[1:-1] == 10)) & solid[:-2] & solid[2:] & ~MAYBE_SPACE[data[2:]]
         filled = np.diff(offsets) > 0
         cut[offsets[1:][filled] - 1] = False
         if not any(t in data.tobytes() for t in self.special):

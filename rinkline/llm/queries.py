@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import decontaminate, exact_dedup, language_id, ngram_join, packing, sharding, substring_dedup, suffix_dedup, toxicity, warc
+from rinkline.llm import alignment, decontaminate, exact_dedup, language_id, ngram_join, packing, sharding, substring_dedup, suffix_dedup, toxicity, warc
 from rinkline.llm._shared import new_path, table
 
 
@@ -60,7 +60,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"), width=50, with_bytes=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_language_id, op4_toxicity, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op9_decontaminate, op10_suffix_dedup)}
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = alignment.Alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.scores().select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_language_id, op4_toxicity, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op9_decontaminate, op10_suffix_dedup, op12_alignment)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
