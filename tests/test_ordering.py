@@ -2,11 +2,21 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rinkline.operators import ordering
 
 
+@pytest.fixture(autouse=True)
+def small_ranges_stay(spark):
+    """Else the few rows of a test would lie in one range."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
 def _rows():
     draw = random.Random(4)
     rows = [(draw.choice(["hot"] * 6 + ["b", "c", None]), i, draw.choice([1, 2, 2, 3, None])) for i in range(2000)]
