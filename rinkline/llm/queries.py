@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rinkline.llm import _oracle_merkle, alignment, decontaminate, exact_dedup, language_id, merkle, ngram_join, packing, sharding, substring_dedup, suffix_dedup, toxicity, warc
+from rinkline.llm import _oracle_merkle, alignment, decontaminate, exact_dedup, language_id, merkle, ngram_join, packing, sharding, spotsigs, substring_dedup, suffix_dedup, toxicity, warc
 from rinkline.llm._shared import new_path, table
 
 
@@ -71,7 +71,11 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.scores().select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_language_id, op4_toxicity, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op9_decontaminate, op10_suffix_dedup, op11_merkle_manifest, op12_alignment)}
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edits(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_sharding, op3_language_id, op4_toxicity, op5_substring_dedup, op6_warc, op7_packing, op8_ngram_join, op9_decontaminate, op10_suffix_dedup, op11_merkle_manifest, op12_alignment, op13_fingerprints)}
 
 ORACLE = {
     "op11_merkle_manifest": _oracle_merkle.SQL,
