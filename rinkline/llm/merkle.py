@@ -25,6 +25,8 @@ from rinkline.operators.ordering import row_numbers, running
 FANOUT = 16
 #: Ids of a bitmap.
 SPAN = 1024
+#: Rows with paths, of some kilobytes each, up to which they are broadcast.
+FEW_PATHS = 4096
 #: The range of rows without an id: before all others.
 _NO_RANGE = -(1 << 60)
 
@@ -191,13 +193,18 @@ def _tops(tree: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _few(paths: DataFrame) -> DataFrame:
+    """Stored rows with paths, to be broadcast if they are few."""
+    return F.broadcast(paths) if paths.count() <= FEW_PATHS else paths
+
+
 def _downwards(tree: list[DataFrame], tops: DataFrame, carried: list[str]) -> DataFrame:
     """The nodes of the lowest level with the path to their top and on: what tops (group, path, ...) has of the group, then carried.
 
     A path holds, level by level, the digests left and right of the node.
     """
     more = [c for c in tops.columns if c not in ("group", "path")]
-    tops, above = if_small(stored(tops, "tops")), None
+    tops, above = _few(stored(tops, "tops")), None
     for depth, level in reversed(list(enumerate(tree))):
         kept = carried if depth == 0 else []
         here = level.where("total = 1").select("group", F.lit(0).cast("long").alias("place"), *(F.col("slots")[0][c].alias(c) for c in ["digest", *kept])).join(tops, "group")
@@ -210,7 +217,7 @@ def _downwards(tree: list[DataFrame], tops: DataFrame, carried: list[str]) -> Da
                 "group", (F.col("run") * FANOUT + F.col("own")["slot"]).alias("place"), *(F.col("own")[c].alias(c) for c in ["digest", *kept]),
                 F.concat(F.array(step), "path").alias("path"), *more,
             ))
-        above = here if depth == 0 else if_small(stored(here, "paths"))
+        above = here if depth == 0 else _few(stored(here, "paths"))
     return above
 
 
