@@ -27,6 +27,8 @@ BUCKETS, WIDTH, ORDERS = 1 << 15, 16, (2, 3, 4)
 #: Share of rightly labelled texts that calibrated rejection may lose.
 LOST_SHARE = 0.0005
 UNKNOWN = "und"
+#: Length of a training step up to which it is taken whole.
+MOST_STEP = 3.0
 
 #: Bytes as the n-grams see them: A-Z as a-z, letters and bytes beyond ASCII as they are, all else a space.
 _SEEN = np.full(256, 32, dtype=np.uint8)
@@ -82,6 +84,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _clipped(step: np.ndarray, axis: int | None) -> np.ndarray:
+    """A step, shortened to MOST_STEP (each row of it with axis 1): where few n-grams fill a text, or labels contradict each other, whole steps would grow without end."""
+    return step / np.maximum(1, np.sqrt((step * step).sum(axis=axis, keepdims=True)) / MOST_STEP)
+
+
 def train(texts: list[str], labels: list[str], epochs: int = 4, least_steps: int = 400, rate: float = 1.0, batch: int = 64, seed: int = 3) -> LanguageModel:
     """A model from labelled texts; pieces of 80 to 800 bytes are drawn from all over each text."""
     rng = np.random.default_rng(seed)
@@ -121,12 +128,14 @@ def train(texts: list[str], labels: list[str], epochs: int = 4, least_steps: int
             error[np.arange(len(part)), [y for _, y, _ in part]] -= 1
             error *= rate * (1 - done / steps) / len(part)
             back = error @ linear.T
-            linear -= 10 * mean.T @ error
+            linear -= _clipped(10 * mean.T @ error, None)
             bias -= error.sum(axis=0)
-            table[every] -= 300 * share.T @ back  # an n-gram has a small share of a mean
+            table[every] -= _clipped(300 * share.T @ back, 1)  # an n-gram has a small share of a mean
             done += len(part)
     scores = table @ linear
     scores[0] = 0
+    if not (np.isfinite(scores).all() and np.isfinite(bias).all()):
+        raise FloatingPointError("training diverged")
     tests = [e for e in examples if e[2]] or examples
     logits = np.array([scores[g].mean(axis=0) + bias for g, _, _ in tests]) if tests else np.zeros((0, k))
     truth = np.array([y for _, y, _ in tests], dtype=int)
@@ -181,7 +190,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
                 # no ASCII letter: look at the characters
                 if not any(c.isalpha() for c in data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace")):
                     best[i], score[i] = UNKNOWN, 0.0
-            refused = (score < m.least) | (best == UNKNOWN)
+            refused = ~(score >= m.least) | (best == UNKNOWN)
             yield pa.RecordBatch.from_arrays(
                 [*(c.slice(first, end - first) for c in [batch.column(0), *batch.columns[2:]]), pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(refused)],
                 ["id", *batch.schema.names[2:], "lang_pred", "score", "rejected"],
