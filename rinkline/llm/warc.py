@@ -184,8 +184,9 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive
 
     * Null html is an empty payload; empty payloads are equal.
     * A page_id may repeat with other payloads; each row is told by page_id and payload.
-    * Rows that repeat the largest page_id of a payload are all responses;
-      null ids never become the response of others that have one.
+    * Rows that repeat the largest page_id of a payload are all responses.
+      A page without an id revisits the largest page_id of its payload; where
+      no page of a payload has an id there is nothing to refer to, and all are responses.
     * Control characters and white space in URLs are percent-encoded; null URLs are empty.
     * An empty table writes nothing; further columns are ignored.
 
@@ -202,8 +203,10 @@ def write_archives(pages: DataFrame, folder: str, revisit_from: int = 0, archive
     key = ["size", "sha1", "extra"]
     twice = rows.groupBy(*key).agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1")
     twice = stored(twice, "payload_groups")
-    revisits = stored(with_groups(rows, twice, key, "n").where("page_id <> refers_to").select("page_id", *key, "refers_to").distinct(), "revisits")
-    marked = hashed.join(if_small(revisits), ["page_id", *key], "left").select("page_id", "url", "html", "refers_to")
+    others = with_groups(rows, twice, key, "n").where("refers_to is not null and not (page_id <=> refers_to)")
+    own = [F.col("page_id").isNull().alias("unnamed"), F.coalesce("page_id", F.lit(0).cast("long")).alias("page")]
+    revisits = stored(others.select(*own, *key, "refers_to").distinct(), "revisits")
+    marked = hashed.select("*", *own).join(if_small(revisits), ["unnamed", "page", *key], "left").select("page_id", "url", "html", "refers_to")
     write = partial(_write, folder=folder, dictionary=train_dictionary(pages), archive_bytes=archive_bytes)
     index = stored(marked.mapInArrow(write, INDEX), "index")
     discard(payloads, twice, revisits)
