@@ -65,11 +65,18 @@ class Encoder:
         """The same vocabulary in a quicker library, if its ids are the ranks of its merges; else None.
 
         All merges are compared with the ids: the later of two merges must give the greater id, and every token of
-        more than one byte must come from a merge.  The probe below and the tests hold single pieces against the tokenizer.
+        more than one byte must come from a merge.  The file's steps before the merges must be those that SPLIT stands
+        for, and nothing else.  The probe below and the tests hold single pieces against the tokenizer.
         """
         import tiktoken
 
-        merges = [x if isinstance(x, list) else x.split(" ") for x in json.loads(self.tokenizer.to_str())["model"].get("merges", [])]
+        known = json.loads(self.tokenizer.to_str())
+        model, before = known["model"], known["pre_tokenizer"] or {}
+        usual = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True) and known["normalizer"] is None
+        odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k)]
+        if model.get("type") != "BPE" or not usual or odd:
+            return None
+        merges = [x if isinstance(x, list) else x.split(" ") for x in model.get("merges", [])]
 
         signs = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level BPE writes these as they are
         others = [b for b in range(256) if b not in signs]
@@ -238,9 +245,10 @@ def pack(
     * An empty table gives an empty result; further columns are ignored.
 
     Spark: texts are tokenised where they are read; narrow pieces, without
-    text, are written once and scattered by a hash into buckets of about
-    bucket_pieces, which are packed alone, so no key gathers more than a
-    bucket.  A bucket leaves few sequences unfilled.
+    text, are written once with a number each and scattered by a hash into
+    buckets of about bucket_pieces, which are packed alone; pieces of repeated
+    rows have other numbers, so no key gathers more than a bucket.  A bucket
+    leaves few sequences unfilled.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     schema = "doc long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -249,15 +257,16 @@ def pack(
         schema += ", ids binary"
     else:
         pieces = rows.mapInArrow(partial(_without_ids, path=tokenizer, width=width), schema)
-    pieces = stored(pieces, "pieces")
+    pieces = stored(pieces.withColumn("nth", F.monotonically_increasing_id()), "pieces")
     buckets = max(1, -(-pieces.count() // bucket_pieces))
-    bucket = F.pmod(F.xxhash64("doc", "start", "ids_crc32"), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64("doc", "start", "ids_crc32", "nth"), F.lit(buckets))
 
     def filled(table):
         return _pack(table, width, buckets)
 
     packed = (
         pieces.withColumn("bucket", bucket)
+        .drop("nth")
         .groupBy("bucket")
         .applyInArrow(filled, schema + ", sequence_id long, offset long")
     )
