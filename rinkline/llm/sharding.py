@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rinkline.llm._shared import if_small, shuffle_cleanup, stored
+from rinkline.llm._shared import ROW, if_small, shuffle_cleanup, stored, told_apart
 
 BUCKET_BYTES = 8 << 20
 
@@ -97,23 +97,24 @@ def write_shards(
     shard and slot are replaced.  Slots are those of the files.
 
     Spark: whole records are scattered into the buckets in one exchange, and
-    each bucket is shuffled in memory; where a bucket's slots begin follows
+    each bucket is shuffled in memory.  A row's place in the input has a part
+    in its bucket, so rows that repeat an id and a text are spread; where a bucket's slots begin follows
     from the counts of the buckets before, a table of one row per bucket.
     """
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"))
+    rows = told_apart(docs).select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"), ROW)
     total = rows.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, math.ceil(total / (bucket_bytes * shards)))
     scattered = rows.select(
-        "doc", "id", "size", "crc", shard_of(F.col("id"), shards, seed).cast("int").alias("shard"),
-        F.pmod(F.xxhash64(F.lit(seed + 1), "id", "size", "crc"), F.lit(buckets)).cast("int").alias("bucket"),
+        "doc", "id", "size", "crc", ROW, shard_of(F.col("id"), shards, seed).cast("int").alias("shard"),
+        F.pmod(F.xxhash64(F.lit(seed + 1), "id", "size", "crc", ROW), F.lit(buckets)).cast("int").alias("bucket"),
     )
     bases = _bases(scattered)
     filled = (
         scattered.repartitionByRange("shard", "bucket")
-        .sortWithinPartitions("shard", "bucket", "id", "size", "crc")
+        .sortWithinPartitions("shard", "bucket", "id", "size", "crc", ROW)
         .groupBy("shard", "bucket")
         .agg(F.collect_list("doc").alias("docs"))
         .join(if_small(bases), ["shard", "bucket"])
