@@ -256,6 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL
     """A model from docs (id, text) and labels (id, label): at most about rows_per_label rows of each label, chosen by a hash of the id.
 
     Null ids, texts and labels are left out, and so are texts of more than LONGEST_ROW bytes; of labels that differ the greatest counts.
+    Where rows repeat ids so often that there would be more, no more than four times rows_per_label go to the driver.
     """
     labels = labels.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     counts = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect() if r["label"] in (0, 1)}
@@ -264,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL
     for label, n in counts.items():
         chosen = chosen | ((F.col("label") == label) & (draw < min(1.0, rows_per_label / n)))
     picked = stored(labels.where(chosen), "labels")
-    sample = docs.where(F.octet_length("text") <= LONGEST_ROW).join(F.broadcast(picked), "id").select("text", F.col("label").cast("int").alias("label")).collect()
+    sample = docs.where(F.octet_length("text") <= LONGEST_ROW).join(F.broadcast(picked), "id").select("text", F.col("label").cast("int").alias("label")).limit(4 * rows_per_label).collect()
     sample.sort()
     return train([r.text for r in sample], [r.label for r in sample])
 
