@@ -28,8 +28,8 @@ from rinkline.llm._shared import ROW, numbered, stored, without
 EDITS, GRAM = 0.05, 12
 #: Bytes of a segment, most segments of a short item, hash keys of a walk, and sampled places of a key.
 SEGMENT, SEGMENTS, TABLES, PLACES = 24, 8, 8, 12
-#: Walks are added until this share of items with all allowed edits is found, in TRIALS copies for each doubling of the length, or to the most.
-RECALL, TRIALS, MOST_WALKS = 0.99, 200, 16
+#: Walks are added until this share of items with all allowed edits is found, in TRIALS copies for each doubling of the length; more than the most are an error.
+RECALL, TRIALS, MOST_WALKS = 0.99, 200, 64
 #: A verification takes so many bytes more at both sides, so that neighbouring windows need none of their own.
 MARGIN = 64
 #: Items that are broadcast at once; with more, the documents are scanned once for each block.
@@ -137,7 +137,7 @@ class Items:
         for i in long:
             groups[min(4, (len(self.rows[i][1]) // SHORT).bit_length())].append(i)
         for group in groups.values():
-            first = np.full(TRIALS, MOST_WALKS)
+            first = np.full(TRIALS, MOST_WALKS + 1)
             for t in range(TRIALS):
                 text = np.frombuffer(self.rows[group[t % len(group)]][1], dtype=np.uint8)[: 16 * SHORT]
                 copy = edited(text, int(EDITS * len(text)), rng)
@@ -147,6 +147,8 @@ class Items:
                         first[t] = walk + 1
                         break
             need = max(need, int(np.sort(first)[int(np.ceil(RECALL * TRIALS)) - 1]))
+        if need > MOST_WALKS:
+            raise ValueError(f"{MOST_WALKS} walks do not find {RECALL:.0%} of edited copies")
         return need
 
     @staticmethod

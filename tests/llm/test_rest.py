@@ -368,3 +368,58 @@ def test_pipeline_decides_by_row(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
     leaks = [(None, a + " " + item), (None, a), (6, item), (6, b), (6, b)]
     assert rows(pipeline.decontaminate(spark, make(leaks), SF)) == key([(None, a), (6, b), (6, b)])
+
+
+@pytest.mark.parametrize("texts, labels", [
+    (["the same text"] * 10, ["de", "en"] * 5), (["x " * 200] * 4, ["a", "b", "a", "b"]), (["aaaa"] * 50 + ["bbbb"] * 3, ["q"] * 50 + ["r"] * 3), ([""] * 4, ["a", "b"] * 2), (["word"], ["a"]),
+    ([" ".join(random.Random(k).choices(["a", "bb", "ccc"], k=1 + k % 40)) for k in range(90)], [random.Random(-k).choice("abc") for k in range(90)]),
+])
+def test_language_training_stays_finite(texts, labels):
+    """Contradicting labels, repetitive and few texts."""
+    model = language_id.train(texts, labels)
+    data = np.frombuffer(b"the same x x word aaaa", dtype=np.uint8)
+    p = model.probabilities(data, np.array([0, 8, len(data)]))
+    assert np.isfinite(model.scores).all() and np.isfinite(p).all() and p.sum(axis=1) == pytest.approx([1, 1])
+
+
+def test_scores_that_are_no_numbers_are_rejected(spark):
+    model = language_id.train(["ein Text", "a text"] * 20, ["de", "en"] * 20)
+    model.bias = model.bias * np.nan
+    assert [r.rejected for r in language_id.identify(spark.createDataFrame([(1, "a text")], "doc_id long, text string"), model).collect()] == [True]
+
+
+def test_pages_without_ids_revisit(spark):
+    rows = [(None, "u", "same"), (None, "v", "same"), (3, "w", "same"), (9, "x", "same"), (None, "y", "only"), (None, "z", "only"), (0, "o", "zero"), (None, "p", "zero")]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"), revisit_from=0).collect()
+    assert sorted((repr(r.page_id), r.record_type, r.refers_to) for r in got if r.payload_bytes == 4 and r.refers_to == 9) == [("3", "revisit", 9), ("None", "revisit", 9), ("None", "revisit", 9)]
+    assert sorted((repr(r.page_id), r.record_type, r.refers_to) for r in got if r.refers_to != 9) == sorted([("9", "response", None), ("None", "response", None), ("None", "response", None), ("0", "response", None), ("None", "revisit", 0)], key=repr)
+
+
+def test_equal_rows_are_spread(spark, tmp_path):
+    """Thousands of rows with one id and one text fill no bucket of packing and no bucket of sharding alone."""
+    docs = spark.createDataFrame([(7, "the same words", "x", 1)] * 3000, "doc_id long, text string, id string, shard int")
+    packed = packing.pack(docs, PATH, bucket_pieces=100).collect()
+    buckets = -(-3000 // 100)
+    assert len(packed) == 3000 and max(sum(r.sequence_id % buckets == b for r in packed) for b in range(buckets)) < 200
+    got = sharding.write_shards(docs, f"file://{tmp_path}/shards", bucket_bytes=64).collect()
+    assert len({r.shard for r in got}) == 1 and sorted(r.slot for r in got) == list(range(3000))
+
+
+def test_other_pre_tokenizers_take_no_shortcut(tmp_path):
+    """The quick encoder stands only for the split rule and normaliser it knows."""
+    import json
+
+    known = json.loads(open(PATH).read())
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(known | change))
+        assert packing.Encoder(str(path)).quick is None
+    assert packing.Encoder(PATH).quick is not None
+
+
+def test_walks_short_of_the_recall_are_an_error(monkeypatch):
+    item = "an item of the benchmark that is long enough for the segments of a walk to be drawn from it"
+    monkeypatch.setattr(decontaminate, "MOST_WALKS", 1)
+    monkeypatch.setattr(decontaminate, "RECALL", 1.0)
+    with pytest.raises(ValueError):
+        decontaminate.Items([(1, item)])
