@@ -33,7 +33,7 @@ def distance(x: Column, y: Column) -> Column:
 
 def distance_bucket(feet: Column) -> Column:
     """An unknown distance lies in the last bucket."""
-    return F.when(feet < 15, "1) 0-15 ft").when(feet < 30, "2) 15-30 ft").when(feet < 45, "3) 30-45 ft").otherwise("4) 45+ ft")
+    return F.when(feet < 15, "1) 0-14 ft").when(feet < 30, "2) 15-29 ft").when(feet < 45, "3) 30-44 ft").otherwise("4) 45+ ft")
 
 
 def period_label(number: Column, kind: Column) -> Column:

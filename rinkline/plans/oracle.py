@@ -104,7 +104,7 @@ team_rows AS (SELECT p.*, t.* EXCLUDE (game_id, team_id), CASE WHEN team = 'T05'
         CASE WHEN cf > ca THEN '1) More attempts' WHEN cf = ca THEN '2) Equal attempts' ELSE '3) Fewer attempts' END AS attempts_vs_opponent
     FROM played p JOIN team_stats t USING (game_id, team_id) WHERE game_state = 'OFF')"""
 
-_BUCKET = "CASE WHEN feet < 15 THEN '1) 0-15 ft' WHEN feet < 30 THEN '2) 15-30 ft' WHEN feet < 45 THEN '3) 30-45 ft' ELSE '4) 45+ ft' END"
+_BUCKET = "CASE WHEN feet < 15 THEN '1) 0-14 ft' WHEN feet < 30 THEN '2) 15-29 ft' WHEN feet < 45 THEN '3) 30-44 ft' ELSE '4) 45+ ft' END"
 _PERIOD = "CASE WHEN period_type IN ('OT', 'SO') THEN period_type ELSE cast(period_number AS varchar) END"
 
 
@@ -149,7 +149,36 @@ def _parts(line: str) -> list[str]:
     return [x.strip() for x in line.split("/")]
 
 
+#: The filtered questions: team, season, kind of game, opponent, player, positions; `-` is any.
+FILTERED = """
+q044_player_full_stat_line T03 20212022 2 - - C,L,R / q072_player_scoring_leaders - 20212022 3 - - - / q047_player_goal_leaders T07 - 2 - - - / q052_player_head_to_head_comparison - 20212022 2 - - -
+q045_player_game_log - - 2 - P8470041_L1 - / q056_player_home_and_away_splits T03 - 2 - P8470061_L21 - / q089_player_stats_vs_each_opponent T04 20212022 2 - - - / q122_team_head_to_head T03 - 2 T04 - -
+q012_goalie_game_log T03 - 2 - - - / q017_goalie_save_pct_vs_opponent T05 20212022 2 - - - / q076_player_shooting_pct_by_distance T03 20212022 2 - - - / q050_player_goals_by_shot_type - - 2 - P8470041_L1 -
+"""
+
+
+def _filtered(sql: str, line: str) -> str:
+    """A question's SQL over the games of a team, season, kind and opponent, and over a player or positions."""
+    _, team, season, kind, opponent, player, positions = line.split()
+    games = [f"game_type = {kind}", *(f"{c} = '{v}'" for c, v in (("team", team), ("season", season), ("opponent", opponent)) if v != "-")]
+    people = [*([f"full_name = '{player.replace('_', ' ')}'"] if player != "-" else []), *([f"position_code IN ('{positions.replace(',', chr(39) + ', ' + chr(39))}')"] if positions != "-" else [])]
+    sql = sql.replace("WHERE game_type = 2)", f"WHERE {' AND '.join(games)})")
+    return sql.replace("AS scope FROM dressed)", f"AS scope FROM dressed WHERE {' AND '.join(people) or 'true'})")
+
+
 def build() -> dict[str, str]:
+    out = _questions()
+    given = {line.split()[0]: line for line in FILTERED.replace("\n", " / ").split(" / ") if line.strip()}
+    for n in [*d.GROUPS, *d.TEAMS, *given]:
+        if "scope" in (d.GROUPS | d.TEAMS).get(n, "/").split("/")[0].split():
+            sql = out[n].replace("WHEN team = 'T05'", "WHEN team = 'T03'").replace("WHERE game_type = 2)", "WHERE game_type = 2 AND season = 20212022)")
+        else:
+            sql = _filtered(out[n], given.get(n, f"{n} T03 20212022 2 - - -"))
+        out[f"{n}_filtered"] = sql
+    return out
+
+
+def _questions() -> dict[str, str]:
     out = {}
     for n, line in d.BOARDS.items():
         columns, order, least, positions = _parts(line)

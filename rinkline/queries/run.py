@@ -93,12 +93,14 @@ def goals_by_period_and_type(t: League, **filters) -> DataFrame:
     return plays.where("type_desc_key = 'goal'").groupBy("period_number", "period_type").agg(F.count(F.lit(1)).alias("goals"))
 
 
-def position_groups(t: League, keys: str, columns: str, team: str = "T05", **filters) -> DataFrame:
-    rows = skaters(t, **filters).withColumn("scope", F.when(F.col("team") == team, "Team").otherwise("Rest of league"))
+def position_groups(t: League, keys: str, columns: str, selected: str = "T05", **filters) -> DataFrame:
+    """Skaters by position group. selected: the team that `scope`, where it is a key, sets against the rest of the league."""
+    rows = skaters(t, **filters).withColumn("scope", F.when(F.col("team") == selected, "Team").otherwise("Rest of league"))
     return _summed(rows, keys.split()).select(*keys.split(), "players", "games_played", *_cols(columns, DERIVED))
 
 
-def team_rows(t: League, team: str = "T05", **filters) -> DataFrame:
+def team_rows(t: League, selected: str = "T05", **filters) -> DataFrame:
+    """One row per team and game, with what team tables group by. selected: as in position_groups."""
     rows = blocks.team_game_stats(t, **filters)
     gap = F.abs(F.col("score_for") - F.col("score_against"))
     versus = lambda a, b, what: F.when(F.col(a) > F.col(b), f"1) More {what}").when(F.col(a) == F.col(b), f"2) Equal {what}").otherwise(f"3) Fewer {what}")
@@ -106,7 +108,7 @@ def team_rows(t: League, team: str = "T05", **filters) -> DataFrame:
         "day_num": F.dayofweek("game_date"), "day_name": F.date_format("game_date", "EEEE"), "month": F.date_format("game_date", "yyyy-MM"),
         "margin": F.when(gap == 1, "1) One goal").when(gap == 2, "2) Two goals").otherwise("3) Three or more"),
         "shots_vs_opponent": versus("sf", "sa", "shots"), "hits_vs_opponent": versus("hits_for", "hits_against", "hits"), "attempts_vs_opponent": versus("cf", "ca", "attempts"),
-        "scope": F.when(F.col("team") == team, "Team").otherwise("Rest of league"),
+        "scope": F.when(F.col("team") == selected, "Team").otherwise("Rest of league"),
     })
 
 
@@ -138,6 +140,11 @@ def shot_table(t: League, what: str, keys: str, condition: str, **filters) -> Da
     return sums.select(*keys.split(), "shot_attempts", "shots", "goals", F.expr(share("goals", "shots")).alias("shooting_pct"), F.expr(share("shots", "shot_attempts")).alias("shots_on_net_pct"), F.expr(share("goals", "all_goals")).alias("share_of_goals_pct"), F.expr(share("shots", "all_shots")).alias("share_of_shots_pct"))
 
 
+def _choosing(filters: dict, keys: str) -> dict:
+    """Where a question compares one team with the rest, `team` names it and leaves out no one."""
+    return {"selected" if k == "team" and "scope" in keys.split() else k: v for k, v in filters.items()}
+
+
 def by_name() -> dict:
     """Every specified query: name to a function of a League and filters."""
     out = {}
@@ -152,9 +159,9 @@ def by_name() -> dict:
     for n, (keys, columns) in specs.SPLITS.items():
         out[n] = lambda t, k=keys, c=columns, **f: player_split(t, k, c, **f)
     for n, (keys, columns) in specs.GROUPS.items():
-        out[n] = lambda t, k=keys, c=columns, **f: position_groups(t, k, c, **f)
+        out[n] = lambda t, k=keys, c=columns, **f: position_groups(t, k, c, **_choosing(f, k))
     for n, (keys, columns) in specs.TEAMS.items():
-        out[n] = lambda t, k=keys, c=columns, **f: team_table(t, k, c, **f)
+        out[n] = lambda t, k=keys, c=columns, **f: team_table(t, k, c, **_choosing(f, k))
     for n, (what, keys, condition) in specs.SHOTS.items():
         out[n] = lambda t, w=what, k=keys, c=condition, **f: shot_table(t, w, k, c, **f)
     return out
@@ -168,4 +175,6 @@ def registered() -> dict:
         out[name] = (lambda t, q=query, s=small, **f: q(t, **(s | f))) if small else query
         if name in specs.SMALL:
             out[f"{name}_usual"] = query
+        if name in specs.FILTERED:
+            out[f"{name}_filtered"] = lambda t, q=query, s=small | specs.FILTERED[name]: q(t, **s)
     return out

@@ -146,3 +146,20 @@ SHOTS: dict[str, tuple[str, str, str]] = {
     "q081_player_shot_accuracy_by_shot_type": ("accuracy", "shot_type", "not blocked and shot_type is not null"),
     "q083_player_shot_type_mix": ("player", "player_id full_name shot_type", "on_net and shot_type is not null"),
 }
+
+_TEAM = {"team": "T03", "season": 20212022}
+#: Filters with which questions are registered once more, as <name>_filtered.
+FILTERED: dict[str, dict] = {n: _TEAM for n in [*GROUPS, *TEAMS]} | {
+    "q044_player_full_stat_line": {"team": "T03", "season": 20212022, "position": "F"},
+    "q072_player_scoring_leaders": {"season": 20212022, "game_type": 3},
+    "q047_player_goal_leaders": {"team": "T07", "game_type": 2},
+    "q052_player_head_to_head_comparison": {"season": 20212022},
+    "q045_player_game_log": {"player": "p8470041 l1"},
+    "q056_player_home_and_away_splits": {"team": "T03", "player": "P8470061 L21"},
+    "q089_player_stats_vs_each_opponent": {"team": "T04", "season": 20212022},
+    "q122_team_head_to_head": {"team": "T03", "opponent": "T04"},
+    "q012_goalie_game_log": {"team": "T03"},
+    "q017_goalie_save_pct_vs_opponent": {"season": 20212022, "team": "T05"},
+    "q076_player_shooting_pct_by_distance": {"team": "T03", "season": 20212022},
+    "q050_player_goals_by_shot_type": {"player": "P8470041 L1"},
+}
