@@ -52,6 +52,7 @@ def skaters(t: League, **filters) -> DataFrame:
 def minimums(filters: dict, least: dict[str, int]) -> tuple[dict[str, int], dict]:
     """The least values, with those of filters named min_<measure> in their stead, and the other filters."""
     given = {k.removeprefix("min_"): v for k, v in filters.items() if k.startswith("min_")}
+    given = {"shot_attempts" if k == "attempts" else k: v for k, v in given.items()}
     return least | given, {k: v for k, v in filters.items() if not k.startswith("min_")}
 
 
@@ -71,8 +72,10 @@ def player_split(t: League, keys: str, columns: str, **filters) -> DataFrame:
     return sums.select("full_name", "player_id", *keys.split(), "games_played", *_cols(columns, DERIVED))
 
 
-def head_to_head(t: League, players: tuple[str, str], columns: str, **filters) -> DataFrame:
-    rows = skaters(t, **filters).where(F.lower("full_name").isin(*(p.lower() for p in players)))
+def head_to_head(t: League, players: tuple[str, str], columns: str, player_a: str | None = None, player_b: str | None = None, **filters) -> DataFrame:
+    """Two players side by side; player_a and player_b stand in for those of players."""
+    names = [given or usual for given, usual in zip((player_a, player_b), players)]
+    rows = skaters(t, **filters).where(F.lower("full_name").isin(*(p.lower() for p in names)))
     return _summed(rows, ["full_name", "player_id"]).select("full_name", "position", "games_played", "player_id", *_cols(columns, DERIVED))
 
 

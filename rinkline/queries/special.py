@@ -46,7 +46,11 @@ def game_box_score(t: League, game_id: int | None = None) -> DataFrame:
     return rows.select("game_id", "team", "venue", F.col("score_for").alias("score"), "result", "decided_in", F.col("sf").alias("shots"), F.col("cf").alias("attempts"), *_cols("attempt_share_pct shooting_pct pp_goals minors_drawn shorthanded_goals_for pim hits blocks takeaways giveaways faceoff_wins faceoff_pct", TEAM_DERIVED))
 
 
-def game_faceoffs(t: League, game_id: int | None = None) -> DataFrame:
+def _of_team(rows: DataFrame, team: str | None) -> DataFrame:
+    return rows if team is None else rows.where(F.col("team") == team)
+
+
+def game_faceoffs(t: League, game_id: int | None = None, team: str | None = None) -> DataFrame:
     """Zones are seen from the player's side: the winner's side as recorded, the loser's flipped."""
     rows = _plays(t, game_id).where("type_desc_key = 'faceoff'")
     flipped = F.when(F.col("zone_code") == "O", "D").when(F.col("zone_code") == "D", "O").otherwise(F.col("zone_code"))
@@ -57,7 +61,9 @@ def game_faceoffs(t: League, game_id: int | None = None) -> DataFrame:
     sums = each.join(people, ["game_id", "p"]).groupBy("game_id", "team_id", "full_name", "p").agg(
         F.count_if("won").alias("wins"), F.count_if(~F.col("won")).alias("losses"), split("O").alias("offensive_zone"), split("N").alias("neutral_zone"), split("D").alias("defensive_zone")
     )
-    return sums.join(t.teams.select("team_id", F.col("abbrev").alias("team")), "team_id").select("game_id", "team", "full_name", "wins", "losses", F.expr(share("wins", "wins + losses")).alias("faceoff_pct"), "offensive_zone", "neutral_zone", "defensive_zone")
+    rows = _of_team(sums.join(t.teams.select("team_id", F.col("abbrev").alias("team")), "team_id"), team)
+    pct = F.expr(share("wins", "wins + losses")).alias("faceoff_pct")
+    return rows.select("game_id", "team", "full_name", "wins", "losses", pct, "offensive_zone", "neutral_zone", "defensive_zone")
 
 
 def game_finder(t: League, opponent: str | None = None, game_type: int | None = None, game_date: str | None = None, **filters) -> DataFrame:
@@ -130,12 +136,12 @@ def game_scoring(t: League, game_id: int | None = None) -> DataFrame:
     return rows.select("game_id", "event_id", "period", F.col("time_in_period").alias("time"), "team", "scorer", F.col("scoring_player_total").alias("scorer_goal_total"), "assist_1", "assist_2", "strength", "shot_type", F.floor(F.col("distance_ft") + 0.5).alias("distance_ft"), "goalie", "away_score", "home_score")
 
 
-def game_shot_log(t: League, game_id: int | None = None) -> DataFrame:
+def game_shot_log(t: League, game_id: int | None = None, team: str | None = None) -> DataFrame:
     """Attempts but for the shootout's, with places turned so that the shooting team attacks towards x = +89."""
     rows = _plays(t, game_id, shootout=False).where(F.col("type_desc_key").isin(*SHOT_TYPES)).withColumn("by", F.coalesce("scoring_player_id", "shooting_player_id"))
     right = F.coalesce(F.col("owner_is_home") == (F.col("home_team_defending_side") == "left"), F.col("x_coord") >= 0)
     rows = named(rows, t, shooter="by", goalie="goalie_in_net_id", blocked_by="blocking_player_id")
-    return rows.select("game_id", "event_id", "period", F.col("time_in_period").alias("time"), "team", "shooter", F.element_at(F.create_map(*(F.lit(x) for pair in OUTCOMES.items() for x in pair)), F.col("type_desc_key")).alias("result"), "shot_type", "strength", F.floor(F.col("distance_ft") + 0.5).alias("distance_ft"), F.when(right, F.col("x_coord")).otherwise(-F.col("x_coord")).alias("x_ft"), F.when(right, F.col("y_coord")).otherwise(-F.col("y_coord")).alias("y_ft"), "goalie", "blocked_by")
+    return _of_team(rows, team).select("game_id", "event_id", "period", F.col("time_in_period").alias("time"), "team", "shooter", F.element_at(F.create_map(*(F.lit(x) for pair in OUTCOMES.items() for x in pair)), F.col("type_desc_key")).alias("result"), "shot_type", "strength", F.floor(F.col("distance_ft") + 0.5).alias("distance_ft"), F.when(right, F.col("x_coord")).otherwise(-F.col("x_coord")).alias("x_ft"), F.when(right, F.col("y_coord")).otherwise(-F.col("y_coord")).alias("y_ft"), "goalie", "blocked_by")
 
 
 def game_shots_by_strength(t: League, game_id: int | None = None) -> DataFrame:
@@ -144,8 +150,8 @@ def game_shots_by_strength(t: League, game_id: int | None = None) -> DataFrame:
     return rows.groupBy("game_id", "team", "strength").agg(F.count_if(_goal()).alias("goals"), F.count_if(kind.isin("goal", "shot-on-goal")).alias("shots"), F.count(F.lit(1)).alias("attempts"))
 
 
-def game_skaters(t: League, game_id: int | None = None) -> DataFrame:
-    rows = skaters(blocks.narrowed(t, game_id=game_id), game_type=None)
+def game_skaters(t: League, game_id: int | None = None, team: str | None = None) -> DataFrame:
+    rows = skaters(blocks.narrowed(t, game_id=game_id), game_type=None, team=team)
     return rows.select("game_id", "team", "sweater_number", "full_name", F.col("position_code").alias("position"), *(F.expr(e).alias(n) for n, e in {"goals": "goals", "assists": "primary_assists + secondary_assists", "points": "goals + primary_assists + secondary_assists", "shots": "goals + shots_saved", "hits": "hits", "blocked_shots": "blocked_shots", "takeaways": "takeaways", "giveaways": "giveaways", "pim": "pim", "faceoff_wins": "faceoff_wins", "faceoff_losses": "faceoff_losses"}.items()))
 
 
