@@ -66,10 +66,10 @@ def unprocessed(bronze: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def newest_documents(documents: DataFrame) -> DataFrame:
-    """With `newest`: whether the row has its game's largest event_id. A game's maximum combines before the shuffle, so no window gathers its rows."""
+    """With `newest`: whether the row is its game's last by (ingestion_timestamp, event_id). A game's maximum combines before the shuffle, so no window gathers its rows."""
     rows = documents.withColumn("game_id", F.get_json_object("raw_json", "$.id").try_cast("long"))
-    last = rows.groupBy("game_id").agg(F.max("event_id").alias("last"))
-    return rows.join(last, "game_id", "left").withColumn("newest", F.col("event_id") == F.col("last")).drop("last")
+    last = rows.groupBy("game_id").agg(F.max(F.struct("ingestion_timestamp", "event_id")).alias("last"))
+    return rows.join(last, "game_id", "left").withColumn("newest", F.col("event_id") == F.col("last.event_id")).drop("last")
 
 
 def final_documents(documents: DataFrame) -> DataFrame:
@@ -109,6 +109,30 @@ def field_contract(documents: DataFrame) -> DataFrame:
     return out.groupBy("level", "field", "problem").agg(F.count(F.lit(1)).alias("objects"))
 
 
+def breaches(raw: Column) -> Column:
+    """What a document lacks or has beyond the field contract: an array of (problem, level, field), each once.
+
+    Absent teams lack all their fields; plays and their details are looked at one by one, in the document's own row.
+    """
+    names = lambda text: F.array(*map(F.lit, text.split())) if text else F.array().cast("array<string>")
+    keys = lambda o: F.coalesce(F.json_object_keys(o), F.array().cast("array<string>"))
+    plays = F.coalesce(F.from_json(F.get_json_object(raw, "$.plays"), "array<string>"), F.array().cast("array<string>"))
+    objects = {
+        "game": F.array(keys(raw)),
+        "team": F.array(keys(F.get_json_object(raw, "$.awayTeam")), keys(F.get_json_object(raw, "$.homeTeam"))),
+        "play": F.transform(plays, keys),
+        "details": F.transform(F.filter(F.transform(plays, lambda p: F.get_json_object(p, "$.details")), lambda x: x.isNotNull()), keys),
+    }
+    beside = lambda known, more: lambda k: F.array_except(known, k) if more else F.array_except(k, known)
+    told = lambda problem, level: lambda f: F.struct(F.lit(problem).alias("problem"), F.lit(level).alias("level"), f.alias("field"))
+    found = []
+    for level, each in objects.items():
+        need, known = names(REQUIRED[level]), names(f"{REQUIRED[level]} {OPTIONAL[level]}")
+        for problem, fields in (("missing", F.transform(each, beside(need, True))), ("unknown", F.transform(each, beside(known, False)))):
+            found.append(F.transform(F.array_distinct(F.flatten(fields)), told(problem, level)))
+    return F.array_sort(F.concat(*found))
+
+
 def parsed(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents with the parsed object `d`, and the quarantine: rows whose text is no such object."""
     rows = documents.withColumn("d", F.from_json("raw_json", SCHEMA))
@@ -162,9 +186,10 @@ def replaced(old: DataFrame, new: DataFrame, key: str = "game_id") -> DataFrame:
 
 
 def check_layout(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df, if it has all columns; else an error that names those that lack."""
-    if lacking := [c for c in columns if c not in df.columns]:
-        raise ValueError(f"the stored table lacks {', '.join(lacking)}")
+    """df, if it has these columns and no others; else an error that names what lacks or is too much."""
+    lacking, strange = [c for c in columns if c not in df.columns], [c for c in df.columns if c not in columns]
+    if lacking or strange:
+        raise ValueError(f"the stored table has another layout: it lacks {', '.join(lacking) or 'nothing'} and has {', '.join(strange) or 'nothing'} too much; rebuild it from the documents")
     return df
 
 

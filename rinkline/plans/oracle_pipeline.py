@@ -40,6 +40,14 @@ UNION ALL SELECT game_id + 1000000, game_id + 75000000, NULL FROM games WHERE ga
         "p20_guard": f"{BASE} SELECT game_id AS event_id FROM games",
         "p31_overwrite_table": f"{BASE} SELECT game_id, {_DATE} FROM games",
         "r45_view": f"{BASE} SELECT type_desc_key, count(*) AS plays FROM plays GROUP BY ALL",
+        "p01_append": f"""{BASE}, e AS (SELECT game_id, 'game/' || game_id AS source, game_date, game_id % 2 AS odd FROM games)
+SELECT row_number() OVER (ORDER BY odd, game_date, source) AS event_id, source FROM e""",
+        "p02_generated_keys": f"""{BASE}, n AS (SELECT count(*) FILTER (WHERE game_id % 2 = 0) AS even, count(*) FILTER (WHERE game_id % 2 = 1) AS odd FROM games)
+SELECT 'even' AS run, 1 AS first, even AS rows FROM n UNION ALL SELECT 'all', 1 + even, odd FROM n""",
+        "p11_late_documents": f"{BASE} SELECT game_id, game_state, game_date AS fetched FROM games",
+        "p13_quarantine": f"""{BASE} SELECT game_id AS event_id, game_id % 20 = 4 AS malformed, CASE game_id % 20 WHEN 1 THEN 'game' WHEN 2 THEN 'team' WHEN 3 THEN 'play' END AS level,
+    CASE game_id % 20 WHEN 1 THEN 'season' WHEN 2 THEN 'id' WHEN 3 THEN 'typeCode' END AS field FROM games WHERE game_id % 20 IN (1, 2, 4) OR (game_id % 20 = 3 AND game_id IN (SELECT game_id FROM plays WHERE type_code < 510))""",
+        "p13_loaded_games": f"{BASE} SELECT game_id, season FROM games WHERE game_id % 20 NOT IN (1, 2, 4) AND NOT (game_id % 20 = 3 AND game_id IN (SELECT game_id FROM plays WHERE type_code < 510))",
         "p06_new_documents": f"{BASE} SELECT game_id AS event_id, 'game/' || game_id AS source FROM games WHERE game_id % 3 <> 0",
         "p11_newest_documents": f"{BASE} SELECT game_id AS event_id, game_id, true AS newest FROM games UNION ALL SELECT game_id - 1000000, game_id, false FROM games",
         "p12_kept_games": f"{BASE} SELECT game_id AS event_id FROM games WHERE game_id % 7 <> 0",

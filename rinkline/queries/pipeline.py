@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rinkline.operators import gold, ingest
 from rinkline.sources import documents
+from rinkline.sources.bronze import Bronze
 from rinkline.sources.derived import League, league
 from rinkline.sources.silver import Silver, write_version
 from rinkline.sources.storage import new_path
@@ -61,6 +62,45 @@ def loaded(t: League) -> Silver:
     return store
 
 
+def appended(t: League) -> Bronze:
+    """A table of raw documents after three appends: the even games, these again under the same name, and all of them."""
+    docs = documents.game_documents(t)
+    spark = docs.sparkSession
+    table = Bronze(spark, new_path(spark, "bronze"))
+    for run, rows in (("even", docs.where("event_id % 2 = 0")), ("even", docs.where("event_id % 2 = 0")), ("all", docs)):
+        table.append(rows, run)
+    return table
+
+
+def late(t: League) -> DataFrame:
+    """Games after a run over all documents and one over outdated ones of greater and of smaller keys: nothing changes."""
+    docs = documents.game_documents(t)
+    spark = docs.sparkSession
+    store = Silver(spark, new_path(spark, "silver"), parts=8)
+    store.load(docs)
+    older = docs.withColumns({"ingestion_timestamp": F.expr("ingestion_timestamp - interval 30 days"), "raw_json": F.regexp_replace("raw_json", '"gameState":"[A-Z]*"', '"gameState":"PRE"')})
+    store.load(older.withColumn("event_id", F.col("event_id") + F.when(F.col("event_id") % 2 == 0, 1000000).otherwise(-1000000)))
+    return store.read("games").select("game_id", "game_state", F.col("fetched_at").cast("date").alias("fetched"))
+
+
+def broken(t: League) -> Silver:
+    """Stored tables after a run over documents of which some lack their season, their home team's id or types of plays, and some are cut off."""
+    docs = documents.game_documents(t)
+    spark = docs.sparkSession
+    store = Silver(spark, new_path(spark, "silver"), parts=8)
+    raw, of = F.col("raw_json"), lambda k: F.col("event_id") % 20 == k
+    odd = F.when(of(1), F.regexp_replace(raw, '"season":[0-9]*,', "")).when(of(2), F.regexp_replace(raw, '"homeTeam":\\{"id":[0-9]*,', '"homeTeam":{'))
+    odd = odd.when(of(3), F.regexp_replace(raw, '"typeCode":50[0-9],', "")).when(of(4), F.expr("left(raw_json, 40)")).when(of(5), F.regexp_replace(raw, '"timeInPeriod"', '"timeOfPeriod"'))
+    store.load(docs.withColumn("raw_json", odd.otherwise(raw)), on_breach="quarantine")
+    return store
+
+
+def quarantined(t: League) -> DataFrame:
+    rows = broken(t).quarantine()
+    problem = F.explode_outer(F.filter("problems", lambda p: p["problem"] == "missing"))
+    return rows.select("event_id", "malformed", problem.alias("p")).select("event_id", "malformed", "p.level", "p.field")
+
+
 def replaced_games(t: League) -> DataFrame:
     return loaded(t).read("games").select("game_id", "game_state", "source")
 
@@ -115,6 +155,11 @@ QUERIES = {
     "p14_parse_games": lambda t: _no_times(reread(t).games).drop("fetched_at"),
     "p15_parse_rosters": lambda t: _no_times(reread(t).rosters),
     "p16_parse_plays": lambda t: _no_times(reread(t).plays),
+    "p01_append": lambda t: appended(t).read().select("event_id", "source"),
+    "p02_generated_keys": lambda t: appended(t).runs(),
+    "p11_late_documents": late,
+    "p13_quarantine": quarantined,
+    "p13_loaded_games": lambda t: broken(t).read("games").select("game_id", "season"),
     "p17_casts": casts,
     "p18_replace_games": replaced_games,
     "p18_replace_plays": replaced_plays,

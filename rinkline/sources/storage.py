@@ -38,3 +38,20 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, none if it is not there."""
     fs, at = _folder(spark, path)
     return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file that is not there yet; False if someone else has. The file system must create files exclusively, as HDFS and local ones do."""
+    fs, at = _folder(spark, path)
+    fs.mkdirs(at.getParent())
+    try:
+        out = fs.create(at, False)
+    except Exception:  # noqa: BLE001  Hadoop's own error differs by file system
+        if fs.exists(at):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True

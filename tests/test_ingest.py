@@ -5,7 +5,7 @@ import json
 import pytest
 
 from rinkline.operators import gold, ingest
-from rinkline.sources import silver
+from rinkline.sources import bronze, silver
 from rinkline.sources.documents import stream_files, whole_files
 from rinkline.streaming import live
 
@@ -151,3 +151,75 @@ def test_versions_and_stints(spark, tmp_path):
     spots = spark.createDataFrame(rows, "player_id long, team_id int, d string").selectExpr("player_id", "team_id", "cast(d AS date) AS game_date")
     got = sorted((str(r.valid_from), str(r.valid_to), r.team_id, r.games_in_stint, r.is_current) for r in gold.dim_player_team(spots).collect())
     assert got == [("2024-01-01", "2024-01-03", 4, 2, False), ("2024-01-04", "2024-01-04", 6, 1, False), ("2024-01-05", "2024-01-05", 4, 1, True)]
+
+
+def _stamped(spark, *rows):
+    """(event_id, time, document) as bronze rows."""
+    rows = [(i, f"url/{i}", time, d if isinstance(d, str) else json.dumps(d)) for i, time, d in rows]
+    return spark.createDataFrame(rows, "event_id long, source string, time string, raw_json string").selectExpr("event_id", "cast(time AS timestamp) AS ingestion_timestamp", "source", "raw_json")
+
+
+def test_older_document_never_wins(spark, tmp_path):
+    """In one run and in two, whatever the keys say."""
+    for split in (False, True):
+        store = silver.Silver(spark, f"file://{tmp_path}/late{split}", parts=2)
+        new, old = (5, "2024-12-11", _game([_play(1), _play(2)], state="OFF")), (9, "2024-12-01", _game([_play(1)], state="PRE"))
+        if split:
+            store.load(_stamped(spark, new))
+            assert store.load(_stamped(spark, old))["late"] == 1
+        else:
+            store.load(_stamped(spark, new, old))
+        assert [(r.game_state, r.is_final) for r in store.read("games").collect()] == [("OFF", True)]
+        assert store.read("plays").count() == 2
+        assert {(r.bronze_event_id, r.play_count) for r in store.ledger().collect()} == {(5, 2), (9, None)}
+    same = (11, "2024-12-11", _game([_play(3)], state="OFF"))  # as new as what is stored
+    store.load(_stamped(spark, same))
+    assert [r.event_id for r in store.read("plays").collect()] == [3]
+
+
+def test_contract_is_enforced(spark, tmp_path):
+    broken, odd = _game([_play(1), {"eventId": 2}], game_id=3), _game([_play(1, strange=1)], game_id=4)
+    del broken["season"]
+    docs = _stamped(spark, (1, "2024-12-01", broken), (2, "2024-12-01", odd), (3, "2024-12-01", "{no"), (4, "2024-12-01", _game([], game_id=5) | {"homeTeam": None}), (5, "2024-12-01", _game([], game_id=6, gameType=4)))
+    store = silver.Silver(spark, f"file://{tmp_path}/contract", parts=2)
+    with pytest.raises(silver.ContractBreach, match="game.season"):
+        store.load(docs)
+    assert store.read("games").isEmpty() and store.ledger().isEmpty() and store.quarantine().isEmpty()
+    counts = store.load(docs, on_breach="quarantine")
+    assert counts == {"documents": 5, "loaded": 1, "late": 0, "breaches": 2, "malformed": 1, "unknown_fields": 1}
+    assert [r.game_id for r in store.read("games").collect()] == [4] and store.ledger().count() == 5
+    held = {r.event_id: r for r in store.quarantine().collect()}
+    missing = lambda i: {(p.level, p.field) for p in held[i].problems if p.problem == "missing"}
+    assert sorted(held) == [1, 3, 4] and held[3].malformed and held[3].raw_json == "{no"
+    assert missing(1) == {("game", "season"), ("play", "sortOrder"), ("play", "typeCode"), ("play", "typeDescKey")}
+    assert missing(4) == {("team", f) for f in ("id", "abbrev", "score", "commonName")}
+    assert store.load(docs, on_breach="quarantine")["documents"] == 0 and store.quarantine().count() == 3
+
+
+def test_old_layout_is_refused(spark, tmp_path):
+    store = silver.Silver(spark, f"file://{tmp_path}/layout", parts=2)
+    store.load(_stamped(spark, (1, "2024-12-01", _game([_play(1)]))))
+    plays = spark.createDataFrame(store.read("plays").collect(), store.read("plays").schema)
+    plays.selectExpr("*", "20242025 AS season", "0 AS part").write.mode("overwrite").partitionBy("part").parquet(f"{store.root}/plays")
+    with pytest.raises(ValueError, match="season"):
+        store.read("plays")
+
+
+def test_appends_are_not_doubled(spark, tmp_path):
+    table = bronze.Bronze(spark, f"file://{tmp_path}/bronze")
+    docs = _stamped(spark, *((i, f"2024-12-{30 - i:02d}", _game([], game_id=i)) for i in range(1, 8)))
+    assert table.read().isEmpty() and table.append(docs.where("event_id < 5"), "night-1") == 4
+    assert table.append(docs.where("event_id < 5"), "night-1") == 0  # a repeated run
+    first = {r.source: r.event_id for r in table.read().collect()}
+    assert first == {"url/4": 1, "url/3": 2, "url/2": 3, "url/1": 4}  # in the order of time
+    # a run that reserved its keys and was lost: another takes its turn, then it is repeated
+    assert table.reserve("night-2", 3) == 5 and table.reserve("night-3", 0) == 8
+    assert table.append(docs.where("event_id = 7"), "night-4") == 1 and table.append(docs.where("event_id = 7"), "night-5") == 0
+    (tmp_path / "bronze" / "documents" / "run=night-2").mkdir()
+    (tmp_path / "bronze" / "documents" / "run=night-2" / "part-0.parquet").write_bytes(b"half a file")
+    assert table.read().count() == 5 and table.append(docs, "night-2") == 2
+    rows = table.read().collect()
+    assert len(rows) == 7 == len({r.event_id for r in rows}) == len({r.source for r in rows})
+    assert next(r.event_id for r in rows if r.source == "url/7") == 8 and min(r.event_id for r in rows if r.source in ("url/5", "url/6")) > 8
+    with pytest.raises(ValueError):
+        table.append(docs, "../elsewhere")
