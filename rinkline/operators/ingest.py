@@ -80,11 +80,16 @@ def kept_games(documents: DataFrame) -> DataFrame:
     return documents.where(F.get_json_object("raw_json", "$.gameType").try_cast("int").isin(*GAME_TYPES))
 
 
+def snapshot_print() -> Column:
+    """Digest of a snapshot's state, plays and scores."""
+    parts = [F.coalesce(F.get_json_object("raw_json", p), F.lit("")) for p in ("$.gameState", "$.plays", "$.awayTeam.score", "$.homeTeam.score", "$.awayTeam.sog", "$.homeTeam.sog")]
+    return F.sha1(F.concat_ws("\u0001", *parts))
+
+
 def changed_snapshots(snapshots: DataFrame) -> DataFrame:
     """Snapshots (game_id, fetched_at, raw_json) whose state, plays or scores differ from the one before."""
-    parts = [F.coalesce(F.get_json_object("raw_json", p), F.lit("")) for p in ("$.gameState", "$.plays", "$.awayTeam.score", "$.homeTeam.score", "$.awayTeam.sog", "$.homeTeam.sog")]
     order = Window.partitionBy("game_id").orderBy("fetched_at")
-    marked = snapshots.withColumn("print", F.sha1(F.concat_ws("\u0001", *parts))).withColumn("before", F.lag("print").over(order))
+    marked = snapshots.withColumn("print", snapshot_print()).withColumn("before", F.lag("print").over(order))
     return marked.where(~F.col("print").eqNullSafe(F.col("before"))).drop("before")
 
 

@@ -48,6 +48,12 @@ SELECT 'even' AS run, 1 AS first, even AS rows FROM n UNION ALL SELECT 'all', 1
         "p13_quarantine": f"""{BASE} SELECT game_id AS event_id, game_id % 20 = 4 AS malformed, CASE game_id % 20 WHEN 1 THEN 'game' WHEN 2 THEN 'team' WHEN 3 THEN 'play' END AS level,
     CASE game_id % 20 WHEN 1 THEN 'season' WHEN 2 THEN 'id' WHEN 3 THEN 'typeCode' END AS field FROM games WHERE game_id % 20 IN (1, 2, 4) OR (game_id % 20 = 3 AND game_id IN (SELECT game_id FROM plays WHERE type_code < 510))""",
         "p13_loaded_games": f"{BASE} SELECT game_id, season FROM games WHERE game_id % 20 NOT IN (1, 2, 4) AND NOT (game_id % 20 = 3 AND game_id IN (SELECT game_id FROM plays WHERE type_code < 510))",
+        "p03_whole_files": f"{BASE} SELECT game_id, CASE s WHEN 0 THEN 'PRE' WHEN 180 THEN game_state ELSE 'CRIT' END AS game_state, s AS second FROM games, range(0, 240, 60) AS r(s)",
+        "p09_changed_snapshots_streamed": f"{BASE} SELECT game_id, unnest([0, 60, 180]) AS second FROM games",
+        "t07_live_tables": f"{BASE}, n AS (SELECT game_id, count(*) AS plays FROM plays GROUP BY ALL) SELECT game_id, game_state, CASE WHEN game_id % 5 = 0 THEN 'batch' ELSE 'live' END AS source, plays FROM games LEFT JOIN n USING (game_id)",
+        "t03_chained_versions": f"""{BASE}, n AS (SELECT game_id, count(*) AS plays FROM plays GROUP BY ALL)
+SELECT game_id, state AS game_state, sum(times * plays) AS versions FROM (SELECT game_id, plays, unnest(['PRE', 'CRIT', game_state]) AS state, unnest([1, 2, 1]) AS times FROM games JOIN n USING (game_id)) GROUP BY ALL""",
+        "p33_missing_years": f"{BASE} SELECT y AS year FROM range(2018, 2026) AS r(y) WHERE y <> 2019 AND y NOT IN (SELECT year(game_date) FROM games)",
         "p06_new_documents": f"{BASE} SELECT game_id AS event_id, 'game/' || game_id AS source FROM games WHERE game_id % 3 <> 0",
         "p11_newest_documents": f"{BASE} SELECT game_id AS event_id, game_id, true AS newest FROM games UNION ALL SELECT game_id - 1000000, game_id, false FROM games",
         "p12_kept_games": f"{BASE} SELECT game_id AS event_id FROM games WHERE game_id % 7 <> 0",

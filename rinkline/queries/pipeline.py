@@ -11,6 +11,7 @@ from rinkline.sources.bronze import Bronze
 from rinkline.sources.derived import League, league
 from rinkline.sources.silver import Silver, write_version
 from rinkline.sources.storage import new_path
+from rinkline.streaming import live
 
 
 def reread(t: League) -> League:
@@ -101,6 +102,52 @@ def quarantined(t: League) -> DataFrame:
     return rows.select("event_id", "malformed", problem.alias("p")).select("event_id", "malformed", "p.level", "p.field")
 
 
+def _in_two_nights(t: League, run) -> None:
+    """Lands the snapshots of the first two minutes, runs a stream over them, lands the rest and starts the stream again."""
+    snapshots = documents.game_snapshots(t)
+    folder = new_path(snapshots.sparkSession, "landing")
+    for minutes in ("fetched_at < timestamp_seconds(120)", "fetched_at >= timestamp_seconds(120)"):
+        documents.land(snapshots.where(minutes), folder)
+        run(documents.stream_files(snapshots.sparkSession, folder))
+
+
+def whole_files(t: League) -> DataFrame:
+    """Landed snapshots, read as whole files."""
+    snapshots = documents.game_snapshots(t)
+    folder = new_path(snapshots.sparkSession, "landing")
+    documents.land(snapshots, folder)
+    return documents.whole_files(snapshots.sparkSession, folder).select("game_id", "game_state", F.col("fetched_at").cast("long").alias("second"))
+
+
+def changes_streamed(t: League) -> DataFrame:
+    """Changed snapshots as a stream with a restart finds them."""
+    spark = t.games.sparkSession
+    path, checkpoint = new_path(spark, "changes"), new_path(spark, "checkpoint")
+    _in_two_nights(t, lambda stream: live.append_to(live.changed_snapshots(stream), path, checkpoint).awaitTermination())
+    return spark.read.parquet(path).select("game_id", F.col("fetched_at").cast("long").alias("second"))
+
+
+def live_tables(t: League) -> DataFrame:
+    """Games after snapshots were streamed into stored tables, where the batch path owns every fifth game."""
+    docs = documents.game_documents(t)
+    spark = docs.sparkSession
+    store, checkpoint = Silver(spark, new_path(spark, "silver"), parts=8), new_path(spark, "checkpoint")
+    store.load(docs.where("event_id % 5 = 0"))
+    _in_two_nights(t, lambda stream: live.start_into(stream, store, checkpoint).awaitTermination())
+    plays = store.read("plays").groupBy("game_id").agg(F.count(F.lit(1)).alias("plays"))
+    return store.read("games").select("game_id", "game_state", "source").join(plays, "game_id", "left")
+
+
+def versions_streamed(t: League) -> DataFrame:
+    """Versions of plays that one stream appends and another, chained through their table, counts."""
+    spark = t.games.sparkSession
+    path, counts, first, second = (new_path(spark, n) for n in ("versions", "counts", "checkpoint", "checkpoint"))
+    _in_two_nights(t, lambda stream: live.append_versions(stream, path, first).awaitTermination())
+    chained = live.stream_table(spark, path).groupBy("game_id", "game_state").agg(F.count(F.lit(1)).alias("versions"))
+    chained.writeStream.outputMode("complete").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(counts)).option("checkpointLocation", second).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("game_id long, game_state string, versions long").parquet(counts)
+
+
 def replaced_games(t: League) -> DataFrame:
     return loaded(t).read("games").select("game_id", "game_state", "source")
 
@@ -160,6 +207,11 @@ QUERIES = {
     "p11_late_documents": late,
     "p13_quarantine": quarantined,
     "p13_loaded_games": lambda t: broken(t).read("games").select("game_id", "season"),
+    "p03_whole_files": whole_files,
+    "p09_changed_snapshots_streamed": changes_streamed,
+    "t07_live_tables": live_tables,
+    "t03_chained_versions": versions_streamed,
+    "p33_missing_years": lambda t: ingest.missing_years(t.games.sparkSession, documents.game_documents(t), 2018, 2025, (2019,)),
     "p17_casts": casts,
     "p18_replace_games": replaced_games,
     "p18_replace_plays": replaced_plays,

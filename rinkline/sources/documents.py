@@ -9,7 +9,7 @@ from rinkline.sources.derived import League
 
 
 def whole_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed files `<game_id>/<yyyyMMddTHHmmssZ>.json`, one row each: game_id, fetched_at, raw_json, source_file. The session's time zone must be UTC."""
+    """Landed files `<game_id>/<yyyyMMddTHHmmssZ>.json`, or files in a folder named for the time, one row each: game_id, fetched_at, raw_json, source_file. The session's time zone must be UTC."""
     return _landed(spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(folder))
 
 
@@ -23,7 +23,7 @@ def _landed(files: DataFrame) -> DataFrame:
     return files.select(
         F.get_json_object("value", "$.id").cast("long").alias("game_id"),
         F.get_json_object("value", "$.gameState").alias("game_state"),
-        F.try_to_timestamp(F.regexp_extract(path, r"(\d{8}T\d{6}Z)\.json$", 1), F.lit("yyyyMMdd'T'HHmmss'Z'")).alias("fetched_at"),
+        F.try_to_timestamp(F.regexp_extract(path, r"(\d{8}T\d{6}Z)(?:\.json$|/)", 1), F.lit("yyyyMMdd'T'HHmmss'Z'")).alias("fetched_at"),
         F.col("value").alias("raw_json"),
         path.alias("source_file"),
     )
@@ -85,3 +85,9 @@ def game_snapshots(t: League) -> DataFrame:
     times = docs.select("event_id", "raw_json", F.explode(F.array(*(F.lit(k) for k in range(4)))).alias("minute"))
     text = F.when(F.col("minute") == 0, F.regexp_replace("raw_json", '"gameState":"[A-Z]*"', '"gameState":"PRE"')).when(F.col("minute") < 3, F.regexp_replace("raw_json", '"gameState":"[A-Z]*"', '"gameState":"CRIT"')).otherwise(F.col("raw_json"))
     return times.select(F.col("event_id").alias("game_id"), F.timestamp_seconds(F.col("minute") * 60).alias("fetched_at"), text.alias("raw_json"))
+
+
+def land(snapshots: DataFrame, folder: str) -> None:
+    """Writes snapshots (game_id, fetched_at, raw_json) as files of their own, in a folder for each game and time, beside those that are there."""
+    at = F.date_format("fetched_at", "yyyyMMdd'T'HHmmss'Z'").alias("fetched")
+    snapshots.select(F.col("game_id").alias("game"), at, F.col("raw_json").alias("value")).repartition("game").write.mode("append").partitionBy("game", "fetched").text(folder)

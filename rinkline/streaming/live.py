@@ -2,16 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rinkline.operators import ingest
 from rinkline.sources.silver import Silver
 
 
+def changed_snapshots(snapshots: DataFrame) -> DataFrame:
+    """A stream's snapshots (game_id, fetched_at, raw_json) whose state, plays or scores differ from the game's one before, as the batch form tells them.
+
+    The state of a game is the time and print of its last snapshot, whatever the
+    number of snapshots; it survives restarts with the query's checkpoint.  A
+    snapshot that is not newer than the last one seen is left out: what was
+    emitted can't be taken back.  Prints are made before rows go to Python.
+    """
+    rows = snapshots.where("game_id is not null and fetched_at is not null").select("game_id", "fetched_at", "raw_json", ingest.snapshot_print().alias("print"))
+
+    def changed(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, before = state.get if state.exists else (None, None)
+        rows = pd.concat(list(batches)).sort_values(["fetched_at", "print"])
+        if last is not None:
+            rows = rows[rows["fetched_at"] > pd.Timestamp(last)]
+        rows = rows.drop_duplicates("fetched_at")
+        if len(rows):
+            kept = rows[rows["print"] != rows["print"].shift(fill_value=before if before is not None else "")]
+            state.update((rows["fetched_at"].iloc[-1].to_pydatetime(), rows["print"].iloc[-1]))
+            yield kept[["game_id", "fetched_at", "raw_json"]]
+
+    return rows.groupBy("game_id").applyInPandasWithState(changed, "game_id long, fetched_at timestamp, raw_json string", "last timestamp, print string", "append", GroupStateTimeout.NoTimeout)
+
+
+def append_to(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Appends a stream's rows to a table of Parquet files."""
+    return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(path)
+
+
 def play_versions(snapshots: DataFrame) -> DataFrame:
     """Every play of every snapshot, as text beside its keys: append-only, stateless."""
     plays = F.from_json(F.get_json_object("raw_json", "$.plays"), "array<string>")
@@ -65,7 +96,7 @@ def start_into(snapshots: DataFrame, store: Silver, checkpoint: str, **trigger)
 
 def append_versions(snapshots: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Appends every play of every snapshot to a table of Parquet files."""
-    return play_versions(snapshots).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(path)
+    return append_to(play_versions(snapshots), path, checkpoint, **trigger)
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
