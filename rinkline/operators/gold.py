@@ -20,29 +20,45 @@ def dim_player(spots: DataFrame) -> DataFrame:
     return rows.select("player_id", F.concat_ws(" ", "n.first_name", "n.last_name").alias("full_name"), "n.*", "first_seen_date", "last_seen_date")
 
 
-def dim_player_team(spots: DataFrame) -> DataFrame:
-    """Stints: runs of a player's game days for one team. A return to a former team is a stint of its own.
+def player_days(spots: DataFrame) -> DataFrame:
+    """A player's game days with the team; spots without a team or date are left out, of several teams on one day the smallest counts."""
+    return spots.where("team_id is not null and game_date is not null").groupBy("player_id", "game_date").agg(F.min("team_id").alias("team_id"))
+
 
-    Spots without a team or date are left out; of several teams on one day the
-    smallest counts.  The window is per player, whose days are few; valid_to is
-    the last day of each stint, the last stint is current.
+def merged_stints(pieces: DataFrame) -> DataFrame:
+    """Pieces of stints (player_id, team_id, valid_from, valid_to, games_in_stint) that don't overlap, joined where one follows another of the same team.
+
+    A day is a piece, and so is a stint that was stored before.  The window is per player, whose pieces are few.
     """
-    days = spots.where("team_id is not null and game_date is not null").groupBy("player_id", "game_date").agg(F.min("team_id").alias("team_id"))
-    order = Window.partitionBy("player_id").orderBy("game_date")
-    marked = days.withColumn("new", (~F.col("team_id").eqNullSafe(F.lag("team_id").over(order))).cast("int"))
+    order = Window.partitionBy("player_id").orderBy("valid_from")
+    marked = pieces.withColumn("new", (~F.col("team_id").eqNullSafe(F.lag("team_id").over(order))).cast("int"))
     numbered = marked.withColumn("stint", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     stints = numbered.groupBy("player_id", "stint").agg(
-        F.first("team_id").alias("team_id"), F.min("game_date").alias("valid_from"), F.max("game_date").alias("valid_to"), F.count(F.lit(1)).alias("games_in_stint")
+        F.first("team_id").alias("team_id"), F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"), F.sum("games_in_stint").alias("games_in_stint")
     )
     last = F.col("stint") == F.max("stint").over(Window.partitionBy("player_id"))
     return stints.select("player_id", "team_id", "valid_from", "valid_to", "games_in_stint", last.alias("is_current"))
 
 
-def dim_team(games: DataFrame) -> DataFrame:
-    """One row per team of the parsed games: its newest attributes, home or away."""
+def as_pieces(days: DataFrame) -> DataFrame:
+    return days.select("player_id", "team_id", F.col("game_date").alias("valid_from"), F.col("game_date").alias("valid_to"), F.lit(1).cast("long").alias("games_in_stint"))
+
+
+def dim_player_team(spots: DataFrame) -> DataFrame:
+    """Stints: runs of a player's game days for one team. A return to a former team is a stint of its own; valid_to is the last day of each, the last stint is current."""
+    return merged_stints(as_pieces(player_days(spots)))
+
+
+def team_sides(games: DataFrame) -> DataFrame:
+    """Each team of each game with its attributes there."""
     names = {"abbrev": "abbrev", "team_name": "name", "place_name": "place_name", "logo_url": "logo", "dark_logo_url": "dark_logo"}
     side = lambda s: F.struct(F.col(f"{s}_team_id").alias("team_id"), F.struct(*(F.col(f"{s}_team_{c}").alias(n) for n, c in names.items())).alias("at"))
-    seen = games.select("game_date", "game_id", F.inline(F.array(side("home"), side("away")))).where("team_id is not null")
+    return games.select("game_date", "game_id", F.inline(F.array(side("home"), side("away")))).where("team_id is not null")
+
+
+def dim_team(games: DataFrame) -> DataFrame:
+    """One row per team of the parsed games: its newest attributes, home or away."""
+    seen = team_sides(games)
     newest = F.max_by("at", F.struct(F.col("game_date").isNotNull(), "game_date", "game_id"))
     return seen.groupBy("team_id").agg(newest.alias("n")).select("team_id", "n.*")
 

@@ -22,6 +22,11 @@ _MEDIA = (
 
 
 def build() -> dict[str, str]:
+    out = _queries()
+    return out | {f"{n}_increments": out[n] for n in ("p24_dim_player", "p25_dim_player_team", "p26_dim_team")}
+
+
+def _queries() -> dict[str, str]:
     return {
         "p04_final_documents": f"{BASE} SELECT game_id AS event_id, 'game/' || game_id AS source FROM games WHERE game_state = 'OFF'",
         "p04_schedule_games": f"{BASE} SELECT game_id FROM games WHERE game_state = 'OFF'",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rinkline.operators import gold, ingest
-from rinkline.sources import documents
+from rinkline.sources import documents, increments
 from rinkline.sources.bronze import Bronze
 from rinkline.sources.derived import League, league
 from rinkline.sources.silver import Silver, write_version
@@ -148,6 +148,32 @@ def versions_streamed(t: League) -> DataFrame:
     return spark.read.schema("game_id long, game_state string, versions long").parquet(counts)
 
 
+def _nights(rows: DataFrame) -> list[DataFrame]:
+    """Rows with game_id and game_date in three increments: the first fifty days, then the later even games, then the later odd ones, whose days come late."""
+    early = "game_date < date'2021-11-20'"
+    return [rows.where(early), rows.where(f"not ({early}) and game_id % 2 = 0"), rows.where(f"not ({early}) and game_id % 2 = 1")]
+
+
+def stints_by_night(t: League) -> DataFrame:
+    spark = t.games.sparkSession
+    store = increments.Stints(spark, new_path(spark, "stints"), parts=4)
+    for night in _nights(gold.roster_spots(t)):
+        store.update(night)
+    return store.read()
+
+
+def players_by_night(t: League) -> DataFrame:
+    spark = t.games.sparkSession
+    state = increments.players(spark, new_path(spark, "players"))
+    return increments.dim_player([state.update(night) for night in _nights(gold.roster_spots(t))][-1])
+
+
+def teams_by_night(t: League) -> DataFrame:
+    spark = t.games.sparkSession
+    state = increments.teams(spark, new_path(spark, "teams"))
+    return increments.dim_team([state.update(night) for night in _nights(gold.team_sides(reread(t).games))][-1])
+
+
 def replaced_games(t: League) -> DataFrame:
     return loaded(t).read("games").select("game_id", "game_state", "source")
 
@@ -212,6 +238,9 @@ QUERIES = {
     "t07_live_tables": live_tables,
     "t03_chained_versions": versions_streamed,
     "p33_missing_years": lambda t: ingest.missing_years(t.games.sparkSession, documents.game_documents(t), 2018, 2025, (2019,)),
+    "p24_dim_player_increments": players_by_night,
+    "p25_dim_player_team_increments": stints_by_night,
+    "p26_dim_team_increments": teams_by_night,
     "p17_casts": casts,
     "p18_replace_games": replaced_games,
     "p18_replace_plays": replaced_plays,

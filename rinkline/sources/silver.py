@@ -41,6 +41,18 @@ def read_version(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}/{whole[-1]}")
 
 
+def swap_parts(rows: DataFrame, path: str, parts: list[int], aside: str) -> None:
+    """Replaces partitions of a table (folders part=<n>) by rows, which may be read from it: they are written aside first, so a lost task never meets a half-replaced table."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").partitionBy("part").parquet(aside)
+    filled = [int(x.removeprefix("part=")) for x in folders(spark, aside) if x.startswith("part=")]
+    if filled:
+        spark.read.parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    for part in set(parts) - set(filled):
+        delete(spark, f"{path}/part={part}")
+    delete(spark, aside)
+
+
 class Silver:
     """Typed tables under a root folder. parts: partitions of each table, fixed when it is made."""
 
@@ -65,10 +77,7 @@ class Silver:
         return ingest.check_layout(rows, self._empty(name).columns)
 
     def replace(self, ids: DataFrame, games: DataFrame, rosters: DataFrame, plays: DataFrame) -> None:
-        """Swaps every row of the games in ids for those given, table by table, games last. Repeating it changes nothing.
-
-        What is new is written aside first, so that a lost task never meets a half-replaced table.
-        """
+        """Swaps every row of the games in ids for those given, table by table, games last. Repeating it changes nothing."""
         new = dict(zip(TABLES, (rosters, plays, games)))
         ids = ids.select("game_id").distinct()
         parts = [r[0] for r in ids.select(self._part().alias("part")).distinct().collect()]
@@ -77,14 +86,7 @@ class Silver:
         beside = f"{self.root}/_aside/{uuid.uuid4().hex}"  # runs at the same time must not meet here
         for name in TABLES:
             kept = self.read(name, parts).join(ids, "game_id", "left_anti")
-            aside = f"{beside}/{name}"
-            kept.unionByName(new[name]).withColumn("part", self._part()).write.mode("overwrite").partitionBy("part").parquet(aside)
-            filled = [int(x.removeprefix("part=")) for x in folders(self.spark, aside) if x.startswith("part=")]
-            if filled:
-                rows = self.spark.read.parquet(aside)
-                rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{self.root}/{name}")
-            for part in set(parts) - set(filled):
-                delete(self.spark, f"{self.root}/{name}/part={part}")
+            swap_parts(kept.unionByName(new[name]).withColumn("part", self._part()), f"{self.root}/{name}", parts, f"{beside}/{name}")
         delete(self.spark, beside)
 
     def ledger(self) -> DataFrame:

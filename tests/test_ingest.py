@@ -6,7 +6,7 @@ import pytest
 
 from rinkline.operators import gold, ingest
 from rinkline.sources import bronze, silver
-from rinkline.sources.documents import stream_files, whole_files
+from rinkline.sources.documents import land, stream_files, whole_files
 from rinkline.streaming import live
 
 
@@ -223,3 +223,22 @@ def test_appends_are_not_doubled(spark, tmp_path):
     assert next(r.event_id for r in rows if r.source == "url/7") == 8 and min(r.event_id for r in rows if r.source in ("url/5", "url/6")) > 8
     with pytest.raises(ValueError):
         table.append(docs, "../elsewhere")
+
+
+def test_changed_snapshots_as_a_stream(spark, tmp_path):
+    """The stream gives the batch form's rows across restarts; what comes late is left out."""
+    folder, path, checkpoint = (f"file://{tmp_path}/{n}" for n in ("landing", "changes", "checkpoint"))
+
+    def night(*rows):
+        rows = [(g, f"2024-12-10 00:0{m}:00", json.dumps(d)) for g, m, d in rows]
+        land(spark.createDataFrame(rows, "game_id long, time string, raw_json string").selectExpr("game_id", "cast(time AS timestamp) AS fetched_at", "raw_json"), folder)
+        live.append_to(live.changed_snapshots(stream_files(spark, folder)), path, checkpoint).awaitTermination()
+
+    a, b = _game([_play(1)], game_id=1), _game([_play(1), _play(2)], game_id=1)
+    night((1, 0, a), (1, 1, a), (2, 1, _game([], game_id=2)))
+    night((1, 2, a), (1, 3, b), (2, 2, _game([], game_id=2)))
+    night((1, 5, b), (1, 6, a))
+    key = lambda df: sorted((r.game_id, r.fetched_at.minute) for r in df.collect())
+    assert key(spark.read.parquet(path)) == key(ingest.changed_snapshots(whole_files(spark, folder))) == [(1, 0), (1, 3), (1, 6), (2, 1)]
+    night((1, 4, a))
+    assert len(key(spark.read.parquet(path))) == 4
