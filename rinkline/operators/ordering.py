@@ -78,3 +78,14 @@ def ranks(df: DataFrame, keys: list[str], order: list[Column], name: str = "rank
     """df with rank(): rows with equal keys share the smallest of their numbers in the order, which begins with the keys in any direction and tells all rows apart."""
     number = f"{_NEW}_number"
     return running(row_numbers(df, order, number), keys, [F.col(number)], {name: ("min", F.col(number))}).drop(number)
+
+
+def islands(df: DataFrame, keys: list[str], value: str, order: list[Column], name: str = "island") -> DataFrame:
+    """df with a number that rows of equal keys and value share where nothing else stands between them in the order.
+
+    It is the row's number within its keys less that within keys and value; a
+    hot key or value lies in many ranges.  Null values are a value.
+    """
+    one = ("sum", F.lit(1).cast("long"))
+    numbered = running(df, keys, order, {f"{_NEW}_all": one})
+    return running(numbered, [*keys, value], order, {f"{_NEW}_own": one}).withColumn(name, F.col(f"{_NEW}_all") - F.col(f"{_NEW}_own")).drop(f"{_NEW}_all", f"{_NEW}_own")

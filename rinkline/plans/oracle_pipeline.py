@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from rinkline.plans.oracle import BASE
+from rinkline.plans import oracle
+from rinkline.plans.oracle import BASE, STATS
 
 _ALL = BASE.replace("WHERE game_type = 2)", ")")
 _DATE = "cast(strftime(game_date, '%Y%m%d') AS integer) AS date_key"
@@ -23,6 +24,13 @@ _MEDIA = (
 
 def build() -> dict[str, str]:
     out = _queries()
+    season = "season, game_id, sort_order, owner AS team_id, type_desc_key FROM plays JOIN games USING (game_id)"
+    out["r29_every_scorer"] = oracle.build()["q072_player_scoring_leaders"].replace(" QUALIFY rank <= 25", "")
+    out["r31_points_rank"] = f"""{BASE}{STATS}, sums AS (SELECT player_id, cast(sum(goals + primary_assists + secondary_assists) AS bigint) AS points FROM skaters GROUP BY ALL)
+SELECT *, rank() OVER (ORDER BY points DESC) AS rank FROM sums"""
+    out["r33_running_goals"] = f"""{BASE} SELECT season, game_id, sort_order, cast(sum(CASE WHEN type_desc_key = 'goal' THEN 1 ELSE 0 END) OVER (PARTITION BY season ORDER BY game_id, sort_order) AS bigint) AS goals FROM (SELECT {season})"""
+    out["r35_runs_of_plays"] = f"""{BASE}, p AS (SELECT {season}), n AS (SELECT *, row_number() OVER (PARTITION BY season ORDER BY game_id, sort_order) - row_number() OVER (PARTITION BY season, team_id ORDER BY game_id, sort_order) AS k FROM p),
+r AS (SELECT season, team_id, k, count(*) AS plays FROM n GROUP BY ALL) SELECT season, team_id, count(*) AS runs, max(plays) AS longest FROM r GROUP BY ALL"""
     return out | {f"{n}_increments": out[n] for n in ("p24_dim_player", "p25_dim_player_team", "p26_dim_team")}
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rinkline.functions.columns import distance_bucket, period_label, position_group
 from rinkline.operators import blocks, gold
 from rinkline.operators.measures import DERIVED, ROLE_MEASURES, TEAM_DERIVED, TEAM_MEASURES, ratio, share
+from rinkline.operators.ordering import row_numbers
 from rinkline.queries import specs
 from rinkline.sources.derived import League
 
@@ -20,8 +21,10 @@ STATS = [*ROLE_MEASURES, "pim"]
 TEAM_STATS = [*TEAM_MEASURES, "pim", "opp_pim"]
 
 
-def leaderboard(df: DataFrame, order: list[Column], top_n: int = TOP_N) -> DataFrame:
-    """Numbers the first top_n rows; the order must be total. Sorting and the cut happen before the one-task window."""
+def leaderboard(df: DataFrame, order: list[Column], top_n: int | None = TOP_N) -> DataFrame:
+    """Numbers the first top_n rows; the order must be total. Sorting and the cut happen before the one-task window; without a cut (None) all rows are numbered, by ranges."""
+    if top_n is None:
+        return row_numbers(df, order, "rank").withColumn("rank", F.col("rank").cast("int"))
     first = df.orderBy(*order).limit(top_n)
     return first.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
@@ -56,8 +59,8 @@ def minimums(filters: dict, least: dict[str, int]) -> tuple[dict[str, int], dict
     return least | given, {k: v for k, v in filters.items() if not k.startswith("min_")}
 
 
-def player_leaderboard(t: League, columns: str, order: str, least: dict[str, int], position: str | None = None, min_games: int = 10, top_n: int = TOP_N, **filters) -> DataFrame:
-    """The first top_n players by order. min_<measure> sets a least value."""
+def player_leaderboard(t: League, columns: str, order: str, least: dict[str, int], position: str | None = None, min_games: int = 10, top_n: int | None = TOP_N, **filters) -> DataFrame:
+    """The first top_n players by order, or all (None). min_<measure> sets a least value."""
     least, filters = minimums(filters, least)
     sums = _summed(skaters(t, position=position, **filters), ["full_name", "player_id"]).where(F.col("games_played") >= min_games)
     for name, value in least.items():
