@@ -44,6 +44,7 @@ def narrowed(t: League, team: str | None = None, season: int | None = None, game
         if abbrev is not None:
             chosen = F.broadcast(t.teams.where(F.col("abbrev") == abbrev).select("team_id"))
             games = games.join(chosen, F.col("team_id").isin(F.col("home_team_id"), F.col("away_team_id")), "left_semi")
+    t = t.of_season(season)
     return League(games, t.rosters, t.plays, t.teams)
 
 
@@ -51,6 +52,7 @@ def player_games(
     t: League, team: str | None = None, season: int | None = None, game_type: int | None = 2, player: str | None = None, position: str | None = None, goalies: bool | None = False
 ) -> DataFrame:
     """One row per player and game dressed. goalies: only these, none, or (None) everyone."""
+    t = t.of_season(season)
     games = t.games
     if season is not None:
         games = games.where(F.col("season") == season)

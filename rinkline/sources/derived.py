@@ -7,10 +7,13 @@ stands for integer division.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rinkline.sources.storage import exists, new_path
+from rinkline.sources.storage import new_path
 
 #: What each rule says (g: game number, i: play number, u: user, k: props.k, v: value in hundredths).
 RULES = {
@@ -148,10 +151,31 @@ def rosters(games: DataFrame) -> DataFrame:
 
 
 class League:
-    """The typed tables that the blocks and queries read; from the derived tables, or any others of the same columns."""
+    """The typed tables that the blocks and queries read; from the derived tables, or any others of the same columns.
+
+    by_season: gives rosters and plays of one season, where these are stored by season.
+    """
+
+    def __init__(self, games: DataFrame, rosters: DataFrame, plays: DataFrame, teams: DataFrame, by_season: Callable[[int], tuple[DataFrame, DataFrame]] | None = None) -> None:
+        self.games, self.rosters, self.plays, self.teams, self.by_season = games, rosters, plays, teams, by_season
+
+    def of_season(self, season: int | None) -> League:
+        """The league with no more rosters and plays than a season's games need; the games stay as they are."""
+        if season is None or self.by_season is None:
+            return self
+        return League(self.games, *self.by_season(season), self.teams)
+
+
+#: Plays of a bucket on average, and the fewest buckets.
+BUCKET_PLAYS, LEAST_BUCKETS = 2_000_000, 8
+
 
-    def __init__(self, games: DataFrame, rosters: DataFrame, plays: DataFrame, teams: DataFrame) -> None:
-        self.games, self.rosters, self.plays, self.teams = games, rosters, plays, teams
+def _store(df: DataFrame, root: str, name: str, buckets: int) -> str:
+    """Writes a table in folders by season and buckets by game, so that tables join and plays are summed by game without a shuffle; returns its name in the catalog."""
+    table = f"rinkline_{name}_{uuid.uuid4().hex}"
+    rows = df.repartition(buckets, "game_id")  # the hash of the buckets: a task writes one bucket
+    rows.write.format("parquet").option("path", f"{root}/{name}").partitionBy("season").bucketBy(buckets, "game_id").sortBy("game_id").saveAsTable(table)
+    return table
 
 
 def league(spark: SparkSession, sf_dir: str) -> League:
@@ -159,12 +183,17 @@ def league(spark: SparkSession, sf_dir: str) -> League:
     known = getattr(spark.sparkContext, "_rinkline_leagues", None)
     if known is None:
         known = spark.sparkContext._rinkline_leagues = {}
-    root = known.get(sf_dir)
-    if root is None or not exists(spark, f"{root}/plays/_SUCCESS"):
+    names = known.get(sf_dir)
+    if names is None or not all(spark.catalog.tableExists(n) for n in names.values()):
         events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        root = known[sf_dir] = new_path(spark, "league")
-        plays(events).write.parquet(f"{root}/plays")
-        games(spark.read.parquet(f"{root}/plays")).write.parquet(f"{root}/games")
-        rosters(spark.read.parquet(f"{root}/games")).write.parquet(f"{root}/rosters")
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
-    return League(read("games"), read("rosters"), read("plays"), teams(spark.read.parquet(f"{sf_dir}/nation.parquet")))
+        buckets = max(LEAST_BUCKETS, -(-events.count() // BUCKET_PLAYS))
+        root, names = new_path(spark, "league"), {}
+        seasons = lambda df: df.withColumn("season", F.expr(RULES["season"].replace("//", "div").replace("g ", "(game_id - 2024020000) ")))
+        names["plays"] = _store(seasons(plays(events)), root, "plays", buckets)
+        names["games"] = _store(games(spark.table(names["plays"])), root, "games", buckets)
+        names["rosters"] = _store(seasons(rosters(spark.table(names["games"]))), root, "rosters", buckets)
+        known[sf_dir] = names
+    rows = {name: spark.table(table) for name, table in names.items()}
+    of = lambda season: tuple(rows[name].where(F.col("season") == season).drop("season") for name in ("rosters", "plays"))
+    clubs = teams(spark.read.parquet(f"{sf_dir}/nation.parquet"))
+    return League(rows["games"], rows["rosters"].drop("season"), rows["plays"].drop("season"), clubs, of)

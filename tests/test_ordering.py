@@ -63,6 +63,19 @@ def test_running_values_on_a_key_in_many_ranges(spark):
     assert ordering.running(_frame(spark, []), ["key"], [F.col("id")], values).count() == 0
 
 
+def test_islands_are_runs(spark):
+    rows = _rows()
+    got = ordering.islands(_frame(spark, rows), ["key"], "value", [F.col("id")]).groupBy("key", "value", "island").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).collect()
+    want, last = [], {}
+    for k, i, v in sorted(rows, key=lambda r: r[1]):
+        if last.get(k, (object(),))[0] == v:
+            want[last[k][1]][3] += 1
+        else:
+            last[k] = (v, len(want))
+            want.append([k, v, i, 1])
+    assert sorted(((r.key, r.value, r.first, r.n) for r in got), key=repr) == sorted(map(tuple, want), key=repr)
+
+
 def test_no_window_over_all_rows(spark):
     """Every window of the plan over the rows themselves is parted by range and key; the others see a row or two per range."""
     plan = ordering.running(_frame(spark, _rows()), [], [F.col("id")], {"total": ("sum", F.col("value"))})._jdf.queryExecution().optimizedPlan().toString()

@@ -92,3 +92,15 @@ def test_questions_take_their_parameters(spark, first):
         df = query(t, **{n: given.get(n, 5) for n in parameters[number]})
         if "team" in parameters[number] and number not in (112, 115):
             assert "T03" in df._jdf.queryExecution().analyzed().toString(), name
+
+
+def test_seasons_and_buckets_reach_the_scan(spark):
+    """Plays of one season are summed by game and player from that season's folders, without a shuffle of plays."""
+    t = league(spark, SF)
+    plan = blocks.player_stats(blocks.narrowed(t, season=20212022))._jdf.queryExecution().executedPlan().toString()
+    plays = next(line for line in plan.splitlines() if "rinkline_plays_" in line)
+    assert "SelectedBucketsCount: 8 out of 8" in plays and "Exchange hashpartitioning" not in plan
+    filters = plays[plays.index("PartitionFilters") :]
+    assert "season" in filters[: filters.index("]")] and "20212022" in filters[: filters.index("PushedFilters")]
+    every = t.plays.count()
+    assert 0 < blocks.narrowed(t, season=20212022).plays.count() <= every and t.of_season(19001901).plays.isEmpty()
