@@ -365,6 +365,10 @@ def _hot_prefixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(np.ones(len(pairs), dtype=np.int64))], ["prefix", "n"])
 
 
+#: Batches of a small corpus: enough for levels that merge twice.
+FEWEST_BATCHES = 4
+
+
 class SuffixIndex:
     """The levels of a logarithmic family, kept as a table in a folder; batches of rising ids may be added at any time.
 
@@ -385,19 +389,41 @@ class SuffixIndex:
         )
         if known:
             spark.sql(f"ALTER TABLE {self.table} RECOVER PARTITIONS")
+            self.forget(self._stale())
 
     def levels(self) -> list[tuple[str, int, int, int]]:
         """(name, number, batches in it, highest id), newest first."""
+        stale = self._stale()
+        return [x for x in self._written() if x[0] not in stale]
+
+    def _stale(self) -> list[str]:
+        """Levels that a newer and larger one took in, left by a run that was lost before it deleted them."""
+        largest, found = 0, []
+        for name, _, batches, _ in self._written():
+            if batches < largest:
+                found.append(name)
+            largest = max(largest, batches)
+        return found
+
+    def _written(self) -> list[tuple[str, int, int, int]]:
         names = [r[0].removeprefix("kind=") for r in self.spark.sql(f"SHOW PARTITIONS {self.table}").collect()]
         found = [(x, *(int(k) for k in x.removeprefix(_LEVEL).split("-", 2))) for x in names if x.startswith(_LEVEL)]
         return sorted(found, key=lambda x: -x[1])
 
     def add(self, docs: DataFrame) -> None:
-        """Adds docs (doc long, text string), whose ids must lie above those of all batches before."""
+        """Adds docs (doc long, text string), whose ids must lie above those of all batches before.
+
+        A batch's level and groups appear as one, when its files are committed; the
+        levels that it took in go after that.  If the run is lost in between, they
+        don't count and go later; the batch, recognised by its highest id, can be added again without effect.
+        """
         low, high = docs.agg(F.min("doc"), F.max("doc")).first()
         if high is None:
             return
+        self.forget(self._stale())
         known = self.levels()
+        if known and high == known[0][3]:
+            return
         if known and low <= known[0][3]:
             raise ValueError(f"ids must rise from batch to batch: {low} comes after {known[0][3]}")
         size, merged = 1, []
@@ -517,8 +543,8 @@ def suffix_dedup(
     n_spans counts the maximal removed runs.  width is 20 to 1,000.
 
     Batches take batch_bytes of text each.  Without it their number is one more
-    than the logarithm (base two) of the text in units of UNIT_BYTES, since a
-    batch is merged with all levels.
+    than the logarithm (base two) of the text in units of UNIT_BYTES, and at
+    least FEWEST_BATCHES, since a batch is merged with all levels.
 
     * Null texts have no bytes; null ids are kept whole and remove nothing.
     * Ids are integers.  Repeated rows give a row each and remove nothing from
@@ -537,7 +563,7 @@ def suffix_dedup(
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     known = texts.where("doc is not null")
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = -(-size // batch_bytes) if batch_bytes else 1 + max(0, int(np.ceil(np.log2(max(1, size) / UNIT_BYTES))))
+    batches = -(-size // batch_bytes) if batch_bytes else max(FEWEST_BATCHES, 1 + int(np.ceil(np.log2(max(1, size) / UNIT_BYTES))))
     index = SuffixIndex(spark, new_path(spark, "index"), width, max(1, -(-size // BUCKET_BYTES)), tuple(hot_prefixes(known, width)))
     for batch in batches_of(known, max(1, batches)):
         index.add(batch)

@@ -162,6 +162,35 @@ def test_suffix_index_grows(spark, corpus, tmp_path):
     index.drop()
 
 
+def test_suffix_index_after_a_lost_batch(spark, corpus, tmp_path, monkeypatch):
+    """A run lost after its level was written and before those it took in were deleted: the index opens whole, and the batch may come again."""
+    path = f"file://{tmp_path}/lost"
+    corpus = [x for x in corpus if x[0] < 90]
+    docs = _frame(spark, corpus).selectExpr("doc_id AS doc", "text")
+    part = lambda low: docs.where(f"doc >= {low} AND doc < {low + 30}")
+    index = suffix_module.SuffixIndex(spark, path, 50, 3)
+    index.add(part(0))
+
+    def lost(self, names):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(suffix_module.SuffixIndex, "_stale", lambda self: [])
+        m.setattr(suffix_module.SuffixIndex, "forget", lambda self, names: lost(self, names) if names else None)
+        with pytest.raises(RuntimeError):
+            index.add(part(30))
+        assert len(index.levels()) == 2
+    assert [n for _, _, n, _ in index.levels()] == [2]
+    again = suffix_module.SuffixIndex(spark, path, 50, 3)
+    assert len(again._written()) == 1
+    again.add(part(30))
+    again.add(part(60))
+    assert [n for _, _, n, _ in again.levels()] == [1, 2]
+    want = {i for i, _, g in _removed([(i, (t or "").encode()) for i, t in corpus], 50) if any(g)}
+    assert {r.doc for r in suffix_module.repeated_ranges(docs, again, 50).collect()} == want
+    again.drop()
+
+
 def _sets(corpus, n):
     out = {}
     for i, t in corpus:
