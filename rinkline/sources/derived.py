@@ -67,7 +67,7 @@ def plays(events: DataFrame) -> DataFrame:
         F.col("user_id").alias("u"),
         F.get_json_object("props", "$.k").cast("long").alias("k"),
         F.round(F.col("value") * 100).cast("long").alias("v"),
-    )
+    ).repartition("g")  # what follows is dear and needs games whole; the input may be one file of one task
     base = base.withColumns({n: rule(n) for n in RULES if n not in ("season", "game_type", "game_state")})
     home, away, kind, g = F.col("home_team_id"), F.col("away_team_id"), F.col("type_desc_key"), F.col("g")
     at_home = F.col("u") % 2 == 0
@@ -166,15 +166,30 @@ class League:
         return League(self.games, *self.by_season(season), self.teams)
 
 
-#: Plays of a bucket on average, and the fewest buckets.
-BUCKET_PLAYS, LEAST_BUCKETS = 2_000_000, 8
+#: Plays of a bucket on average, and the fewest buckets; the most folders, so that the number of files grows with the plays and not with plays times seasons.
+BUCKET_PLAYS, LEAST_BUCKETS, MOST_FOLDERS = 2_000_000, 8, 16
 
 
-def _store(df: DataFrame, root: str, name: str, buckets: int) -> str:
-    """Writes a table in folders by season and buckets by game, so that tables join and plays are summed by game without a shuffle; returns its name in the catalog."""
+class Folders:
+    """Seasons in blocks of equal width, which share a folder named for the block's first season; up to MOST_FOLDERS seasons have a folder each."""
+
+    def __init__(self, first_game: int, last_game: int) -> None:
+        self.first = first_game // 200
+        self.width = -(-(last_game // 200 - self.first + 1) // MOST_FOLDERS)
+
+    def column(self) -> Column:
+        years = F.expr("season div 10000 - 2021") - self.first
+        return (F.col("season") - F.pmod(years, F.lit(self.width)) * 10001).cast("int")
+
+    def of(self, season: int) -> int:
+        return season - (season // 10000 - 2021 - self.first) % self.width * 10001
+
+
+def _store(df: DataFrame, root: str, name: str, buckets: int, blocks: Folders) -> str:
+    """Writes a table in folders by season or block of seasons and buckets by game, so that tables join and plays are summed by game without a shuffle; returns its name in the catalog."""
     table = f"rinkline_{name}_{uuid.uuid4().hex}"
-    rows = df.repartition(buckets, "game_id")  # the hash of the buckets: a task writes one bucket
-    rows.write.format("parquet").option("path", f"{root}/{name}").partitionBy("season").bucketBy(buckets, "game_id").sortBy("game_id").saveAsTable(table)
+    rows = df.withColumn("season_from", blocks.column()).repartition(buckets, "game_id")  # the hash of the buckets: a task writes one bucket
+    rows.write.format("parquet").option("path", f"{root}/{name}").partitionBy("season_from").bucketBy(buckets, "game_id").sortBy("game_id").saveAsTable(table)
     return table
 
 
@@ -183,17 +198,20 @@ def league(spark: SparkSession, sf_dir: str) -> League:
     known = getattr(spark.sparkContext, "_rinkline_leagues", None)
     if known is None:
         known = spark.sparkContext._rinkline_leagues = {}
-    names = known.get(sf_dir)
+    names, blocks = known.get(sf_dir, (None, None))
     if names is None or not all(spark.catalog.tableExists(n) for n in names.values()):
         events = spark.read.parquet(f"{sf_dir}/events.parquet")
-        buckets = max(LEAST_BUCKETS, -(-events.count() // BUCKET_PLAYS))
+        game = F.expr("event_id div 100")
+        rows, first, last = events.agg(F.count(F.lit(1)), F.min(game), F.max(game)).first()
+        buckets, blocks = max(LEAST_BUCKETS, -(-rows // BUCKET_PLAYS)), Folders(first or 0, last or 0)
         root, names = new_path(spark, "league"), {}
         seasons = lambda df: df.withColumn("season", F.expr(RULES["season"].replace("//", "div").replace("g ", "(game_id - 2024020000) ")))
-        names["plays"] = _store(seasons(plays(events)), root, "plays", buckets)
-        names["games"] = _store(games(spark.table(names["plays"])), root, "games", buckets)
-        names["rosters"] = _store(seasons(rosters(spark.table(names["games"]))), root, "rosters", buckets)
-        known[sf_dir] = names
+        names["plays"] = _store(seasons(plays(events)), root, "plays", buckets, blocks)
+        names["games"] = _store(games(spark.table(names["plays"])), root, "games", buckets, blocks)
+        names["rosters"] = _store(seasons(rosters(spark.table(names["games"]))), root, "rosters", buckets, blocks)
+        known[sf_dir] = names, blocks
     rows = {name: spark.table(table) for name, table in names.items()}
-    of = lambda season: tuple(rows[name].where(F.col("season") == season).drop("season") for name in ("rosters", "plays"))
+    chosen = lambda season: (F.col("season_from") == blocks.of(season)) & (F.col("season") == season)
+    of = lambda season: tuple(rows[name].where(chosen(season)).drop("season", "season_from") for name in ("rosters", "plays"))
     clubs = teams(spark.read.parquet(f"{sf_dir}/nation.parquet"))
-    return League(rows["games"], rows["rosters"].drop("season"), rows["plays"].drop("season"), clubs, of)
+    return League(rows["games"].drop("season_from"), rows["rosters"].drop("season", "season_from"), rows["plays"].drop("season", "season_from"), clubs, of)

@@ -104,3 +104,21 @@ def test_seasons_and_buckets_reach_the_scan(spark):
     assert "season" in filters[: filters.index("]")] and "20212022" in filters[: filters.index("PushedFilters")]
     every = t.plays.count()
     assert 0 < blocks.narrowed(t, season=20212022).plays.count() <= every and t.of_season(19001901).plays.isEmpty()
+
+
+def test_many_seasons_share_folders(spark, tmp_path):
+    """The number of folders is bounded whatever the number of seasons, and a season's plays are those of its games."""
+    from rinkline.sources.derived import MOST_FOLDERS
+
+    events = spark.read.parquet(f"{SF}/events.parquet").where("event_id < 100")
+    events.crossJoin(spark.range(40).withColumnRenamed("id", "s")).withColumn("event_id", F.expr("event_id + s * 20000")).drop("s").write.parquet(str(tmp_path / "events.parquet"))
+    spark.read.parquet(f"{SF}/nation.parquet").write.parquet(str(tmp_path / "nation.parquet"))
+    t = league(spark, str(tmp_path))
+    stored = spark.table(spark.sparkContext._rinkline_leagues[str(tmp_path)][0]["plays"])
+    assert 1 < stored.select("season_from").distinct().count() <= MOST_FOLDERS
+    assert t.games.select("season").distinct().count() == 40
+    for s in (0, 1, 2, 21, 39):
+        season = (2021 + s) * 10000 + 2022 + s
+        for rows in blocks.narrowed(t, season=season).rosters, blocks.narrowed(t, season=season).plays:
+            assert [r.game_id for r in rows.select("game_id").distinct().collect()] == [2024020000 + s * 200]
+    assert t.of_season(20212022 - 10001).plays.isEmpty() and t.of_season(20212022 + 40 * 10001).plays.isEmpty()
