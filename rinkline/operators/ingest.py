@@ -95,22 +95,20 @@ def changed_snapshots(snapshots: DataFrame) -> DataFrame:
 
 def field_contract(documents: DataFrame) -> DataFrame:
     """(level, field, problem): required fields that a document lacks (`missing`), fields that no one knows (`unknown`), with the number of objects."""
-    raw = F.col("raw_json")
-    plays = documents.select(F.explode(F.from_json(F.get_json_object(raw, "$.plays"), "array<string>")).alias("o"))
-    objects = {
-        "game": documents.select(raw.alias("o")),
-        "team": documents.select(F.explode(F.array(F.get_json_object(raw, "$.awayTeam"), F.get_json_object(raw, "$.homeTeam"))).alias("o")),
-        "play": plays,
-        "details": plays.select(F.get_json_object("o", "$.details").alias("o")),
-    }
-    out = None
-    for level, rows in objects.items():
-        keys = rows.where("o is not null").select(F.json_object_keys("o").alias("k")).where("k is not null")
-        need, known = REQUIRED[level].split(), (REQUIRED[level] + " " + OPTIONAL[level]).split()
-        lacking = keys.select(F.explode(F.array_except(F.array(*map(F.lit, need)) if need else F.array().cast("array<string>"), "k")).alias("field"), F.lit("missing").alias("problem"))
-        strange = keys.select(F.explode(F.array_except("k", F.array(*map(F.lit, known)))).alias("field"), F.lit("unknown").alias("problem"))
-        found = lacking.unionByName(strange).select(F.lit(level).alias("level"), "field", "problem")
-        out = found if out is None else out.unionByName(found)
+    rows = documents.select("raw_json", F.from_json(F.get_json_object("raw_json", "$.plays"), "array<string>").alias("plays"))
+    object_of = lambda level, o: F.struct(F.lit(level).alias("level"), o.alias("o"))
+    whole = [object_of("game", F.col("raw_json"))] + [object_of("team", F.get_json_object("raw_json", f"$.{s}Team")) for s in ("away", "home")]
+    rows = rows.select(F.explode(F.concat(F.array(*whole), F.coalesce(F.transform("plays", lambda p: object_of("play", p)), F.array().cast("array<struct<level: string, o: string>>")))).alias("x"))
+    details = F.when(F.col("x.level") == "play", object_of("details", F.get_json_object("x.o", "$.details")))
+    keys = rows.select(F.explode(F.array(F.col("x"), details)).alias("x")).select("x.level", F.json_object_keys("x.o").alias("k"))
+    fields = {level: (REQUIRED[level].split(), (REQUIRED[level] + " " + OPTIONAL[level]).split()) for level in REQUIRED}
+    names = lambda some: F.array(*map(F.lit, some)).cast("array<string>")
+    told = lambda problem, each: F.transform(each, lambda f: F.struct(f.alias("field"), F.lit(problem).alias("problem")))
+    found = None
+    for level, (need, known) in fields.items():
+        both = F.concat(told("missing", F.array_except(names(need), "k")), told("unknown", F.array_except("k", names(known))))
+        found = F.when(F.col("level") == level, both) if found is None else found.when(F.col("level") == level, both)
+    out = keys.where("k is not null").select("level", F.inline(found))
     return out.groupBy("level", "field", "problem").agg(F.count(F.lit(1)).alias("objects"))
 
 

@@ -268,3 +268,18 @@ def test_casts_after_2099(spark, tmp_path):
     spark.read.parquet(f"{sf}/nation.parquet").write.parquet(str(tmp_path / "nation.parquet"))
     rows = casts(league(spark, str(tmp_path))).collect()
     assert rows and all(r.game_date is None if r.game_id % 2 == 0 else r.game_date.year == 2121 for r in rows)
+
+
+def test_contract_counts_every_object_in_one_pass(spark):
+    """Objects of all levels are counted, those that are no objects are not, and the documents are read once."""
+    broken = _game([_play(1, odd=1), _play(2, odd=1, details=None), {"eventId": 3, "details": {"strange": 1}}, _play(4, details={"strange": 2})])
+    del broken["season"], broken["homeTeam"]["id"]
+    nothing = _game([])
+    del nothing["awayTeam"], nothing["plays"]
+    df = ingest.field_contract(_docs(spark, broken, nothing, "{not json"))
+    assert {(r.level, r.field, r.problem): r.objects for r in df.collect()} == {
+        ("game", "season", "missing"): 1, ("game", "awayTeam", "missing"): 1, ("game", "plays", "missing"): 1, ("team", "id", "missing"): 1, ("play", "odd", "unknown"): 2,
+        ("play", "typeCode", "missing"): 1, ("play", "typeDescKey", "missing"): 1, ("play", "sortOrder", "missing"): 1, ("details", "strange", "unknown"): 2,
+    }
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 0
