@@ -66,10 +66,10 @@ def unprocessed(bronze: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def newest_documents(documents: DataFrame) -> DataFrame:
-    """With `newest`: whether the row is its game's last by (ingestion_timestamp, event_id). A game's maximum combines before the shuffle, so no window gathers its rows."""
+    """With `newest`: whether the row is its game's last by (ingestion_timestamp, event_id). A game's maximum combines before the shuffle, so no window gathers its rows; documents are dealt evenly by game, whichever way Spark then joins."""
     rows = documents.withColumn("game_id", F.get_json_object("raw_json", "$.id").try_cast("long"))
     last = rows.groupBy("game_id").agg(F.max(F.struct("ingestion_timestamp", "event_id")).alias("last"))
-    return rows.join(last, "game_id", "left").withColumn("newest", F.col("event_id") == F.col("last.event_id")).drop("last")
+    return rows.repartition("game_id").join(last, "game_id", "left").withColumn("newest", F.col("event_id") == F.col("last.event_id")).drop("last")
 
 
 def final_documents(documents: DataFrame) -> DataFrame:
@@ -115,24 +115,32 @@ def field_contract(documents: DataFrame) -> DataFrame:
 def breaches(raw: Column) -> Column:
     """What a document lacks or has beyond the field contract: an array of (problem, level, field), each once.
 
-    Absent teams lack all their fields; plays and their details are looked at one by one, in the document's own row.
+    Absent teams lack all their fields; plays and their details are looked at in the document's own row.
+    The text is parsed once for its plays and each object once for its keys, which both kinds of problems are
+    told from: a variable of a lambda over an array of one stands for what would be parsed anew wherever it is named.
     """
     names = lambda text: F.array(*map(F.lit, text.split())) if text else F.array().cast("array<string>")
     keys = lambda o: F.coalesce(F.json_object_keys(o), F.array().cast("array<string>"))
-    plays = F.coalesce(F.from_json(F.get_json_object(raw, "$.plays"), "array<string>"), F.array().cast("array<string>"))
-    objects = {
-        "game": F.array(keys(raw)),
-        "team": F.array(keys(F.get_json_object(raw, "$.awayTeam")), keys(F.get_json_object(raw, "$.homeTeam"))),
-        "play": F.transform(plays, keys),
-        "details": F.transform(F.filter(F.transform(plays, lambda p: F.get_json_object(p, "$.details")), lambda x: x.isNotNull()), keys),
-    }
-    beside = lambda known, more: lambda k: F.array_except(known, k) if more else F.array_except(k, known)
+    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
     told = lambda problem, level: lambda f: F.struct(F.lit(problem).alias("problem"), F.lit(level).alias("level"), f.alias("field"))
-    found = []
-    for level, each in objects.items():
+
+    def of(level: str):
         need, known = names(REQUIRED[level]), names(f"{REQUIRED[level]} {OPTIONAL[level]}")
-        for problem, fields in (("missing", F.transform(each, beside(need, True))), ("unknown", F.transform(each, beside(known, False)))):
-            found.append(F.transform(F.array_distinct(F.flatten(fields)), told(problem, level)))
+
+        def found(each: Column) -> Column:
+            missing = F.filter(need, lambda f: F.exists(each, lambda k: ~F.array_contains(k, f)))
+            unknown = F.array_except(F.flatten(each), known)
+            return F.concat(F.transform(missing, told("missing", level)), F.transform(unknown, told("unknown", level)))
+
+        return found
+
+    plays = F.coalesce(F.from_json(F.get_json_object(raw, "$.plays"), "array<string>"), F.array().cast("array<string>"))
+    details = lambda p: F.filter(F.transform(p, lambda x: F.get_json_object(x, "$.details")), lambda x: x.isNotNull())
+    found = [
+        once(F.array(keys(raw)), of("game")),
+        once(F.array(keys(F.get_json_object(raw, "$.awayTeam")), keys(F.get_json_object(raw, "$.homeTeam"))), of("team")),
+        once(plays, lambda p: F.concat(once(F.transform(p, keys), of("play")), once(F.transform(details(p), keys), of("details")))),
+    ]
     return F.array_sort(F.concat(*found))
 
 

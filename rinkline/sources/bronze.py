@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rinkline.operators import ingest
 from rinkline.operators.ordering import row_numbers
-from rinkline.sources.storage import create, delete, exists, folders
+from rinkline.sources.storage import create, delete, empty, exists, folders
 
 #: The table's columns; event_id is generated.
 SCHEMA = "event_id long, ingestion_timestamp timestamp, source string, raw_json string"
@@ -33,13 +33,13 @@ class Bronze:
     def read(self) -> DataFrame:
         """The documents of all appends that are whole."""
         paths = [f"{self.root}/documents/{x}" for x in self._whole()]
-        return self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(*paths) if paths else empty(self.spark, SCHEMA)
 
     def runs(self) -> DataFrame:
         """(run, first, rows): the keys that each append has reserved, whole or not."""
         schema = "run string, first long, rows long"
         path = f"{self.root}/keys"
-        return self.spark.read.schema(schema).json(path) if folders(self.spark, path) else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(path) if folders(self.spark, path) else empty(self.spark, schema)
 
     def reserve(self, run: str, rows: int) -> int:
         """The first of so many keys for a run, the same whenever it asks for as many.

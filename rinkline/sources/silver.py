@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rinkline.operators import ingest
-from rinkline.sources.storage import delete, exists, folders
+from rinkline.sources.storage import delete, empty, exists, folders, move
 
 #: In the order of writing: a game's row says that its rosters and plays are in place.
 TABLES = ("rosters", "plays", "games")
@@ -42,12 +42,12 @@ def read_version(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def swap_parts(rows: DataFrame, path: str, parts: list[int], aside: str) -> None:
-    """Replaces partitions of a table (folders part=<n>) by rows, which may be read from it: they are written aside first, so a lost task never meets a half-replaced table."""
+    """Replaces partitions of a table (folders part=<n>) by rows, which may be read from it: they are written aside first, so a lost task never meets a half-replaced table, and whole folders then take the places of the old ones."""
     spark = rows.sparkSession
     rows.write.mode("overwrite").partitionBy("part").parquet(aside)
     filled = [int(x.removeprefix("part=")) for x in folders(spark, aside) if x.startswith("part=")]
-    if filled:
-        spark.read.parquet(aside).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+    for part in filled:
+        move(spark, f"{aside}/part={part}", f"{path}/part={part}")
     for part in set(parts) - set(filled):
         delete(spark, f"{path}/part={part}")
     delete(spark, aside)
@@ -60,7 +60,7 @@ class Silver:
         self.spark, self.root, self.parts = spark, root, parts
 
     def _empty(self, name: str) -> DataFrame:
-        none = self.spark.createDataFrame([], "event_id long, source string, ingestion_timestamp timestamp, raw_json string")
+        none = empty(self.spark, "event_id long, source string, ingestion_timestamp timestamp, raw_json string")
         good, _ = ingest.parsed(none)
         return {"games": ingest.parse_games, "rosters": ingest.parse_rosters, "plays": ingest.parse_plays}[name](good)
 
@@ -91,7 +91,7 @@ class Silver:
 
     def ledger(self) -> DataFrame:
         path = f"{self.root}/ledger"
-        return self.spark.read.schema(LEDGER).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], LEDGER)
+        return self.spark.read.schema(LEDGER).parquet(path) if exists(self.spark, path) else empty(self.spark, LEDGER)
 
     def guard(self) -> None:
         """If the tables hold no game, the ledger is void: otherwise every document would be skipped for ever."""
@@ -101,7 +101,7 @@ class Silver:
     def quarantine(self) -> DataFrame:
         """Documents that were not loaded: malformed ones, and with `quarantine` those that breach the field contract, with their problems."""
         path = f"{self.root}/quarantine"
-        return self.spark.read.schema(QUARANTINE).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], QUARANTINE)
+        return self.spark.read.schema(QUARANTINE).parquet(path) if exists(self.spark, path) else empty(self.spark, QUARANTINE)
 
     def load(self, bronze: DataFrame, on_breach: str = "fail") -> dict[str, int]:
         """One batch run over documents (event_id, source, ingestion_timestamp, raw_json): those not in the ledger are parsed and replace their games.

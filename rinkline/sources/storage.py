@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -34,6 +36,21 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Puts a folder in the place of another, which goes if it is there."""
+    fs, at = _folder(spark, path)
+    _, target = _folder(spark, to)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(at, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows; the optimiser knows that it has none, so joins with it cost nothing."""
+    return spark.range(0).where(F.lit(False)).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)))
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder, none if it is not there."""
     fs, at = _folder(spark, path)

@@ -283,3 +283,44 @@ def test_contract_counts_every_object_in_one_pass(spark):
     }
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Union") == 0
+
+
+def test_documents_are_built_once(spark, monkeypatch):
+    """Queries that read the documents of all games several times, in one run and the next, build each once."""
+    from rinkline.queries import pipeline
+    from rinkline.sources.derived import league
+
+    built, real = spark.sparkContext.accumulator(0), pipeline.documents.game_documents
+
+    def counted(t):
+        seen = F.udf(lambda text: built.add(1) or text, "string").asNondeterministic()
+        return real(t).withColumn("raw_json", seen("raw_json"))
+
+    monkeypatch.setattr(pipeline.documents, "game_documents", counted)
+    t = league(spark, "/root/testdata/sf0.001")
+    games = t.games.count()
+    for query in (pipeline.replaced_games, pipeline.late, pipeline.quarantined):
+        before = built.value
+        assert query(t).count() > 0
+        assert built.value - before == games, query.__name__
+
+
+def test_breaches_parse_plays_once(spark):
+    """Problems of a document are those found object by object, and its plays are parsed once for all of them."""
+    full = _game([_play(1), _play(2, odd=1, details={"strange": 1, "reason": "x"}), {"eventId": 3, "odd": 2}, _play(4, details="text"), _play(5, details=None)], extra=1)
+    bare, other = _game([]), _game("no plays", awayTeam=None, homeTeam={"id": 1, "abbrev": "T", "score": 2, "commonName": "x", "nick": "y"})
+    del bare["season"], bare["plays"]
+
+    def told(document):
+        found = set()
+        plays = document.get("plays") if isinstance(document.get("plays"), list) else []
+        objects = [("game", document)] + [("team", document.get(f"{s}Team") or {}) for s in ("away", "home")] + [("play", p) for p in plays]
+        objects += [("details", p["details"] if isinstance(p["details"], dict) else {}) for p in plays if p.get("details") is not None]
+        for level, o in objects:
+            need, known = ingest.REQUIRED[level].split(), f"{ingest.REQUIRED[level]} {ingest.OPTIONAL[level]}".split()
+            found |= {("missing", level, f) for f in need if f not in o} | {("unknown", level, f) for f in o if f not in known}
+        return sorted(found)
+
+    df = _docs(spark, full, bare, other).select("event_id", ingest.breaches(F.col("raw_json")).alias("p"))
+    assert [[tuple(x) for x in r.p] for r in df.orderBy("event_id").collect()] == [told(d) for d in (full, bare, other)]
+    assert df._jdf.queryExecution().analyzed().toString().count("$.plays") == 1
