@@ -166,8 +166,8 @@ class League:
         return League(self.games, *self.by_season(season), self.teams)
 
 
-#: Plays of a bucket on average, and the fewest buckets; the most folders, so that the number of files grows with the plays and not with plays times seasons.
-BUCKET_PLAYS, LEAST_BUCKETS, MOST_FOLDERS = 2_000_000, 8, 16
+#: Plays of a bucket on average, which bound a task's memory (whole games with their plays), and the fewest buckets; the most folders, so that the number of files grows with the plays and not with plays times seasons.
+BUCKET_PLAYS, LEAST_BUCKETS, MOST_FOLDERS = 250_000, 8, 16
 
 
 class Folders:

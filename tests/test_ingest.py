@@ -340,3 +340,10 @@ def test_whole_files_of_polls(spark, tmp_path):
     got = key(poll_files(spark, polls))
     assert len(got) == 201 and sorted(set(got)) == key(whole_files(spark, own))
     assert len([f for f in (tmp_path / "polls").rglob("part-*")]) == 5  # 64 and 36 games of two polls, and one again
+
+
+def test_buckets_bound_a_task(spark):
+    """A task that gathers whole games takes up to a bucket of plays, some 1.5 kB each, whatever the tables' size."""
+    from rinkline.sources import derived
+
+    assert derived.BUCKET_PLAYS * 1536 < 1 << 29
