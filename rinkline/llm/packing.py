@@ -244,17 +244,17 @@ def pack(
     * Null or repeated ids are packed like others.
     * An empty table gives an empty result; further columns are ignored.
 
-    Spark: texts are tokenised where they are read; narrow pieces, without
-    text, are written once with a number each and scattered by a hash into
-    buckets of about bucket_pieces, which are packed alone; pieces of repeated
-    rows have other numbers, so no key gathers more than a bucket.  A bucket
-    leaves few sequences unfilled.
+    Spark: texts are tokenised where they are read; pieces, without text, are
+    written once with a number each, and scattered without their ids by a hash
+    into buckets of about bucket_pieces, which are packed alone; pieces of
+    repeated rows have other numbers, so no key gathers more than a bucket.  A
+    bucket leaves few sequences unfilled.  The ids meet their places again by
+    the number, in a join that streams them, so no task holds those of a bucket.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     schema = "doc long, start long, length long, ids_crc32 long, doc_tokens long"
     if with_ids:
         pieces = rows.mapInArrow(partial(token_pieces, path=tokenizer, width=width), schema + ", ids binary")
-        schema += ", ids binary"
     else:
         pieces = rows.mapInArrow(partial(_without_ids, path=tokenizer, width=width), schema)
     pieces = stored(pieces.withColumn("nth", F.monotonically_increasing_id()), "pieces")
@@ -265,9 +265,12 @@ def pack(
         return _pack(table, width, buckets)
 
     packed = (
-        pieces.withColumn("bucket", bucket)
-        .drop("nth")
+        pieces.drop("ids")
+        .withColumn("bucket", bucket)
         .groupBy("bucket")
-        .applyInArrow(filled, schema + ", sequence_id long, offset long")
+        .applyInArrow(filled, schema + ", nth long, sequence_id long, offset long")
     )
-    return packed.withColumnRenamed("doc", id_col)
+    if with_ids:
+        packed = pieces.select("nth", "ids").join(packed.hint("shuffle_hash"), "nth")
+    columns = ["start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else []), "sequence_id", "offset"]
+    return packed.select(F.col("doc").alias(id_col), *columns)

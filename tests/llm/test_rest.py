@@ -118,6 +118,17 @@ def test_packing(spark):
     assert packing.pack(_docs(spark, []), PATH).count() == 0
 
 
+def test_packing_takes_no_ids_into_a_bucket(spark):
+    """A bucket is packed by lengths alone, and every piece gets its own ids back."""
+    whole, narrow = packing.pack(_docs(spark), PATH, bucket_pieces=3), packing.pack(_docs(spark), PATH, bucket_pieces=3, with_ids=False)
+    grouped = [x for x in whole._jdf.queryExecution().optimizedPlan().toString().splitlines() if "FlatMapGroupsInArrow" in x]
+    assert len(grouped) == 1 and "length#" in grouped[0] and " ids#" not in grouped[0]
+    assert whole.columns == [*narrow.columns[:5], "ids", *narrow.columns[5:]]
+    key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert sorted(map(repr, whole.select(key).collect())) == sorted(map(repr, narrow.select(key).collect()))
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in whole.collect())
+
+
 def test_encoder_is_the_tokenizer():
     import pyarrow as pa
     from rinkline.llm._bytes import slices
