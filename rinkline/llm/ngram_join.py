@@ -1,12 +1,13 @@
 """Similarity join of documents by the Jaccard similarity of their word n-grams, with prefix trees.
 
-All n-grams have one global order: frequent ones last, the others by hash.  Two
-sets that are similar enough share an n-gram among the first few of each
-(prefix filter), and the histograms of their hashes are close.  Both conditions
+All n-grams have one global order: frequent ones last, by how often they occur,
+the others by hash.  Two sets that are similar enough share an n-gram among the
+first few of each (prefix filter), and the histograms of their hashes are close.  Both conditions
 lose no pair; what they leave is gathered into clusters.  Each cluster, or each
 pair of blocks of a large one, is joined in a task: the sets lie in a trie, and
 a set walks down the tree once, sharing the overlap so far and leaving subtrees
-in which too few n-grams remain.
+in which too few n-grams remain.  Where many sets are nearly alike but not
+similar enough, the tree spares little, and overlaps are counted instead.
 """
 
 from __future__ import annotations
@@ -25,12 +26,18 @@ from rinkline.llm._shared import discard, if_small, stored, with_groups
 
 #: Least number of buckets of the histogram that goes with a set, and n-grams for each bucket of a larger one.
 SKETCH, BUCKET_GRAMS = 64, 20
-#: An n-gram is frequent if this share of the documents of a batch holds it; so at most n-grams per document / share are.
-FREQUENT_SHARE = 0.002
+#: N-grams that a task counts at once, and how often one occurs there to be noted; noted ones are frequent if they occur often enough in all.
+WINDOW_GRAMS, NOTED, FREQUENT = 2_000_000, 3, 16
+#: Frequent n-grams at most, which are broadcast: the most frequent ones.
+HOT_GRAMS = 500_000
 #: Sets that share an n-gram up to which their histograms are compared; beyond, they form a cluster at once.
 CLOSE_GROUP = 2048
+#: Sets that share an n-gram up to which all pairs are compared at once; beyond, a set that is linked already is compared with no other linked one.
+ALL_PAIRS = 24
 #: N-grams of a block of a cluster; a task joins two blocks.
-BLOCK_GRAMS = 2_000_000
+BLOCK_GRAMS = 1_000_000
+#: Sets of a block up to which it is joined by a trie; beyond, overlaps are counted.
+TRIE_SETS = 32
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -67,6 +74,8 @@ def histogram(spread: np.ndarray) -> bytes:
 
 def differences(sketches: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For each pair of rows the sum of the differences of their histograms: the sets differ in no fewer places."""
+    if not len(left):
+        return np.zeros(0, dtype=np.int64)
     size = np.array([len(x) for x in sketches])
     out = np.zeros(len(left), dtype=np.int64)
     for a in np.unique(size[left]):
@@ -83,37 +92,83 @@ def differences(sketches: list[bytes], left: np.ndarray, right: np.ndarray) -> n
     return out
 
 
+def coarse(sketches: list[bytes]) -> np.ndarray:
+    """The histograms in SKETCH buckets, a row each: no two differ more than the histograms themselves."""
+    size = np.array([len(x) for x in sketches])
+    out = np.zeros((len(sketches), SKETCH), dtype=np.int32)
+    for k in np.unique(size):
+        rows = np.flatnonzero(size == k)
+        step = max(1, (1 << 22) // int(k))
+        for s in range(0, len(rows), step):
+            part = rows[s : s + step]
+            out[part] = np.frombuffer(b"".join(sketches[i] for i in part.tolist()), dtype=np.uint8).reshape(len(part), SKETCH, -1).sum(axis=2, dtype=np.int32)
+    return out
+
+
+_PROFILE = ["doc", "n", "a", "b", "sketch", "gram", "count"]
+
+
+def _noted(sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows for the n-grams that at least NOTED of the sets hold."""
+    every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, dtype=np.uint64)
+    at = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, dtype=np.int64)
+    count = np.diff(np.append(at, len(every)))
+    often = count >= NOTED
+    if often.any():
+        gram, count = every[at[often]], count[often]
+        gone = pa.nulls(len(gram), pa.int64())
+        yield pa.RecordBatch.from_arrays([gone, gone, gone, gone, pa.nulls(len(gram), pa.binary()), pa.array(gram.view(np.int64)), pa.array(count)], _PROFILE)
+
+
 def _profiles(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    """(id, text) batches to one row for each document (doc, n, two fingerprints of the set, histogram), and for each frequent n-gram of a batch (gram, count)."""
+    """(id, text) batches to one row for each document (doc, n, two fingerprints of the set, histogram), and for each n-gram that a window of WINDOW_GRAMS holds often (gram, count)."""
+    window, held = [], 0
     for batch in batches:
-        size, a, b, sketch, sets = [], [], [], [], []
+        size, a, b, sketch = [], [], [], []
         for _, grams in shingle_sets(batch.column(1), n):
             size.append(len(grams))
             spread = mix(grams)
             a.append(int(np.bitwise_xor.reduce(spread)) if len(grams) else 0)
             b.append(int(np.add.reduce(mix(spread ^ np.uint64(0x5851F42D4C957F2D)))) if len(grams) else 0)
             sketch.append(histogram(spread))
-            sets.append(grams)
+            window.append(grams)
+            held += len(grams)
+            if held >= WINDOW_GRAMS:
+                yield from _noted(window)
+                window, held = [], 0
         k = len(size)
         none = pa.nulls(k, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(size, pa.int64()), pa.array(np.array(a, dtype=np.uint64).view(np.int64)), pa.array(np.array(b, dtype=np.uint64).view(np.int64)), pa.array(sketch, pa.binary()), none, none],
-            ["doc", "n", "a", "b", "sketch", "gram", "count"],
+            _PROFILE,
         )
-        least = max(3, int(FREQUENT_SHARE * k))
-        every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, dtype=np.uint64)
-        at = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, dtype=np.int64)
-        count = np.diff(np.append(at, len(every)))
-        often = count >= least
-        if often.any():
-            gram, count = every[at[often]], count[often]
-            gone = pa.nulls(len(gram), pa.int64())
-            yield pa.RecordBatch.from_arrays([gone, gone, gone, gone, pa.nulls(len(gram), pa.binary()), pa.array(gram.view(np.int64)), pa.array(count)], ["doc", "n", "a", "b", "sketch", "gram", "count"])
+    yield from _noted(window)
+
+
+def frequent_grams(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent n-grams in order, and the power of two of how often each was noted: at most HOT_GRAMS, whatever the number of documents.
+
+    Counts are of windows in which an n-gram is noted, so a lower bound; any order
+    of the n-grams loses no pair, a better one leaves smaller groups.
+    """
+    counts = profiles.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") >= FREQUENT)
+    counts = stored(counts.select("gram", F.floor(F.log2("count")).cast("int").alias("level")), "frequent")
+    least, total = 64, 0
+    for r in sorted(counts.groupBy("level").agg(F.count(F.lit(1)).alias("k")).collect(), key=lambda r: -r.level):
+        total += r.k
+        if total > HOT_GRAMS:
+            break
+        least = r.level
+    found = counts.where(F.col("level") >= least).toArrow()
+    discard(counts)
+    gram = found["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(gram)
+    return gram[order], found["level"].to_numpy()[order].astype(np.int8)
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, frequent) -> Iterator[pa.RecordBatch]:
     """(id, text, class) batches to the first n-grams of each set in the global order: gram, class."""
-    hot = frequent.value
+    hot, level = frequent.value
     for batch in batches:
         owner = batch.column(2).to_numpy(zero_copy_only=False)
         grams, whose = [], []
@@ -124,13 +179,42 @@ def _prefixes(batches: Iterator[pa.RecordBatch], n: int, percent: int, frequent)
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
                 late = hot[at] == own
-                own = np.concatenate([own[~late], own[late]])
+                own = np.concatenate([own[~late], own[late][np.argsort(level[at[late]], kind="stable")]])
             grams.append(own[:keep])
             whose.append(np.full(keep, owner[row], dtype=np.int64))
         if grams:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(whose))], ["gram", "class"])
 
 
+def most_differences(total: np.ndarray, percent: int) -> np.ndarray:
+    """Two sets with so many n-grams together that are similar differ in no more places."""
+    return total - 2 * -(-percent * total // (100 + percent))
+
+
+def _links_of_group(size: np.ndarray, sketch: list[bytes], rough: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows that keep all rows connected which may be similar.
+
+    From a row on, all that can be reached are taken out one after the other, each
+    compared with those of a fitting size that were not reached yet: copies of one
+    text are compared once each, not all with all.
+    """
+    left, reached = np.argsort(size, kind="stable"), []
+    while len(left):
+        if reached:
+            row = reached.pop()
+        else:
+            row, left = int(left[0]), left[1:]
+        low, high = np.searchsorted(size[left], (needed(size[row], percent), 100 * size[row] // percent + 1))
+        near = left[low:high]
+        most = most_differences(size[near] + size[row], percent)
+        here = np.flatnonzero(np.abs(rough[near] - rough[row]).sum(axis=1) <= most)
+        here = here[differences(sketch, np.full(len(here), row), near[here]) <= most[here]]
+        if len(here):
+            yield np.full(len(here), row), near[here]
+            reached.extend(near[here].tolist())
+            left = np.delete(left, low + here)
+
+
 def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows (gram, class, n, sketch) sorted by gram to edges that keep every pair of classes connected which may be similar."""
     rest: pa.Table | None = None
@@ -138,21 +222,26 @@ def _close_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
     def edges(t: pa.Table):
         gram, owner, size = t["gram"].to_numpy(), t["class"].to_numpy(), t["n"].to_numpy()
         sketch = t["sketch"].to_pylist()
-        shift, found = 1, [(owner[:0], owner[:0])]
-        while shift < len(gram):
-            left = np.flatnonzero(gram[shift:] == gram[:-shift])
-            if not len(left):
+        rough = coarse(sketch)
+        at = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        k = np.diff(np.append(at, len(gram)))
+        found = [(owner[:0], owner[:0])]
+        for first, end in zip(at[k > ALL_PAIRS], (at + k)[k > ALL_PAIRS]):
+            mine = owner[first:end]
+            found += [(mine[a], mine[b]) for a, b in _links_of_group(size[first:end], sketch[first:end], rough[first:end], percent)]
+        few, shift = np.flatnonzero(np.repeat(k <= ALL_PAIRS, k)), 1
+        while shift < len(few):
+            here = np.flatnonzero(gram[few[shift:]] == gram[few[:-shift]])
+            if not len(here):
                 break
-            for part in np.array_split(left, -(-len(left) // 20_000)):
-                right = part + shift
-                total = size[part] + size[right]
-                most = total - 2 * -(-percent * total // (100 + percent))  # sets this similar differ in no more places
-                near = np.abs(size[part] - size[right]) <= most
-                near[near] = differences(sketch, part[near], right[near]) <= most[near]
-                found.append((owner[part[near]], owner[right[near]]))
+            for part in np.array_split(here, -(-len(here) // 20_000)):
+                left, right = few[part], few[part + shift]
+                most = most_differences(size[left] + size[right], percent)
+                near = np.flatnonzero(np.abs(size[left] - size[right]) <= most)
+                near = near[np.abs(rough[left[near]] - rough[right[near]]).sum(axis=1) <= most[near]]
+                near = near[differences(sketch, left[near], right[near]) <= most[near]]
+                found.append((owner[left[near]], owner[right[near]]))
             shift += 1
-            if shift % 64 == 0:
-                found = [spanning(*map(np.concatenate, zip(*found)))]
         a, b = spanning(*map(np.concatenate, zip(*found)))
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -274,6 +363,66 @@ class TrieJoin:
             node.label = None
 
 
+class _Holders:
+    """Which of some sets hold an n-gram; of n-grams that most of them hold, which do not."""
+
+    def __init__(self, sets: list[np.ndarray], rows: np.ndarray, grams: int) -> None:
+        self.rows, self.size = rows, np.array([len(sets[r]) for r in rows])
+        flat, whose = np.concatenate([sets[r] for r in rows]), np.repeat(np.arange(len(rows)), self.size)
+        order = np.argsort(flat, kind="stable")
+        self.whose = whose[order]
+        count = np.bincount(flat, minlength=grams)
+        self.end = np.cumsum(count)
+        self.begin = self.end - count
+        self.most = 2 * count > len(rows)
+        self.lack = {int(g): np.setdiff1d(np.arange(len(rows)), self.whose[self.begin[g] : self.end[g]], assume_unique=True) for g in np.flatnonzero(self.most)}
+
+    def shared(self, grams: np.ndarray) -> np.ndarray:
+        """The number of these n-grams that each set holds."""
+        most = self.most[grams]
+        few = grams[~most]
+        out = np.full(len(self.rows), np.count_nonzero(most))
+        parts = [self.whose[b:e] for b, e in zip(self.begin[few].tolist(), self.end[few].tolist()) if b < e]
+        if parts:
+            out += np.bincount(np.concatenate(parts), minlength=len(out))
+        parts = [self.lack[g] for g in grams[most].tolist()]
+        if parts:
+            out -= np.bincount(np.concatenate(parts), minlength=len(out))
+        return out
+
+
+def counted_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between similar sets, enough to keep every component.  Sets hold numbers from 0.
+
+    From a set on, all that can be reached are taken out one after the other; each
+    counts its overlap with all sets that were not reached yet at once.
+    """
+    links, reached = [], []
+    grams = 1 + max((int(x.max()) for x in sets if len(x)), default=0)
+    index = _Holders(sets, np.arange(len(sets)), grams)
+    is_open = np.ones(len(sets), dtype=bool)
+    left, start = len(sets), 0
+    while left:
+        if reached:
+            row = reached.pop()
+        else:
+            while not is_open[start]:
+                start += 1
+            row, left = start, left - 1
+            is_open[row] = False
+        if 2 * left < len(index.rows):
+            if not left:
+                break
+            index = _Holders(sets, np.flatnonzero(is_open), grams)
+        shared = index.shared(sets[row])
+        near = index.rows[(100 * shared >= percent * (len(sets[row]) + index.size - shared)) & is_open[index.rows]]
+        is_open[near] = False
+        left -= len(near)
+        reached.extend(near.tolist())
+        links.extend((row, other) for other in near.tolist())
+    return links
+
+
 def _join_block(table: pa.Table, n: int, percent: int) -> list[tuple[int, int]]:
     """Links between the documents of a block (all with all), or between those of side 0 and side 1, enough to keep every component."""
     sets: dict[int, np.ndarray] = {}
@@ -284,10 +433,12 @@ def _join_block(table: pa.Table, n: int, percent: int) -> list[tuple[int, int]]:
     every, count = np.unique(np.concatenate([sets[r] for r in rows]), return_counts=True)
     rank = np.empty(len(every), dtype=np.int64)
     rank[np.lexsort((every, -count))] = np.arange(len(every))  # frequent first: similar sets share long paths
-    join, order = TrieJoin(percent), []
-    for r in rows:
-        join.add(np.sort(rank[np.searchsorted(every, sets[r])]))
-        order.append(docs[r])
+    ranked, order = [np.sort(rank[np.searchsorted(every, sets[r])]) for r in rows], [docs[r] for r in rows]
+    if len(rows) > TRIE_SETS:
+        return [(order[x], order[y]) for x, y in counted_links(ranked, percent)]
+    join = TrieJoin(percent)
+    for grams in ranked:
+        join.add(grams)
     return [(order[x], order[y]) for x, y in join.links]
 
 
@@ -338,8 +489,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * An empty table gives an empty result; further columns are ignored.
 
     Spark: equal sets count once.  About 15 % of a set's n-grams (at 85 %) are
-    aggregated and joined; frequent n-grams, of which there are at most n-grams
-    per document / FREQUENT_SHARE, are broadcast so that they stand last.  A
+    aggregated and joined; frequent n-grams, HOT_GRAMS at most, are broadcast
+    with how often they occur, so that the most frequent stand last.  A
     cluster of more than BLOCK_GRAMS n-grams is split into blocks: all blocks meet
     the first, and only where that leaves several components do the others
     meet, so no task holds more than two blocks and no link is lost.
@@ -347,10 +498,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     profiles = stored(texts.mapInArrow(partial(_profiles, n=n), "doc long, n long, a long, b long, sketch binary, gram long, count long"), "profiles")
-    total = profiles.where("n is not null").count()
-    counts = profiles.where("gram is not null").groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") >= max(16, FREQUENT_SHARE * total))
-    hot = np.sort(np.array([r.gram for r in counts.select("gram").toLocalIterator()], dtype=np.int64).view(np.uint64))
-    frequent = spark.sparkContext.broadcast(hot)
+    frequent = spark.sparkContext.broadcast(frequent_grams(profiles))
     filled = profiles.where("n > 0 and doc is not null")
     classes = stored(filled.groupBy("n", "a", "b").agg(F.min("doc").alias("class"), F.count(F.lit(1)).alias("copies")), "classes")
     member = stored(with_groups(filled, classes, ["n", "a", "b"], "copies").select("doc", "class", "n", "sketch"), "members")
