@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rinkline.operators import ingest
-from rinkline.sources.storage import delete, empty, exists, folders, move
+from rinkline.sources.storage import delete, empty, exists, folders, move, write_documents
 
 #: In the order of writing: a game's row says that its rosters and plays are in place.
 TABLES = ("rosters", "plays", "games")
@@ -42,9 +42,12 @@ def read_version(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def swap_parts(rows: DataFrame, path: str, parts: list[int], aside: str) -> None:
-    """Replaces partitions of a table (folders part=<n>) by rows, which may be read from it: they are written aside first, so a lost task never meets a half-replaced table, and whole folders then take the places of the old ones."""
+    """Replaces partitions of a table (folders part=<n>) by rows, which may be read from it: they are written aside first, so a lost task never meets a half-replaced table, and whole folders then take the places of the old ones.
+
+    Rows are brought together by partition, large ones in several tasks, so that files grow with the rows and not with tasks times partitions.
+    """
     spark = rows.sparkSession
-    rows.write.mode("overwrite").partitionBy("part").parquet(aside)
+    rows.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(aside)
     filled = [int(x.removeprefix("part=")) for x in folders(spark, aside) if x.startswith("part=")]
     for part in filled:
         move(spark, f"{aside}/part={part}", f"{path}/part={part}")
@@ -139,7 +142,7 @@ class Silver:
         )
         path = f"{self.root}/_pending/{uuid.uuid4().hex}"
         keep = F.when(F.col("broken") | F.col("malformed"), F.col("raw_json")).alias("raw_json")
-        watched.select("event_id", "game_id", "ingestion_timestamp", "malformed", "chosen", "broken", "problems", F.when(F.col("chosen"), F.col("d")).alias("d"), keep).write.parquet(path)
+        write_documents(watched.select("event_id", "game_id", "ingestion_timestamp", "malformed", "chosen", "broken", "problems", F.when(F.col("chosen"), F.col("d")).alias("d"), keep), path)
         checked, counts = self.spark.read.parquet(path), seen.get
         try:
             if counts["breaches"] and on_breach == "fail":

@@ -26,6 +26,16 @@ def _folder(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+#: Bytes of a row group of a table of documents.  Spark's reader takes up to 4,096 rows of a group at once: of documents of
+#: tens of kB, and parsed ones with a hundred plays of fifty columns each, that is hundreds of MB for a task unless groups are small.
+DOCUMENT_GROUP = 4 << 20
+
+
+def write_documents(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Writes documents, raw or parsed, in small row groups, so that neither who writes nor who reads them holds many at once."""
+    df.write.mode(mode).option("parquet.block.size", DOCUMENT_GROUP).parquet(path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, at = _folder(spark, path)
     return fs.exists(at)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rinkline.operators import ingest
 from rinkline.sources.silver import Silver
+from rinkline.sources.storage import delete, write_documents
 
 
 def changed_snapshots(snapshots: DataFrame) -> DataFrame:
@@ -65,11 +67,16 @@ def allowed_snapshots(snapshots: DataFrame, games: DataFrame) -> DataFrame:
     return rows.drop("owner", "stored_at")
 
 
-def parsed_snapshots(batch: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Games, rosters and plays of the snapshots of a micro-batch that are accepted, given the stored games."""
+def accepted_snapshots(batch: DataFrame, games: DataFrame) -> DataFrame:
+    """The snapshots of a micro-batch that are accepted, given the stored games, with the parsed object `d`."""
     accepted = allowed_snapshots(newest_snapshots(batch), games)
     rows = accepted.select(F.lit("live").alias("source"), F.col("fetched_at").alias("ingestion_timestamp"), "raw_json")
-    good, _ = ingest.parsed(rows)
+    return ingest.parsed(rows)[0]
+
+
+def parsed_snapshots(batch: DataFrame, games: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Games, rosters and plays of the snapshots of a micro-batch that are accepted, given the stored games."""
+    good = accepted_snapshots(batch, games)
     return ingest.parse_games(good), ingest.parse_rosters(good), ingest.parse_plays(good)
 
 
@@ -81,15 +88,19 @@ def apply_snapshots(batch: DataFrame, games: DataFrame, rosters: DataFrame, play
 
 
 def start_into(snapshots: DataFrame, store: Silver, checkpoint: str, **trigger) -> StreamingQuery:
-    """Runs the stream into stored tables: a micro-batch reads and rewrites only the partitions of its games."""
+    """Runs the stream into stored tables: a micro-batch reads and rewrites only the partitions of its games.
+
+    The batch is read once and its accepted snapshots are parsed once; they are stored, and the tables taken from them.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
-        df = df.persist()
+        path = f"{store.root}/_pending/{uuid.uuid4().hex}"
         try:
-            new = parsed_snapshots(df, store.read("games"))
-            store.replace(new[0], *new)
+            write_documents(accepted_snapshots(df, store.read("games")).drop("raw_json"), path)
+            good = store.spark.read.parquet(path)
+            store.replace(good.select(F.col("d.id").alias("game_id")), ingest.parse_games(good), ingest.parse_rosters(good), ingest.parse_plays(good))
         finally:
-            df.unpersist()
+            delete(store.spark, path)
 
     return snapshots.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
