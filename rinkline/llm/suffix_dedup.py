@@ -34,8 +34,8 @@ from rinkline.llm._shared import delete, discard, exists, if_small, new_path, sh
 SUFFIX_BYTES = 16
 #: Text whose suffixes a task sorts at once; text for each bucket of the arrays.  Clusters with more memory a task may raise both.
 CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
-#: The number of batches is the logarithm of the text in units of this size, where no size of a batch is given.
-UNIT_BYTES = 32 << 20
+#: Repeated groups that a task deals out by document at once.
+DEALT_GROUPS = 1 << 19
 #: A prefix that occurs in this share of the documents of the sample, and in LEAST of them, enters the arrays window by window.
 HOT_SHARE, LEAST, SAMPLE_ONE_IN = 1 / 500, 40, 64
 #: Contexts of one prefix up to which a task compares their windows; beyond, windows are rows that Spark groups.
@@ -89,7 +89,7 @@ def _unpack(blob: bytes, n: int, kind: type) -> np.ndarray:
 
 def _row(kind: str, bucket: int, found: Suffixes) -> tuple:
     if kind == _LATE:  # only the places are needed
-        none = np.zeros_like(found.a)
+        none = np.zeros(len(found.a), dtype=np.uint64)
         found = found._replace(a=none, b=none, context=none, sides=none.astype(np.uint32))
     ab = np.stack([found.a.byteswap(), found.b.byteswap()], axis=1) if len(found.a) else np.zeros((0, 2), np.uint64)
     prefix = pa.compress(np.ascontiguousarray(ab), codec="zstd", asbytes=True)
@@ -305,15 +305,32 @@ def _open_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_document(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows of arrays to rows of the same kind, whose buckets are by document."""
+    """Rows of arrays to rows of the same kind, whose buckets are by document.
+
+    Groups of many rows are dealt out together: a row of its own for each row and
+    part would make as many as buckets by parts, the square of the text.
+    """
+
+    def dealt(found: Suffixes) -> Iterator[pa.RecordBatch]:
+        part = (mix(found.doc.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        first = _runs(part[order])
+        rows = list(zip(first, np.append(first[1:], len(order))))
+        for at in range(0, len(rows), 256):
+            yield _record([_row(_LATE, int(part[order[a]]), found.take(order[a:b])) for a, b in rows[at : at + 256]])
+
+    held, size = [], 0
     for batch in batches:
         for i in range(len(batch)):
             found = _suffixes(batch, i)
-            part = (mix(found.doc.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            first = _runs(part[order])
-            if len(order):
-                yield _record([_row(_LATE, int(part[order[a]]), found.take(order[a:b])) for a, b in zip(first, np.append(first[1:], len(order)))])
+            none = np.zeros(len(found.a), dtype=np.uint8)  # all but the places is empty in these rows
+            held.append(found._replace(a=none, b=none, context=none, sides=none))
+            size += len(none)
+            if size >= DEALT_GROUPS:
+                yield from dealt(_joined(held))
+                held, size = [], 0
+    if size:
+        yield from dealt(_joined(held))
 
 
 def _late_ranges(rows: pa.Table, width: int) -> pa.Table:
@@ -365,8 +382,10 @@ def _hot_prefixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(np.ones(len(pairs), dtype=np.int64))], ["prefix", "n"])
 
 
-#: Batches of a small corpus: enough for levels that merge twice.
-FEWEST_BATCHES = 4
+#: Batches of a corpus where no size is given: enough for levels that merge twice.  Each is merged with all levels, so more of
+#: them read the levels more often; the last of four merges all, which takes room for two indexes.  What a task holds is
+#: bounded by chunks and buckets, whatever the size of a batch.
+BATCHES = 4
 
 
 class SuffixIndex:
@@ -542,9 +561,8 @@ def suffix_dedup(
     which also start in a document with a smaller id, judged on the input.
     n_spans counts the maximal removed runs.  width is 20 to 1,000.
 
-    Batches take batch_bytes of text each.  Without it their number is one more
-    than the logarithm (base two) of the text in units of UNIT_BYTES, and at
-    least FEWEST_BATCHES, since a batch is merged with all levels.
+    Batches take batch_bytes of text each.  Without it there are BATCHES, since a
+    batch is merged with all levels.
 
     * Null texts have no bytes; null ids are kept whole and remove nothing.
     * Ids are integers.  Repeated rows give a row each and remove nothing from
@@ -563,7 +581,7 @@ def suffix_dedup(
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     known = texts.where("doc is not null")
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = -(-size // batch_bytes) if batch_bytes else max(FEWEST_BATCHES, 1 + int(np.ceil(np.log2(max(1, size) / UNIT_BYTES))))
+    batches = -(-size // batch_bytes) if batch_bytes else BATCHES
     index = SuffixIndex(spark, new_path(spark, "index"), width, max(1, -(-size // BUCKET_BYTES)), tuple(hot_prefixes(known, width)))
     for batch in batches_of(known, max(1, batches)):
         index.add(batch)

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from rinkline.llm import ngram_join as nj
+from rinkline.llm import suffix_dedup as sd
 from rinkline.llm._bytes import mix
 from rinkline.llm._components import spanning
 
@@ -78,3 +79,28 @@ def test_frequent_ngrams_stand_last_by_how_often_they_occur(spark):
     batch = pa.record_batch({"doc": [r[0] for r in rows], "text": [r[1] for r in rows], "class": [r[0] for r in rows]})
     grams = np.concatenate([x["gram"].to_numpy().view(np.uint64) for x in nj._prefixes(iter([batch]), 5, 80, frequent)])
     assert not np.isin(held, grams).any()
+
+
+def test_repeated_groups_are_dealt_out_together():
+    """100 rows of groups of 500 documents and 100 parts made 10,000 rows."""
+    rng = np.random.default_rng(4)
+    none = np.zeros(500, dtype=np.uint64)
+    found = [sd.Suffixes(none, none, none, none.astype(np.uint32), rng.permutation(500), rng.integers(0, 9999, 500).astype(np.uint32), np.ones(500, np.uint16)) for _ in range(100)]
+    out = list(sd._by_document(iter([sd._record([sd._row(sd._LATE, i, f) for i, f in enumerate(found)])]), 100))
+    rows = [(batch["bucket"][i].as_py(), sd._suffixes(batch, i)) for batch in out for i in range(len(batch))]
+    assert len(rows) <= 100
+    assert all((sd.mix(f.doc.view(np.uint64)) % np.uint64(100) == bucket).all() for bucket, f in rows)
+    places = lambda some: sorted((d, s) for f in some for d, s in zip(f.doc.tolist(), f.start.tolist()))
+    assert places(f for _, f in rows) == places(found)
+
+
+def test_batches_do_not_grow_with_the_text(spark, monkeypatch):
+    """Each batch reads all levels again, so more batches for more text cost more for each byte of it."""
+    added, kept = [], sd.SuffixIndex.add
+    monkeypatch.setattr(sd, "UNIT_BYTES", 64, raising=False)  # the code before took more batches for more of these
+    monkeypatch.setattr(sd.SuffixIndex, "add", lambda self, docs: added.append(1) or kept(self, docs))
+    text = "some words that are of a length which lets windows of fifty bytes begin at several places here"
+    docs = spark.createDataFrame([(i, f"{i} {text} {i % 7}") for i in range(40)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in sd.suffix_dedup(docs).collect()}
+    assert len(added) == sd.BATCHES
+    assert got[0] == 0 and all(got[i] >= len(text) for i in range(1, 40))
